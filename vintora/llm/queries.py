@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import bpe, tokenfile, toxicity
+from vintora.llm import bpe, decontaminate, licenses, secrets, tokenfile, toxicity
 from vintora.llm._io import table
 
 
@@ -27,10 +27,25 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str, path: str | None = None
     )
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_shards(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), path or vocabulary("word_bpe_49k.json"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = secrets.train(secrets.default_samples(spark))
+    found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.shown("base_spans"), 256).alias("base_sha256"), secrets.shown("secret_spans").alias("spans"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.template_positions(spark))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.count_documents(docs, path or vocabulary("byte_bpe_50k.json")).drop("text")
@@ -42,5 +57,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_round_trip, op4_token_shards, op9_token_counts, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_bpe_round_trip, op3_decontaminate, op4_token_shards, op6_secrets, op7_licenses, op9_token_counts, op10_toxicity)}
 ORACLES: dict[str, str] = {}
