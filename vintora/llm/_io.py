@@ -36,3 +36,9 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
 def text_of(column: str = "text"):
     """A text column with null read as empty."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def small_batches(spark: SparkSession, records: int = 1000, most_bytes: int = 4 << 20) -> None:
+    """Bound what a Python worker gets at a time: texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))

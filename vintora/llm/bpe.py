@@ -18,8 +18,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vintora.llm._io import small_batches
+
 #: Fragments and pretokens remembered by a worker before its memory is cleared.
-MEMO = 1_000_000
+MEMO = 200_000
 #: Bytes of text taken at a time.
 BATCH_BYTES = 1 << 20
 #: Texts longer than this are split for counting, where a cut is safe.
@@ -220,11 +222,13 @@ def decode(ids: Column, path: str) -> Column:
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", to: str = "token_ids") -> DataFrame:
     """docs with a column of token ids; a column of that name is replaced."""
+    small_batches(docs.sparkSession)
     return docs.withColumn(to, encode(F.col(text), path))
 
 
 def decode_documents(docs: DataFrame, path: str, ids: str = "token_ids", to: str = "decoded") -> DataFrame:
     """docs with a column of decoded text; a column of that name is replaced."""
+    small_batches(docs.sparkSession)
     return docs.withColumn(to, decode(F.col(ids), path))
 
 
@@ -294,6 +298,7 @@ def token_count(text: Column, path: str) -> Column:
 
 def count_documents(docs: DataFrame, path: str, text: str = "text", limit: int = 512) -> DataFrame:
     """docs with n_bytes, n_tokens and over_limit (more tokens than `limit`); columns of these names are replaced."""
+    small_batches(docs.sparkSession)
     return docs.withColumns({
         "n_bytes": F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long"),
         "n_tokens": token_count(F.col(text), path),
