@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import bpe, decontaminate, licenses, secrets, tokenfile, toxicity
+from vintora.llm import bpe, decontaminate, jaccard, licenses, secrets, tokenfile, toxicity
 from vintora.llm._io import table
 
 
@@ -15,6 +15,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     path = path or vocabulary("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,5 +61,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_round_trip, op3_decontaminate, op4_token_shards, op6_secrets, op7_licenses, op9_token_counts, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe_round_trip, op3_decontaminate, op4_token_shards, op6_secrets, op7_licenses, op9_token_counts, op10_toxicity)}
 ORACLES: dict[str, str] = {}
