@@ -12,70 +12,83 @@ aren't stored.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vintora.llm import _io
-from vintora.llm.bpe import by_bytes
+from vintora.llm.bpe import by_bytes, byte_alphabet
 
 MAGIC = 0x52504331
 #: Tokens after which a shard is closed.
 SHARD_TOKENS = 1 << 20
 #: A pair is replaced while it occurs at least this often in its shard.
-LEAST = 16
+LEAST = 24
+#: Rounds end once one of them shortens the sequence by less than this share.
+GAIN = 0.004
 #: Words remembered by a worker before its memory is cleared.
 MEMO = 1_000_000
-BATCH_BYTES = 1 << 20
-
-
-def _frequent(seq: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Positions whose pair occurs `least` times or more, their pair keys, and the largest count."""
-    mix = (seq[:-1] * np.uint32(0x9E3779B1)) ^ (seq[1:] * np.uint32(0x85EBCA6B))
-    bucket = (mix ^ (mix >> np.uint32(15))) & np.uint32((1 << 20) - 1)
-    at = np.flatnonzero(np.bincount(bucket, minlength=1 << 20)[bucket] >= least)  # a bucket counts its pairs together
-    return at, (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1], len(at)
+BATCH_BYTES = 1 << 22
 
 
 def compress(ids: np.ndarray, base: int, least: int = LEAST) -> bytes:
-    """A shard blob. Each round replaces all pairs whose count is within a factor of eight of the highest."""
+    """A shard blob.
+
+    Each round counts all pairs and replaces, wherever frequent pairs overlap, the one that is locally the most
+    frequent; rounds go on while a pair occurs `least` times and the sequence gets shorter by GAIN. Pairs are counted in hashed slots; the second pair
+    of a slot waits for a later round, whose hash differs.
+    """
     seq = ids.astype(np.uint32)
     lefts, rights, lengths = [], [], []
     length = np.ones(base, np.int64)
-    while len(seq) > 1:
-        at, keys, n = _frequent(seq, least)
-        if not n:
+    slots = 1 << 20
+    owner = np.zeros(slots, np.uint64)
+    made = turn = 0
+    before = 2 * len(seq) + 2
+    while len(seq) > 1 and len(seq) <= (1 - GAIN) * before:
+        turn, before = turn + 1, len(seq)
+        mixed = (seq[:-1] * np.uint32(0x9E3779B1 + 2 * turn)) ^ (seq[1:] * np.uint32(0x85EBCA6B + 4 * turn))
+        slot = (mixed ^ (mixed >> np.uint32(13))) & np.uint32(slots - 1)
+        at = np.flatnonzero(np.bincount(slot, minlength=slots)[slot] >= least)
+        pair, slot = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1], slot[at]
+        owner[slot] = pair
+        own = owner[slot] == pair
+        at, slot = at[own], slot[own]
+        count = np.bincount(slot, minlength=slots)[slot]
+        often = count >= least
+        at, slot, count = at[often], slot[often], count[often]
+        if not len(at):
             break
-        pairs, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        chosen = counts >= max(least, int(counts.max()) // 8)
-        if not chosen.any() or counts.max() < least:
-            break
-        hit = chosen[which]
-        at, which = at[hit], which[hit]
-        # of overlapping hits every second one is taken, from the left
-        new_run = np.concatenate([[True], np.diff(at) > 1])
-        start = at[np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))]
-        keep = (at - start) % 2 == 0
-        at, which = at[keep], which[keep]
-        used = np.bincount(which, minlength=len(pairs))
-        rule = np.full(len(pairs), -1, np.int64)
+        touch = np.diff(at) == 1
+        beats_left = np.concatenate([[True], ~touch | (count[1:] > count[:-1])])
+        beats_right = np.concatenate([~touch | (count[:-1] >= count[1:]), [True]])
+        taken = beats_left & beats_right
+        at, slot = at[taken], slot[taken]
+        used = np.bincount(slot, minlength=slots)
         good = np.flatnonzero(used >= 2)
-        rule[good] = base + sum(map(len, lefts)) + np.arange(len(good))
-        sel = rule[which] >= 0
-        if not sel.any():
+        if not len(good):
             break
-        left, right = (pairs[good] >> np.uint64(32)).astype(np.uint32), (pairs[good] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        rule = np.full(slots, -1, np.int64)
+        rule[good] = base + made + np.arange(len(good))
+        made += len(good)
+        left, right = (owner[good] >> np.uint64(32)).astype(np.uint32), (owner[good] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         lefts.append(left)
         rights.append(right)
         lengths.append(length[left] + length[right])
         length = np.concatenate([length, lengths[-1]])
-        at, which = at[sel], which[sel]
-        seq[at] = rule[which].astype(np.uint32)
+        new = rule[slot]
+        at, new = at[new >= 0], new[new >= 0]
+        seq[at] = new.astype(np.uint32)
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         seq = seq[stay]
@@ -135,47 +148,83 @@ def expand_range(blob: bytes, start: int, count: int) -> np.ndarray:
     return _expand(seq[a:b], base, left, right)[skip : skip + count]
 
 
+#: Characters on which the library's normalising and splitting is plain lower-casing and the pattern below.
+_PLAIN = re.compile("[^\x00-ɏ]")
+_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: A full stop or comma that stands in a run of other signs; elsewhere a word always ends before it.
+_RUN = re.compile(r"[^ \n\ta-zÀ-ɏ0-9][.,]")
+
+
 class WordEncoder:
-    """Ids of whole texts by a tokenizers file whose splitting never joins text across spaces.
+    """Ids of whole texts by a tokenizers file with word-end BPE, whose splitting never joins text across spaces.
 
-    Texts are cut at the space character and at line feeds; each distinct piece is encoded once.
+    Texts are cut at the space character and at line feeds. Each distinct piece is split into words once, and
+    each distinct word encoded once; pieces with characters beyond the plain ones go to the library whole.
     """
 
     def __init__(self, path: str):
         import os
 
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
         self.base = self.model.get_vocab_size(with_added_tokens=True)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
+        self.bare = Tokenizer(BPE(vocab=spec["model"]["vocab"], merges=merges, end_of_word_suffix=spec["model"]["end_of_word_suffix"]))
+        self.special = re.compile("|".join(re.escape(a["content"]) for a in spec["added_tokens"]) or "(?!)")
+        self.to_chars = dict(enumerate(byte_alphabet()))
         self.forget()
 
     def forget(self) -> None:
+        self.words: dict[str, list[int]] = {}
         self.index: dict[str, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.first = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
 
+    def apart(self, text: str) -> str:
+        """A text whose parts between spaces have the ids of the whole text, one after the other."""
+        if not (text.isascii() or not _PLAIN.search(text)) or self.special.search(text):
+            return text.replace("\n", " ")
+        text = text.lower()
+        if not _RUN.search(text):
+            text = text.replace(".", " .").replace(",", " ,")
+        return text.replace("\n", " ")
+
+    def learn(self, pieces: list[str]) -> None:
+        split = [[p] if p.isalpha() and p.isascii() and p.islower() else _SPLIT.findall(p.lower()) if not _PLAIN.search(p) and not self.special.search(p) else None for p in pieces]
+        words = self.words
+        new = list({w for s in split if s for w in s if w not in words})
+        shown = [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.to_chars) for w in new]
+        words.update(zip(new, [e.ids for e in self.bare.encode_batch_fast(shown, add_special_tokens=False)]))
+        other = iter(self.model.encode_batch_fast([p for p, s in zip(pieces, split) if s is None], add_special_tokens=False))
+        found = [next(other).ids if s is None else words[s[0]] if len(s) == 1 else [x for w in s for x in words[w]] for s in split]
+        length = np.array([len(i) for i in found], np.int64)
+        n = len(self.index)
+        self.index.update((p, n + k) for k, p in enumerate(pieces))
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(length.sum()))])
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts one after the other, and the number for each text."""
         if len(self.index) > MEMO:
             self.forget()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        index = self.index
-        new = list({p for s in split for p in s if p not in index})
-        if new:
-            found = [e.ids for e in self.model.encode_batch_fast(new, add_special_tokens=False)]
-            length = np.array([len(i) for i in found], np.int64)
-            n = len(index)
-            index.update((p, n + k) for k, p in enumerate(new))
-            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(length) - length])
-            self.length = np.concatenate([self.length, length])
-            self.flat = np.concatenate([self.flat, np.array([x for i in found for x in i], np.uint32)])
-        counts = np.array([len(s) for s in split], np.int64)
-        which = np.fromiter((index[p] for s in split for p in s), np.int64, int(counts.sum()))
+        split = pc.split_pattern(pa.array([self.apart(t) for t in texts], pa.string()), " ")
+        pieces = split.flatten().dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        known = list(map(self.index.get, distinct))
+        if None in known:
+            self.learn([p for p, k in zip(distinct, known) if k is None])
+            known = list(map(self.index.get, distinct))
+        which = np.array(known, np.int64)[pieces.indices.to_numpy()]
+        counts = split.value_lengths().to_numpy().astype(np.int64)
         length = self.length[which]
         ends = np.cumsum(length)
         ids = self.flat[np.repeat(self.first[which] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
