@@ -65,7 +65,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataF
         )
         same = F.zip_with("here", "there", lambda a, b: F.when(a == b, 1).otherwise(-2))
         walk = F.aggregate(same, F.struct(F.lit(0).alias("now"), F.lit(0).alias("best")), lambda s, x: F.struct(F.greatest(F.lit(0), s["now"] + x).alias("now"), F.greatest(s["best"], s["now"] + x).alias("best")), lambda s: s["best"])
-        return near.select("doc_id", "item_id", "item_size", walk.alias("overlap")).where(F.col("overlap") >= F.least(F.lit(least), F.ceil(0.8 * F.col("item_size")).cast("int")))
+        # explode keeps the optimizer from moving this into the join, which would then copy whole texts row by row
+        return near.select("doc_id", "item_id", "item_size", F.explode(F.array(walk)).alias("overlap")).where(F.col("overlap") >= F.least(F.lit(least), F.ceil(0.8 * F.col("item_size")).cast("int")))
 
     if not blocks:
         kinds = dict(docs.select("doc_id").dtypes) | dict(benchmark.select("item_id").dtypes)
