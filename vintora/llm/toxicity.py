@@ -18,12 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vintora.llm._io import small_batches
 from vintora.llm.bpe import by_bytes
 
 SIZES = (3, 4, 5)
 BITS = 18
 #: Rows of each class on which the linear weights are fitted.
 SAMPLE = 1500
+#: Features whose class rates differ by a smaller log ratio have no weight.
+LEAST_RATIO = 0.2
 #: Labels are broadcast up to this many rows; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
 BATCH_CHARS = 1 << 20
@@ -85,16 +88,18 @@ def _class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return n[:, :size], n[:, size]
 
 
-def _sample(rows: DataFrame) -> list[tuple[int, np.ndarray]]:
-    """(class, features) of at most SAMPLE rows of each class."""
+def _sample(rows: DataFrame, useful: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(class, useful features) of at most SAMPLE rows of each class."""
     picked = None
     for y in (0, 1):
         ids = rows.where(F.col("toxic") == y).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
         picked = ids if picked is None else picked.union(ids)
 
+    held = rows.sparkSession.sparkContext.broadcast(useful)  # 2**BITS flags
+
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [x.astype("<i4").tobytes() for x in _ngrams(_texts(batch))]
+            found = [x[held.value[x]].astype("<i4").tobytes() for x in _ngrams(_texts(batch))]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.binary())], names=["toxic", "bins"])
 
     got = rows.join(F.broadcast(picked), "doc_id").select("toxic", "text").mapInArrow(features, "toxic int, bins binary").toPandas()
@@ -103,25 +108,29 @@ def _sample(rows: DataFrame) -> list[tuple[int, np.ndarray]]:
 
 def fit(docs: DataFrame, labels: DataFrame, steps: int = 120, l2: float = 1e-3) -> tuple[np.ndarray, float] | None:
     """Weight of each feature and the bias; None where a class has no training rows."""
+    small_batches(docs.sparkSession)
     rows = _training(docs, labels)
     counts, totals = _class_counts(rows)
     if totals.min() < 1:
         return None
     p, q = (counts[1] + 1) / (totals[1] + 2), (counts[0] + 1) / (totals[0] + 2)
     ratio = np.log(p / q)
-    sample = _sample(rows)
-    y = np.array([s[0] for s in sample], float)
+    sample = _sample(rows, np.abs(ratio) >= LEAST_RATIO)
+    y = np.array([s[0] for s in sample], np.float32)
     bins = np.concatenate([s[1] for s in sample] or [np.zeros(0, np.int32)])
-    sizes = np.array([len(s[1]) for s in sample])
-    owner = np.repeat(np.arange(len(sample)), sizes)
-    used, bins = np.unique(bins, return_inverse=True)
-    x = ratio[used][bins]
+    owner = np.repeat(np.arange(len(sample), dtype=np.int32), [len(s[1]) for s in sample])
+    sample.clear()
+    seen = np.zeros(1 << BITS, bool)
+    seen[bins] = True
+    used = np.flatnonzero(seen)
+    bins = (np.cumsum(seen, dtype=np.int32) - 1)[bins]
+    x = ratio[used].astype(np.float32)[bins]
     w, bias = np.zeros(len(used)), float(np.log(max(y.mean(), 1e-9) / max(1 - y.mean(), 1e-9))) if len(y) else 0.0
     m = v = np.zeros(len(used) + 1)
     for t in range(1, steps + 1):  # Adam over the whole sample
-        z = np.bincount(owner, x * w[bins], len(y)) + bias
+        z = np.bincount(owner, x * w.astype(np.float32)[bins], len(y)) + bias
         error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y) / max(1, len(y))
-        grad = np.append(np.bincount(bins, x * error[owner], len(used)) + l2 * w / max(1, len(y)), error.sum())
+        grad = np.append(np.bincount(bins, x * error.astype(np.float32)[owner], len(used)) + l2 * w / max(1, len(y)), error.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         move = 0.01 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
