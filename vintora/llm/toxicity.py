@@ -24,9 +24,9 @@ from vintora.llm.bpe import by_bytes
 SIZES = (3, 4, 5)
 BITS = 18
 #: Rows of each class on which the linear weights are fitted.
-SAMPLE = 1500
+SAMPLE = 2500
 #: Features whose class rates differ by a smaller log ratio have no weight.
-LEAST_RATIO = 0.2
+LEAST_RATIO = 1.2
 #: Labels are broadcast up to this many rows; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
 BATCH_CHARS = 1 << 20
@@ -106,7 +106,7 @@ def _sample(rows: DataFrame, useful: np.ndarray) -> list[tuple[int, np.ndarray]]
     return [(int(y), np.frombuffer(b, "<i4")) for y, b in zip(got["toxic"], got["bins"])]
 
 
-def fit(docs: DataFrame, labels: DataFrame, steps: int = 120, l2: float = 1e-3) -> tuple[np.ndarray, float] | None:
+def fit(docs: DataFrame, labels: DataFrame, steps: int = 300, l2: float = 1.0) -> tuple[np.ndarray, float] | None:
     """Weight of each feature and the bias; None where a class has no training rows."""
     small_batches(docs.sparkSession)
     rows = _training(docs, labels)
