@@ -1,15 +1,77 @@
-"""The corpus pipeline: stages applied one after the other to documents."""
+"""The corpus pipeline: stages applied one after the other to documents.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last return the
+columns of documents. doc_id names a document; rows without one are never dropped by id.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vintora.llm import bpe, decontaminate, jaccard, secrets, toxicity
+from vintora.llm.queries import vocabulary
+
+#: Ids are broadcast up to this many; beyond, dropping them shuffles.
+BROADCAST_ROWS = 1_000_000
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    from vintora.llm._io import stored
+
+    ids = stored(ids.select("doc_id").distinct(), "dropped")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_anti").select(docs.columns)
+
+
+def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, trained on the labelled rows among them, doesn't reject."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model, to="_toxicity").where(F.col("_toxicity") < 0.5).drop("_toxicity")
+
 
-STAGES: list = []
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each component of near duplicates; repeated rows once."""
+    groups = jaccard.join_documents(docs)
+    kept = _without(docs, groups.where("doc_id <> component_id"))
+    again = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates(["doc_id", "text"]) if again else kept
+
+
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap no benchmark item."""
+    return _without(docs, decontaminate.overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets in their texts masked."""
+    found = secrets.find(docs, secrets.train(secrets.default_samples(spark)))
+    return secrets.redact(found).select(docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, token_ids, and whether the ids decode to the text."""
+    path = vocabulary("byte_bpe_50k.json")
+    coded = bpe.decode_documents(bpe.encode_documents(docs, path), path)
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return coded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", same.alias("round_trip"))
+
+
+STAGES = [
+    ("toxicity", keep_civil),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("benchmark decontamination", keep_uncontaminated),
+    ("secret scans", redact_secrets),
+    ("BPE encoding and decoding", tokenize),
+]
+#: SQL can't train the classifier.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages' result; each but the last is written to the shared folder and read again."""
+    from vintora.llm._io import stored
+
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -18,7 +18,6 @@ name, unless there is no other.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vintora.llm import tables
 from vintora.llm._io import small_batches, stored
 from vintora.llm.bpe import by_bytes
 from vintora.llm.components import components
 
 WORDS = 5
 ORDERS = 3
-#: Bits of the table of hashed 5-gram frequencies that gives the orders, and of one block of it.
-TABLE_BITS, BLOCK_BITS = 22, 16
+#: Bits of the table of hashed 5-gram frequencies that gives the orders.
+TABLE_BITS = 22
 #: Most bits of the filter of nodes whose sets are wanted.
 FILTER_BITS = 27
 BATCH_BYTES = 1 << 20
@@ -128,8 +128,6 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
 
 def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, n, node) of every document, and the frequency rank of each table slot."""
-    block = 1 << BLOCK_BITS
-
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -145,35 +143,15 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                     np.add.at(table, (s >> np.uint64(64 - TABLE_BITS)).astype(np.int64), np.uint32(1))
             nothing = pa.nulls(len(n), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(names, pa.int64()), nothing, nothing, pa.nulls(len(n), pa.binary())], names=names_out)
-        for k in range(0, len(table), block):
-            if (held := table[k : k + block]).any():
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([k // block], pa.int32()), pa.array([part], pa.int32()), pa.array([zlib.compress(held.astype("<u4").tobytes(), 1)])], names=names_out)
+        for k, part, counts in tables.blocks(table, part):
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([part], pa.int32()), pa.array([counts])], names=names_out)
 
     names_out = ["doc_id", "n", "node", "block", "part", "counts"]
 
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums of the blocks that come one after the other."""
-        now, total = None, np.zeros(block, np.uint64)
-        out = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([0], pa.int32()), pa.array([zlib.compress(np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes(), 1)])], names=["block", "part", "counts"])
-        for batch in batches:
-            for k, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                if k != now and now is not None:
-                    yield out()
-                    total[:] = 0
-                now = k
-                total += np.frombuffer(zlib.decompress(counts), "<u4")
-        if now is not None:
-            yield out()
-
     small_batches(docs.sparkSession)
     rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(look, "doc_id long, n int, node long, block int, part int, counts binary"), "described")
-    sums = rows.where("block IS NOT NULL").select("block", "part", "counts")
-    for key in (F.col("part") % 16, F.lit(0)):  # first 16 sums of each block, then one
-        sums = sums.withColumn("part", key).repartition("block", "part").sortWithinPartitions("block", "part").mapInArrow(add_up, "block int, part int, counts binary")
-    ranks = np.zeros(1 << TABLE_BITS, np.uint8)
-    for r in sums.collect():  # a table of fixed size
-        n = np.frombuffer(zlib.decompress(bytes(r["counts"])), "<u4")
-        ranks[r["block"] * block : (r["block"] + 1) * block] = np.minimum(4 * np.log2(1 + n.astype(float)), 255)
+    counts = tables.summed(rows.where("block IS NOT NULL"), 1 << TABLE_BITS)
+    ranks = np.minimum(4 * np.log2(1 + counts.astype(float)), 255).astype(np.uint8)
     return rows.where("block IS NULL").select("doc_id", "n", "node"), ranks
 
 

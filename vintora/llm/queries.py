@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import bpe, decontaminate, jaccard, licenses, secrets, tokenfile, toxicity
+from vintora.llm import bpe, decontaminate, jaccard, licenses, lm_score, neighbours, secrets, tokenfile, toxicity
 from vintora.llm._io import table
 
 
@@ -39,6 +39,11 @@ def op4_token_shards(spark: SparkSession, sf_dir: str, path: str | None = None)
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), path or vocabulary("word_bpe_49k.json"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = secrets.train(secrets.default_samples(spark))
     found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
@@ -50,6 +55,12 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.template_positions(spark))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_score.score(docs, lm_score.train(docs, good))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.count_documents(docs, path or vocabulary("byte_bpe_50k.json")).drop("text")
@@ -61,5 +72,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe_round_trip, op3_decontaminate, op4_token_shards, op6_secrets, op7_licenses, op9_token_counts, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe_round_trip, op3_decontaminate, op4_token_shards, op5_nearest, op6_secrets, op7_licenses, op8_lm_score, op9_token_counts, op10_toxicity)}
 ORACLES: dict[str, str] = {}
