@@ -23,17 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Vectors indexed together.
+#: Vectors indexed together; places on a line fit 16 bits.
 BLOCK = 16_384
 #: Bytes of query vectors broadcast at a time.
 QUERY_BYTES = 16 << 20
 LINES = 64
 #: Share of the lines on which a vector must fall into the window.
-COLLISIONS = 0.58
+COLLISIONS = 0.75
 #: Half width of the first window in standard deviations of the projections, and its growth.
-FIRST, GROWTH = 0.8, 1.15
+FIRST, GROWTH = 1.15, 1.15
 #: A block's windows widen until this share of its vectors collided, and at least as many as asked for.
-VERIFY = 0.3
+VERIFY = 0.1
 
 
 def lines(dimension: int, count: int = LINES) -> np.ndarray:
@@ -51,8 +51,12 @@ class Block:
         rest = np.sqrt(np.maximum(most * most - (vectors * vectors).sum(1), 0))
         self.lines = lines(vectors.shape[1] + 1)
         places = np.concatenate([vectors, rest[:, None]], 1) @ self.lines.T
-        self.order = np.ascontiguousarray(np.argsort(places, 0, kind="stable").T.astype(np.int32))
-        self.sorted = np.take_along_axis(np.ascontiguousarray(places.T), self.order.astype(np.int64), 1)
+        places = np.ascontiguousarray(places.T)
+        order = np.argsort(places, 1, kind="stable")
+        self.sorted = np.take_along_axis(places, order, 1)
+        #: place of each vector in the sorted order of each line
+        self.place = np.empty(places.shape, np.uint16)
+        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=np.uint16)[None, :], 1)
         self.unit = max(float(places.std()), 1e-12)
 
     def search(self, ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -67,24 +71,17 @@ class Block:
         window: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
         def edges(level: int) -> tuple[np.ndarray, np.ndarray]:
+            """Where each query's window begins on each line, and how many vectors it holds."""
             if level not in window:
-                w = levels[level]
-                window[level] = tuple(np.stack([np.searchsorted(s, at[:, j] + d, side) for j, s in enumerate(self.sorted)], 1) for d, side in ((-w, "left"), (w, "right")))
+                low, high = (np.stack([np.searchsorted(s, at[:, j] + d, side) for j, s in enumerate(self.sorted)], 1) for d, side in ((-levels[level], "left"), (levels[level], "right")))
+                window[level] = low.astype(np.uint16), np.minimum(high - low, 65_535).astype(np.uint16)
             return window[level]
 
         for q in range(len(queries)):
-            count = np.zeros(n, np.uint8 if len(self.lines) < 256 else np.int32)
-            low = high = None
             for level in range(len(levels)):
-                lo, hi = (x[q].tolist() for x in edges(level))
-                for j, order in enumerate(self.order):
-                    if low is None:
-                        count[order[lo[j] : hi[j]]] += 1
-                    else:
-                        count[order[lo[j] : low[j]]] += 1
-                        count[order[high[j] : hi[j]]] += 1
-                low, high = lo, hi
-                found = np.flatnonzero(count >= hits)
+                low, wide = edges(level)
+                inside = (self.place - low[q][:, None]) < wide[q][:, None]  # below the window the difference wraps around
+                found = np.flatnonzero(inside.sum(0, dtype=np.uint8 if len(inside) < 256 else np.int32) >= hits)
                 if len(found) >= need:
                     break
             found = found[self.ids[found] != ids[q]]
@@ -125,11 +122,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vector: str = "e
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting: dict[int, list] = {}
 
-            def found(d: int) -> pa.RecordBatch:
-                ids, data = (np.concatenate(x) for x in zip(*waiting.pop(d)))
-                asked_ids, asked_vectors = held.value[d]
-                got = [(q, v, s, np.arange(len(v))) for q, v, s in Block(ids, data, most[d]).search(asked_ids, asked_vectors, k)]
-                return pa.RecordBatch.from_arrays([pa.array(np.repeat([g[0] for g in got], [len(g[1]) for g in got]).astype(np.int64)), pa.array(np.concatenate([g[1] for g in got])), pa.array(np.concatenate([g[2] for g in got]))], names=["query_id", "vec_id", "score"])
+            def found(d: int) -> Iterator[pa.RecordBatch]:
+                all_ids, all_data = (np.concatenate(x) for x in zip(*waiting.pop(d)))
+                for a in range(0, len(all_ids), BLOCK):
+                    got = [*Block(all_ids[a : a + BLOCK], all_data[a : a + BLOCK], most[d]).search(*held.value[d], k)]
+                    asked = np.repeat(np.array([g[0] for g in got], np.int64), [len(g[1]) for g in got])
+                    yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(np.concatenate([g[1] for g in got])), pa.array(np.concatenate([g[2] for g in got]))], names=["query_id", "vec_id", "score"])
 
             for batch in batches:
                 dims = batch.column("dimension").to_numpy()
@@ -138,9 +136,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vector: str = "e
                         some = batch.filter(pa.array(dims == d))
                         waiting.setdefault(d, []).append((some.column("vec_id").to_numpy(), some.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)))
                         if sum(len(x[0]) for x in waiting[d]) >= BLOCK:
-                            yield found(d)
+                            yield from found(d)
             for d in [*waiting]:
-                yield found(d)
+                yield from found(d)
 
         return rows.select("vec_id", "vector", "dimension").mapInArrow(look, "query_id long, vec_id long, score double")
 
