@@ -37,7 +37,7 @@ LEAST = 24
 #: Rounds end once one of them shortens the sequence by less than this share.
 GAIN = 0.004
 #: Words remembered by a worker before its memory is cleared.
-MEMO = 1_000_000
+MEMO = 400_000
 BATCH_BYTES = 1 << 22
 
 
@@ -288,6 +288,7 @@ def write_shards(docs: DataFrame, path: str, vocab: str, end_id: int = 1, shard_
         if ids:
             yield closed()
 
+    _io.small_batches(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     ordered.mapInArrow(pack, SHARDS).write.parquet(path)
 
