@@ -23,7 +23,7 @@ VIEWS = {
     # the change log: one row for each published value of a key
     "obs": f"""
         SELECT event_type AS program, CAST(user_id AS STRING) AS unit_key, 'value' AS measure_code,
-               CAST(date_trunc('week', ts) AS DATE) AS ref_date, 'W' || lpad(CAST(week(ts) AS STRING), 2, '0') AS period_code,
+               CAST(date_trunc('week', ts) AS DATE) AS ref_date, 'W' || lpad(CAST(weekofyear(ts) AS STRING), 2, '0') AS period_code,
                CASE WHEN user_id % 17 = 0 THEN 'annual_average' ELSE 'period' END AS period_kind,
                event_id AS sequence, event_type || '-' || CAST(CAST(ts AS DATE) AS STRING) AS release_event_id, value,
                CASE WHEN event_id % 11 = 0 THEN 'deleted' ELSE 'revised' END AS change_kind,
