@@ -6,9 +6,11 @@ seldom hashed 5-grams first and differ in how they order equally frequent ones.
 joined by token; a candidate pair must also share prefix tokens under every other order before its overlap is
 counted in full.
 
-Groups of copies never give all their pairs: equal sets are one node from the start, nodes that share prefix
-tokens are first compared with one leader, then with their neighbours, and only nodes still in different
-components are paired. So components are exact, though not every link inside one is looked at.
+Groups of copies never give all their pairs. Equal sets are one node from the start. Nodes that share prefix
+tokens are first compared with one leader; what still lies in different components is then paired through the
+seldom tokens (at most SELDOM nodes hold one, so pairs stay in proportion), and through the frequent ones block by
+block: two blocks of nodes meet in a task, which tells only which components they connect. So components are
+exact, though not every link inside one is looked at.
 
 Sets and tokens are known by 64-bit hashes. Words are what stands between spaces and the ASCII controls 9-13;
 A-Z count as a-z. Odd input: a text of 1 to 4 words is one shingle; null, empty or blank texts have none and
@@ -24,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from vintora.llm import tables
 from vintora.llm._io import small_batches, stored
@@ -33,6 +34,10 @@ from vintora.llm.components import components
 
 WORDS = 5
 ORDERS = 3
+#: Tokens that more nodes hold are joined block by block, not pair by pair.
+SELDOM = 12
+#: Nodes in a block.
+BLOCK_NODES = 512
 #: Bits of the table of hashed 5-gram frequencies that gives the orders.
 TABLE_BITS = 22
 #: Most bits of the filter of nodes whose sets are wanted.
@@ -115,11 +120,12 @@ def prefix_size(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1
 
 
-def in_order(tokens: np.ndarray, ranks: np.ndarray, order: int) -> np.ndarray:
-    """The first prefix_size tokens of a sorted set under an order."""
+def in_order(tokens: np.ndarray, ranks: np.ndarray, order: int, with_last: bool = False):
+    """The first prefix_size tokens of a sorted set under an order; with_last adds the place of the last in the order."""
     own = _mix(tokens + np.uint64(order) * np.uint64(0x632BE59BD9B4E019))
     key = (ranks[(tokens >> np.uint64(64 - TABLE_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (own >> np.uint64(8))
-    return tokens[np.argsort(key, kind="stable")[: prefix_size(len(tokens))]]
+    first = np.argsort(key, kind="stable")[: prefix_size(len(tokens))]
+    return (tokens[first], int(key[first[-1]] >> np.uint64(1))) if with_last else tokens[first]
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:
@@ -156,55 +162,57 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 
 def prefix_rows(docs: DataFrame, ranks) -> DataFrame:
-    """(token, node, n): the prefix of each set under the first order. A task gives each set once."""
+    """(token, node, n, last): the prefix of each set under the first order, and where it ends. A task gives each set once."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            tokens, names, sizes = [np.zeros(0, np.uint64)], [], []
+            tokens, held = [np.zeros(0, np.uint64)], []
             for s in shingles(_texts(batch)):
                 if len(s) and (name := _signature(s)) not in seen:
                     seen.add(name)
-                    tokens.append(in_order(s, ranks.value, 0))
-                    names.append(name)
-                    sizes.append(len(s))
+                    prefix, last = in_order(s, ranks.value, 0, with_last=True)
+                    tokens.append(prefix)
+                    held.append((name, len(s), last))
             each = [len(t) for t in tokens[1:]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(names, np.int64), each)), pa.array(np.repeat(np.array(sizes, np.int32), each))], names=["token", "node", "n"])
+            names, sizes, ends = (np.repeat(np.array(x, np.int64), each) for x in (zip(*held) if held else ((), (), ())))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(names), pa.array(sizes.astype(np.int32)), pa.array(ends)], names=["token", "node", "n", "last"])
 
-    return docs.select("text").mapInArrow(look, "token long, node long, n int")
+    return docs.select("text").mapInArrow(look, "token long, node long, n int, last long")
 
 
 def shared(rows: DataFrame) -> DataFrame:
-    """(token, node, n, leader): the rows whose token two nodes hold; leader is the token's least node.
+    """rows with `leader`, where two nodes hold the token; the leader is the token's least node.
 
     Rows come sorted by token and node; a task keeps one row and one leader at a time.
     """
+    columns = ["token", "node", "n", "last"]
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last row: it is kept back until the next one is seen
         before = leader = None
         for batch in batches:
-            t, v, n = (batch.column(k).to_numpy() for k in ("token", "node", "n"))
+            x = [batch.column(k).to_numpy() for k in columns]
             if held is not None:
-                t, v, n = (np.concatenate([[h], x]) for h, x in zip(held, (t, v, n)))
-            if not len(t):
+                x = [np.concatenate([[h], a]) for h, a in zip(held, x)]
+            if not len(x[0]):
                 continue
-            new = np.concatenate([[True], (t[1:] != t[:-1]) | (v[1:] != v[:-1])])
-            t, v, n = t[new], v[new], n[new]
-            held = t[-1], v[-1], n[-1]
+            new = np.concatenate([[True], (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1])])
+            x = [a[new] for a in x]
+            t, v = x[:2]
+            held = [a[-1] for a in x]
             first = np.concatenate([[before is None or t[0] != before], t[1:] != t[:-1]])
             at = np.maximum.accumulate(np.where(first, np.arange(len(t)), -1))
             lead = np.where(at >= 0, v[np.maximum(at, 0)], leader if leader is not None else 0)
-            many = ~first | np.concatenate([~first[1:], [False]])
-            keep = many[:-1]
+            keep = (~first | np.concatenate([~first[1:], [False]]))[:-1]
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep]) for x in (t, v, n, lead)], names=["token", "node", "n", "leader"])
+                yield pa.RecordBatch.from_arrays([pa.array(a[:-1][keep]) for a in (*x, lead)], names=[*columns, "leader"])
             if len(t) > 1:
                 before, leader = t[-2], lead[-2]
         if held is not None and before is not None and held[0] == before:
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (*held, leader)], names=["token", "node", "n", "leader"])
+            yield pa.RecordBatch.from_arrays([pa.array([a]) for a in (*held, leader)], names=[*columns, "leader"])
 
-    return rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(look, "token long, node long, n int, leader long")
+    return rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(look, "token long, node long, n int, last long, leader long")
 
 
 def _filter_bits(nodes: DataFrame) -> np.ndarray:
@@ -257,36 +265,151 @@ def verified(pairs: DataFrame, sets: DataFrame, ranks, orders: int = ORDERS) ->
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(look, "u long, v long, similar boolean")
 
 
+def _may_link(common, n, m, last, other_last):
+    """Whether two sets of n and m tokens that share `common` prefix tokens can have an overlap of 4 (n + m) / 9.
+
+    Common tokens beyond these lie behind the prefix of the set whose prefix ends first. Works on columns and arrays.
+    """
+    rest = lambda k: (4 * k + 4 - (4 * k + 4) % 5) / 5 - 1  # noqa: E731  k - prefix_size(k)
+    if isinstance(common, np.ndarray):
+        behind = np.where(last <= other_last, rest(n), rest(m))
+    else:
+        behind = F.when(last <= other_last, rest(n)).otherwise(rest(m))
+    return 9 * (common + behind) >= 4 * (n + m)
+
+
+def _postings(sets: list[np.ndarray], tokens: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each of `sets` shares with each of `tokens`."""
+    flat = np.concatenate([np.zeros(0, np.uint64), *tokens])
+    order = np.argsort(flat, kind="stable")
+    owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])[order]
+    flat = flat[order]
+    out = np.zeros((len(sets), len(tokens)), np.int32)
+    for k, s in enumerate(sets):
+        lo, hi = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
+        n = hi - lo
+        if n.any():
+            ends = np.cumsum(n)
+            out[k] = np.bincount(owner[np.repeat(lo - (ends - n), n) + np.arange(ends[-1])], minlength=len(tokens))
+    return out
+
+
+def _meetings(nodes: DataFrame) -> DataFrame:
+    """nodes (cluster, node, n, ...) once for each pair of blocks in which they meet: meeting, and side 0 or 1.
+
+    Blocks hold nodes of one cluster and size class; classes differ by a factor of 1.25, so links lie within a
+    class or between neighbours. A class is split by hash into as many blocks as its size asks for.
+    """
+    nodes = nodes.withColumn("size_class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int"))
+    parts = nodes.groupBy("cluster", "size_class").agg(F.ceil(F.count("*") / F.lit(BLOCK_NODES)).cast("int").alias("blocks"))
+    above = parts.select("cluster", (F.col("size_class") - 1).alias("size_class"), F.col("blocks").alias("above"))
+    below = parts.select("cluster", (F.col("size_class") + 1).alias("size_class"), F.col("blocks").alias("below"))
+    with_parts = nodes.join(parts, ["cluster", "size_class"]).join(above, ["cluster", "size_class"], "left").join(below, ["cluster", "size_class"], "left")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    name = lambda c, i, d, j: F.struct(F.col("cluster"), c.alias("c"), i.alias("i"), d.alias("d"), j.alias("j"))
+    c, none = F.col("size_class"), F.array().cast("array<int>")
+    upto = lambda n: F.when(F.coalesce(n, F.lit(0)) > 0, F.sequence(F.lit(0), n - 1)).otherwise(none)
+    same = F.transform(upto(F.col("blocks")), lambda j: F.struct(name(c, F.least(F.col("own"), j), c, F.greatest(F.col("own"), j)).alias("meeting"), F.when(F.col("own") <= j, 0).otherwise(1).alias("side")))
+    up = F.transform(upto(F.col("above")), lambda j: F.struct(name(c, F.col("own"), c + 1, j).alias("meeting"), F.lit(0).alias("side")))
+    down = F.transform(upto(F.col("below")), lambda j: F.struct(name(c - 1, j, c, F.col("own")).alias("meeting"), F.lit(1).alias("side")))
+    held = with_parts.withColumn("own", own).select("node", "n", "last", "component", "tokens", F.inline(F.concat(same, up, down)))
+    return held.withColumn("meeting", F.xxhash64("meeting.*"))
+
+
+def _sides(group: pa.Table):
+    """Records of the two sides of a meeting; a block that meets itself stands on both."""
+    rows = group.to_pylist()
+    left, right = [r for r in rows if r["side"] == 0], [r for r in rows if r["side"] == 1]
+    return left, right or left, not right
+
+
+def _matrix(left, right, alone: bool, tokens: str):
+    """(common, may-link mask) of two sides by their token lists; no node meets its own component."""
+    one = lambda rows, k: np.array([r[k] for r in rows])
+    held = lambda r: np.frombuffer(r[tokens], "<u8") if isinstance(r[tokens], bytes) else np.array(r[tokens], np.int64).view(np.uint64)
+    common = _postings([*map(held, left)], [*map(held, right)])
+    n, m = one(left, "n")[:, None].astype(float), one(right, "n")[None, :].astype(float)
+    apart = one(left, "component")[:, None] != one(right, "component")[None, :]
+    fits = 5 * np.minimum(n, m) >= 4 * np.maximum(n, m)
+    return common, apart & fits, n, m
+
+
+def _survivors(group: pa.Table) -> pa.Table:
+    """Nodes of a meeting that the first order's prefixes leave a partner in it."""
+    left, right, alone = _sides(group)
+    common, ok, n, m = _matrix(left, right, alone, "tokens")
+    lasts = np.array([r["last"] for r in left])[:, None], np.array([r["last"] for r in right])[None, :]
+    ok &= (common > 0) & _may_link(common.astype(float), n, m, *lasts)
+    kept = [r for r, k in zip(left, ok.any(1)) if k] + ([] if alone else [r for r, k in zip(right, ok.any(0)) if k])
+    if alone:
+        kept = [r for r, k in zip(left, ok.any(1) | ok.any(0)) if k]
+    return pa.table({"meeting": pa.array([r["meeting"] for r in kept], pa.int64()), "side": pa.array([r["side"] for r in kept], pa.int32()), "node": pa.array([r["node"] for r in kept], pa.int64()), "n": pa.array([r["n"] for r in kept], pa.int32()), "component": pa.array([r["component"] for r in kept], pa.int64())})
+
+
+def _block_links(group: pa.Table, ranks: np.ndarray) -> pa.Table:
+    """Links of a meeting, one for each two components that it joins."""
+    left, right, alone = _sides(group)
+    out: list[tuple[int, int]] = []
+    both, ok, n, m = _matrix(left, right, alone, "a")
+    for k in range(1, ORDERS):
+        prefixes = [[in_order(np.frombuffer(r["a"], "<u8"), ranks, k) for r in side] for side in (left, right)]
+        ok &= _postings(*prefixes) > 0
+    ok &= 100 * both >= 80 * (n + m - both)
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.setdefault(c, c) != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    for i, j in zip(*np.nonzero(ok)):
+        a, b = root(left[i]["component"]), root(right[j]["component"])
+        if a != b:
+            parent[a] = b
+            out.append((left[i]["node"], right[j]["node"]))
+    return pa.table({"u": pa.array([x for x, _ in out], pa.int64()), "v": pa.array([x for _, x in out], pa.int64())})
+
+
 def links(docs: DataFrame, ranks) -> DataFrame:
     """(node, component) of the nodes linked with another."""
     rows = stored(shared(prefix_rows(docs, ranks)), "shared")
-    sets = stored(sets_of(docs, rows.select("node").distinct()), "sets")
-    fits = "5 * least(n, m) >= 4 * greatest(n, m)"
+    facts = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("last").alias("last"))
+    one = lambda name, *more: facts.select(F.col("node").alias(name), *(F.col(x).alias(f"{name}_{x}") for x in ("n", "last", *more)))
+    fits = "5 * least(u_n, v_n) >= 4 * greatest(u_n, v_n)"
+    may = lambda common: _may_link(common, F.col("u_n"), F.col("v_n"), F.col("u_last"), F.col("v_last"))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+        return stored(verified(pairs.select("u", "v"), sets_of(docs, wanted), ranks).where("similar").select("u", "v"), "links")
 
     # each node with the leader it shares most prefix tokens with
     count = rows.where("leader <> node").groupBy("node", "leader").count()
-    best = count.groupBy("node").agg(F.max(F.struct("count", (-F.col("leader")).alias("l"))).alias("b")).select(F.col("node").alias("u"), (-F.col("b.l")).alias("v"))
-    tried = stored(verified(best, sets, ranks), "tried")
-    found = components(tried.where("similar").select("u", "v"))
-
-    # neighbours in a token's list that are still apart, then all that are still apart
-    for everyone in (False, True):
-        part = rows.select("token", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        apart = part.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("token")
-        part = part.join(apart, "token", "left_semi")
-        if everyone:
-            other = part.select("token", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("c"))
-            pairs = part.join(other, "token").where(F.col("component") < F.col("c")).where(fits)
-        else:
-            order = Window.partitionBy("token").orderBy("n", "node")
-            pairs = part.select("token", "node", "n", "component", F.lag("node").over(order).alias("other"), F.lag("n").over(order).alias("m"), F.lag("component").over(order).alias("c")).where("component <> c").where(fits)
-        pairs = pairs.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
-        done = tried.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        new = stored(verified(pairs.join(done, ["u", "v"], "left_anti"), sets, ranks), "tried")
-        tried = tried.unionByName(new)
-        if new.where("similar").limit(1).count():
-            found = components(tried.where("similar").select("u", "v"))
-    return found
+    best = count.groupBy("node").agg(F.max(F.struct("count", (-F.col("leader")).alias("l"))).alias("b")).select(F.col("node").alias("u"), (-F.col("b.l")).alias("v"), F.col("b.count").alias("common"))
+    first = checked(stored(best.join(one("u"), "u").join(one("v"), "v").where(fits).where(may(F.col("common"))), "pairs"))
+    found = components(first)
+
+    # tokens that still hold nodes of several components
+    held = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = held.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("holders")).where("c < d").select("token", "holders")
+    held = stored(held.select("token", "node", "n", "last", "leader", "component").join(mixed, "token"), "mixed")
+    often = held.where(F.col("holders") > SELDOM)
+
+    # through seldom tokens, pair by pair; tokens they might share among the frequent ones count as shared
+    more = often.groupBy("node").agg(F.count("*").alias("often"))
+    seldom = held.where(F.col("holders") <= SELDOM).join(more, "node", "left").withColumn("often", F.coalesce("often", F.lit(0)))
+    side = lambda name: seldom.select("token", F.col("node").alias(name), *(F.col(x).alias(f"{name}_{x}") for x in ("n", "last", "component", "often")))
+    pairs = side("u").join(side("v"), "token").where("u < v AND u_component <> v_component").where(fits)
+    pairs = pairs.groupBy("u", "v", "u_n", "v_n", "u_last", "v_last", "u_often", "v_often").agg(F.count("*").alias("common"))
+    second = checked(stored(pairs.where(may(F.col("common") + F.least("u_often", "v_often"))), "pairs"))
+
+    # through frequent tokens, block by block
+    clusters = components(often.select(F.col("node").alias("u"), F.col("leader").alias("v"))).withColumnRenamed("component", "cluster")
+    nodes = often.groupBy("node", "n", "last", "component").agg(F.collect_list("token").alias("tokens")).join(clusters, "node")
+    meeting = _meetings(nodes)
+    left_over = stored(meeting.groupBy("meeting").applyInArrow(_survivors, "meeting long, side int, node long, n int, component long"), "meetings")
+    sets = sets_of(docs, left_over.select("node").distinct()).withColumnRenamed("tokens", "a")
+    third = stored(left_over.join(sets, "node").groupBy("meeting").applyInArrow(lambda g: _block_links(g, ranks.value), "u long, v long"), "links")
+    return components(first.unionByName(second).unionByName(third))
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
