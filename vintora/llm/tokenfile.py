@@ -33,11 +33,11 @@ MAGIC = 0x52504331
 #: Tokens after which a shard is closed.
 SHARD_TOKENS = 1 << 20
 #: A pair is replaced while it occurs at least this often in its shard.
-LEAST = 24
+LEAST = 40
 #: Rounds end once one of them shortens the sequence by less than this share.
 GAIN = 0.004
 #: Words remembered by a worker before its memory is cleared.
-MEMO = 400_000
+MEMO = 800_000
 BATCH_BYTES = 1 << 22
 
 
@@ -159,7 +159,7 @@ class WordEncoder:
     """Ids of whole texts by a tokenizers file with word-end BPE, whose splitting never joins text across spaces.
 
     Texts are cut at the space character and at line feeds. Each distinct piece is split into words once, and
-    each distinct word encoded once; pieces with characters beyond the plain ones go to the library whole.
+    encoded once; pieces with characters beyond the plain ones go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -182,7 +182,6 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[str, list[int]] = {}
         self.index: dict[str, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.first = np.zeros(0, np.int64)
@@ -198,19 +197,34 @@ class WordEncoder:
         return text.replace("\n", " ")
 
     def learn(self, pieces: list[str]) -> None:
-        split = [[p] if p.isalpha() and p.isascii() and p.islower() else _SPLIT.findall(p.lower()) if not _PLAIN.search(p) and not self.special.search(p) else None for p in pieces]
-        words = self.words
-        new = list({w for s in split if s for w in s if w not in words})
-        shown = [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.to_chars) for w in new]
-        words.update(zip(new, [e.ids for e in self.bare.encode_batch_fast(shown, add_special_tokens=False)]))
-        other = iter(self.model.encode_batch_fast([p for p, s in zip(pieces, split) if s is None], add_special_tokens=False))
-        found = [next(other).ids if s is None else words[s[0]] if len(s) == 1 else [x for w in s for x in words[w]] for s in split]
-        length = np.array([len(i) for i in found], np.int64)
+        hard = [p for p in pieces if not p.isascii() and _PLAIN.search(p) or "<" in p and self.special.search(p)]
+        if hard:
+            skip = set(hard)
+            pieces = [p for p in pieces if p not in skip]
+        # all words of the plain pieces in a row; most pieces are one word
+        words: list[str] = []
+        counts: list[int] = []
+        for p in pieces:
+            if p.isalpha() and p.islower():
+                words.append(p)
+                counts.append(1)
+            else:
+                found = _SPLIT.findall(p.lower())
+                words += found
+                counts.append(len(found))
+        shown = [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.to_chars) for w in words]
+        ids = [e.ids for e in self.bare.encode_batch_fast(shown, add_special_tokens=False)]
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
+        length = np.diff(ends[np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])])
+        if hard:
+            more = [e.ids for e in self.model.encode_batch_fast(hard, add_special_tokens=False)]
+            ids += more
+            length = np.concatenate([length, np.array([len(i) for i in more], np.int64)])
         n = len(self.index)
-        self.index.update((p, n + k) for k, p in enumerate(pieces))
+        self.index.update(zip(chain(pieces, hard), range(n, n + len(length))))
         self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(length.sum()))])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts one after the other, and the number for each text."""
