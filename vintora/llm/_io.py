@@ -42,3 +42,18 @@ def small_batches(spark: SparkSession, records: int = 1000, most_bytes: int = 4
     """Bound what a Python worker gets at a time: texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
+
+
+def trim() -> None:
+    """Give a Python worker's unused memory back: workers stay, for other tasks, after theirs end."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintora.llm._io import small_batches
+from vintora.llm._io import small_batches, trim
 
 #: Fragments and pretokens remembered by a worker before its memory is cleared.
 MEMO = 200_000
@@ -198,6 +198,8 @@ def encode(text: Column, path: str) -> Column:
                 ends.append(offsets[1:] + n)
                 n += len(found)
             yield pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+        bpe.forget()
+        trim()
 
     return ids_of(text)
 

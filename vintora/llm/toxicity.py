@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintora.llm._io import small_batches
+from vintora.llm._io import small_batches, trim
 from vintora.llm.bpe import by_bytes
 
 SIZES = (3, 4, 5)
@@ -81,6 +81,7 @@ def _class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 n[y, size] += 1
         at = np.flatnonzero(n.sum(0))
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[0, at]), pa.array(n[1, at])], names=["bin", "clean", "toxic"])
+        trim()
 
     got = rows.mapInArrow(count, "bin int, clean long, toxic long").groupBy("bin").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()  # at most 2**BITS + 1 rows
     n = np.zeros((2, size + 1))
@@ -152,5 +153,6 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float] | None, text: str = "
         for batch in batches:
             z = np.array([float(weights[ids].sum(dtype=np.float64)) for ids in _ngrams(["" if t is None else t for t in batch.to_pylist()])])
             yield pa.array(1 / (1 + np.exp(-np.clip(z + bias, -60, 60))))
+        trim()
 
     return docs.withColumn(to, scored(F.col(text)))
