@@ -24,8 +24,8 @@ HEX = (r"[0-9a-f]+", 0, 16)
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Runs of the alphabet from this length on are scored.
 LEAST = 20
-#: Mean log-likelihood ratio of a character, from which a run counts as random.
-THRESHOLD = 0.35
+#: Mean log-likelihood ratio of its bigrams from which a run counts as random, and how many different ones it needs.
+THRESHOLD, LEAST_BIGRAMS = 0.35, 12
 #: Rows of each kind in the sample of default_samples.
 SAMPLES = 4000
 
@@ -66,19 +66,21 @@ def default_samples(spark: SparkSession, n: int = SAMPLES) -> DataFrame:
     return random.unionByName(ordinary)
 
 
-def _symbol(s: Column, at: Column) -> Column:
-    """Place of a character in the alphabet, from 0; characters outside share one place after it."""
-    found = F.instr(F.lit(ALPHABET), F.substring(s, at, F.lit(1)))
-    return F.when(found > 0, found - 1).otherwise(len(ALPHABET))
+def _bigrams(s: Column) -> Column:
+    """Distinct bigrams of a string as numbers; characters outside the alphabet share one symbol. Linear in length."""
+    k = len(ALPHABET) + 1
+    symbol = lambda c: F.when(F.instr(F.lit(ALPHABET), c) > 0, F.instr(F.lit(ALPHABET), c) - 1).otherwise(k - 1)
+    codes = F.transform(F.split(s, ""), symbol)
+    n = F.greatest(F.size(codes) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(codes, 1, n), F.slice(codes, 2, n), lambda a, b: a * k + b))
 
 
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratio of each bigram of the alphabet (row by row), with add-one smoothing."""
     k = len(ALPHABET) + 1
     texts = samples.where("text IS NOT NULL AND label IN (0, 1) AND length(text) > 1")
-    pairs = texts.select("label", "text", F.explode(F.sequence(F.lit(1), F.length("text") - 1)).alias("at"))
-    pairs = pairs.select("label", _symbol(F.col("text"), F.col("at")).alias("a"), _symbol(F.col("text"), F.col("at") + 1).alias("b"))
-    n = {(r[0], r[1], r[2]): r[3] for r in pairs.groupBy("label", "a", "b").count().collect()}  # 2 k^2 rows at most
+    pairs = texts.select("label", F.explode(_bigrams(F.col("text"))).alias("pair"))
+    n = {(r[0], r[1] // k, r[1] % k): r[2] for r in pairs.groupBy("label", "pair").count().collect()}  # 2 k^2 rows at most
     rows = {(y, a): sum(n.get((y, a, b), 0) for b in range(k)) for y in (0, 1) for a in range(k)}
     if not all(any(rows[y, a] for a in range(k)) for y in (0, 1)):
         return [0.0] * (k * k)
@@ -105,12 +107,15 @@ def _spans(text: Column, kind: int, pattern: str, keep, counted: int = 0) -> Col
     return F.when(F.size(found) > 0, walk).otherwise(none)
 
 
-def mean_ratio(s: Column, model: list[float]) -> Column:
-    """Mean log-likelihood ratio of a string's bigrams."""
-    k = len(ALPHABET) + 1
+def looks_random(s: Column, model: list[float]) -> Column:
+    """Whether the mean log-likelihood ratio of a string's bigrams, each taken once, reaches THRESHOLD.
+
+    Repetition says nothing about randomness: a ruled line has few different bigrams, and too few don't count.
+    """
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
-    total = F.aggregate(F.sequence(F.lit(1), F.length(s) - 1), F.lit(0.0), lambda acc, i: acc + F.element_at(table, (_symbol(s, i) * k + _symbol(s, i + 1) + 1).cast("int")))
-    return total / (F.length(s) - 1)
+    pairs = _bigrams(s)
+    total = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + F.element_at(table, (p + 1).cast("int")))
+    return (F.size(pairs) >= LEAST_BIGRAMS) & (total >= THRESHOLD * F.size(pairs))
 
 
 def find(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
@@ -123,7 +128,7 @@ def find(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
     assign = _spans(t, 0, ASSIGN[0], longer(ASSIGN[2]), ASSIGN[1])
     access = _spans(t, 1, f"{ACCESS[0][:-1]}{{{ACCESS[2] - 4},}}", longer(ACCESS[2]))
     hexes = _spans(t, 2, f"{HEX[0][:-1]}{{{HEX[2]},}}", longer(HEX[2]))  # a run of hex digits is one match, so the bound may stand in the pattern
-    runs = _spans(t, 3, f"[A-Za-z0-9+/_=-]{{{LEAST},}}", lambda v: mean_ratio(v, model) >= THRESHOLD)
+    runs = _spans(t, 3, f"[A-Za-z0-9+/_=-]{{{LEAST},}}", lambda v: looks_random(v, model))
     out = docs.withColumn("base_spans", F.array_sort(F.concat(assign, access, hexes))).withColumn("_runs", runs)
     own = F.filter("_runs", lambda r: ~F.exists("base_spans", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
     return out.withColumn("secret_spans", F.array_sort(F.concat("base_spans", own))).drop("_runs")
