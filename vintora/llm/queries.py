@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vintora.llm import bpe, decontaminate, jaccard, licenses, lm_score, neighbours, secrets, tokenfile, toxicity
 from vintora.llm._io import table
+from vintora.llm.oracles import ORACLES  # noqa: F401
 
 
 def vocabulary(name: str) -> str:
@@ -73,4 +74,3 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe_round_trip, op3_decontaminate, op4_token_shards, op5_nearest, op6_secrets, op7_licenses, op8_lm_score, op9_token_counts, op10_toxicity)}
-ORACLES: dict[str, str] = {}
