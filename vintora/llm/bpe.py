@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from vintora.llm._io import small_batches, trim
 
 #: Fragments and pretokens remembered by a worker before its memory is cleared.
-MEMO = 200_000
+MEMO = 150_000
 #: Bytes of text taken at a time.
 BATCH_BYTES = 1 << 20
 #: Texts longer than this are split for counting, where a cut is safe.
@@ -45,14 +45,14 @@ class ByteBpe:
     """Encoder and decoder for one byte-level BPE vocabulary file of the tokenizers library."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         from tokenizers.models import BPE
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
-        self.whole = Tokenizer.from_file(path)
+        self.splitter = pre_tokenizers.ByteLevel(add_prefix_space=spec["pre_tokenizer"]["add_prefix_space"])
         self.bare = Tokenizer(BPE(vocab=vocab, merges=merges))  # no splitting of its own: a fragment is one piece
         alphabet = byte_alphabet()
         self.to_chars = {b: c for b, c in enumerate(alphabet)}
@@ -76,6 +76,7 @@ class ByteBpe:
         self.forget()
 
     def forget(self) -> None:
+        self.last: tuple[pa.Array, pa.Array] | None = None
         self.fragments: dict[bytes, tuple[int, ...]] = {}
         self.index: dict[str, int] = {}
         self.flat = np.zeros(0, np.int32)
@@ -85,7 +86,7 @@ class ByteBpe:
     def pretokens(self, text: str) -> list[str]:
         if not _PLAIN.search(text):
             return _SPLIT.findall(text)
-        return [text[a:b] for _, (a, b) in self.whole.pre_tokenizer.pre_tokenize_str(text)]
+        return [text[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(text)]
 
     def pieces(self, text: str) -> list[str]:
         """Pretokens of a text, with special-token strings as pieces of their own."""
@@ -168,6 +169,7 @@ def opened(path: str) -> ByteBpe:
     """One encoder for each worker process and vocabulary."""
     if path not in _OPEN:
         _OPEN[path] = ByteBpe(path)
+        trim()
     return _OPEN[path]
 
 
@@ -186,20 +188,21 @@ def by_bytes(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 def encode(text: Column, path: str) -> Column:
     """array<int>: the token ids of a text column."""
 
+    # one batch in, one out: such functions chain, so a text is encoded and decoded by one worker
     @F.arrow_udf("array<int>")
-    def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def ids_of(batch: pa.Array) -> pa.Array:
         bpe = opened(path)
-        for batch in batches:
-            texts = ["" if t is None else t for t in batch.to_pylist()]
-            ids, ends, n = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
-            for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
-                found, offsets = bpe.encode(texts[a:b])
-                ids.append(found)
-                ends.append(offsets[1:] + n)
-                n += len(found)
-            yield pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
-        bpe.forget()
-        trim()
+        if bpe.last and bpe.last[0].equals(batch):  # ids and their decoding in one plan ask for a batch twice
+            return bpe.last[1]
+        texts = ["" if t is None else t for t in batch.to_pylist()]
+        ids, ends, n = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
+        for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
+            found, offsets = bpe.encode(texts[a:b])
+            ids.append(found)
+            ends.append(offsets[1:] + n)
+            n += len(found)
+        bpe.last = batch, pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+        return bpe.last[1]
 
     return ids_of(text)
 
@@ -208,16 +211,15 @@ def decode(ids: Column, path: str) -> Column:
     """string: the text of an array<int> column of token ids; null gives an empty text."""
 
     @F.arrow_udf("string")
-    def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def text_of(batch: pa.Array) -> pa.Array:
         bpe = opened(path)
-        for batch in batches:
-            flat = batch.fill_null([]).flatten().to_numpy(zero_copy_only=False)
-            sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-            out: list[str] = []
-            for a, b in by_bytes((sizes * 4).tolist(), BATCH_BYTES):
-                out += bpe.decode(flat[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
-            yield pa.array(out, pa.string())
+        flat = batch.fill_null([]).flatten().to_numpy(zero_copy_only=False)
+        sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        out: list[str] = []
+        for a, b in by_bytes((sizes * 4).tolist(), BATCH_BYTES):
+            out += bpe.decode(flat[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
+        return pa.array(out, pa.string())
 
     return text_of(ids)
 

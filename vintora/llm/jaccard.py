@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintora.llm import tables
-from vintora.llm._io import small_batches, stored
+from vintora.llm._io import small_batches, stored, trim
 from vintora.llm.bpe import by_bytes
 from vintora.llm.components import components
 
@@ -151,6 +151,8 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(names, pa.int64()), nothing, nothing, pa.nulls(len(n), pa.binary())], names=names_out)
         for k, part, counts in tables.blocks(table, part):
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([part], pa.int32()), pa.array([counts])], names=names_out)
+        del table
+        trim()
 
     names_out = ["doc_id", "n", "node", "block", "part", "counts"]
 
@@ -177,6 +179,7 @@ def prefix_rows(docs: DataFrame, ranks) -> DataFrame:
             each = [len(t) for t in tokens[1:]]
             names, sizes, ends = (np.repeat(np.array(x, np.int64), each) for x in (zip(*held) if held else ((), (), ())))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(names), pa.array(sizes.astype(np.int32)), pa.array(ends)], names=["token", "node", "n", "last"])
+        trim()
 
     return docs.select("text").mapInArrow(look, "token long, node long, n int, last long")
 
@@ -239,6 +242,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                     names.append(name)
                     sets.append(s.astype("<u8").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["node", "tokens"])
+        trim()
 
     return docs.select("text").mapInArrow(look, "node long, tokens binary").dropDuplicates(["node"])
 
