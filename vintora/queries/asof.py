@@ -8,11 +8,14 @@ from vintora.operators import asof
 from vintora.plans.registry import Tables, query
 from vintora.sources.views import CUT, T0
 
-AT, FIRST = F.lit(CUT).cast("timestamp_ntz"), F.lit(T0).cast("timestamp_ntz")
 COLUMNS = "program, unit_key, CAST(ref_date AS VARCHAR) AS ref_date, CAST(epoch_us(knowledge_time) AS BIGINT) AS known_us, sequence, value, provenance"
 KEYS = "program, unit_key, measure_code, ref_date, period_code"
 
 
+def instant(text: str):
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def micros(c: str):
     """Microseconds since 1970 of a timestamp without zone, whatever the session's zone."""
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})")
@@ -28,27 +31,27 @@ def state(where: str, at: str = CUT) -> str:
 
 @query(state("provenance IN ('observed', 'seed')"))
 def asof_strict(t: Tables):
-    return shown(asof.as_of(t("obs"), t("committed"), AT, first_instant=FIRST))
+    return shown(asof.as_of(t("obs"), t("committed"), instant(CUT), first_instant=instant(T0)))
 
 
 @query(state("TRUE"))
 def asof_nonstrict(t: Tables):
-    return shown(asof.as_of(t("obs"), t("committed"), AT, strict=False))
+    return shown(asof.as_of(t("obs"), t("committed"), instant(CUT), strict=False))
 
 
 @query(state("FALSE"))
 def asof_before_t0(t: Tables):
-    return shown(asof.as_of(t("obs"), t("committed"), F.lit("2024-01-04 23:59:59").cast("timestamp_ntz"), first_instant=FIRST))
+    return shown(asof.as_of(t("obs"), t("committed"), instant("2024-01-04 23:59:59"), first_instant=instant(T0)))
 
 
 @query(state("provenance IN ('observed', 'seed')", T0))
 def asof_at_t0(t: Tables):
-    return shown(asof.as_of(t("obs"), t("committed"), FIRST, first_instant=FIRST))
+    return shown(asof.as_of(t("obs"), t("committed"), instant(T0), first_instant=instant(T0)))
 
 
 @query(state("provenance IN ('observed', 'seed') AND year(ref_date) = 2024"))
 def asof_ref_years(t: Tables):
-    return shown(asof.as_of(t("obs"), t("committed"), AT, first_instant=FIRST, years=[2024]))
+    return shown(asof.as_of(t("obs"), t("committed"), instant(CUT), first_instant=instant(T0), years=[2024]))
 
 
 @query(f"SELECT {COLUMNS} FROM obs WHERE release_event_id IN (SELECT release_event_id FROM committed)")
@@ -120,7 +123,7 @@ def monotonic_window(t: Tables):
 
 @query("SELECT program, CAST(ref_date AS VARCHAR) AS ref_date, COALESCE(data_at <= @ts(1998-06-15 00:00:00), FALSE) AS published, COALESCE(news_date <= @ts(1998-06-15 00:00:00), FALSE) AS announced, CASE WHEN data_at IS NULL THEN 'uncertain' ELSE 'exact' END AS confidence FROM knowability")
 def published_asof(t: Tables):
-    found = asof.published(t("knowability"), F.lit("1998-06-15 00:00:00").cast("timestamp_ntz"))
+    found = asof.published(t("knowability"), instant("1998-06-15 00:00:00"))
     return found.select("program", F.col("ref_date").cast("string").alias("ref_date"), "published", "announced", "confidence")
 
 
