@@ -30,7 +30,17 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_stored_at", None):
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def text_of(column: str = "text"):

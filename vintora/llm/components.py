@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintora.llm._io import stored
+from vintora.llm._io import discard, stored
 
 
 def _towards_least(links: DataFrame, larger: bool) -> DataFrame:
@@ -30,7 +30,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     mark = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
     seen = mark(now)
     for _ in range(rounds):
-        now = stored(_towards_least(_towards_least(now, True), False), "links")
+        before, now = now, stored(_towards_least(_towards_least(now, True), False), "links")
+        discard(before)
         if (found := mark(now)) == seen:
             break
         seen = found

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintora.llm import tables
-from vintora.llm._io import small_batches, stored, trim
+from vintora.llm._io import discard, small_batches, stored, trim
 from vintora.llm.bpe import by_bytes
 from vintora.llm.components import components
 
@@ -383,13 +383,16 @@ def links(docs: DataFrame, ranks) -> DataFrame:
     may = lambda common: _may_link(common, F.col("u_n"), F.col("v_n"), F.col("u_last"), F.col("v_last"))
 
     def checked(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "pairs")
         wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-        return stored(verified(pairs.select("u", "v"), sets_of(docs, wanted), ranks).where("similar").select("u", "v"), "links")
+        found = stored(verified(pairs.select("u", "v"), sets_of(docs, wanted), ranks).where("similar").select("u", "v"), "links")
+        discard(pairs)
+        return found
 
     # each node with the leader it shares most prefix tokens with
     count = rows.where("leader <> node").groupBy("node", "leader").count()
     best = count.groupBy("node").agg(F.max(F.struct("count", (-F.col("leader")).alias("l"))).alias("b")).select(F.col("node").alias("u"), (-F.col("b.l")).alias("v"), F.col("b.count").alias("common"))
-    first = checked(stored(best.join(one("u"), "u").join(one("v"), "v").where(fits).where(may(F.col("common"))), "pairs"))
+    first = checked(best.join(one("u"), "u").join(one("v"), "v").where(fits).where(may(F.col("common"))))
     found = components(first)
 
     # tokens that still hold nodes of several components
@@ -404,7 +407,7 @@ def links(docs: DataFrame, ranks) -> DataFrame:
     side = lambda name: seldom.select("token", F.col("node").alias(name), *(F.col(x).alias(f"{name}_{x}") for x in ("n", "last", "component", "often")))
     pairs = side("u").join(side("v"), "token").where("u < v AND u_component <> v_component").where(fits)
     pairs = pairs.groupBy("u", "v", "u_n", "v_n", "u_last", "v_last", "u_often", "v_often").agg(F.count("*").alias("common"))
-    second = checked(stored(pairs.where(may(F.col("common") + F.least("u_often", "v_often"))), "pairs"))
+    second = checked(pairs.where(may(F.col("common") + F.least("u_often", "v_often"))))
 
     # through frequent tokens, block by block
     clusters = components(often.select(F.col("node").alias("u"), F.col("leader").alias("v"))).withColumnRenamed("component", "cluster")
@@ -413,7 +416,9 @@ def links(docs: DataFrame, ranks) -> DataFrame:
     left_over = stored(meeting.groupBy("meeting").applyInArrow(_survivors, "meeting long, side int, node long, n int, component long"), "meetings")
     sets = sets_of(docs, left_over.select("node").distinct()).withColumnRenamed("tokens", "a")
     third = stored(left_over.join(sets, "node").groupBy("meeting").applyInArrow(lambda g: _block_links(g, ranks.value), "u long, v long"), "links")
-    return components(first.unionByName(second).unionByName(third))
+    out = components(first.unionByName(second).unionByName(third))
+    discard(rows, held, left_over, first, second, third)
+    return out
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
