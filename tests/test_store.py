@@ -63,3 +63,13 @@ def test_lease(spark, tmp_path):
     assert files.exists(f"{tmp_path}/lease")
     b.release()
     assert not files.exists(f"{tmp_path}/lease")
+
+
+def test_reading_prunes_partitions_and_columns(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    store.write(rows(spark, 1, [1, 2]).unionByName(rows(spark, 1, [3]).withColumn("ref_year", F.lit(2023))), "r1")
+    store.commit("r1")
+    df = store.read().where("ref_year = 2024").select("value")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ref_year" in plan and "ReadSchema: struct<value:double>" in plan
+    assert df.count() == 2
