@@ -38,13 +38,14 @@ def outcome_of(status: Column, error: Column) -> Column:
     return F.when(status == 403, "blocked").when(status.isNull() | (status >= 400) | error.isNotNull(), "error").otherwise("unchanged")
 
 
-def numbered(log: DataFrame, parts: int = 64) -> DataFrame:
+def numbered(log: DataFrame, parts: int | None = None) -> DataFrame:
     """log with `sequence`, from 1 in (requested_at, request_id) order over everything.
 
     Ranges of time are numbered on their own and shifted by the sizes of those before: no task sees all rows.
     """
-    ranged = log.repartitionByRange(parts, "requested_at", "request_id").withColumn("_part", F.spark_partition_id())
-    own = Window.partitionBy("_part").orderBy("requested_at", "request_id")
+    order = ("requested_at", "request_id")
+    ranged = (log.repartitionByRange(parts, *order) if parts else log.repartitionByRange(*order)).withColumn("_part", F.spark_partition_id())
+    own = Window.partitionBy("_part").orderBy(*order)
     ranged = ranged.withColumn("_n", F.row_number().over(own))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
     before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))

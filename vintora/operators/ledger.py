@@ -27,7 +27,7 @@ def batch_root(hashes: DataFrame, order_by: str, digest: str) -> str | None:
 
     Each round halves the rows: pairs meet by place, so no batch is collected.
     """
-    ranged = hashes.select(F.col(order_by).alias("o"), F.col(digest).alias("h")).repartitionByRange(8, "o", "h").withColumn("p", F.spark_partition_id())
+    ranged = hashes.select(F.col(order_by).alias("o"), F.col(digest).alias("h")).repartitionByRange("o", "h").withColumn("p", F.spark_partition_id())
     ranged = ranged.withColumn("k", F.row_number().over(Window.partitionBy("p").orderBy("o", "h")))
     sizes = ranged.groupBy("p").agg(F.count("*").alias("size"))
     before = sizes.select("p", (F.sum("size").over(Window.orderBy("p")) - F.col("size")).alias("b"))

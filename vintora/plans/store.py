@@ -69,9 +69,9 @@ class Store:
         return self.files.read(f"{self.root}/_current")
 
     def write(self, rows: DataFrame, release: str) -> None:
-        """Rows of a release, not yet readable. A retry replaces them."""
+        """Rows of a release, not yet readable. A retry replaces them. Large partitions are split over several tasks."""
         to = f"{self.root}/{self._generation() or 'gen=0'}/release_event_id={release}"
-        rows.repartition(*self.partition).sortWithinPartitions(*self.partition).write.mode("overwrite").partitionBy(*self.partition).parquet(to)
+        rows.hint("rebalance", *map(F.col, self.partition)).sortWithinPartitions(*self.partition).write.mode("overwrite").partitionBy(*self.partition).parquet(to)
 
     def commit(self, release: str, **facts) -> bool:
         """Make a release readable: one small file, with statistics of its rows. False if it was committed already."""
@@ -109,7 +109,7 @@ class Store:
         self.files.remove(f"{self.root}/{new}")
         rows = self.read()
         if rows is not None:
-            rows.drop("gen").repartition("release_event_id", *self.partition).write.partitionBy("release_event_id", *self.partition).parquet(f"{self.root}/{new}")
+            rows.drop("gen").hint("rebalance", F.col("release_event_id"), *map(F.col, self.partition)).write.partitionBy("release_event_id", *self.partition).parquet(f"{self.root}/{new}")
         self.files.put(f"{self.root}/_current", new)
         self.files.remove(f"{self.root}/{old}")
 

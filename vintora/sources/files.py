@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The fields of a log record, and below those of the errata table.
 FETCH_LOG = """request_id string, url string, method string, profile string, requested_at timestamp, status_code int, http_last_modified string,
     etag string, content_length long, content_encoding string, request_headers map<string,string>, response_headers map<string,string>,
     wire_sha256 string, content_sha256 string, blob_key string, byte_size long, outcome string, error_class string, duration_ms long, slot_id string"""
