@@ -33,7 +33,7 @@ MAGIC = 0x52504331
 #: Tokens after which a shard is closed.
 SHARD_TOKENS = 1 << 20
 #: A pair is replaced while it occurs at least this often in its shard.
-LEAST = 40
+LEAST = 16
 #: Rounds end once one of them shortens the sequence by less than this share.
 GAIN = 0.004
 #: Words remembered by a worker before its memory is cleared.
@@ -51,14 +51,14 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST) -> bytes:
     seq = ids.astype(np.uint32)
     lefts, rights, lengths = [], [], []
     length = np.ones(base, np.int64)
-    slots = 1 << 20
+    slots = 1 << 18
     owner = np.zeros(slots, np.uint64)
     made = turn = 0
     before = 2 * len(seq) + 2
     while len(seq) > 1 and len(seq) <= (1 - GAIN) * before:
         turn, before = turn + 1, len(seq)
         mixed = (seq[:-1] * np.uint32(0x9E3779B1 + 2 * turn)) ^ (seq[1:] * np.uint32(0x85EBCA6B + 4 * turn))
-        slot = (mixed ^ (mixed >> np.uint32(13))) & np.uint32(slots - 1)
+        slot = ((mixed ^ (mixed >> np.uint32(13))) & np.uint32(slots - 1)).astype(np.int64)
         at = np.flatnonzero(np.bincount(slot, minlength=slots)[slot] >= least)
         pair, slot = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1], slot[at]
         owner[slot] = pair
@@ -162,7 +162,7 @@ class WordEncoder:
     encoded once; pieces with characters beyond the plain ones go to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int = 1):
         import os
 
         from tokenizers import Tokenizer
@@ -179,17 +179,19 @@ class WordEncoder:
         self.bare = Tokenizer(BPE(vocab=spec["model"]["vocab"], merges=merges, end_of_word_suffix=spec["model"]["end_of_word_suffix"]))
         self.special = re.compile("|".join(re.escape(a["content"]) for a in spec["added_tokens"]) or "(?!)")
         self.to_chars = dict(enumerate(byte_alphabet()))
+        self.end_id = end_id
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.first = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        # piece 0 is the end of a document
+        self.index: dict[str | None, int] = {None: 0}
+        self.flat = np.array([self.end_id], np.uint32)
+        self.first = np.zeros(1, np.int32)
+        self.length = np.ones(1, np.int32)
 
     def apart(self, text: str) -> str:
         """A text whose parts between spaces have the ids of the whole text, one after the other."""
-        if not (text.isascii() or not _PLAIN.search(text)) or self.special.search(text):
+        if not (text.isascii() or not _PLAIN.search(text)) or "<" in text and self.special.search(text):
             return text.replace("\n", " ")
         text = text.lower()
         if not _RUN.search(text):
@@ -222,37 +224,40 @@ class WordEncoder:
             length = np.concatenate([length, np.array([len(i) for i in more], np.int64)])
         n = len(self.index)
         self.index.update(zip(chain(pieces, hard), range(n, n + len(length))))
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
+        self.first = np.concatenate([self.first, (len(self.flat) + np.cumsum(length) - length).astype(np.int32)])
+        self.length = np.concatenate([self.length, length.astype(np.int32)])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the texts one after the other, and the number for each text."""
+        """The ids of the texts one after the other, each followed by the end id, and the number for each text."""
         if len(self.index) > MEMO:
             self.forget()
         split = pc.split_pattern(pa.array([self.apart(t) for t in texts], pa.string()), " ")
         pieces = split.flatten().dictionary_encode()
         distinct = pieces.dictionary.to_pylist()
         known = list(map(self.index.get, distinct))
-        if None in known:
-            self.learn([p for p, k in zip(distinct, known) if k is None])
-            known = list(map(self.index.get, distinct))
-        which = np.array(known, np.int64)[pieces.indices.to_numpy()]
+        if missing := [k for k, n in enumerate(known) if n is None]:
+            new = [distinct[k] for k in missing]
+            self.learn(new)
+            for k, n in zip(missing, map(self.index.__getitem__, new)):
+                known[k] = n
         counts = split.value_lengths().to_numpy().astype(np.int64)
+        which = np.insert(np.array(known, np.int32)[pieces.indices.to_numpy()], np.cumsum(counts), 0)
         length = self.length[which]
-        ends = np.cumsum(length)
-        ids = self.flat[np.repeat(self.first[which] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
-        at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        ends = np.cumsum(length, dtype=np.int32)  # a batch of texts is far smaller
+        shift = self.first[which] - (ends - length)
+        ids = self.flat[np.repeat(shift, length) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
+        at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts + 1)])]
         return ids, np.diff(at)
 
 
-_OPEN: dict[str, WordEncoder] = {}
+_OPEN: dict[tuple[str, int], WordEncoder] = {}
 
 
-def _encoder(path: str) -> WordEncoder:
-    if path not in _OPEN:
-        _OPEN[path] = WordEncoder(path)
-    return _OPEN[path]
+def _encoder(path: str, end_id: int) -> WordEncoder:
+    if (path, end_id) not in _OPEN:
+        _OPEN[path, end_id] = WordEncoder(path, end_id)
+    return _OPEN[path, end_id]
 
 
 SHARDS = "part int, shard int, n_docs long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, blob binary"
@@ -268,7 +273,7 @@ def write_shards(docs: DataFrame, path: str, vocab: str, end_id: int = 1, shard_
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, encoder, shard = TaskContext.get().partitionId(), _encoder(vocab), 0
+        part, encoder, shard = TaskContext.get().partitionId(), _encoder(vocab, end_id), 0
         held: list[np.ndarray] = []
         ids: list = []
         sizes: list[int] = []
@@ -287,15 +292,13 @@ def write_shards(docs: DataFrame, path: str, vocab: str, end_id: int = 1, shard_
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
             for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
                 flat, n = encoder.encode(texts[a:b])
-                ends = np.cumsum(n)
-                flat = np.insert(flat, ends, np.uint32(end_id)) if len(n) else flat
                 cut = 0
-                for k, size in enumerate((n + 1).tolist()):
+                for k, (size, end) in enumerate(zip(n.tolist(), np.cumsum(n).tolist())):
                     ids.append(names[a + k])
                     sizes.append(size)
-                    if sum(map(len, held)) + int(ends[k]) + k + 1 - cut >= shard_tokens:
-                        held.append(flat[cut : ends[k] + k + 1])
-                        cut = int(ends[k]) + k + 1
+                    if sum(map(len, held)) + end - cut >= shard_tokens:
+                        held.append(flat[cut:end])
+                        cut = end
                         yield closed()
                 if cut < len(flat):
                     held.append(flat[cut:])
