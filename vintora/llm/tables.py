@@ -19,7 +19,7 @@ def blocks(table: np.ndarray, part: int) -> Iterator[tuple[int, int, bytes]]:
     """The blocks of a table that hold counts."""
     for k in range(0, len(table), BLOCK):
         if (held := table[k : k + BLOCK]).any():
-            yield k // BLOCK, part, zlib.compress(np.minimum(held, 0xFFFFFFFF).astype("<u4").tobytes(), 1)
+            yield k // BLOCK, part, zlib.compress(held.astype("<u8").tobytes(), 1)
 
 
 def summed(rows: DataFrame, size: int) -> np.ndarray:
@@ -30,14 +30,14 @@ def summed(rows: DataFrame, size: int) -> np.ndarray:
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, total = None, np.zeros(BLOCK, np.uint64)
-        out = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([0], pa.int32()), pa.array([zlib.compress(np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes(), 1)])], names=NAMES)
+        out = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([0], pa.int32()), pa.array([zlib.compress(total.astype("<u8").tobytes(), 1)])], names=NAMES)
         for batch in batches:
             for k, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
                 if k != now and now is not None:
                     yield out()
                     total[:] = 0
                 now = k
-                held = np.frombuffer(zlib.decompress(counts), "<u4")
+                held = np.frombuffer(zlib.decompress(counts), "<u8")
                 total[: len(held)] += held
         if now is not None:
             yield out()
@@ -45,7 +45,7 @@ def summed(rows: DataFrame, size: int) -> np.ndarray:
     sums = rows.select(*NAMES)
     for key in (F.col("part") % 16, F.lit(0)):
         sums = sums.withColumn("part", key).repartition("block", "part").sortWithinPartitions("block", "part").mapInArrow(add_up, SCHEMA)
-    table = np.zeros(-(-size // BLOCK) * BLOCK, np.uint32)
+    table = np.zeros(-(-size // BLOCK) * BLOCK, np.uint64)
     for r in sums.toLocalIterator():
-        table[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(bytes(r["counts"])), "<u4")
+        table[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(bytes(r["counts"])), "<u8")
     return table[:size]
