@@ -135,3 +135,24 @@ def test_neighbours_leave_bad_vectors_out(spark):
     assert {r.query_id for r in got} == {0, 20}
     assert {r.vec_id for r in got} <= set(range(40))
     assert len([r for r in got if r.query_id == 0]) == 40  # 39 others, one of them twice
+
+
+def test_equal_vectors_have_equal_scores(spark):
+    """Copies of one vector lie among others; their scores are one number, and ties go to the smaller ids."""
+    rnd = np.random.default_rng(4)
+    same = [float(x) for x in rnd.standard_normal(33)]
+    rows = [(k, same if k % 3 else [0.1 * float(x) for x in rnd.standard_normal(33)]) for k in range(200)] + [(0, same)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r.rank, r.vec_id, r.score) for r in neighbours.search(df, spark.createDataFrame([(0, same)], "vec_id long, embedding array<double>"), 20).collect())
+    assert [r[1] for r in got] == [k for k in range(1, 60) if k % 3][:20] and len({r[2] for r in got}) == 1
+
+
+def test_counts_beyond_32_bits(spark):
+    """Blocks of many tasks add up without a ceiling."""
+    from vintora.llm import tables
+
+    part = np.zeros(tables.BLOCK + 5, np.int64)
+    part[3], part[tables.BLOCK + 4] = 3_000_000_000, 7
+    rows = spark.createDataFrame([(k, p, bytearray(c)) for p in range(3) for k, p, c in tables.blocks(part, p)], tables.SCHEMA)
+    total = tables.summed(rows, len(part))
+    assert int(total[3]) == 9_000_000_000 and int(total[-1]) == 21 and len(total) == len(part) and np.count_nonzero(total) == 2

@@ -85,10 +85,12 @@ class Block:
                 if len(found) >= need:
                     break
             found = found[self.ids[found] != ids[q]]
-            score = self.vectors[found] @ queries[q]
+            rough = self.vectors[found] @ queries[q]
             if len(found) > k:  # ties at the edge stay in until ids are compared
-                edge = np.partition(score, len(score) - k)[len(score) - k]
-                found, score = found[score >= edge], score[score >= edge]
+                slack = 1e-9 * (np.abs(rough).max() + 1)
+                found = found[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - slack]
+            # summed row by row: equal vectors get equal scores wherever they lie, which a matrix product doesn't promise
+            score = (self.vectors[found] * queries[q]).sum(1)
             best = np.lexsort((self.ids[found], -score))[:k]
             yield int(ids[q]), self.ids[found[best]], score[best]
 
