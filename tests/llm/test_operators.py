@@ -156,3 +156,41 @@ def test_counts_beyond_32_bits(spark):
     rows = spark.createDataFrame([(k, p, bytearray(c)) for p in range(3) for k, p, c in tables.blocks(part, p)], tables.SCHEMA)
     total = tables.summed(rows, len(part))
     assert int(total[3]) == 9_000_000_000 and int(total[-1]) == 21 and len(total) == len(part) and np.count_nonzero(total) == 2
+
+
+def test_lm_scores_count_real_words(spark):
+    """More distinct words and bigrams than any fixed table holds: losses equal those from counts of the words."""
+    from collections import Counter
+
+    from vintora.llm import lm_score
+
+    rnd = random.Random(11)
+    common = [f"c{k}" for k in range(50)]
+    texts = {i: " ".join(rnd.choice(common) if k % 4 == 0 else f"w{rnd.randrange(2_000_000)}" for k in range(300)) for i in range(1500)}
+    texts |= {5000: None, 5001: "", 5002: texts[3], 5003: "once"}
+    good = {i for i in texts if i % 3 == 0}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    chosen = spark.createDataFrame([(i,) for i in good], "doc_id long")
+    held = {i: (t or "").split() for i, t in texts.items()}
+    models = []
+    for ids in (good, set(texts)):
+        words, before, pairs = (Counter(x for i in ids for x in f(held[i])) for f in (list, lambda w: [None, *w[:-1]] if w else [], lambda w: list(zip([None, *w], w))))
+        models.append((words, before, pairs))
+    size = max(2**lm_score.WORD_BITS, len(models[1][0]))
+    assert size > 2**lm_score.WORD_BITS
+
+    def loss(model, w):
+        words, before, pairs = model
+        total = sum(words.values()) + size
+        return -np.mean([np.log((pairs[a, b] + lm_score.PRIOR * (words[b] + 1) / total) / (before[a] + lm_score.PRIOR)) for a, b in zip([None, *w], w)]) if w else 0.0
+
+    truth = {i: [loss(m, held[i]) for m in models] for i in list(texts)[::25] + [5000, 5001, 5002, 5003]}
+    got = {r.doc_id: r for r in lm_score.score(docs, chosen).collect()}
+    assert set(got) == set(texts)
+    for i, (target, background) in truth.items():
+        assert got[i].n_tokens == len(held[i])
+        assert abs(got[i].target_loss - target) < 1e-9 and abs(got[i].background_loss - background) < 1e-9
+        assert abs(got[i].score - (target - background)) < 1e-9
+    apart = {r.doc_id: r.score for r in lm_score.score(docs.where("doc_id < 40 OR doc_id >= 5000"), chosen, docs).collect()}
+    assert set(apart) == {i for i in texts if i < 40 or i >= 5000}
+    assert all(abs(apart[i] - got[i].score) < 1e-12 for i in apart)

@@ -1,9 +1,13 @@
 """Cross-entropy difference of matched bigram models.
 
 The target model counts the documents of a chosen kind, the background model all documents. Both have one
-vocabulary (words hashed into 2**WORD_BITS slots), one order and one smoothing, so a document's score, its mean
-loss per token under the target model minus that under the background model, compares the texts alone: the
-lower, the closer to the target.
+vocabulary, one order and one smoothing, so a document's score, its mean loss per token under the target model
+minus that under the background model, compares the texts alone: the lower, the closer to the target.
+
+Words and bigrams are told apart by 64-bit hashes, and each has its own count: what is gathered grows with the
+corpus. Documents are cut into chunks. A chunk asks each bucket of the hashes for those it holds, once however
+often they occur in it, and adds its own counts; a bucket sums over all chunks and answers each. So no task
+holds more than a bucket or a chunk, and a word of every document is one row per chunk.
 
 Counts cover every document. Odd input: null, empty or blank texts have no tokens and score 0; repeated rows are
 counted and scored one by one; without target documents the target model is level.
@@ -11,6 +15,7 @@ counted and scored one by one; without target documents the target model is leve
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,84 +23,215 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintora.llm import tables
-from vintora.llm._io import small_batches
+from vintora.llm._io import small_batches, stored, trim
 from vintora.llm.bpe import by_bytes
 from vintora.llm.jaccard import word_hashes
 
-WORD_BITS, PAIR_BITS = 18, 21
+#: Unigrams are smoothed by one over a vocabulary of 2**WORD_BITS words, or of all distinct ones if they are more.
+WORD_BITS = 18
 #: Weight of the unigram model in a bigram's probability, in tokens.
 PRIOR = 8.0
 #: Target ids are broadcast up to this many; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
 BATCH_BYTES = 1 << 20
+#: A chunk ends with the document that brings it to so many tokens or documents.
+CHUNK_TOKENS, CHUNK_DOCS = 1 << 20, 1 << 17
+#: Hashes asked of a bucket by all chunks together, about.
+BUCKET = 1 << 21
+
+CHUNK = "chunk long, ids array<long>, sizes array<long>, roles array<int>, n_all long, n_target long, n_words long, words binary, codes binary"
+ASKED = "kind int, bucket long, chunk long, keys binary, counts binary"
+ANSWER = "kind int, bucket long, chunk long, fresh long, counts binary"
+LOSSES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+#: What a document does, as bits: it counts, it counts for the target, it is scored.
+COUNTED, TARGET, SCORED = 1, 2, 4
+
+
+def _chained(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words before each word (0 before a text) and of the pairs; counts are words of each text."""
+    first = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)[counts > 0]
+    last = np.concatenate([np.zeros(1, np.uint64), h[:-1]]) if len(h) else h
+    last[first] = 0
+    return last, (last * np.uint64(0x9E3779B97F4A7C15) + h) * np.uint64(0xD6E8FEB86659FD93)
 
 
 def slots(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(word slots, slots of the preceding words, pair slots) of each text; what precedes a text is slot 0."""
+    """(hashes of the words, of the preceding words, of the pairs) of each text; what precedes a text is 0."""
     for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
         h, counts = word_hashes(texts[a:b])
+        last, pair = _chained(h, counts)
         ends = np.cumsum(counts)
-        first = np.concatenate([[0], ends[:-1]])[counts > 0]
-        before = np.concatenate([np.zeros(1, np.uint64), h[:-1]]) if len(h) else h
-        before[first] = 0
-        word = (h >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-        last = (before >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-        pair = ((before * np.uint64(0x9E3779B97F4A7C15) + h) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
         for s, e in zip((ends - counts).tolist(), ends.tolist()):
-            yield word[s:e], last[s:e], pair[s:e]
+            yield h[s:e], last[s:e], pair[s:e]
 
 
-#: Where each count lies in the one table: words, words as context, pairs; target first, then background.
-_PART = np.cumsum([0, 1 << WORD_BITS, 1 << WORD_BITS, 1 << PAIR_BITS])
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers of 64 bits as their lowest bytes, then the next: bytes that are 0 lie together."""
+    return np.ascontiguousarray(x).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def train(docs: DataFrame, target_ids: DataFrame) -> np.ndarray:
-    """Counts of both models: row 0 for the target documents (doc_id in target_ids), row 1 for all."""
-    small_batches(docs.sparkSession)
-    chosen = target_ids.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(1))
-    small = chosen.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen) if small else chosen, "doc_id", "left").select("text", F.coalesce("target", F.lit(0)).alias("target"))
-    size = int(_PART[-1])
+def _whole(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
-        n = np.zeros((2, size), np.int64)
-        for batch in batches:
-            held: tuple[list, list] = ([], [])
-            for y, found in zip(batch.column("target").to_pylist(), slots(["" if t is None else t for t in batch.column("text").to_pylist()])):
-                held[y].append(found)
-            for y, some in enumerate(held):
-                for k, x in enumerate(zip(*some)):
-                    x = np.concatenate(x)
-                    add = np.bincount(x, minlength=int(_PART[k + 1] - _PART[k]))
-                    n[1, _PART[k] : _PART[k + 1]] += add
-                    if y:
-                        n[0, _PART[k] : _PART[k + 1]] += add
-        for row in tables.blocks(n.reshape(-1), TaskContext.get().partitionId()):
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], schema=pa.schema([("block", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())]))
-
-    return tables.summed(rows.mapInArrow(count, tables.SCHEMA), 2 * size).reshape(2, size)
-
-
-def score(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss (mean per token, in nats), score: one row for each row of docs."""
-    small_batches(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(counts.astype(np.float32))  # a table of fixed size
+def _keys(b: bytes) -> np.ndarray:
+    """Sorted hashes from the planes of their differences; Spark's own compression takes the zeros out."""
+    return np.cumsum(_whole(b), dtype=np.uint64)
+
+
+def _pack(counts: np.ndarray) -> bytes:
+    return zlib.compress(_planes(counts.reshape(-1)), 1)
+
+
+def _counts(blob: bytes) -> np.ndarray:
+    """Counts for the target (row 0) and for all (row 1)."""
+    return _whole(zlib.decompress(blob)).astype(np.int64).reshape(2, -1)
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
+    fields = [f.split(" ") for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(x, kinds[k]) for x, (_, k) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
+
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of documents (columns of CHUNK): distinct words, and each token as the place of its word."""
+    from pyspark import TaskContext
+
+    made, ids, roles, hashes, sizes, n = 0, [], [], [], [], 0
+
+    def chunk() -> pa.RecordBatch:
+        words, codes = np.unique(np.concatenate(hashes), return_inverse=True)
+        size, role = np.concatenate(sizes), np.array(roles)
+        counted, target = (int(size[role & bit > 0].sum()) for bit in (COUNTED, TARGET))
+        at = (TaskContext.get().partitionId() << 32) + made
+        return _batch([(at, ids, size.tolist(), roles, counted, target, len(words), words.astype("<u8").tobytes(), zlib.compress(codes.astype("<i4").tobytes(), 1))], CHUNK)
+
+    for batch in batches:
+        texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
+        own, role = batch.column("doc_id").to_pylist(), batch.column("role").to_pylist()
+        for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
+            h, counts = word_hashes(texts[a:b])
+            ids += own[a:b]
+            roles += role[a:b]
+            hashes.append(h)
+            sizes.append(counts)
+            n += len(h)
+            if n >= CHUNK_TOKENS or len(ids) >= CHUNK_DOCS:
+                yield chunk()
+                made, ids, roles, hashes, sizes, n = made + 1, [], [], [], [], 0
+    if ids:
+        yield chunk()
+    trim()
+
+
+def _opened(words: bytes, codes: bytes, sizes: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of words, preceding words and pairs of a chunk: the distinct hashes in order, and the place of each token's."""
+    h = np.frombuffer(words, "<u8")
+    code = np.frombuffer(zlib.decompress(codes), "<i4")
+    last, pair = _chained(h[code], np.array(sizes, np.int64))
+    return [(h, code), np.unique(last, return_inverse=True), np.unique(pair, return_inverse=True)]
+
+
+def _asking(buckets: list[int]):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                role = np.repeat(np.array(row["roles"], np.int64), row["sizes"])
+                bits = [role & TARGET > 0, role & COUNTED > 0]
+                for kind, (keys, at) in enumerate(_opened(row["words"], row["codes"], row["sizes"])):
+                    n = np.stack([np.bincount(at[b], minlength=len(keys)) for b in bits])
+                    where = ((keys >> np.uint64(32)) * np.uint64(buckets[kind]) >> np.uint64(32)).astype(np.int64)  # in order, as the keys are
+                    edge = [0, *(np.flatnonzero(np.diff(where)) + 1).tolist(), len(keys)]
+                    rows = [(kind, int(where[a]), row["chunk"], _planes(np.diff(keys[a:b], prepend=np.uint64(0))), _pack(n[:, a:b])) for a, b in zip(edge, edge[1:]) if b > a]
+                    if rows:
+                        yield _batch(rows, ASKED)
+        trim()
+
+    return ask
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over all chunks, for each chunk in its own order; rows come bucket by bucket."""
+    now, held = None, []
+
+    def answers() -> Iterator[pa.RecordBatch]:
+        keys = [_keys(k) for _, k, _ in held]
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.zeros((2, len(distinct)), np.int64)
+        ends = np.cumsum([len(k) for k in keys])
+        for (_, _, n), k, end in zip(held, keys, ends):  # a chunk has a key once
+            sums[:, at[end - len(k) : end]] += _counts(n)
+        fresh = int(np.count_nonzero(sums[1]))
+        yield _batch([(*now, chunk, 0 if j else fresh, _pack(sums[:, at[end - len(k) : end]])) for j, ((chunk, _, _), k, end) in enumerate(zip(held, keys, ends))], ANSWER)
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if (key := (row["kind"], row["bucket"])) != now:
+                if held:
+                    yield from answers()
+                now, held = key, []
+            held.append((row["chunk"], row["keys"], row["counts"]))
+    if held:
+        yield from answers()
+    trim()
+
+
+def _looking(totals: np.ndarray, vocabulary: int):
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = held.value
-        words, contexts, pairs = (n[:, _PART[k] : _PART[k + 1]] for k in range(3))
-        single = np.log((words + 1) / (words.sum(1, dtype=np.float64)[:, None] + words.shape[1])).astype(np.float32)
+        """Losses of a chunk's documents; its own row comes first, then the answers by kind and bucket."""
+        head, found = None, ([], [], [])
+
+        def losses() -> Iterator[pa.RecordBatch]:
+            parts = _opened(head["words"], head["codes"], head["sizes"])
+            word, last, pair = (np.concatenate(f, axis=1)[:, at] if f else np.zeros((2, 0)) for f, (_, at) in zip(found, parts))
+            p = (pair + PRIOR * (word + 1) / (totals + vocabulary)[:, None]) / (last + PRIOR)
+            size = np.array(head["sizes"], np.int64)
+            some = size > 0
+            mean = np.zeros((2, len(size)))
+            if some.any():
+                mean[:, some] = -np.add.reduceat(np.log(p), (np.cumsum(size) - size)[some], axis=1) / size[some]
+            target, background = mean
+            scored = np.array(head["roles"]) & SCORED > 0
+            out = [pa.array(head["ids"], pa.int64()), *map(pa.array, (size, target, background, target - background))]
+            yield pa.RecordBatch.from_arrays(out, names=[f.split(" ")[0] for f in LOSSES.split(", ")]).filter(pa.array(scored))
+
         for batch in batches:
-            sizes, losses = [], [[], []]
-            for word, last, pair in slots(["" if t is None else t for t in batch.column("text").to_pylist()]):
-                sizes.append(len(word))
-                for m in (0, 1):
-                    p = (pairs[m][pair] + PRIOR * np.exp(single[m][word])) / (contexts[m][last] + PRIOR)
-                    losses[m].append(-float(np.log(p).mean(dtype=np.float64)) if len(word) else 0.0)
-            target, background = map(np.array, losses)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(target, pa.float64()), pa.array(background, pa.float64()), pa.array(target - background, pa.float64())], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(look, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+            for row in batch.to_pylist():
+                if row["kind"] < 0:
+                    if head:
+                        yield from losses()
+                    head, found = row, ([], [], [])
+                else:
+                    found[row["kind"]].append(_counts(row["counts"]))
+        if head:
+            yield from losses()
+        trim()
+
+    return look
+
+
+def score(docs: DataFrame, target_ids: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss (mean per token, in nats), score: one row for each row of docs.
+
+    The models count corpus, docs themselves unless given; target documents are those with doc_id in target_ids.
+    """
+    small_batches(docs.sparkSession)
+    chosen = target_ids.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(TARGET))
+    small = chosen.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    own = F.col("doc_id").cast("long").alias("doc_id")
+    counted = (docs if corpus is None else corpus).select("doc_id", "text").join(F.broadcast(chosen) if small else chosen, "doc_id", "left")
+    rows = counted.select(own, "text", (F.coalesce("target", F.lit(0)) + COUNTED + (SCORED if corpus is None else 0)).alias("role"))
+    if corpus is not None:
+        rows = rows.unionByName(docs.select(own, "text", F.lit(SCORED).alias("role")))
+
+    chunks = stored(rows.mapInArrow(_cut, CHUNK), "lm-chunks")
+    n = chunks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_target", "n_all", "n_words")), F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))).first()
+    buckets = [max(1, -(-k // BUCKET)) for k in (n[2], n[2], n[3])]
+    asked = chunks.select("chunk", "sizes", "roles", "words", "codes").mapInArrow(_asking(buckets), ASKED)
+    answers = stored(asked.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(_answer, ANSWER), "lm-answers")
+    distinct = answers.where("kind = 0").agg(F.coalesce(F.sum("fresh"), F.lit(0))).first()[0]
+    heads = chunks.withColumns({"kind": F.lit(-1), "bucket": F.lit(0).cast("long")}).select("chunk", "kind", "bucket", "ids", "sizes", "roles", "words", "codes")
+    both = heads.unionByName(answers.select("chunk", "kind", "bucket", "counts"), allowMissingColumns=True)
+    look = _looking(np.array([n[0], n[1]], float), max(1 << WORD_BITS, distinct))
+    return both.repartition("chunk").sortWithinPartitions("chunk", "kind", "bucket").mapInArrow(look, LOSSES)

@@ -59,7 +59,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1")
-    return lm_score.score(docs, lm_score.train(docs, good))
+    return lm_score.score(docs, good)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
