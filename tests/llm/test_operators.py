@@ -194,3 +194,33 @@ def test_lm_scores_count_real_words(spark):
     apart = {r.doc_id: r.score for r in lm_score.score(docs.where("doc_id < 40 OR doc_id >= 5000"), chosen, docs).collect()}
     assert set(apart) == {i for i in texts if i < 40 or i >= 5000}
     assert all(abs(apart[i] - got[i].score) < 1e-12 for i in apart)
+
+
+def test_substituted_items_are_found(spark):
+    """Whole items of which at least 0.8 of the words are left, planted in other words; nothing else is found."""
+    from vintora.llm import decontaminate
+
+    rnd = random.Random(13)
+    items, docs, planted = [], [], {}
+    for size in range(15, 25):
+        for c in range(8):
+            item = [f"i{len(items)}x{k}" for k in range(size)]
+            items.append((len(items), " ".join(item)))
+            for n in range(1, 5):
+                own = [*item]
+                for k in rnd.sample(range(size), n):
+                    own[k] = f"s{rnd.random()}".replace(".", "")
+                if 10 * (size - n) >= 8 * size:
+                    equal = [a == b for a, b in zip(own, item)]
+                    seeded = any(all(equal[k + j] for j in m) for m in decontaminate.MASKS for k in range(size - decontaminate.SPAN + 1))
+                    planted[len(docs)] = (items[-1][0], n, seeded)
+                    docs.append((len(docs), " ".join([f"f{k}" for k in range(40)] + own + [f"g{k}" for k in range(40)])))
+    poor = [w if k % 3 else f"z{k}" for k, w in enumerate(items[-1][1].split())]
+    docs.append((9999, " ".join(poor)))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    truth = {(d, i) for d, (i, _, _) in planted.items()}
+    assert got <= truth
+    assert {(d, i) for d, (i, _, seeded) in planted.items() if seeded} <= got  # verification throws none away
+    recall = {n: np.mean([(d, i) in got for d, (i, m, _) in planted.items() if m == n]) for n in range(1, 5)}
+    print("recall by substitutions", recall)
+    assert recall[1] == 1 and recall[2] >= 0.95 and recall[3] >= 0.8

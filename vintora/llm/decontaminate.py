@@ -2,8 +2,9 @@
 
 Each mask looks at some of SPAN consecutive words and ignores the others, so a seed survives substitutions at
 ignored places. Seeds of documents and test items are joined by hash; around each hit the two texts are
-aligned, and the best-scoring stretch (+1 for an equal word, -2 for a substituted one) must reach LEAST words,
-or 0.8 of a shorter item.
+aligned. It counts as overlap if the best-scoring stretch (+1 for an equal word, -2 for a substituted one) reaches
+LEAST, or 0.8 of a shorter item, or if SHARE of the words are equal in any stretch of LEAST words or more, or in
+the whole of a shorter item.
 
 Odd input: null texts have no words; items of fewer than SHORT words can't be told from chance and are skipped;
 items of SHORT to SPAN - 1 words are sought as contiguous words; repeated items and documents are matched one
@@ -23,6 +24,8 @@ SPAN = 11
 MASKS = ((0, 1, 2, 4, 7, 8, 10), (0, 1, 3, 4, 5, 8, 10), (0, 2, 3, 6, 7, 9, 10))
 SHORT = 8
 LEAST = 12
+#: Share of equal words, as tenths, that is enough in a stretch of LEAST words or more.
+SHARE = 8
 #: Words to either side of a seed that verification looks at.
 REACH = 32
 #: Seeds broadcast at a time; more are taken in blocks of this size.
@@ -65,8 +68,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataF
         )
         same = F.zip_with("here", "there", lambda a, b: F.when(a == b, 1).otherwise(-2))
         walk = F.aggregate(same, F.struct(F.lit(0).alias("now"), F.lit(0).alias("best")), lambda s, x: F.struct(F.greatest(F.lit(0), s["now"] + x).alias("now"), F.greatest(s["best"], s["now"] + x).alias("best")), lambda s: s["best"])
+        # a stretch has the share if its sum is 0 or more, so if the sum at its end is none below that at its start
+        whole = F.least(F.lit(least), F.col("item_size"))
+        sums = F.aggregate(F.zip_with("here", "there", lambda a, b: F.when(a == b, 10 - SHARE).otherwise(-SHARE)), F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)))
+        low_at = lambda s, j: F.array_min(F.slice(s, 1, j - whole + 1))
+        alike = F.exists(F.transform(F.array(sums), lambda s: F.exists(F.transform(s, lambda x, j: F.when(j >= whole, x >= low_at(s, j)).otherwise(False)), lambda x: x)), lambda x: x)
+        enough = walk >= F.least(F.lit(least), F.ceil(0.8 * F.col("item_size")).cast("int"))
         # explode keeps the optimizer from moving this into the join, which would then copy whole texts row by row
-        return near.select("doc_id", "item_id", "item_size", F.explode(F.array(walk)).alias("overlap")).where(F.col("overlap") >= F.least(F.lit(least), F.ceil(0.8 * F.col("item_size")).cast("int")))
+        found = near.select("doc_id", "item_id", F.explode(F.array(F.struct(walk.alias("overlap"), F.when(enough, True).otherwise(alike).alias("enough")))).alias("found"))
+        return found.where("found.enough").select("doc_id", "item_id", "found.overlap")
 
     if not blocks:
         kinds = dict(docs.select("doc_id").dtypes) | dict(benchmark.select("item_id").dtypes)
