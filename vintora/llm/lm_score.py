@@ -1,8 +1,10 @@
 """Cross-entropy difference of matched bigram models.
 
-The target model counts the documents of a chosen kind, the background model all documents. Both have one
-vocabulary, one order and one smoothing, so a document's score, its mean loss per token under the target model
-minus that under the background model, compares the texts alone: the lower, the closer to the target.
+The target model counts the documents of a chosen kind, the background model all documents, each of its counts
+scaled by one factor so that both models rest on the same number of tokens. Both have one vocabulary, one order and
+one smoothing, so a document's score, its mean loss per token under the target model minus that under the
+background model, compares the texts alone: the lower, the closer to the target. After each word the probabilities of
+the vocabulary's words sum to 1.
 
 Words and bigrams are told apart by 64-bit hashes, and each has its own count: what is gathered grows with the
 corpus. Documents are cut into chunks. A chunk asks each bucket of the hashes for those it holds, once however
@@ -10,7 +12,7 @@ often they occur in it, and adds its own counts; a bucket sums over all chunks a
 holds more than a bucket or a chunk, and a word of every document is one row per chunk.
 
 Counts cover every document. Odd input: null, empty or blank texts have no tokens and score 0; repeated rows are
-counted and scored one by one; without target documents the target model is level.
+counted and scored one by one; without target documents the target model is level and the background unscaled.
 """
 
 from __future__ import annotations
@@ -177,6 +179,13 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     trim()
 
 
+def probability(pair: np.ndarray, last: np.ndarray, word: np.ndarray, totals: np.ndarray, vocabulary: int) -> np.ndarray:
+    """Probability of words by their counts after the word before, that word's and their own; row 1 is the background's."""
+    scale = np.array([1.0, totals[0] / totals[1] if totals.min() > 0 else 1.0])[:, None]
+    single = (scale * word + 1) / (scale * totals[:, None] + vocabulary)
+    return (scale * pair + PRIOR * single) / (scale * last + PRIOR)
+
+
 def _looking(totals: np.ndarray, vocabulary: int):
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Losses of a chunk's documents; its own row comes first, then the answers by kind and bucket."""
@@ -185,7 +194,7 @@ def _looking(totals: np.ndarray, vocabulary: int):
         def losses() -> Iterator[pa.RecordBatch]:
             parts = _opened(head["words"], head["codes"], head["sizes"])
             word, last, pair = (np.concatenate(f, axis=1)[:, at] if f else np.zeros((2, 0)) for f, (_, at) in zip(found, parts))
-            p = (pair + PRIOR * (word + 1) / (totals + vocabulary)[:, None]) / (last + PRIOR)
+            p = probability(pair, last, word, totals, vocabulary)
             size = np.array(head["sizes"], np.int64)
             some = size > 0
             mean = np.zeros((2, len(size)))

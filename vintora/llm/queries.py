@@ -46,8 +46,8 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = secrets.train(secrets.default_samples(spark))
-    found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(docs, secrets.train(secrets.labelled_samples(docs)))
     count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.shown("base_spans"), 256).alias("base_sha256"), secrets.shown("secret_spans").alias("spans"))
 

@@ -1,11 +1,17 @@
 """Secret scan: fixed patterns, and character Markov models of random strings and ordinary identifiers.
 
 Built-in functions only. Two bigram models, of random strings and of ordinary identifiers, are trained from
-labelled samples; a long run of key characters whose mean log-likelihood ratio exceeds a threshold is a secret
-too, unless a pattern already covers part of it.
-
-Spans are in code points, end exclusive. Odd input: a null text counts as empty and has no spans; repeated rows
-are scanned one by one; without samples of both kinds the models are level and add no spans.
+labelled samples, every bigram counted as often as it occurs; the corpus gives samples itself (values that the fixed
+patterns find are random, all other runs of its texts ordinary). A run of key characters is a secret too if its
+log-likelihood ratio is at least LEVEL in all and THRESHOLD for each bigram. Runs that mix kinds of characters take
+part whatever their length; those too short to reach LEVEL with the model's largest ratio are left out by the pattern
+already. A plain word, letters of one case after at most one capital, takes part from PLAIN letters on: nothing tells
+a shorter one from a name.
+
+Spans are in code points, end exclusive. A run that overlaps spans of the patterns stays a span of its own, unless it
+lies within one. Odd input: a null text counts as empty and has no spans; repeated rows are scanned one by one; extra
+columns are kept; an empty table gives an empty result; without samples of both kinds the models are level and add no
+spans.
 """
 
 from __future__ import annotations
@@ -22,10 +28,16 @@ ACCESS = (r"AKIA[A-Z0-9]+", 0, 18)
 HEX = (r"[0-9a-f]+", 0, 16)
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-#: Runs of the alphabet from this length on are scored.
-LEAST = 20
-#: Mean log-likelihood ratio of its bigrams from which a run counts as random, and how many different ones it needs.
-THRESHOLD, LEAST_BIGRAMS = 0.35, 12
+#: The same as a class of characters in patterns.
+RUN = "A-Za-z0-9+/_=-"
+#: Log-likelihood ratio from which a run counts as random, in all and for each of its bigrams.
+LEVEL, THRESHOLD = 12.0, 0.6
+#: Letters from which a plain word is looked at.
+PLAIN = 16
+#: Documents, about, that corpus_samples takes at most.
+SAMPLE_DOCS = 20_000
+#: Weight of even transitions in both models; it bounds what one unseen bigram can say.
+EVEN = 0.1
 #: Rows of each kind in the sample of default_samples.
 SAMPLES = 4000
 
@@ -54,7 +66,10 @@ developpement gouvernement connaissance entreprise naturelle questionnaire quelq
 
 
 def default_samples(spark: SparkSession, n: int = SAMPLES) -> DataFrame:
-    """text, label (1: random string, 0: ordinary identifier): n rows of each, by a rule."""
+    """text, label (1: random string, 0: ordinary identifier): n rows of each, by a rule.
+
+    Ordinary ones are names of one to three words in several spellings, and ruled lines.
+    """
     words = F.split(F.lit(" ".join(PARTS.split())), " ")
     rows = spark.range(n)
     digest = F.sha2(F.concat(F.lit("sample "), F.col("id").cast("string")), 256)
@@ -63,28 +78,52 @@ def default_samples(spark: SparkSession, n: int = SAMPLES) -> DataFrame:
     pick = lambda a, b: words[F.pmod(F.col("id") * a + b, F.size(words)).cast("int")]
     three = (pick(7, 1), pick(131, 17), pick(577, 53))
     ordinary = rows.select(F.when(F.col("id") % 3 == 0, F.concat_ws("_", *three)).when(F.col("id") % 3 == 1, F.concat(three[0], F.initcap(three[1]), F.initcap(three[2]))).when(F.col("id") % 6 == 2, F.concat_ws("-", *three, (F.col("id") % 40).cast("string"))).otherwise(F.concat(*three)).alias("text"), F.lit(0).alias("label"))
-    return random.unionByName(ordinary)
+    ruled = rows.where(F.col("id") % 10 == 0).select(F.repeat(F.substring(F.lit(ALPHABET), (F.col("id") / 10 % len(ALPHABET)).cast("int") + 1, F.lit(1)), F.lit(40)).alias("text"), F.lit(0).alias("label"))
+    return random.unionByName(ordinary).unionByName(ruled)
 
 
 def _bigrams(s: Column) -> Column:
-    """Distinct bigrams of a string as numbers; characters outside the alphabet share one symbol. Linear in length."""
+    """Bigrams of a string as numbers, in order; characters outside the alphabet share one symbol. Linear in length."""
     k = len(ALPHABET) + 1
-    symbol = lambda c: F.when(F.instr(F.lit(ALPHABET), c) > 0, F.instr(F.lit(ALPHABET), c) - 1).otherwise(k - 1)
-    codes = F.transform(F.split(s, ""), symbol)
+    codes_of = F.array(*(F.lit(ALPHABET.index(chr(c)) if chr(c) in ALPHABET else k - 1) for c in range(128)))
+    codes = F.transform(F.split(s, ""), lambda c: F.coalesce(F.get(codes_of, F.ascii(c)), F.lit(k - 1)))
     n = F.greatest(F.size(codes) - 1, F.lit(0))
-    return F.array_distinct(F.zip_with(F.slice(codes, 1, n), F.slice(codes, 2, n), lambda a, b: a * k + b))
+    return F.zip_with(F.slice(codes, 1, n), F.slice(codes, 2, n), lambda a, b: a * k + b)
+
+
+def corpus_samples(docs: DataFrame, text: str = "text") -> DataFrame:
+    """text, label, weight: the distinct runs of about SAMPLE_DOCS documents, and how often each occurs.
+
+    Documents are taken by a hash of id and text. What a fixed pattern finds in a run is random (1); every other run
+    is ordinary (0). Runs are counted before the exchange, and only distinct ones are looked at.
+    """
+    every = max(1, docs.count() // SAMPLE_DOCS)
+    some = docs if every == 1 else docs.where(F.pmod(F.xxhash64("doc_id", text), F.lit(every)) == 0)
+    runs = some.select(F.explode(F.split(F.coalesce(F.col(text), F.lit("")), f"[^{RUN}]+")).alias("text")).where("length(text) > 1").groupBy("text").agg(F.count("*").alias("weight"))
+    values = [F.regexp_extract("text", p, g) for p, g in (ASSIGN[:2], (f"AKIA[A-Z0-9]{{{ACCESS[2] - 4},}}", 0), (f"[0-9a-f]{{{HEX[2]},}}", 0))]
+    found = F.coalesce(*(F.when(F.length(v) >= n, v) for v, n in zip(values, (ASSIGN[2], 1, 1))))
+    return runs.select(F.coalesce(found, "text").alias("text"), found.isNotNull().cast("int").alias("label"), "weight")
+
+
+def labelled_samples(docs: DataFrame) -> DataFrame:
+    """default_samples and corpus_samples together."""
+    return default_samples(docs.sparkSession).withColumn("weight", F.lit(1)).unionByName(corpus_samples(docs))
 
 
 def train(samples: DataFrame) -> list[float]:
-    """Log-likelihood ratio of each bigram of the alphabet (row by row), with add-one smoothing."""
+    """Log-likelihood ratio of each bigram of the alphabet (row by row).
+
+    samples: text, label (1 or 0), and weight, 1 where there is no such column.
+    """
     k = len(ALPHABET) + 1
+    weight = F.col("weight") if "weight" in samples.columns else F.lit(1)
     texts = samples.where("text IS NOT NULL AND label IN (0, 1) AND length(text) > 1")
-    pairs = texts.select("label", F.explode(_bigrams(F.col("text"))).alias("pair"))
-    n = {(r[0], r[1] // k, r[1] % k): r[2] for r in pairs.groupBy("label", "pair").count().collect()}  # 2 k^2 rows at most
+    pairs = texts.select("label", weight.alias("weight"), F.explode(_bigrams(F.col("text"))).alias("pair"))
+    n = {(r[0], r[1] // k, r[1] % k): r[2] for r in pairs.groupBy("label", "pair").agg(F.sum("weight")).collect()}  # 2 k^2 rows at most
     rows = {(y, a): sum(n.get((y, a, b), 0) for b in range(k)) for y in (0, 1) for a in range(k)}
     if not all(any(rows[y, a] for a in range(k)) for y in (0, 1)):
         return [0.0] * (k * k)
-    p = lambda y, a, b: math.log((n.get((y, a, b), 0) + 1) / (rows[y, a] + k))
+    p = lambda y, a, b: math.log((1 - EVEN) * (n.get((y, a, b), 0) + 1) / (rows[y, a] + k) + EVEN / k)
     return [p(1, a, b) - p(0, a, b) for a in range(k) for b in range(k)]
 
 
@@ -108,14 +147,18 @@ def _spans(text: Column, kind: int, pattern: str, keep, counted: int = 0) -> Col
 
 
 def looks_random(s: Column, model: list[float]) -> Column:
-    """Whether the mean log-likelihood ratio of a string's bigrams, each taken once, reaches THRESHOLD.
-
-    Repetition says nothing about randomness: a ruled line has few different bigrams, and too few don't count.
-    """
+    """Whether the log-likelihood ratio of a string reaches LEVEL in all and THRESHOLD for each bigram."""
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
     pairs = _bigrams(s)
     total = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + F.element_at(table, (p + 1).cast("int")))
-    return (F.size(pairs) >= LEAST_BIGRAMS) & (total >= THRESHOLD * F.size(pairs))
+    return (total >= LEVEL) & (total >= THRESHOLD * F.size(pairs))
+
+
+def candidate_pattern(model: list[float]) -> str | None:
+    """The pattern of the runs to be looked at; None if none can reach LEVEL. A run has no other right before it."""
+    if (most := max(model)) < THRESHOLD:
+        return None
+    return rf"(?<![{RUN}])(?![A-Z]?(?:[a-z]{{0,{PLAIN - 1}}}+|[A-Z]{{0,{PLAIN - 1}}}+)(?![{RUN}]))[{RUN}]{{{1 + math.ceil(LEVEL / most)},}}+"
 
 
 def find(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
@@ -128,9 +171,10 @@ def find(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
     assign = _spans(t, 0, ASSIGN[0], longer(ASSIGN[2]), ASSIGN[1])
     access = _spans(t, 1, f"{ACCESS[0][:-1]}{{{ACCESS[2] - 4},}}", longer(ACCESS[2]))
     hexes = _spans(t, 2, f"{HEX[0][:-1]}{{{HEX[2]},}}", longer(HEX[2]))  # a run of hex digits is one match, so the bound may stand in the pattern
-    runs = _spans(t, 3, f"[A-Za-z0-9+/_=-]{{{LEAST},}}", lambda v: looks_random(v, model))
+    pattern = candidate_pattern(model)
+    runs = F.array().cast(f"array<{SPAN}>") if pattern is None else _spans(t, 3, pattern, lambda v: looks_random(v, model))
     out = docs.withColumn("base_spans", F.array_sort(F.concat(assign, access, hexes))).withColumn("_runs", runs)
-    own = F.filter("_runs", lambda r: ~F.exists("base_spans", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    own = F.filter("_runs", lambda r: ~F.exists("base_spans", lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"])))
     return out.withColumn("secret_spans", F.array_sort(F.concat("base_spans", own))).drop("_runs")
 
 

@@ -1,12 +1,16 @@
 """Toxicity: a character n-gram linear classifier over features scaled by naive Bayes log-count ratios.
 
 Features are the distinct character n-grams of the lower-cased text, hashed into 2**BITS bins. Counts per class
-cover every labelled training row; the linear weights (logistic loss over the scaled features) are fitted on at
-most SAMPLE training rows of each class, the first by a hash of doc_id.
+cover every labelled training row; the linear weights (logistic loss over the scaled features) are fitted on a
+bounded sample of training documents: at most SAMPLE of each class, the first by a hash of doc_id, with one text each,
+and no more than SAMPLE_FEATURES features of each class (one document more may pass that bound). The least log-count
+ratio a feature needs and the penalty are chosen by two folds inside the training rows, each tested with ratios counted
+on the other.
 
 Odd input: a null or empty text has no features and gets the score of the prior; rows with a null label or
-doc_id don't train; where labels of one document differ, the toxic one counts; without training rows of both
-classes every score is 0. doc_id, lang, source and labels are never inputs of a score.
+doc_id don't train; where labels of one document differ, the toxic one counts; of several texts of one doc_id the
+one with the least hash is sampled; without training rows of both classes every score is 0. doc_id, lang, source
+and labels are never inputs of a score.
 """
 
 from __future__ import annotations
@@ -17,16 +21,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from vintora.llm._io import small_batches, trim
+from vintora.llm._io import discard, small_batches, stored, trim
 from vintora.llm.bpe import by_bytes
 
 SIZES = (3, 4, 5)
 BITS = 18
-#: Rows of each class on which the linear weights are fitted.
-SAMPLE = 2500
-#: Features whose class rates differ by a smaller log ratio have no weight.
-LEAST_RATIO = 1.2
+#: Documents of each class, and their features, on which the linear weights are fitted.
+SAMPLE, SAMPLE_FEATURES = 2500, 2_000_000
+#: Settings tried by folds: features whose class rates differ by a smaller log ratio have no weight; penalty.
+SETTINGS = ((0.4, 1.0), (0.8, 1.0), (1.2, 1.0), (0.8, 10.0))
+#: Steps of a fit, and of one that only tries settings.
+STEPS, TRIAL_STEPS = 300, 80
 #: Labels are broadcast up to this many rows; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
 BATCH_CHARS = 1 << 20
@@ -61,39 +68,51 @@ def is_held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _fold(doc_id) -> F.Column:
+    return F.pmod(F.xxhash64(doc_id, F.lit("fold")), F.lit(2)).cast("int")
+
+
 def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text, doc_id and toxic of the labelled rows outside the held-out fold."""
+    """text, doc_id, toxic and fold of the labelled rows outside the held-out fold."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~is_held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     small = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.select("doc_id", "text").join(F.broadcast(known) if small else known, "doc_id")
+    return docs.select("doc_id", "text").join(F.broadcast(known) if small else known, "doc_id").withColumn("fold", _fold(F.col("doc_id")))
 
 
-def _class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Documents of each class that hold each feature, and documents of each class."""
+def _class_counts(rows: DataFrame) -> np.ndarray:
+    """By fold and class, the rows that hold each feature; in the last place, all rows."""
     size = 1 << BITS
+    names = ["bin", *(f"n{k}" for k in range(4))]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros((2, size + 1), np.int64)
+        n = np.zeros((4, size + 1), np.int64)
         for batch in batches:
-            for y, ids in zip(batch.column("toxic").to_pylist(), _ngrams(_texts(batch))):
-                n[y, ids] += 1
-                n[y, size] += 1
+            for y, f, ids in zip(batch.column("toxic").to_pylist(), batch.column("fold").to_pylist(), _ngrams(_texts(batch))):
+                n[2 * f + y, ids] += 1
+                n[2 * f + y, size] += 1
         at = np.flatnonzero(n.sum(0))
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[0, at]), pa.array(n[1, at])], names=["bin", "clean", "toxic"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(c[at]) for c in n)], names=names)
         trim()
 
-    got = rows.mapInArrow(count, "bin int, clean long, toxic long").groupBy("bin").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()  # at most 2**BITS + 1 rows
-    n = np.zeros((2, size + 1))
-    n[0, got["bin"]], n[1, got["bin"]] = got["clean"], got["toxic"]
-    return n[:, :size], n[:, size]
+    got = rows.mapInArrow(count, "bin int, n0 long, n1 long, n2 long, n3 long").groupBy("bin").agg(*(F.sum(c).alias(c) for c in names[1:])).toPandas()  # at most 2**BITS + 1 rows
+    n = np.zeros((4, size + 1))
+    for k, c in enumerate(names[1:]):
+        n[k, got["bin"]] = got[c]
+    return n.reshape(2, 2, size + 1)
+
+
+def log_ratio(counts: np.ndarray) -> np.ndarray:
+    """Log ratio of each feature's rate in toxic and clean rows; counts as of _class_counts, for one set of rows."""
+    return np.log((counts[1, :-1] + 1) / (counts[1, -1] + 2)) - np.log((counts[0, :-1] + 1) / (counts[0, -1] + 2))
 
 
-def _sample(rows: DataFrame, useful: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(class, useful features) of at most SAMPLE rows of each class."""
+def _sample(rows: DataFrame, useful: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+    """(class, fold, useful features) of the sampled documents."""
+    docs = rows.groupBy("doc_id", "toxic").agg(F.min(F.xxhash64("text")).alias("text_hash"))
     picked = None
     for y in (0, 1):
-        ids = rows.where(F.col("toxic") == y).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+        ids = docs.where(F.col("toxic") == y).select("doc_id", "text_hash").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
         picked = ids if picked is None else picked.union(ids)
 
     held = rows.sparkSession.sparkContext.broadcast(useful)  # 2**BITS flags
@@ -101,44 +120,81 @@ def _sample(rows: DataFrame, useful: np.ndarray) -> list[tuple[int, np.ndarray]]
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [x[held.value[x]].astype("<i4").tobytes() for x in _ngrams(_texts(batch))]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.binary())], names=["toxic", "bins"])
-
-    got = rows.join(F.broadcast(picked), "doc_id").select("toxic", "text").mapInArrow(features, "toxic int, bins binary").toPandas()
-    return [(int(y), np.frombuffer(b, "<i4")) for y, b in zip(got["toxic"], got["bins"])]
-
-
-def fit(docs: DataFrame, labels: DataFrame, steps: int = 300, l2: float = 1.0) -> tuple[np.ndarray, float] | None:
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "toxic", "fold")), pa.array(found, pa.binary())], names=["doc_id", "toxic", "fold", "bins"])
+
+    chosen = rows.withColumn("text_hash", F.xxhash64("text")).join(F.broadcast(picked), ["doc_id", "text_hash"]).dropDuplicates(["doc_id"])
+    kind = dict(rows.dtypes)["doc_id"]
+    found = stored(chosen.select("doc_id", "toxic", "fold", "text").mapInArrow(features, f"doc_id {kind}, toxic int, fold int, bins binary"), "features")
+    before = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)  # SAMPLE rows of each class
+    sized = found.select("doc_id", "toxic", F.coalesce(F.sum(F.octet_length("bins") / 4).over(before), F.lit(0)).alias("before"))
+    got = found.join(F.broadcast(sized.where(F.col("before") < SAMPLE_FEATURES).select("doc_id")), "doc_id").select("doc_id", "toxic", "fold", "bins").orderBy("doc_id").toPandas()
+    out = [(int(y), int(f), np.frombuffer(b, "<i4")) for y, f, b in zip(got["toxic"], got["fold"], got["bins"])]
+    discard(found)
+    return out
+
+
+class Linear:
+    """Logistic loss over features scaled by their ratios; fitted by Adam over all rows at once."""
+
+    def __init__(self, rows: list[tuple[int, int, np.ndarray]], ratio: np.ndarray, least: float, l2: float, steps: int):
+        keep = np.abs(ratio) >= least
+        y = np.array([r[0] for r in rows], np.float32)
+        bins = [r[2][keep[r[2]]] for r in rows]
+        owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(b) for b in bins])
+        bins = np.concatenate(bins or [np.zeros(0, np.int32)])
+        seen = np.zeros(1 << BITS, bool)
+        seen[bins] = True
+        used = np.flatnonzero(seen)
+        bins = (np.cumsum(seen, dtype=np.int32) - 1)[bins]
+        x = ratio[used].astype(np.float32)[bins]
+        share = y.mean() if len(y) else 0.5
+        w, bias = np.zeros(len(used)), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
+        m = v = np.zeros(len(used) + 1)
+        for t in range(1, steps + 1):
+            z = np.bincount(owner, x * w.astype(np.float32)[bins], len(y)) + bias
+            error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y) / max(1, len(y))
+            grad = np.append(np.bincount(bins, x * error.astype(np.float32)[owner], len(used)) + l2 * w / max(1, len(y)), error.sum())
+            m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
+            move = 0.01 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+            w, bias = w - move[:-1], bias - move[-1]
+        self.weights = np.zeros(1 << BITS, np.float32)
+        self.weights[used] = ratio[used] * w
+        self.bias, self.share = bias, share
+
+    def loss(self, rows: list[tuple[int, int, np.ndarray]]) -> float:
+        """Mean logistic loss over other rows."""
+        z = np.array([float(self.weights[b].sum(dtype=np.float64)) for _, _, b in rows]) + self.bias
+        return float(np.mean(np.logaddexp(0, np.where(np.array([r[0] for r in rows]) > 0, -z, z))))
+
+
+def choose(sample: list[tuple[int, int, np.ndarray]], counts: np.ndarray) -> tuple[float, float]:
+    """The setting of the least loss over two folds; each fold's model and ratios come from the other. First of ties."""
+    parts = [[r for r in sample if r[1] == f] for f in (0, 1)]
+    if any(counts[f, y, -1] < 1 for f in (0, 1) for y in (0, 1)) or not all(parts):
+        return SETTINGS[1]
+    losses = []
+    for least, l2 in SETTINGS:
+        trials = [Linear(parts[f], log_ratio(counts[f]), least, l2, TRIAL_STEPS).loss(parts[1 - f]) for f in (0, 1)]
+        losses.append(sum(trials))
+    return SETTINGS[int(np.argmin(losses))]
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
     """Weight of each feature and the bias; None where a class has no training rows."""
     small_batches(docs.sparkSession)
     rows = _training(docs, labels)
-    counts, totals = _class_counts(rows)
-    if totals.min() < 1:
+    counts = _class_counts(rows)
+    totals = counts.sum(0)
+    if totals[:, -1].min() < 1:
         return None
-    p, q = (counts[1] + 1) / (totals[1] + 2), (counts[0] + 1) / (totals[0] + 2)
-    ratio = np.log(p / q)
-    sample = _sample(rows, np.abs(ratio) >= LEAST_RATIO)
-    y = np.array([s[0] for s in sample], np.float32)
-    bins = np.concatenate([s[1] for s in sample] or [np.zeros(0, np.int32)])
-    owner = np.repeat(np.arange(len(sample), dtype=np.int32), [len(s[1]) for s in sample])
-    sample.clear()
-    seen = np.zeros(1 << BITS, bool)
-    seen[bins] = True
-    used = np.flatnonzero(seen)
-    bins = (np.cumsum(seen, dtype=np.int32) - 1)[bins]
-    x = ratio[used].astype(np.float32)[bins]
-    w, bias = np.zeros(len(used)), float(np.log(max(y.mean(), 1e-9) / max(1 - y.mean(), 1e-9))) if len(y) else 0.0
-    m = v = np.zeros(len(used) + 1)
-    for t in range(1, steps + 1):  # Adam over the whole sample
-        z = np.bincount(owner, x * w.astype(np.float32)[bins], len(y)) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y) / max(1, len(y))
-        grad = np.append(np.bincount(bins, x * error.astype(np.float32)[owner], len(used)) + l2 * w / max(1, len(y)), error.sum())
-        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
-        move = 0.01 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        w, bias = w - move[:-1], bias - move[-1]
-    weights = np.zeros(1 << BITS, np.float32)
-    weights[used] = ratio[used] * w
-    shift = np.log(totals[1] / totals[0]) - (np.log(y.sum() / (len(y) - y.sum())) if 0 < y.sum() < len(y) else 0.0)
-    return weights, float(bias + shift)
+    least = min(s[0] for s in SETTINGS)
+    ratio = log_ratio(totals)
+    useful = np.logical_or.reduce([np.abs(r) >= least for r in (ratio, *map(log_ratio, counts))])
+    sample = _sample(rows, useful)
+    model = Linear(sample, ratio, *choose(sample, counts), STEPS)
+    share = model.share
+    shift = np.log(totals[1, -1] / totals[0, -1]) - (np.log(share / (1 - share)) if 0 < share < 1 else 0.0)
+    return model.weights, float(model.bias + shift)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float] | None, text: str = "text", to: str = "score") -> DataFrame:
