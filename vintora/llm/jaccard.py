@@ -1,21 +1,22 @@
 """N-gram Jaccard join by prefix filtering under several global token orders.
 
 A document is the set of its distinct word 5-grams. Two sets with a similarity of 0.8 or more share a token
-among the first n - ceil(0.8 n) + 1 of each, whatever global order of tokens is used. All orders here put
-seldom hashed 5-grams first and differ in how they order equally frequent ones. The first order's prefixes are
-joined by token; a candidate pair must also share prefix tokens under every other order before its overlap is
-counted in full.
-
-Groups of copies never give all their pairs. Equal sets are one node from the start. Nodes that share prefix
-tokens are first compared with one leader; what still lies in different components is then paired through the
-seldom tokens (at most SELDOM nodes hold one, so pairs stay in proportion), and through the frequent ones block by
-block: two blocks of nodes meet in a task, which tells only which components they connect. So components are
-exact, though not every link inside one is looked at.
+among the first n - ceil(0.8 n) + 1 of each, whatever global order of tokens is used. The first order puts seldom
+hashed 5-grams first; the others are pseudo-random orders, independent of it and of each other. The first order's
+prefixes are joined by token; a candidate pair must also share prefix tokens under every other order, which is found
+out from the prefixes alone; only what all filters leave has its sets joined in and counted in full.
+
+Texts are read once: sets are stored by name and read again from there. Groups of copies never give all their pairs.
+Equal sets are one node from the start. Nodes that share prefix tokens are first compared with one leader; what still
+lies in different components is then paired through the seldom tokens (at most SELDOM nodes hold one, so pairs stay
+in proportion), and through the frequent ones block by block: two blocks of nodes meet in a task, which tells only
+which components they connect. Blocks meet only where the tokens that their nodes may still share leave room for a link
+(see _meetings). So components are exact, though not every link inside one is looked at.
 
 Sets and tokens are known by 64-bit hashes. Words are what stands between spaces and the ASCII controls 9-13;
 A-Z count as a-z. Odd input: a text of 1 to 4 words is one shingle; null, empty or blank texts have none and
 are linked with nothing; repeated rows are copies of each other; a null doc_id is kept and never a component's
-name, unless there is no other.
+name, unless there is no other; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintora.llm import tables
@@ -38,6 +39,10 @@ ORDERS = 3
 SELDOM = 12
 #: Nodes in a block.
 BLOCK_NODES = 512
+#: Nodes of large clusters are dealt into size classes that differ by this factor.
+CLASS = 1.05
+#: Ways in which the rows of one key are dealt where a table of that key is joined to them.
+SPREAD = 64
 #: Bits of the table of hashed 5-gram frequencies that gives the orders.
 TABLE_BITS = 22
 #: Most bits of the filter of nodes whose sets are wanted.
@@ -120,10 +125,18 @@ def prefix_size(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1
 
 
+#: The same in SQL.
+PREFIX_SIZE = "(n - floor((4 * n + 4) / 5) + 1)"
+
+
 def in_order(tokens: np.ndarray, ranks: np.ndarray, order: int, with_last: bool = False):
-    """The first prefix_size tokens of a sorted set under an order; with_last adds the place of the last in the order."""
-    own = _mix(tokens + np.uint64(order) * np.uint64(0x632BE59BD9B4E019))
-    key = (ranks[(tokens >> np.uint64(64 - TABLE_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (own >> np.uint64(8))
+    """The first prefix_size tokens of a sorted set under an order; with_last adds the place of the last in the order.
+
+    Order 0 goes by the rank of a token's frequency, ties by hash; any other by a hash of its own.
+    """
+    key = _mix(tokens + np.uint64(order) * np.uint64(0x632BE59BD9B4E019))
+    if not order:
+        key = (ranks[(tokens >> np.uint64(64 - TABLE_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (key >> np.uint64(8))
     first = np.argsort(key, kind="stable")[: prefix_size(len(tokens))]
     return (tokens[first], int(key[first[-1]] >> np.uint64(1))) if with_last else tokens[first]
 
@@ -132,68 +145,92 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return ["" if t is None else t for t in batch.column("text").to_pylist()]
 
 
-def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, node) of every document, and the frequency rank of each table slot."""
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, by: Column, how: str = "inner") -> DataFrame:
+    """rows joined with facts (one row for each key), the rows of a key dealt over SPREAD tasks by the column `by`.
+
+    A fact is copied only to the deals in which its key occurs.
+    """
+    dealt = rows.withColumn("_deal", F.pmod(F.xxhash64(by), F.lit(SPREAD)).cast("int"))
+    copies = dealt.select(key, "_deal").distinct().join(facts, key)
+    return dealt.join(copies, [key, "_deal"], how).drop("_deal")
+
+
+def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """(doc_id, text_hash, n, node) of every document, (node, tokens) of every set, and the frequency rank of each slot.
+
+    A task gives each set once, so a set has a row for each task that saw it.
+    """
+    names_out = ["doc_id", "text_hash", "n", "node", "tokens", "block", "part", "counts"]
+
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         table, seen = np.zeros(1 << TABLE_BITS, np.uint32), set()
         for batch in batches:
-            n, names = [], []
+            n, names, sets = [], [], []
             for s in shingles(_texts(batch)):
                 n.append(len(s))
                 names.append(_signature(s))
-                if names[-1] not in seen:  # copies count once in a task
+                sets.append(None)
+                if len(s) and names[-1] not in seen:  # copies count once in a task
                     seen.add(names[-1])
+                    sets[-1] = s.astype("<u8").tobytes()
                     np.add.at(table, (s >> np.uint64(64 - TABLE_BITS)).astype(np.int64), np.uint32(1))
             nothing = pa.nulls(len(n), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(names, pa.int64()), nothing, nothing, pa.nulls(len(n), pa.binary())], names=names_out)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int32()), pa.array(names, pa.int64()), pa.array(sets, pa.binary()), nothing, nothing, pa.nulls(len(n), pa.binary())], names=names_out)
         for k, part, counts in tables.blocks(table, part):
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([part], pa.int32()), pa.array([counts])], names=names_out)
+            none = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.nulls(1, pa.int32()), none, pa.nulls(1, pa.binary()), pa.array([k], pa.int32()), pa.array([part], pa.int32()), pa.array([counts])], names=names_out)
         del table
         trim()
 
-    names_out = ["doc_id", "n", "node", "block", "part", "counts"]
-
     small_batches(docs.sparkSession)
-    rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(look, "doc_id long, n int, node long, block int, part int, counts binary"), "described")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), "text").mapInArrow(look, "doc_id long, text_hash long, n int, node long, tokens binary, block int, part int, counts binary")
+    rows = stored(rows, "described")
     counts = tables.summed(rows.where("block IS NOT NULL"), 1 << TABLE_BITS)
     ranks = np.minimum(4 * np.log2(1 + counts.astype(float)), 255).astype(np.uint8)
-    return rows.where("block IS NULL").select("doc_id", "n", "node"), ranks
+    sets = rows.where("tokens IS NOT NULL").select("node", "tokens")
+    sets._stored_at = rows._stored_at
+    return rows.where("block IS NULL").select("doc_id", "text_hash", "n", "node"), sets, ranks
+
+
+def _sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for held in batch.column("tokens"):
+        yield np.frombuffer(held.as_buffer(), "<u8")
 
 
-def prefix_rows(docs: DataFrame, ranks) -> DataFrame:
-    """(token, node, n, last): the prefix of each set under the first order, and where it ends. A task gives each set once."""
+def prefix_rows(sets: DataFrame, ranks) -> DataFrame:
+    """(token, node, n, last): the prefix of each set under the first order, and where it ends."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
         for batch in batches:
             tokens, held = [np.zeros(0, np.uint64)], []
-            for s in shingles(_texts(batch)):
-                if len(s) and (name := _signature(s)) not in seen:
-                    seen.add(name)
-                    prefix, last = in_order(s, ranks.value, 0, with_last=True)
-                    tokens.append(prefix)
-                    held.append((name, len(s), last))
+            for s in _sets(batch):
+                prefix, last = in_order(s, ranks.value, 0, with_last=True)
+                tokens.append(prefix)
+                held.append((len(s), last))
             each = [len(t) for t in tokens[1:]]
-            names, sizes, ends = (np.repeat(np.array(x, np.int64), each) for x in (zip(*held) if held else ((), (), ())))
+            sizes, ends = (np.repeat(np.array(x, np.int64), each) for x in (zip(*held) if held else ((), ())))
+            names = np.repeat(batch.column("node").to_numpy(), each)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(names), pa.array(sizes.astype(np.int32)), pa.array(ends)], names=["token", "node", "n", "last"])
         trim()
 
-    return docs.select("text").mapInArrow(look, "token long, node long, n int, last long")
+    return sets.mapInArrow(look, "token long, node long, n int, last long")
 
 
 def shared(rows: DataFrame) -> DataFrame:
-    """rows with `leader`, where two nodes hold the token; the leader is the token's least node.
+    """rows with `leader`, leader_n and leader_last, where two nodes hold the token; the leader is the token's least node.
 
     Rows come sorted by token and node; a task keeps one row and one leader at a time.
     """
     columns = ["token", "node", "n", "last"]
+    names = [*columns, "leader", "leader_n", "leader_last"]
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last row: it is kept back until the next one is seen
-        before = leader = None
+        before, leader = None, (0, 0, 0)
         for batch in batches:
             x = [batch.column(k).to_numpy() for k in columns]
             if held is not None:
@@ -202,20 +239,20 @@ def shared(rows: DataFrame) -> DataFrame:
                 continue
             new = np.concatenate([[True], (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1])])
             x = [a[new] for a in x]
-            t, v = x[:2]
+            t = x[0]
             held = [a[-1] for a in x]
             first = np.concatenate([[before is None or t[0] != before], t[1:] != t[:-1]])
             at = np.maximum.accumulate(np.where(first, np.arange(len(t)), -1))
-            lead = np.where(at >= 0, v[np.maximum(at, 0)], leader if leader is not None else 0)
+            lead = [np.where(at >= 0, a[np.maximum(at, 0)], old).astype(a.dtype) for a, old in zip(x[1:], leader)]
             keep = (~first | np.concatenate([~first[1:], [False]]))[:-1]
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(a[:-1][keep]) for a in (*x, lead)], names=[*columns, "leader"])
+                yield pa.RecordBatch.from_arrays([pa.array(a[:-1][keep]) for a in (*x, *lead)], names=names)
             if len(t) > 1:
-                before, leader = t[-2], lead[-2]
+                before, leader = t[-2], tuple(a[-2] for a in lead)
         if held is not None and before is not None and held[0] == before:
-            yield pa.RecordBatch.from_arrays([pa.array([a]) for a in (*held, leader)], names=[*columns, "leader"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([a], np.int32 if k in (2, 5) else np.int64)) for k, a in enumerate((*held, *leader))], names=names)
 
-    return rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(look, "token long, node long, n int, last long, leader long")
+    return rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(look, "token long, node long, n int, last long, leader long, leader_n int, leader_last long")
 
 
 def _filter_bits(nodes: DataFrame) -> np.ndarray:
@@ -228,45 +265,57 @@ def _filter_bits(nodes: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little")
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def sets_of(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, tokens binary) of the given nodes, and of a few others that the filter lets through."""
-    wanted = docs.sparkSession.sparkContext.broadcast(np.packbits(_filter_bits(nodes)))
+    wanted = sets.sparkSession.sparkContext.broadcast(np.packbits(_filter_bits(nodes)))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = np.unpackbits(wanted.value), set()
+        bits = np.unpackbits(wanted.value)
         for batch in batches:
-            names, sets = [], []
-            for s in shingles(_texts(batch)):
-                if len(s) and bits[(name := _signature(s)) % len(bits)] and name not in seen:
-                    seen.add(name)
-                    names.append(name)
-                    sets.append(s.astype("<u8").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["node", "tokens"])
+            yield batch.filter(pa.array(bits[batch.column("node").to_numpy() % len(bits)] > 0))
         trim()
 
-    return docs.select("text").mapInArrow(look, "node long, tokens binary").dropDuplicates(["node"])
+    return sets.mapInArrow(look, "node long, tokens binary").dropDuplicates(["node"])
+
+
+def prefixes_of(sets: DataFrame, ranks, orders: int = ORDERS) -> DataFrame:
+    """(node, p1, p2, ...): the prefix of each set under every order but the first."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [*_sets(batch)]
+            lists = [pa.array([in_order(s, ranks.value, k).view(np.int64) for s in held], pa.list_(pa.int64())) for k in range(1, orders)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *lists], names=["node", *(f"p{k}" for k in range(1, orders))])
+
+    return sets.mapInArrow(look, ", ".join(["node long", *(f"p{k} array<long>" for k in range(1, orders))]))
+
+
+def _with_sides(pairs: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
+    """pairs (u, v) with the columns of both nodes, u_... and v_...; many pairs may have one v, a leader."""
+    one = lambda side: facts.select(F.col("node").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns))
+    return spread_join(pairs.join(one("u"), "u"), one("v"), "v", F.col("u"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, ranks, orders: int = ORDERS) -> DataFrame:
-    """(u, v, similar) of the pairs (u, v): sharing prefix tokens under every other order, then 100 |A & B| >= 80 |A | B|."""
+    """The pairs (u, v) that share prefix tokens under every other order and have 100 |A & B| >= 80 |A | B|.
+
+    The filters are intersected on prefixes; only the pairs that are left get their sets.
+    """
+    others = [f"p{k}" for k in range(1, orders)]
+    if others:
+        both = _with_sides(pairs, prefixes_of(sets, ranks, orders), others)
+        pairs = both.where(" AND ".join(f"arrays_overlap(u_{p}, v_{p})" for p in others)).select("u", "v")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-                a, b = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-                small, large = sorted((len(a), len(b)))
-                ok = 5 * small >= 4 * large
-                ok = ok and all(len(np.intersect1d(in_order(a, ranks.value, k), in_order(b, ranks.value, k), assume_unique=True)) for k in range(1, orders))
-                if ok:
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    ok = 100 * both >= 80 * (len(a) + len(b) - both)
-                out.append(bool(ok))
-            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(out, pa.bool_())], names=["u", "v", "similar"])
-
-    left = sets.select(F.col("node").alias("u"), F.col("tokens").alias("a"))
-    right = sets.select(F.col("node").alias("v"), F.col("tokens").alias("b"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(look, "u long, v long, similar boolean")
+            for a, b in zip(batch.column("u_tokens"), batch.column("v_tokens")):
+                a, b = np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                out.append(100 * both >= 80 * (len(a) + len(b) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(out, pa.bool_()))
+
+    return _with_sides(pairs, sets, ["tokens"]).select("u", "v", "u_tokens", "v_tokens").mapInArrow(look, "u long, v long")
 
 
 def _may_link(common, n, m, last, other_last):
@@ -301,30 +350,51 @@ def _postings(sets: list[np.ndarray], tokens: list[np.ndarray]) -> np.ndarray:
 def _meetings(nodes: DataFrame) -> DataFrame:
     """nodes (cluster, node, n, ...) once for each pair of blocks in which they meet: meeting, and side 0 or 1.
 
-    Blocks hold nodes of one cluster and size class; classes differ by a factor of 1.25, so links lie within a
-    class or between neighbours. A class is split by hash into as many blocks as its size asks for.
+    What two nodes may share, once their seldom tokens are done with, is the frequent tokens of their prefixes and what
+    lies behind the prefix of the one that ends first. So a node takes, as the one that ends first, only partners up to a
+    size of 9/4 x - n, x being its frequent prefix tokens and all tokens behind; letters of one form that differ in more
+    than a ninth of their tokens take none of their own size and never meet. A small cluster is one block. In a large
+    one, takers (side 0, by class and largest class taken) meet the blocks (side 1) of each class they take.
     """
-    nodes = nodes.withColumn("size_class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int"))
-    parts = nodes.groupBy("cluster", "size_class").agg(F.ceil(F.count("*") / F.lit(BLOCK_NODES)).cast("int").alias("blocks"))
-    above = parts.select("cluster", (F.col("size_class") - 1).alias("size_class"), F.col("blocks").alias("above"))
-    below = parts.select("cluster", (F.col("size_class") + 1).alias("size_class"), F.col("blocks").alias("below"))
-    with_parts = nodes.join(parts, ["cluster", "size_class"]).join(above, ["cluster", "size_class"], "left").join(below, ["cluster", "size_class"], "left")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    name = lambda c, i, d, j: F.struct(F.col("cluster"), c.alias("c"), i.alias("i"), d.alias("d"), j.alias("j"))
-    c, none = F.col("size_class"), F.array().cast("array<int>")
-    upto = lambda n: F.when(F.coalesce(n, F.lit(0)) > 0, F.sequence(F.lit(0), n - 1)).otherwise(none)
-    same = F.transform(upto(F.col("blocks")), lambda j: F.struct(name(c, F.least(F.col("own"), j), c, F.greatest(F.col("own"), j)).alias("meeting"), F.when(F.col("own") <= j, 0).otherwise(1).alias("side")))
-    up = F.transform(upto(F.col("above")), lambda j: F.struct(name(c, F.col("own"), c + 1, j).alias("meeting"), F.lit(0).alias("side")))
-    down = F.transform(upto(F.col("below")), lambda j: F.struct(name(c - 1, j, c, F.col("own")).alias("meeting"), F.lit(1).alias("side")))
-    held = with_parts.withColumn("own", own).select("node", "n", "last", "component", "tokens", F.inline(F.concat(same, up, down)))
-    return held.withColumn("meeting", F.xxhash64("meeting.*"))
+    left = F.size("tokens") + F.col("n") - F.expr(PREFIX_SIZE)
+    takes = F.least(F.floor(F.lit(9) * left / 4) - F.col("n"), F.floor(F.col("n") * 5 / F.lit(4)))
+    of = lambda c: F.floor(F.log(c.cast("double")) / F.log(F.lit(CLASS)) + 1e-9).cast("int")
+    nodes = nodes.withColumns({"takes": takes.cast("long"), "c": of(F.col("n"))})
+    nodes = nodes.withColumns({"top": F.when(F.col("takes") * 5 >= F.col("n") * 4, of(F.col("takes"))), "low": of(F.ceil(F.col("n") * 4 / F.lit(5)))})
+    size = nodes.groupBy("cluster").agg(F.count("*").alias("size"))
+    nodes = spread_join(nodes, size, "cluster", F.col("node"))
+    small = nodes.where(F.col("size") <= BLOCK_NODES)
+    kept = ["node", "n", "last", "component", "tokens"]
+    alone = small.select(*kept, F.xxhash64(F.lit("alone"), "cluster").alias("meeting"), F.lit(0).alias("side"))
+
+    large = nodes.where(F.col("size") > BLOCK_NODES)
+    blocks = F.ceil(F.count("*") / F.lit(BLOCK_NODES)).cast("int")
+    takers = large.where("top IS NOT NULL").groupBy("cluster", "c", "low", "top").agg(blocks.alias("takers"))
+    taken = large.groupBy("cluster", F.col("c").alias("d")).agg(blocks.alias("blocks"))
+    # a row for each taker group and class it takes: some dozens for each cluster of many nodes
+    met = takers.withColumn("d", F.explode(F.sequence("low", "top"))).join(taken, ["cluster", "d"])
+    name = lambda i, j: F.xxhash64("cluster", "c", "low", "top", i, "d", j)
+    own = lambda n: F.pmod(F.xxhash64("node", F.lit("deal")), n).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    gather = lambda keys, *more: met.groupBy(*keys).agg(F.collect_list(F.struct(*more)).alias("met"))
+
+    def dealt(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+        key = F.xxhash64(*keys).alias("_key")
+        return spread_join(rows.withColumn("_key", key), facts.select(key, "met"), "_key", F.col("node"))
+
+    first = dealt(large.where("top IS NOT NULL").select("cluster", "c", "low", "top", *kept), gather(["cluster", "c", "low", "top"], "d", "takers", "blocks"), ["cluster", "c", "low", "top"])
+    first = first.select("cluster", "c", "low", "top", *kept, F.explode("met").alias("m")).select("*", "m.*").withColumns({"i": own(F.col("takers"))}).withColumn("j", upto(F.col("blocks")))
+    second = dealt(large.select("cluster", F.col("c").alias("d"), *kept), gather(["cluster", "d"], "c", "low", "top", "takers", "blocks"), ["cluster", "d"])
+    second = second.select("cluster", "d", *kept, F.explode("met").alias("m")).select("*", "m.*").withColumns({"j": own(F.col("blocks"))}).withColumn("i", upto(F.col("takers")))
+    both = [rows.select(*kept, name("i", "j").alias("meeting"), F.lit(side).alias("side")) for side, rows in ((0, first), (1, second))]
+    return alone.unionByName(both[0]).unionByName(both[1])
 
 
 def _sides(group: pa.Table):
-    """Records of the two sides of a meeting; a block that meets itself stands on both."""
+    """Records of the two sides of a meeting; a small cluster, with side 0 alone, stands on both."""
     rows = group.to_pylist()
     left, right = [r for r in rows if r["side"] == 0], [r for r in rows if r["side"] == 1]
-    return left, right or left, not right
+    return (left, right, False) if right else (left, left, True)
 
 
 def _matrix(left, right, alone: bool, tokens: str):
@@ -374,25 +444,26 @@ def _block_links(group: pa.Table, ranks: np.ndarray) -> pa.Table:
     return pa.table({"u": pa.array([x for x, _ in out], pa.int64()), "v": pa.array([x for _, x in out], pa.int64())})
 
 
-def links(docs: DataFrame, ranks) -> DataFrame:
+def links(sets: DataFrame, ranks) -> DataFrame:
     """(node, component) of the nodes linked with another."""
-    rows = stored(shared(prefix_rows(docs, ranks)), "shared")
-    facts = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("last").alias("last"))
-    one = lambda name, *more: facts.select(F.col("node").alias(name), *(F.col(x).alias(f"{name}_{x}") for x in ("n", "last", *more)))
+    rows = stored(shared(prefix_rows(sets, ranks)), "shared")
     fits = "5 * least(u_n, v_n) >= 4 * greatest(u_n, v_n)"
     may = lambda common: _may_link(common, F.col("u_n"), F.col("v_n"), F.col("u_last"), F.col("v_last"))
 
     def checked(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "pairs")
+        pairs = stored(pairs.select("u", "v"), "pairs")
         wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-        found = stored(verified(pairs.select("u", "v"), sets_of(docs, wanted), ranks).where("similar").select("u", "v"), "links")
-        discard(pairs)
+        own = stored(sets_of(sets, wanted), "sets")
+        found = stored(verified(pairs, own, ranks), "links")
+        discard(pairs, own)
         return found
 
     # each node with the leader it shares most prefix tokens with
-    count = rows.where("leader <> node").groupBy("node", "leader").count()
-    best = count.groupBy("node").agg(F.max(F.struct("count", (-F.col("leader")).alias("l"))).alias("b")).select(F.col("node").alias("u"), (-F.col("b.l")).alias("v"), F.col("b.count").alias("common"))
-    first = checked(best.join(one("u"), "u").join(one("v"), "v").where(fits).where(may(F.col("common"))))
+    facts = ("n", "last", "leader_n", "leader_last")
+    count = rows.where("leader <> node").groupBy("node", "leader").agg(F.count("*").alias("common"), *(F.first(c).alias(c) for c in facts))
+    best = count.groupBy("node").agg(F.max(F.struct("common", (-F.col("leader")).alias("l"), *facts)).alias("b"))
+    best = best.select(F.col("node").alias("u"), (-F.col("b.l")).alias("v"), "b.common", *(F.col(f"b.{c}").alias(d) for c, d in zip(facts, ("u_n", "u_last", "v_n", "v_last"))))
+    first = checked(best.where(fits).where(may(F.col("common"))))
     found = components(first)
 
     # tokens that still hold nodes of several components
@@ -411,24 +482,27 @@ def links(docs: DataFrame, ranks) -> DataFrame:
 
     # through frequent tokens, block by block
     clusters = components(often.select(F.col("node").alias("u"), F.col("leader").alias("v"))).withColumnRenamed("component", "cluster")
-    nodes = often.groupBy("node", "n", "last", "component").agg(F.collect_list("token").alias("tokens")).join(clusters, "node")
-    meeting = _meetings(nodes)
-    left_over = stored(meeting.groupBy("meeting").applyInArrow(_survivors, "meeting long, side int, node long, n int, component long"), "meetings")
-    sets = sets_of(docs, left_over.select("node").distinct()).withColumnRenamed("tokens", "a")
-    third = stored(left_over.join(sets, "node").groupBy("meeting").applyInArrow(lambda g: _block_links(g, ranks.value), "u long, v long"), "links")
+    nodes = stored(often.groupBy("node", "n", "last", "component").agg(F.collect_list("token").alias("tokens")).join(clusters, "node"), "often")
+    left_over = stored(_meetings(nodes).groupBy("meeting").applyInArrow(_survivors, "meeting long, side int, node long, n int, component long"), "meetings")
+    own = sets_of(sets, left_over.select("node").distinct()).withColumnRenamed("tokens", "a")
+    third = stored(left_over.join(own, "node").groupBy("meeting").applyInArrow(lambda g: _block_links(g, ranks.value), "u long, v long"), "links")
     out = components(first.unionByName(second).unionByName(third))
-    discard(rows, held, left_over, first, second, third)
+    discard(rows, held, nodes, left_over, first, second, third)
     return out
 
 
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash (xxhash64 of the text), n, component (a name; null without words): one row for each row of docs."""
+    described, sets, table = describe(docs)
+    found = links(sets, docs.sparkSession.sparkContext.broadcast(table))
+    named = spread_join(described.where("n > 0"), found, "node", F.col("doc_id"), "left")
+    return described.where("n = 0").select("doc_id", "text_hash", "n", F.lit(None).cast("long").alias("component")).unionByName(named.select("doc_id", "text_hash", "n", F.coalesce("component", "node").alias("component")))
+
+
 def join_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: one row for each row of docs."""
-    described, table = describe(docs)
-    ranks = docs.sparkSession.sparkContext.broadcast(table)
-    found = links(docs, ranks).withColumnRenamed("node", "linked")
-    own = described.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
-    named = own.join(found, F.col("node") == F.col("linked"), "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    names = named.select("node", "component").join(least, "component").select("node", "component_id")
-    full = described.where("n > 0").join(names, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
-    return full.unionByName(described.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    rows = stored(groups(docs), "groups")
+    least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    linked = spread_join(rows.where("component IS NOT NULL"), least, "component", F.col("doc_id"))
+    alone = rows.where("component IS NULL").withColumn("component_id", F.col("doc_id"))
+    return linked.unionByName(alone, allowMissingColumns=True).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")

@@ -1,21 +1,24 @@
 """Approximate nearest neighbours by collision counting with virtual rehashing.
 
-Every vector is projected on fixed lines, and each line keeps its vectors sorted. A query opens a window around
-its own place on every line; a vector in the window of enough lines has collided. Windows widen level by level
-(virtual rehashing: no table is built anew) until enough vectors collided, and those are verified exactly in
-double precision. Largest inner product becomes smallest distance by one added dimension, sqrt(M^2 - |x|^2)
-with M the largest norm.
-
-Rows are indexed where they lie, in blocks of BLOCK vectors; queries are broadcast in groups of a bounded size,
-so no vector is shuffled. Odd input: vectors that are null, empty, zero or hold null or non-finite components
-take no part; only vectors of one dimension are compared; repeated rows are candidates of their own; ties go to
-the smaller id; with fewer candidates than asked for, all are returned.
+Every vector is projected on fixed lines, and each line keeps its vectors sorted. A query opens a window around its own
+place on every line and walks outward: what a wider window adds on a line is counted, and nothing is looked at twice. A
+vector in the windows of enough lines has collided. Windows widen level by level (virtual rehashing: no table is built
+anew) until enough vectors collided, and those are verified exactly in double precision. Largest inner product becomes
+smallest distance by one added dimension, sqrt(M^2 - |x|^2) with M the largest norm; for projections only, vectors
+are divided by the largest component, so no square over- or underflows.
+
+The index is built once and stored: blocks of BLOCK vectors with their order on each line. Queries, packed in chunks of
+QUERIES, are shuffled to the blocks; a task holds one block and one chunk at a time, and each block answers with its k
+best, which are merged by query. Odd input: vectors that are null, empty, zero or hold null or non-finite components
+take no part, every other one does; only vectors of one dimension are compared; repeated rows are candidates of their
+own, but rows with the query's id are none; a repeated query row is asked once, and two vectors under one id are
+answered together; ties go to the smaller id; with fewer candidates than asked for, all are returned; extra columns
+are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vintora.llm._io import small_batches, stored, trim
+
 #: Vectors indexed together; places on a line fit 16 bits.
 BLOCK = 16_384
-#: Bytes of query vectors broadcast at a time.
-QUERY_BYTES = 16 << 20
+#: Queries shuffled together.
+QUERIES = 1024
 LINES = 64
 #: Share of the lines on which a vector must fall into the window.
 COLLISIONS = 0.75
@@ -35,6 +40,10 @@ FIRST, GROWTH = 1.15, 1.15
 #: A block's windows widen until this share of its vectors collided, and at least as many as asked for.
 VERIFY = 0.1
 
+INDEX = "block long, dimension int, ids binary, vectors binary, orders binary"
+CHUNK = "dimension int, ids binary, vectors binary"
+FOUND = "query_id long, vec_id long, score double"
+
 
 def lines(dimension: int, count: int = LINES) -> np.ndarray:
     """Fixed directions, orthogonal in groups of `dimension`."""
@@ -43,109 +52,153 @@ def lines(dimension: int, count: int = LINES) -> np.ndarray:
     return np.concatenate(bases)[:count]
 
 
+def _places(vectors: np.ndarray, scale: float, most: float | None) -> np.ndarray:
+    """Places on the lines, line by line; vectors get the added dimension if `most`, their largest scaled norm, is given."""
+    v = vectors / scale
+    rest = np.zeros(len(v)) if most is None else np.sqrt(np.maximum(most * most - (v * v).sum(1), 0))
+    return np.ascontiguousarray((np.concatenate([v, rest[:, None]], 1) @ lines(v.shape[1] + 1).T).T)
+
+
 class Block:
-    """Sorted projections of some vectors."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, most: float):
-        self.ids, self.vectors = ids, vectors
-        rest = np.sqrt(np.maximum(most * most - (vectors * vectors).sum(1), 0))
-        self.lines = lines(vectors.shape[1] + 1)
-        places = np.concatenate([vectors, rest[:, None]], 1) @ self.lines.T
-        places = np.ascontiguousarray(places.T)
-        order = np.argsort(places, 1, kind="stable")
-        self.sorted = np.take_along_axis(places, order, 1)
-        #: place of each vector in the sorted order of each line
-        self.place = np.empty(places.shape, np.uint16)
-        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=np.uint16)[None, :], 1)
+    """Some vectors and their order on each line."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, scale: float, most: float, orders: np.ndarray | None = None):
+        self.ids, self.vectors, self.scale = ids, vectors, scale
+        places = _places(vectors, scale, most)
+        self.orders = np.argsort(places, 1, kind="stable").astype(np.uint16) if orders is None else orders
+        self.sorted = np.take_along_axis(places, self.orders.astype(np.int64), 1)
         self.unit = max(float(places.std()), 1e-12)
 
     def search(self, ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query id, ids, scores) of the nearest vectors found for each query."""
-        n = len(self.ids)
-        need, hits = min(n, k + 1 + int(VERIFY * n)), int(np.ceil(COLLISIONS * len(self.lines)))
-        at = np.concatenate([queries, np.zeros((len(queries), 1))], 1) @ self.lines.T
-        spread = float(np.abs(self.sorted).max() + np.abs(at).max()) + 1 if n and len(queries) else 1.0
-        levels = [FIRST * self.unit]
-        while levels[-1] < spread:
-            levels.append(levels[-1] * GROWTH)
-        window: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-        def edges(level: int) -> tuple[np.ndarray, np.ndarray]:
-            """Where each query's window begins on each line, and how many vectors it holds."""
-            if level not in window:
-                low, high = (np.stack([np.searchsorted(s, at[:, j] + d, side) for j, s in enumerate(self.sorted)], 1) for d, side in ((-levels[level], "left"), (levels[level], "right")))
-                window[level] = low.astype(np.uint16), np.minimum(high - low, 65_535).astype(np.uint16)
-            return window[level]
+        n, count = len(self.ids), len(self.sorted)
+        need, hits = min(n, k + 1 + int(VERIFY * n)), int(np.ceil(COLLISIONS * count))
+        at = _places(queries, self.scale, None)
+        spread = float(np.abs(self.sorted).max() + np.abs(at).max()) + 1
+        widths = [FIRST * self.unit]
+        while widths[-1] < spread:
+            widths.append(widths[-1] * GROWTH)
+        # the last window holds everything, also where rounding would leave a vector out
+        edge: dict[int, tuple[list, list]] = {len(widths) - 1: ([[0] * count] * len(queries), [[n] * count] * len(queries))}
+
+        def edges(level: int) -> tuple[list, list]:
+            """Where each query's window begins and ends on each line."""
+            if level not in edge:
+                low = np.stack([np.searchsorted(s, a - widths[level], "left") for s, a in zip(self.sorted, at)], 1)
+                high = np.stack([np.searchsorted(s, a + widths[level], "right") for s, a in zip(self.sorted, at)], 1)
+                edge[level] = low.tolist(), high.tolist()
+            return edge[level]
 
         for q in range(len(queries)):
-            for level in range(len(levels)):
-                low, wide = edges(level)
-                inside = (self.place - low[q][:, None]) < wide[q][:, None]  # below the window the difference wraps around
-                found = np.flatnonzero(inside.sum(0, dtype=np.uint8 if len(inside) < 256 else np.int32) >= hits)
+            seen = np.zeros(n, np.int64)
+            before = None
+            for level in range(len(widths)):
+                low, high = (e[q] for e in edges(level))
+                if before is None:
+                    added = [o[a:b] for o, a, b in zip(self.orders, low, high)]
+                else:
+                    added = [part for o, a, b, c, d in zip(self.orders, low, *before, high) for part in (o[a:b], o[c:d])]
+                before = low, high
+                seen += np.bincount(np.concatenate(added), minlength=n)
+                found = np.flatnonzero(seen >= hits)
                 if len(found) >= need:
                     break
             found = found[self.ids[found] != ids[q]]
-            rough = self.vectors[found] @ queries[q]
-            if len(found) > k:  # ties at the edge stay in until ids are compared
-                slack = 1e-9 * (np.abs(rough).max() + 1)
-                found = found[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - slack]
-            # summed row by row: equal vectors get equal scores wherever they lie, which a matrix product doesn't promise
-            score = (self.vectors[found] * queries[q]).sum(1)
+            with np.errstate(over="ignore", invalid="ignore"):
+                rough = self.vectors[found] @ queries[q]
+                if len(found) > k and np.isfinite(rough).all():  # ties at the edge stay in until ids are compared
+                    slack = 1e-9 * (np.abs(rough).max() + 1)
+                    found = found[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - slack]
+                # summed row by row: equal vectors get equal scores wherever they lie, which a matrix product doesn't promise
+                score = (self.vectors[found] * queries[q]).sum(1)
             best = np.lexsort((self.ids[found], -score))[:k]
             yield int(ids[q]), self.ids[found[best]], score[best]
 
 
 def usable(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Rows with an id and a vector that takes part; the vector as array<double>, its dimension and norm."""
+    """Rows with an id and a vector that takes part; the vector as array<double>, its dimension and largest component."""
     v = F.col(vector).cast("array<double>")
     rows = vectors.where("vec_id IS NOT NULL").select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("vector"), F.size(v).alias("dimension"))
-    # a null component makes the sum null, which no comparison accepts
-    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    return rows.withColumn("square", square).where("dimension > 0 AND square > 0 AND square < double('Infinity') AND NOT isnan(square)")
+    # a null component makes the largest null, which no comparison accepts; NaN counts as larger than any number
+    largest = F.aggregate("vector", F.lit(0.0), lambda a, x: F.when(x.isNull() | a.isNull(), None).otherwise(F.greatest(a, F.abs(x))))
+    return rows.withColumn("largest", largest).where("dimension > 0 AND largest > 0 AND largest < double('Infinity')")
+
+
+def _packed(rows: DataFrame, size: int, schema: str, make) -> DataFrame:
+    """Rows (vec_id, vector, dimension) as rows of `size` vectors of one dimension; make gives a row's columns."""
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    types = [kinds[f.split(" ")[1]] for f in schema.split(", ")]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[int, list] = {}
+        made = 0
+
+        def row(d: int, ids: np.ndarray, data: np.ndarray) -> pa.RecordBatch:
+            nonlocal made
+            made += 1
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(make(made, d, ids, data), types)], names=names)
+
+        for batch in batches:
+            dims = batch.column("dimension").to_numpy()
+            for d in np.unique(dims).tolist():
+                some = batch.filter(pa.array(dims == d))
+                waiting.setdefault(d, []).append((some.column("vec_id").to_numpy(), some.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)))
+                while sum(len(x[0]) for x in waiting[d]) >= size:
+                    ids, data = (np.concatenate(x) for x in zip(*waiting[d]))
+                    waiting[d] = [(ids[size:], data[size:])]
+                    yield row(d, ids[:size], data[:size])
+        for d, parts in waiting.items():
+            ids, data = (np.concatenate(x) for x in zip(*parts))
+            if len(ids):
+                yield row(d, ids, data)
+        trim()
+
+    return rows.select("vec_id", "vector", "dimension").mapInArrow(pack, schema)
+
+
+def build(rows: DataFrame, shape: dict[int, tuple[float, float]], count: int) -> DataFrame:
+    """The stored index of usable rows: one row for each block. shape: scale and largest scaled norm by dimension."""
+
+    def block(made: int, d: int, ids: np.ndarray, data: np.ndarray):
+        from pyspark import TaskContext
+
+        at = (TaskContext.get().partitionId() << 32) + made
+        return at, d, ids.astype("<i8").tobytes(), data.astype("<f8").tobytes(), Block(ids, data, *shape[d]).orders.astype("<u2").tobytes()
+
+    return stored(_packed(rows.repartition(max(1, -(-count // BLOCK))), BLOCK, INDEX, block), "vector-index")
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each query row, by largest inner product."""
-    spark = vectors.sparkSession
-    rows, asked = usable(vectors, vector), usable(queries, vector).dropDuplicates(["vec_id", "vector"])
-    most = {r[0]: float(r[1]) ** 0.5 for r in rows.groupBy("dimension").agg(F.max("square")).collect()}
-    size = asked.agg(F.count("*"), F.max("dimension")).first()
-    groups = -(-(size[0] * (size[1] or 0) * 8) // QUERY_BYTES)
-
-    def one(group: int) -> DataFrame:
-        own = asked if groups == 1 else asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(groups)) == group)
-        taken = own.select("vec_id", "vector").toPandas()  # QUERY_BYTES or so
-        by_dimension = {}
-        for d in set(map(len, taken["vector"])):
-            some = taken[taken["vector"].map(len) == d]
-            by_dimension[d] = some["vec_id"].to_numpy(np.int64), np.stack(some["vector"].to_list()).astype(np.float64)
-        held = spark.sparkContext.broadcast(by_dimension)
-
-        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            waiting: dict[int, list] = {}
-
-            def found(d: int) -> Iterator[pa.RecordBatch]:
-                all_ids, all_data = (np.concatenate(x) for x in zip(*waiting.pop(d)))
-                for a in range(0, len(all_ids), BLOCK):
-                    got = [*Block(all_ids[a : a + BLOCK], all_data[a : a + BLOCK], most[d]).search(*held.value[d], k)]
-                    asked = np.repeat(np.array([g[0] for g in got], np.int64), [len(g[1]) for g in got])
-                    yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(np.concatenate([g[1] for g in got])), pa.array(np.concatenate([g[2] for g in got]))], names=["query_id", "vec_id", "score"])
-
-            for batch in batches:
-                dims = batch.column("dimension").to_numpy()
-                for d in np.unique(dims).tolist():
-                    if d in held.value:
-                        some = batch.filter(pa.array(dims == d))
-                        waiting.setdefault(d, []).append((some.column("vec_id").to_numpy(), some.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)))
-                        if sum(len(x[0]) for x in waiting[d]) >= BLOCK:
-                            yield from found(d)
-            for d in [*waiting]:
-                yield from found(d)
-
-        return rows.select("vec_id", "vector", "dimension").mapInArrow(look, "query_id long, vec_id long, score double")
-
-    if not groups:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    near = reduce(DataFrame.unionByName, map(one, range(groups)))
+    small_batches(vectors.sparkSession)
+    rows = usable(vectors, vector)
+    asked = usable(queries, vector).dropDuplicates(["vec_id", "vector"])
+    facts = rows.groupBy("dimension").agg(F.max("largest").alias("scale"), F.count("*").alias("n"))  # a row for each dimension
+    scaled = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / F.col("scale")) * (x / F.col("scale")))
+    norms = rows.join(F.broadcast(facts), "dimension").groupBy("dimension", "scale", "n").agg(F.max(scaled).alias("square")).collect()
+    shape = {r["dimension"]: (r["scale"], float(r["square"]) ** 0.5) for r in norms}
+    index = build(rows, shape, sum(r["n"] for r in norms))
+    chunks = _packed(asked, QUERIES, CHUNK, lambda made, d, ids, data: (d, ids.astype("<i8").tobytes(), data.astype("<f8").tobytes()))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A block's own row comes before the chunks that are asked of it."""
+        now = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                d = row["dimension"]
+                ids, data = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["vectors"], "<f8").reshape(-1, d)
+                if row["orders"] is not None:
+                    now = Block(ids, data, *shape[d], np.frombuffer(row["orders"], "<u2").reshape(-1, len(ids)))
+                    continue
+                got = [*now.search(ids, data, k)]
+                who = np.repeat(np.array([g[0] for g in got], np.int64), [len(g[1]) for g in got])
+                yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(np.concatenate([g[1] for g in got])), pa.array(np.concatenate([g[2] for g in got]))], names=["query_id", "vec_id", "score"])
+        trim()
+
+    # a row for each BLOCK vectors: the blocks' names are small
+    sent = chunks.join(F.broadcast(index.select("block", "dimension")), "dimension").withColumn("chunk", F.lit(1))
+    both = index.withColumn("chunk", F.lit(0)).unionByName(sent, allowMissingColumns=True)
+    near = both.repartition("block").sortWithinPartitions("block", "chunk").mapInArrow(look, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
