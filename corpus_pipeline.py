@@ -1,7 +1,9 @@
 """The corpus pipeline: stages applied one after the other to documents.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last return the
-columns of documents. doc_id names a document; rows without one are never dropped by id.
+columns of documents, and columns beyond those the stages read (doc_id, text) pass through whatever their names. A row is
+named by its id and its text, so no row is dropped for what another row of the same id holds, and rows without an id
+are treated like others. Texts are read whole, however long. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -10,46 +12,68 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintora.llm import bpe, decontaminate, jaccard, secrets, toxicity
+from vintora.llm._io import stored
 from vintora.llm.queries import vocabulary
 
-#: Ids are broadcast up to this many; beyond, dropping them shuffles.
+#: Rows are dropped by a broadcast of up to this many; beyond, dropping them shuffles.
 BROADCAST_ROWS = 1_000_000
+#: A text with at least one word of the Jaccard join.
+HAS_WORDS = r"[^\x20\x09-\x0D]"
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    from vintora.llm._io import stored
-
-    ids = stored(ids.select("doc_id").distinct(), "dropped")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_anti").select(docs.columns)
+def _matching(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """docs semi- or anti-joined with rows by (doc_id, text_hash); null ids equal each other."""
+    rows = stored(rows.select("doc_id", "text_hash").distinct(), "rows")
+    rows = (F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows).alias("_r")
+    text_hash = F.xxhash64(F.coalesce(F.col("_d.text"), F.lit("")))
+    return docs.alias("_d").join(rows, F.col("_d.doc_id").eqNullSafe(F.col("_r.doc_id")) & (text_hash == F.col("_r.text_hash")), how)
 
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, trained on the labelled rows among them, doesn't reject."""
+    """Documents that the toxicity model, trained on the labelled rows among them, doesn't reject.
+
+    Every row is judged by its own text, so repeated rows go or stay together. Null and empty texts get the prior's score;
+    without labelled rows of both classes nothing is rejected.
+    """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, to="_toxicity").where(F.col("_toxicity") < 0.5).drop("_toxicity")
+    held = toxicity.score(docs.select(F.struct("*").alias("row"), "text"), model)
+    return held.where("score < 0.5").select("row.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each component of near duplicates; repeated rows once."""
-    groups = jaccard.join_documents(docs)
-    kept = _without(docs, groups.where("doc_id <> component_id"))
-    again = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id", "text"]) if again else kept
+    """One document of each component of near duplicates: that of the smallest id, then of the smallest text hash.
+
+    An id goes before none. Of rows that repeat id and text one stays. Texts without words (null, empty, blank) are
+    near duplicates of nothing and stay, each row.
+    """
+    groups = stored(jaccard.groups(docs), "groups").where("component IS NOT NULL")
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    best = groups.groupBy("component").agg(F.min(row).alias("row")).select("row.*")
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(HAS_WORDS)
+    kept = _matching(docs.where(worded), best, "left_semi")
+    repeated = groups.groupBy("doc_id", "text_hash").count().where("count > 1")
+    if repeated.limit(1).count():
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.where(~worded))
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
-    return _without(docs, decontaminate.overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    """Documents that overlap no benchmark item. Rows that repeat id and text go or stay together."""
+    return _matching(docs, decontaminate.overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets in their texts masked."""
-    found = secrets.find(docs, secrets.train(secrets.default_samples(spark)))
-    return secrets.redact(found).select(docs.columns)
+    """All documents, with secrets in their texts masked. Null texts stay null; repeated rows are masked alike."""
+    held = docs.select(F.struct("*").alias("row"), "text")
+    masked = secrets.redact(secrets.find(held, secrets.train(secrets.labelled_samples(docs))))
+    return masked.select(F.col("row").withField("text", F.col("text")).alias("row")).select("row.*")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, token_ids, and whether the ids decode to the text."""
+    """doc_id, lang, source, n_tokens, token_ids, and whether the ids decode to the text; a row for each row of docs.
+
+    A null text counts as empty.
+    """
     path = vocabulary("byte_bpe_50k.json")
     coded = bpe.decode_documents(bpe.encode_documents(docs, path), path)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
@@ -69,8 +93,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages' result; each but the last is written to the shared folder and read again."""
-    from vintora.llm._io import stored
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
