@@ -1,13 +1,14 @@
 """Token-id files: documents as one long id sequence, compressed shard by shard with a Re-Pair grammar.
 
-A shard blob is self-contained little-endian binary: a header of five uint32 (magic, base, rules, symbols,
-tokens), then uint32 arrays: left and right symbol of each rule, expansion length of each rule, the compressed
-sequence. A symbol under `base` is a token id; base + k is rule k. Expansion lengths make any token range
-readable without expanding what stands before it.
+A shard blob is self-contained little-endian binary: a header of seven uint32 (magic, base, rules, symbols, tokens,
+bits of a symbol, bits of a length), then numbers packed to these bits: left and right symbol of each rule, expansion
+length of each rule, the compressed sequence. A symbol under `base` is a token id; base + k is rule k. Expansion
+lengths make any token range readable without expanding what stands before it; a shard's row lists its documents and
+their lengths, so `lookup` reads single documents.
 
 Odd input: a null text counts as empty, so a document always holds at least its end id; a null doc_id sorts
-first; repeated rows are documents of their own; no documents give no shards. Columns beyond doc_id and text
-aren't stored.
+first; repeated rows are documents of their own, in the order of their texts' hashes; no documents give no shards.
+Columns beyond doc_id and text aren't stored.
 """
 
 from __future__ import annotations
@@ -29,81 +30,123 @@ from pyspark.sql.window import Window
 from vintora.llm import _io
 from vintora.llm.bpe import by_bytes, byte_alphabet
 
-MAGIC = 0x52504331
+MAGIC = 0x52504332
 #: Tokens after which a shard is closed.
 SHARD_TOKENS = 1 << 20
-#: A pair is replaced while it occurs at least this often in its shard.
-LEAST = 16
-#: Rounds end once one of them shortens the sequence by less than this share.
-GAIN = 0.004
+#: A pair is replaced while it can be replaced so often in its shard. Three symbols less pay for a rule: two symbols and
+#: a length.
+LEAST = 3
 #: Words remembered by a worker before its memory is cleared.
 MEMO = 800_000
 BATCH_BYTES = 1 << 22
 
 
+def _packed(x: np.ndarray, bits: int) -> bytes:
+    """Numbers as planes of their whole bytes, then of the bits left."""
+    whole = bits // 8
+    planes = [((x >> 8 * k) & 255).astype(np.uint8).tobytes() for k in range(whole)]
+    return b"".join([*planes, *(np.packbits((x >> k) & 1 > 0).tobytes() for k in range(8 * whole, bits))])
+
+
+def _unpacked(blob: bytes, at: int, n: int, bits: int) -> tuple[np.ndarray, int]:
+    """n numbers that begin at a byte, and where they end."""
+    out = np.zeros(n, np.uint32)
+    for k in range(bits // 8):
+        out |= np.frombuffer(blob, np.uint8, n, at).astype(np.uint32) << np.uint32(8 * k)
+        at += n
+    for k in range(8 * (bits // 8), bits):
+        out |= np.unpackbits(np.frombuffer(blob, np.uint8, -(-n // 8), at), count=n).astype(np.uint32) << np.uint32(k)
+        at += -(-n // 8)
+    return out, at
+
+
+def _frequent(seq: np.ndarray, after: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the places `at`, those whose pair stands at `least` of them: (places, number of the pair, pairs, counts)."""
+    a, b = seq[at], seq[after[at]]
+    if len(at) > 1 << 14:  # most places go by counting hashed pairs, which never counts too few
+        slots = 1 << 18
+        mixed = (a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))
+        slot = (mixed ^ (mixed >> np.uint32(13))) & np.uint32(slots - 1)
+        often = np.bincount(slot, minlength=slots)[slot] >= least
+        at, a, b = at[often], a[often], b[often]
+    key = (a.astype(np.uint64) << np.uint64(32)) | b
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(first, len(key)))
+    pair = np.empty(len(at), np.int64)
+    pair[order] = np.repeat(np.arange(len(first)), counts)
+    keep = counts[pair] >= least
+    return at[keep], pair[keep], key[first], counts
+
+
 def compress(ids: np.ndarray, base: int, least: int = LEAST) -> bytes:
     """A shard blob.
 
-    Each round counts all pairs and replaces, wherever frequent pairs overlap, the one that is locally the most
-    frequent; rounds go on while a pair occurs `least` times and the sequence gets shorter by GAIN. Pairs are counted in hashed slots; the second pair
-    of a slot waits for a later round, whose hash differs.
+    Each round replaces, wherever frequent pairs overlap, the one that is locally the most frequent, and every second
+    of equally frequent ones that overlap in a row; rounds go on until no pair can be replaced `least` times. Symbols
+    stay where they are and are linked. A round looks only at places whose pair may still be frequent: those of frequent
+    pairs that were not replaced, and those next to new symbols, where alone new pairs arise.
     """
-    seq = ids.astype(np.uint32)
-    lefts, rights, lengths = [], [], []
-    length = np.ones(base, np.int64)
-    slots = 1 << 18
-    owner = np.zeros(slots, np.uint64)
-    made = turn = 0
-    before = 2 * len(seq) + 2
-    while len(seq) > 1 and len(seq) <= (1 - GAIN) * before:
-        turn, before = turn + 1, len(seq)
-        mixed = (seq[:-1] * np.uint32(0x9E3779B1 + 2 * turn)) ^ (seq[1:] * np.uint32(0x85EBCA6B + 4 * turn))
-        slot = ((mixed ^ (mixed >> np.uint32(13))) & np.uint32(slots - 1)).astype(np.int64)
-        at = np.flatnonzero(np.bincount(slot, minlength=slots)[slot] >= least)
-        pair, slot = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1], slot[at]
-        owner[slot] = pair
-        own = owner[slot] == pair
-        at, slot = at[own], slot[own]
-        count = np.bincount(slot, minlength=slots)[slot]
-        often = count >= least
-        at, slot, count = at[often], slot[often], count[often]
+    n = len(ids)
+    seq, alive, made = ids.astype(np.uint32), np.ones(n + 1, bool), base
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
+    lefts, rights, sizes = [], [], []
+    size = np.ones(base, np.int64)
+    at = np.arange(max(0, n - 1), dtype=np.int32)
+    while len(at):
+        at, pair, pairs, counts = _frequent(seq, after, at, least)
         if not len(at):
             break
-        touch = np.diff(at) == 1
-        beats_left = np.concatenate([[True], ~touch | (count[1:] > count[:-1])])
-        beats_right = np.concatenate([~touch | (count[:-1] >= count[1:]), [True]])
-        taken = beats_left & beats_right
-        at, slot = at[taken], slot[taken]
-        used = np.bincount(slot, minlength=slots)
-        good = np.flatnonzero(used >= 2)
+        count = counts[pair]
+        touch = after[at[:-1]] == at[1:]
+        row = np.arange(len(at))
+        begin = np.maximum.accumulate(np.where(np.concatenate([[True], ~touch | (count[1:] != count[:-1])]), row, 0))
+        loses = np.concatenate([[False], touch & (count[:-1] > count[1:])]) | np.concatenate([touch & (count[1:] > count[:-1]), [False]])
+        taken = ((row - begin) % 2 == 0) & ~loses
+        enough = np.bincount(pair[taken], minlength=len(counts)) >= least
+        good = np.flatnonzero(enough)
         if not len(good):
             break
-        rule = np.full(slots, -1, np.int64)
-        rule[good] = base + made + np.arange(len(good))
-        made += len(good)
-        left, right = (owner[good] >> np.uint64(32)).astype(np.uint32), (owner[good] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        left, right = (pairs[good] >> np.uint64(32)).astype(np.uint32), (pairs[good] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         lefts.append(left)
         rights.append(right)
-        lengths.append(length[left] + length[right])
-        length = np.concatenate([length, lengths[-1]])
-        new = rule[slot]
-        at, new = at[new >= 0], new[new >= 0]
-        seq[at] = new.astype(np.uint32)
-        stay = np.ones(len(seq), bool)
-        stay[at + 1] = False
-        seq = seq[stay]
-    one = lambda x: np.concatenate([np.zeros(0, np.uint32), *x]).astype("<u4")
-    left, right, size = one(lefts), one(rights), one(lengths)
-    head = np.array([MAGIC, base, len(left), len(seq), len(ids)], "<u4")
-    return b"".join(x.tobytes() for x in (head, left, right, size, seq.astype("<u4")))
+        sizes.append(size[left] + size[right])
+        size = np.concatenate([size, sizes[-1]])
+        rule = np.zeros(len(counts), np.uint32)
+        rule[good] = made + np.arange(len(good))
+        made += len(good)
+        taken &= enough[pair]
+        here = at[taken]
+        gone = after[here]
+        seq[here], alive[gone] = rule[pair[taken]], False
+        next_ = after[here] = after[gone]
+        inside = next_ < n
+        before[next_[inside]] = here[inside]
+        look = np.zeros(n, bool)
+        look[at] = look[here] = True
+        behind = before[here]
+        look[behind[behind >= 0]] = True
+        at = np.flatnonzero(look & alive[:n]).astype(np.int32)
+        at = at[after[at] < n]
+    one = lambda x: np.concatenate([np.zeros(0, np.uint32), *x]).astype(np.uint32)
+    left, right, length, left_over = one(lefts), one(rights), one(sizes), seq[alive[:n]]
+    bits, length_bits = max(1, int(made - 1).bit_length()), int(length.max(initial=0)).bit_length()
+    head = np.array([MAGIC, base, len(left), len(left_over), n, bits, length_bits], "<u4").tobytes()
+    return b"".join([head, *(_packed(x, b) for x, b in ((left, bits), (right, bits), (length, length_bits), (left_over, bits)))])
 
 
 def _parts(blob: bytes):
-    a = np.frombuffer(blob, "<u4")
-    magic, base, rules, symbols, tokens = a[:5].tolist()
-    if magic != MAGIC or len(a) != 5 + 3 * rules + symbols:
+    magic, base, rules, symbols, tokens, bits, length_bits = np.frombuffer(blob, "<u4", 7).tolist() if len(blob) >= 28 else [0] * 7
+    if magic != MAGIC:
+        raise ValueError("not a shard blob")
+    at, out = 28, []
+    for n, b in ((rules, bits), (rules, bits), (rules, length_bits), (symbols, bits)):
+        x, at = _unpacked(blob, at, n, b)
+        out.append(x)
+    if at != len(blob):
         raise ValueError("not a shard blob")
-    left, right, size, seq = np.split(a[5:], np.cumsum([rules, rules, rules]))
+    left, right, size, seq = out
     return base, left, right, size.astype(np.int64), seq, tokens
 
 
@@ -266,8 +309,9 @@ SHARDS = "part int, shard int, n_docs long, n_tokens long, doc_ids array<long>,
 def write_shards(docs: DataFrame, path: str, vocab: str, end_id: int = 1, shard_tokens: int = SHARD_TOKENS) -> None:
     """Write the documents' ids, each followed by end_id, as shards in ascending doc_id order.
 
-    A range exchange orders the documents over partitions; each task packs its own into shards of about
-    shard_tokens tokens (a longer document makes a larger shard).
+    A range exchange orders the documents over partitions, rows of one id by their texts' hashes and places, so no id
+    is one task's; each task packs its own into shards of about shard_tokens tokens (a longer document makes a larger
+    shard).
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,8 +350,9 @@ def write_shards(docs: DataFrame, path: str, vocab: str, end_id: int = 1, shard_
             yield closed()
 
     _io.small_batches(docs.sparkSession)
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    ordered.mapInArrow(pack, SHARDS).write.parquet(path)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"))
+    order = ("doc_id", "text_hash", "row")
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(pack, SHARDS).write.parquet(path)
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
@@ -336,6 +381,29 @@ def read_documents(shards: DataFrame) -> DataFrame:
     return rows.join(base, ["part", "shard"]).select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def lookup(shards: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, token_ids: the stored documents with an id in ids (doc_id), a row for each; null ids name none.
+
+    The documents' places are found without reading a blob; a shard's blob is then read once, and of it only the
+    symbols that cover a wanted document are expanded.
+    """
+    wanted = ids.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    places = shards.select("part", "shard", F.posexplode("doc_ids").alias("place", "doc_id")).join(wanted, "doc_id")
+    asked = places.groupBy("part", "shard").agg(F.collect_list("place").alias("asked"))  # documents of one shard
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                size = np.array(row["doc_tokens"], np.int64)
+                start = np.cumsum(size) - size
+                found = [expand_range(row["blob"], int(start[k]), int(size[k])).astype(np.int32) for k in row["asked"]]
+                yield pa.RecordBatch.from_arrays([pa.array([row["doc_ids"][k] for k in row["asked"]], pa.int64()), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "token_ids"])
+
+    _io.small_batches(shards.sparkSession)
+    columns = ["blob", "doc_ids", "doc_tokens", "asked"]
+    return shards.join(asked, ["part", "shard"]).select(*columns).mapInArrow(read, "doc_id long, token_ids array<int>")
+
+
 def round_trip(docs: DataFrame, vocab: str, end_id: int = 1) -> DataFrame:
     """Write the shards to the shared folder and read the documents back from them."""
     import uuid
