@@ -29,6 +29,13 @@ def newest(rows: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
+def of_years(rows: DataFrame, years: Sequence[int]) -> DataFrame:
+    """Rows of some reference years; a stored log's folders of other years aren't opened."""
+    if "ref_year" in rows.columns:
+        rows = rows.where(F.col("ref_year").cast("int").isin(*years))
+    return rows.where(F.year("ref_date").isin(*years))
+
+
 def as_of(log: DataFrame, committed: DataFrame, at: Column, *, strict: bool = True, first_instant: Column | None = None, years: Sequence[int] | None = None, key: Sequence[str] = KEY) -> DataFrame:
     """The state at an instant. A strict reading before first_instant is empty; at it, the seed is visible."""
     rows = log.where(F.col("knowledge_time") <= at)
@@ -37,18 +44,25 @@ def as_of(log: DataFrame, committed: DataFrame, at: Column, *, strict: bool = Tr
         if first_instant is not None:
             rows = rows.where(at >= first_instant)
     if years is not None:
-        rows = rows.where(F.year("ref_date").isin(*years))
+        rows = of_years(rows, years)
     return newest(visible(rows, committed), key).where("change_kind <> 'deleted'")
 
 
-def as_of_spine(log: DataFrame, spine: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """For each row of spine (key columns and `at`): the newest log row known then, deletions dropped.
+def as_of_spine(log: DataFrame, committed: DataFrame, spine: DataFrame, *, strict: bool = True, until: Column | None = None, key: Sequence[str] = KEY) -> DataFrame:
+    """For each row of spine (key columns and `at`): the newest visible log row known then, deletions dropped.
 
     Log and spine are laid one after the other in time per key, and the last log row before each spine row is
-    carried forward: one exchange, no range join.
+    carried forward: one exchange, no range join. Rows that no spine row can see stay out of it: those of releases that
+    were not committed, of provenances a strict reading doesn't admit, and those after `until`, the largest `at`, where
+    it is given.
     """
+    rows = visible(log, committed)
+    if strict:
+        rows = rows.where(F.col("provenance").isin(*STRICT))
+    if until is not None:
+        rows = rows.where(F.col("knowledge_time") <= until)
     held = [c for c in log.columns if c not in key]
-    events = log.select(*key, F.col("knowledge_time").alias("_at"), F.lit(0).alias("_asks"), F.struct(*held).alias("_row"))
+    events = rows.select(*key, F.col("knowledge_time").alias("_at"), F.lit(0).alias("_asks"), F.struct(*held).alias("_row"))
     asks = spine.select(*key, F.col("at").alias("_at"), F.lit(1).alias("_asks"), F.lit(None).cast(events.schema["_row"].dataType).alias("_row"))
     order = Window.partitionBy(*key).orderBy("_at", "_asks", F.col("_row.sequence")).rowsBetween(Window.unboundedPreceding, 0)
     known = events.unionByName(asks).withColumn("_known", F.last("_row", ignorenulls=True).over(order))
@@ -84,9 +98,9 @@ def backward_steps(log: DataFrame, by: Sequence[str], order_by: str, instant: st
 
 
 def published(knowability: DataFrame, at: Column) -> DataFrame:
-    """Whether each period was published by an instant, and how sure that is."""
+    """Whether each period was published by an instant, and how sure that is: data later than its news bounds it from below."""
     return knowability.withColumns({
         "published": F.coalesce(F.col("data_at") <= at, F.lit(False)),
         "announced": F.coalesce(F.col("news_date") <= at, F.lit(False)),
-        "confidence": F.when(F.col("data_at").isNull(), "uncertain").otherwise("exact"),
+        "confidence": F.when(F.col("data_at").isNull(), "uncertain").when(F.col("data_at") > F.col("news_date"), "lower_bound").otherwise("exact"),
     })

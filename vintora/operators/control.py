@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ZONE = "America/New_York"
@@ -29,10 +29,73 @@ def with_notice(signal: Column, noticed: Column) -> Column:
     return F.when(noticed & (signal == "late"), "rescheduled").when(noticed & (signal == "cadence_gap"), "classified_by_notice").when(noticed & (signal == "silent_mutation"), "correction").otherwise(signal)
 
 
-def slot_state(signal: Column, due: Column, now: Column, grace_days: int = 3) -> Column:
-    """State of a slot; nothing is ever cancelled here."""
+def slot_state(signal: Column, due: Column, now: Column, grace_days: int = 3, notice: Column | None = None, new_date: Column | None = None, triage: Column | None = None) -> Column:
+    """State of a slot.
+
+    notice: class of a notice about it; new_date: the day it names, if any; triage: what a person decided on a late slot
+    (`delayed` or `cancelled`). Nothing is ever cancelled but by a person. A rescheduled slot is the same slot with another
+    due day: scheduled again while that lies ahead.
+    """
     late = F.datediff(now, due) > grace_days
-    return F.when(signal.isin("normal", "unexpected_change"), "committed").when(signal == "news_only", "news_only").when(signal.isin("unannounced", "cadence_gap"), "captured").when(signal == "silent_mutation", "unscheduled").when((signal == "late") & late, "late").when(signal == "late", F.when(due > now, "scheduled").otherwise("watching")).when(signal == "registry_gap", "scheduled").otherwise("predicted")
+    moved = F.lit(False) if notice is None or new_date is None else F.coalesce((notice == "reschedule") & new_date.isNotNull(), F.lit(False))
+    held_up = F.lit(False) if notice is None else F.coalesce(notice == "delay", F.lit(False))
+    decided = F.lit(None).cast("string") if triage is None else F.when(triage.isin("delayed", "cancelled"), triage)
+    waiting = F.when(due > now, "scheduled").otherwise("watching")
+    again = waiting if new_date is None else F.when(new_date > now, "scheduled").when(F.datediff(now, new_date) > grace_days, "late").otherwise("watching")
+    return (
+        F.when(signal.isin("normal", "unexpected_change"), "committed")
+        .when(signal == "news_only", "news_only")
+        .when(signal.isin("unannounced", "cadence_gap"), "captured")
+        .when(signal == "silent_mutation", "unscheduled")
+        .when((signal == "late") & moved, again)
+        .when((signal == "late") & late, F.coalesce(decided, F.when(held_up, "delayed"), F.lit("late")))
+        .when(signal == "late", waiting)
+        .when(signal == "registry_gap", "scheduled")
+        .otherwise("predicted")
+    )
+
+
+def fan_out(entries: DataFrame, registry: DataFrame) -> DataFrame:
+    """Calendar entries once for each program their title stands for; `unassigned` for titles the registry doesn't know.
+
+    registry: title, programs (array); a row for each title.
+    """
+    known = entries.join(registry.select("title", "programs"), "title", "left")
+    return known.withColumn("program", F.explode(F.coalesce("programs", F.array(F.lit("unassigned"))))).drop("programs")
+
+
+def rescheduled(slots: DataFrame, entries: DataFrame) -> DataFrame:
+    """Slots after their calendar entries changed: slot_id, due, predicted_from, change.
+
+    slots: slot_id, entry_id, due, estimate (the cadence's day); entries: entry_id, entry_date, as they stand now. A moved
+    entry moves the slot; a removed one leaves it to the cadence's estimate; a slot without an entry stays.
+    """
+    now = entries.select("entry_id", "entry_date", F.lit(True).alias("_there"))
+    both = slots.join(now, "entry_id", "left")
+    gone = F.col("entry_id").isNotNull() & F.col("_there").isNull()
+    change = F.when(F.col("entry_id").isNull(), "none").when(gone, "removed").when(F.col("entry_date") != F.col("due"), "moved").otherwise("none")
+    due = F.when(gone, F.col("estimate")).when(F.col("entry_id").isNull(), F.col("due")).otherwise(F.col("entry_date"))
+    return both.select("slot_id", due.alias("due"), F.when(gone | F.col("entry_id").isNull(), "cadence").otherwise("calendar").alias("predicted_from"), change.alias("change"))
+
+
+def armed_by_feed(seen: DataFrame, feed: DataFrame, slots: DataFrame, near: int = 1) -> DataFrame:
+    """program, entry, day, slot_id, arms of the feed's new and changed entries: each arms its program at once.
+
+    seen: program, entry, stamp (entries of the last reading); feed: the same now, with day; slots: slot_id, program, due.
+    A slot due within `near` days is armed; without one an out-of-cycle slot is minted. The feed arms, it never tells
+    what was published.
+    """
+    from vintora.operators.matching import nearest, pairs_within
+
+    fresh = feed.join(seen.select("program", "entry", "stamp"), ["program", "entry", "stamp"], "left_anti").select("program", "entry", "day")
+    due = nearest(pairs_within(fresh.withColumn("_e", F.struct("program", "entry")), slots, ["program"], "day", "due", near), "_e", ["slot_id"])
+    found = fresh.join(due.select("program", "entry", "slot_id"), ["program", "entry"], "left")
+    return found.select("program", "entry", "day", "slot_id", F.when(F.col("slot_id").isNull(), "mint_out_of_cycle").otherwise("arm").alias("arms"))
+
+
+def population_break(month: Column, step: Column, usual: Column, announced: Column) -> Column:
+    """Whether a January level is a population-control break: January, a step far beyond the usual one, and a notice."""
+    return F.coalesce((month == 1) & (F.abs(step) > 3 * usual) & announced, F.lit(False))
 
 
 def end_of_day(day: Column, zone: str = ZONE) -> Column:

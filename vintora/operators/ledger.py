@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from vintora.operators import asof, capture
 
@@ -19,7 +18,7 @@ def rebuild(log: DataFrame, parse, committed: DataFrame) -> dict[str, DataFrame]
     vintages = capture.numbered(capture.file_vintages(log))
     facts = vintages.select("file_vintage_id", F.col("requested_at").alias("knowledge_time"), "sequence")
     observations = parse(vintages).join(facts, "file_vintage_id")
-    return {"file_vintage": vintages, "observation": observations, "visible": asof.visible(observations, committed), "current_state": asof.newest(observations)}
+    return {"file_vintage": vintages, "observation": observations, "visible": asof.visible(observations, committed), "current_state": asof.newest(asof.visible(observations, committed))}
 
 
 def batch_root(hashes: DataFrame, order_by: str, digest: str) -> str | None:
@@ -27,11 +26,7 @@ def batch_root(hashes: DataFrame, order_by: str, digest: str) -> str | None:
 
     Each round halves the rows: pairs meet by place, so no batch is collected.
     """
-    ranged = hashes.select(F.col(order_by).alias("o"), F.col(digest).alias("h")).repartitionByRange("o", "h").withColumn("p", F.spark_partition_id())
-    ranged = ranged.withColumn("k", F.row_number().over(Window.partitionBy("p").orderBy("o", "h")))
-    sizes = ranged.groupBy("p").agg(F.count("*").alias("size"))
-    before = sizes.select("p", (F.sum("size").over(Window.orderBy("p")) - F.col("size")).alias("b"))
-    level = ranged.join(before, "p").select((F.col("k") + F.col("b") - 1).alias("n"), "h")
+    level = capture.in_sequence(hashes.select(F.col(order_by).alias("o"), F.col(digest).alias("h")), ("o", "h"), "n").select((F.col("n") - 1).alias("n"), "h")
     left = level.count()
     while left > 1:
         both = level.groupBy(F.floor(F.col("n") / 2).alias("n")).agg(F.max(F.when(F.col("n") % 2 == 0, F.col("h"))).alias("a"), F.max(F.when(F.col("n") % 2 == 1, F.col("h"))).alias("b"))
@@ -39,3 +34,13 @@ def batch_root(hashes: DataFrame, order_by: str, digest: str) -> str | None:
         left = -(-left // 2)
     first = level.first()
     return first["h"] if first else None
+
+
+def reconstructed(revisions: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Vintages recovered from a file of revisions: each row known since the release that produced it.
+
+    revisions: program, ref_date, print (1 for the first), unit_key, measure_code, value; calendar: program, ref_date,
+    print, released_at, release_event_id. Rows whose release the calendar doesn't hold stay out: no date is made up.
+    """
+    known = calendar.select("program", "ref_date", "print", F.col("released_at").alias("knowledge_time"), "release_event_id")
+    return revisions.join(known, ["program", "ref_date", "print"]).where("knowledge_time IS NOT NULL").withColumn("provenance", F.lit("reconstructed"))

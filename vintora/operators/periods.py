@@ -21,6 +21,7 @@ RULES = [
     ("jolts-state", "benchmark", 1, "both", ("y", -5, 0), ("y", -1, 11)),
     ("cps-ln", "routine", 0, "both", ("t", 0, 0), ("t", 0, 0)),
     ("cps-ln", "annual_revision", 12, "sa", ("y", -4, 0), ("y", 0, 10)),
+    ("cps-ln", "population_control", 1, "both", ("t", 0, 0), ("t", 0, 0)),
     ("bed", "routine", 0, "both", ("t", 0, 0), ("t", 0, 0)),
     ("bed", "annual_revision", 1, "nsa", ("y", -1, 0), ("y", -1, 9)),
     ("bed", "annual_revision", 1, "sa", ("y", -5, 0), ("y", -1, 9)),
@@ -28,12 +29,25 @@ RULES = [
     ("qcew", "full_data", 4, "nsa", ("t", 0, -3), ("t", 0, 0)),
     ("qcew", "full_data", 7, "nsa", ("t", 0, -6), ("t", 0, 0)),
     ("qcew", "full_data", 10, "nsa", ("t", 0, -9), ("t", 0, 0)),
+    ("qcew", "annual_average", 10, "nsa", ("y", 0, 0), ("y", 0, 0)),
+    ("qcew", "annual_average", 1, "nsa", ("y", -1, 0), ("y", -1, 0)),
     ("oews", "new_vintage", 0, "nsa", ("t", 0, 0), ("t", 0, 0)),
     ("eci", "routine", 0, "both", ("t", 0, 0), ("t", 0, 0)),
     ("eci", "sa_revision", 1, "sa", ("y", -5, 0), ("y", -1, 9)),
     ("ecec", "routine", 0, "nsa", ("t", 0, 0), ("t", 0, 0)),
     ("ep", "new_vintage", 0, "nsa", ("t", 0, 0), ("t", 0, 0)),
 ]
+# Kinds that a notice or another artifact announces, since no newest period implies them; whether the data
+# artifact changes, and how far back: all periods (`unbounded`), the newest (`newest`) or none.
+ANNOUNCED = [
+    ("ces-n", "preliminary_benchmark", False, "none"),
+    ("qcew", "news_release", False, "none"),
+    ("eci", "reweight", True, "unbounded"),
+    ("ep", "wage_refresh", True, "newest"),
+    ("all", "correction", True, "unbounded"),
+]
+# Footprints that may reach further than stated.
+LOWER_BOUND = {("ces-n", "benchmark"), ("sae", "benchmark"), ("all", "correction"), ("eci", "reweight")}
 # Months from one period to the next.
 STEP = {"ces-n": 1, "sae": 1, "jolts": 1, "jolts-state": 1, "cps-ln": 1, "bed": 3, "qcew": 3, "oews": 12, "eci": 3, "ecec": 3, "ep": 12}
 # Stage of a period by its distance from t_max, in periods.
@@ -58,9 +72,31 @@ def footprint(releases: DataFrame, table: DataFrame) -> DataFrame:
     return hit.select(*releases.columns, "kind", "seasonality", F.explode(span).alias("ref_date")).distinct()
 
 
+def is_lower_bound(program: Column, kind: Column) -> Column:
+    """Whether a footprint is known from below only; what it touches beyond is no divergence."""
+    found = F.lit(False)
+    for p, k in sorted(LOWER_BOUND):
+        found = found | ((F.lit(True) if p == "all" else program == p) & (kind == k))
+    return found
+
+
+def announced(releases: DataFrame, events: DataFrame) -> DataFrame:
+    """Release columns, kind, expects_change, reach, lower_bound: the secondary kinds that announcements give a release.
+
+    events: program, kind, t_max, as matched from notices, errata or changed hashes. A correction applies to any program.
+    """
+    rules_ = releases.sparkSession.createDataFrame(ANNOUNCED, "of string, kind string, expects_change boolean, reach string")
+    hit = releases.join(events.select("program", "t_max", "kind").distinct(), ["program", "t_max"]).join(F.broadcast(rules_), "kind")
+    hit = hit.where((F.col("of") == "all") | (F.col("of") == F.col("program")))
+    return hit.select(*releases.columns, "kind", "expects_change", "reach", is_lower_bound(F.col("program"), F.col("kind")).alias("lower_bound"))
+
+
 def prints_of(footprints: DataFrame) -> DataFrame:
-    """The inverse: how often each period is printed, and first and last by which release. Derived, never stored."""
-    return footprints.select("program", "seasonality", "ref_date", "t_max").distinct().groupBy("program", "seasonality", "ref_date").agg(F.count("*").alias("prints"), F.min("t_max").alias("first_release"), F.max("t_max").alias("last_release"))
+    """The inverse: how often each period is printed, and first and last by which release. Derived, never stored.
+
+    Annual averages, which share their year's first date, are periods of another kind and left out.
+    """
+    return footprints.where("kind <> 'annual_average'").select("program", "seasonality", "ref_date", "t_max").distinct().groupBy("program", "seasonality", "ref_date").agg(F.count("*").alias("prints"), F.min("t_max").alias("first_release"), F.max("t_max").alias("last_release"))
 
 
 def canonical_date(year: Column, code: Column, kind: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,3 +21,21 @@ def suppressed(findings: DataFrame, policy: DataFrame) -> DataFrame:
     covered = policy.select("program", "rule").withColumn("_covered", F.lit(True))
     kept = findings.join(covered, ["program", "rule"], "left").where("severity = 'assert' OR _covered IS NULL")
     return kept.drop("_covered")
+
+
+def checksum_findings(blobs: DataFrame, stored: DataFrame, key: str, content: str) -> DataFrame:
+    """key, finding (no_checksum, changed) of blobs against the table (key, digest) of stored checksums."""
+    both = blobs.select(key, F.md5(content).alias("_now")).join(stored.select(key, "digest", F.lit(True).alias("_held")), key, "left")
+    finding = F.when(F.col("_held").isNull(), "no_checksum").when(~F.col("digest").eqNullSafe(F.col("_now")), "changed")
+    return both.select(key, finding.alias("finding")).where("finding IS NOT NULL")
+
+
+def year_pair_findings(rows: DataFrame, years: int = 10) -> DataFrame:
+    """Rows whose base_year and target_year aren't that far apart."""
+    return rows.where(~(F.col("target_year") - F.col("base_year")).eqNullSafe(F.lit(years)))
+
+
+def single_copies(blobs: DataFrame, copies: DataFrame, now: Column, cycle: Column) -> DataFrame:
+    """digest, since: blobs (digest, stored_at) older than a cycle that aren't among the copies (digest)."""
+    first = blobs.groupBy("digest").agg(F.min("stored_at").alias("since")).where(F.col("since") < now - cycle)
+    return first.join(copies.select("digest").distinct(), "digest", "left_anti")

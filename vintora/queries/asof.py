@@ -25,6 +25,15 @@ def shown(df):
     return df.select("program", "unit_key", F.col("ref_date").cast("string").alias("ref_date"), micros("knowledge_time").alias("known_us"), "sequence", "value", "provenance")
 
 
+VISIBLE_CATALOG = "SELECT series_id, title, release_event_id FROM catalog_log WHERE release_event_id IN (SELECT release_event_id FROM catalog_committed)"
+
+
+@query(VISIBLE_CATALOG)
+def catalog_visible(t: Tables):
+    """Catalog rows are vintage data: readable once their release was committed, and not before."""
+    return asof.visible(t("catalog_log"), t("catalog_committed")).select("series_id", "title", "release_event_id")
+
+
 def state(where: str, at: str = CUT) -> str:
     return f"SELECT {COLUMNS} FROM (SELECT * FROM obs WHERE knowledge_time <= @ts({at}) AND {where} AND release_event_id IN (SELECT release_event_id FROM committed) QUALIFY row_number() OVER (PARTITION BY {KEYS} ORDER BY knowledge_time DESC, sequence DESC) = 1) WHERE change_kind <> 'deleted'"
 
@@ -39,9 +48,16 @@ def asof_nonstrict(t: Tables):
     return shown(asof.as_of(t("obs"), t("committed"), instant(CUT), strict=False))
 
 
-@query(state("FALSE"))
+EARLY = "2024-01-04 23:59:59"
+
+
+@query(f"SELECT 'strict' AS reading, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'non-strict', COUNT(*) FROM ({state('TRUE', EARLY)})")
 def asof_before_t0(t: Tables):
-    return shown(asof.as_of(t("obs"), t("committed"), instant("2024-01-04 23:59:59"), first_instant=instant(T0)))
+    """Rows before the first instant of observation: none for a strict reading, the reconstructed ones for another."""
+    one = lambda strict: asof.as_of(t("obs"), t("committed"), instant(EARLY), strict=strict, first_instant=instant(T0))
+    found = one(True).withColumn("reading", F.lit("strict")).unionByName(one(False).withColumn("reading", F.lit("non-strict"))).groupBy("reading").agg(F.count("*").alias("n"))
+    names = t.spark.createDataFrame([("strict",), ("non-strict",)], "reading string")
+    return names.join(found, "reading", "left").select("reading", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @query(state("provenance IN ('observed', 'seed')", T0))
@@ -69,27 +85,28 @@ def torn_commit(t: Tables):
 @query(f"""
     SELECT s.program, s.unit_key, CAST(s.ref_date AS VARCHAR) AS ref_date, CAST(epoch_us(s.at) AS BIGINT) AS at_us, o.sequence, o.value
     FROM (SELECT DISTINCT {KEYS}, d AS at FROM obs, (VALUES (@ts(2024-01-10 00:00:00)), (@ts(2024-01-20 00:00:00)), (@ts(2024-02-01 00:00:00))) v(d)) s
-    JOIN LATERAL (SELECT * FROM obs o WHERE o.program = s.program AND o.unit_key = s.unit_key AND o.measure_code = s.measure_code AND o.ref_date = s.ref_date AND o.period_code = s.period_code AND o.knowledge_time <= s.at ORDER BY o.knowledge_time DESC, o.sequence DESC LIMIT 1) o ON TRUE
+    JOIN LATERAL (SELECT * FROM obs o WHERE o.provenance IN ('observed', 'seed') AND o.release_event_id IN (SELECT release_event_id FROM committed) AND o.program = s.program AND o.unit_key = s.unit_key AND o.measure_code = s.measure_code AND o.ref_date = s.ref_date AND o.period_code = s.period_code AND o.knowledge_time <= s.at ORDER BY o.knowledge_time DESC, o.sequence DESC LIMIT 1) o ON TRUE
     WHERE o.change_kind <> 'deleted'""")
 def asof_spine(t: Tables):
     log = t("obs")
     days = F.array(*(F.lit(f"{d} 00:00:00").cast("timestamp_ntz") for d in ("2024-01-10", "2024-01-20", "2024-02-01")))
     spine = log.select(*asof.KEY).distinct().withColumn("at", F.explode(days))
-    return asof.as_of_spine(log, spine).select("program", "unit_key", F.col("ref_date").cast("string").alias("ref_date"), micros("at").alias("at_us"), "sequence", "value")
+    return asof.as_of_spine(log, t("committed"), spine, until=instant("2024-02-01 00:00:00")).select("program", "unit_key", F.col("ref_date").cast("string").alias("ref_date"), micros("at").alias("at_us"), "sequence", "value")
 
 
-REVISIONS = f"SELECT *, row_number() OVER w AS vintage, lag(value) OVER w AS prev_value, first_value(value) OVER w AS first_value FROM obs WINDOW w AS (PARTITION BY {KEYS} ORDER BY knowledge_time, sequence)"
+VISIBLE = "release_event_id IN (SELECT release_event_id FROM committed)"
+REVISIONS = f"SELECT *, row_number() OVER w AS vintage, lag(value) OVER w AS prev_value, first_value(value) OVER w AS first_value FROM obs WHERE {VISIBLE} WINDOW w AS (PARTITION BY {KEYS} ORDER BY knowledge_time, sequence)"
 
 
 @query(f"SELECT program, unit_key, CAST(ref_date AS VARCHAR) AS ref_date, sequence, CAST(vintage AS BIGINT) AS vintage, value, prev_value, first_value FROM ({REVISIONS})")
 def revisions(t: Tables):
-    return asof.revisions(t("obs")).select("program", "unit_key", F.col("ref_date").cast("string").alias("ref_date"), "sequence", "vintage", "value", "prev_value", "first_value")
+    return asof.revisions(asof.visible(t("obs"), t("committed"))).select("program", "unit_key", F.col("ref_date").cast("string").alias("ref_date"), "sequence", "vintage", "value", "prev_value", "first_value")
 
 
-@query(f"SELECT {COLUMNS}, change_kind FROM obs QUALIFY row_number() OVER (PARTITION BY {KEYS} ORDER BY knowledge_time DESC, sequence DESC) = 1")
+@query(f"SELECT {COLUMNS}, change_kind FROM obs WHERE {VISIBLE} QUALIFY row_number() OVER (PARTITION BY {KEYS} ORDER BY knowledge_time DESC, sequence DESC) = 1")
 def current_state(t: Tables):
-    """The fold of the whole log. Deletions stay, so that a reinstatement can be told from a first print."""
-    rows = asof.newest(t("obs"))
+    """The fold of the whole visible log. Deletions stay, so that a reinstatement can be told from a first print."""
+    rows = asof.newest(asof.visible(t("obs"), t("committed")))
     return rows.select("program", "unit_key", F.col("ref_date").cast("string").alias("ref_date"), micros("knowledge_time").alias("known_us"), "sequence", "value", "provenance", "change_kind")
 
 
@@ -102,9 +119,9 @@ def n6_prev_value(t: Tables):
     return asof.broken_chain(stated).select("program", "unit_key", F.col("ref_date").cast("string").alias("ref_date"), "sequence", "prev_value", "value_before")
 
 
-@query(f"SELECT {COLUMNS}, period_kind FROM obs WHERE period_kind = 'period'")
+@query(f"SELECT {COLUMNS}, period_kind FROM obs WHERE period_kind = 'period' AND {VISIBLE}")
 def series_view(t: Tables):
-    rows = t("obs").where("period_kind = 'period'")
+    rows = asof.visible(t("obs"), t("committed")).where("period_kind = 'period'")
     return rows.select("program", "unit_key", F.col("ref_date").cast("string").alias("ref_date"), micros("knowledge_time").alias("known_us"), "sequence", "value", "provenance", "period_kind")
 
 
@@ -121,7 +138,7 @@ def monotonic_window(t: Tables):
     return asof.backward_steps(moved, ["program", "unit_key"], "sequence", "knowledge_time").select("program", "unit_key", "sequence", micros("knowledge_time").alias("known_us"))
 
 
-@query("SELECT program, CAST(ref_date AS VARCHAR) AS ref_date, COALESCE(data_at <= @ts(1998-06-15 00:00:00), FALSE) AS published, COALESCE(news_date <= @ts(1998-06-15 00:00:00), FALSE) AS announced, CASE WHEN data_at IS NULL THEN 'uncertain' ELSE 'exact' END AS confidence FROM knowability")
+@query("SELECT program, CAST(ref_date AS VARCHAR) AS ref_date, COALESCE(data_at <= @ts(1998-06-15 00:00:00), FALSE) AS published, COALESCE(news_date <= @ts(1998-06-15 00:00:00), FALSE) AS announced, CASE WHEN data_at IS NULL THEN 'uncertain' WHEN data_at > news_date THEN 'lower_bound' ELSE 'exact' END AS confidence FROM knowability")
 def published_asof(t: Tables):
     found = asof.published(t("knowability"), instant("1998-06-15 00:00:00"))
     return found.select("program", F.col("ref_date").cast("string").alias("ref_date"), "published", "announced", "confidence")

@@ -78,6 +78,26 @@ def vintage_sequence(t: Tables):
     return capture.numbered(t("fetch_log").where("outcome = 'new_bytes'")).select("request_id", "sequence")
 
 
+@query("SELECT request_id, url, content_hash, status_code, row_number() OVER (ORDER BY requested_at, request_id) AS sequence FROM fetch_log")
+def log_sequence(t: Tables):
+    """The whole log in order, with what each record says beside its place."""
+    return capture.numbered(t("fetch_log")).select("request_id", "url", "content_hash", "status_code", "sequence")
+
+
+@query("SELECT artifact, url FROM inventory WHERE list_contains(string_split(CASE WHEN artifact % 2 = 0 THEN program || ',3' ELSE program END, ','), '3')")
+def artifacts_of_program(t: Tables):
+    """Artifacts that serve a program, alone or among others."""
+    programs = F.when(F.col("artifact") % 2 == 0, F.array("program", F.lit("3"))).otherwise(F.array("program"))
+    return t("inventory").where(F.array_contains(programs, "3")).select("artifact", "url")
+
+
+@query("SELECT run_id, COUNT(*) AS n, MIN(request_id) AS first_request FROM (SELECT strftime(date_trunc('hour', requested_at), '%Y%m%dT%H%M%SZ') || '-' || substr(sha256(CAST(artifact % 3 AS VARCHAR)), 1, 8) AS run_id, request_id FROM fetch_log) GROUP BY run_id ORDER BY run_id LIMIT 100")
+def runs_in_order(t: Tables):
+    """The first hundred runs by name, which is by time: a run's name begins with its start."""
+    run = capture.run_id(F.date_trunc("hour", "requested_at").cast("timestamp_ntz"), F.col("artifact") % 3)
+    return t("fetch_log").groupBy(run.alias("run_id")).agg(F.count("*").alias("n"), F.min("request_id").alias("first_request")).orderBy("run_id").limit(100)
+
+
 @query(f"SELECT n.request_id, i.program, i.artifact_key FROM ({NEW}) n LEFT JOIN inventory i ON n.url = i.url")
 def vintage_resolve(t: Tables):
     return capture.file_vintages(t("fetch_log")).join(t("inventory").select("url", "program", "artifact_key"), "url", "left").select("request_id", "program", "artifact_key")

@@ -43,10 +43,64 @@ def three_signal_notice(t: Tables):
     return _slots(t).select("program", day("occurrence"), control.with_notice(F.col("signal"), F.col("noticed")).alias("action"))
 
 
-@query(f"SELECT program, CAST(occurrence AS VARCHAR) AS occurrence, CASE WHEN signal IN ('normal', 'unexpected_change') THEN 'committed' WHEN signal = 'news_only' THEN 'news_only' WHEN signal IN ('unannounced', 'cadence_gap') THEN 'captured' WHEN signal = 'silent_mutation' THEN 'unscheduled' WHEN signal = 'late' THEN CASE WHEN DATE '{NOW}' - occurrence > 3 THEN 'late' WHEN occurrence > DATE '{NOW}' THEN 'scheduled' ELSE 'watching' END WHEN signal = 'registry_gap' THEN 'scheduled' ELSE 'predicted' END AS state FROM ({SLOTS})")
+# a notice for every noticed slot, which names a new day in even months; what a person decided on late ones
+NOTICED = f"SELECT *, CASE WHEN noticed THEN CASE WHEN program % 2 = 0 THEN 'reschedule' ELSE 'delay' END END AS notice, CASE WHEN noticed AND month(occurrence) % 2 = 0 THEN CAST(occurrence + CAST(400 + 400 * (program % 5) AS INT) AS DATE) END AS new_date, CASE WHEN program = 3 THEN 'cancelled' WHEN program = 7 THEN 'delayed' END AS triage FROM ({SLOTS})"
+
+
+@query(f"""SELECT program, CAST(occurrence AS VARCHAR) AS occurrence, CASE WHEN signal IN ('normal', 'unexpected_change') THEN 'committed' WHEN signal = 'news_only' THEN 'news_only' WHEN signal IN ('unannounced', 'cadence_gap') THEN 'captured' WHEN signal = 'silent_mutation' THEN 'unscheduled'
+    WHEN signal = 'late' AND notice = 'reschedule' AND new_date IS NOT NULL THEN CASE WHEN new_date > DATE '{NOW}' THEN 'scheduled' WHEN DATE '{NOW}' - new_date > 3 THEN 'late' ELSE 'watching' END
+    WHEN signal = 'late' AND DATE '{NOW}' - occurrence > 3 THEN COALESCE(triage, CASE WHEN notice = 'delay' THEN 'delayed' END, 'late') WHEN signal = 'late' THEN CASE WHEN occurrence > DATE '{NOW}' THEN 'scheduled' ELSE 'watching' END WHEN signal = 'registry_gap' THEN 'scheduled' ELSE 'predicted' END AS state FROM ({NOTICED})""")
 def slot_state(t: Tables):
-    now = F.lit(NOW).cast("date")
-    return _slots(t).select("program", day("occurrence"), control.slot_state(F.col("signal"), F.col("occurrence"), now).alias("state"))
+    c, now = F.col, F.lit(NOW).cast("date")
+    notice = F.when(c("noticed"), F.when(c("program") % 2 == 0, "reschedule").otherwise("delay"))
+    new_date = F.when(c("noticed") & (F.month("occurrence") % 2 == 0), F.date_add("occurrence", (400 + 400 * (c("program") % 5)).cast("int")))
+    triage = F.when(c("program") == 3, "cancelled").when(c("program") == 7, "delayed")
+    return _slots(t).select("program", day("occurrence"), control.slot_state(c("signal"), c("occurrence"), now, notice=notice, new_date=new_date, triage=triage).alias("state"))
+
+
+@query(f"SELECT program, CAST(occurrence AS VARCHAR) AS occurrence, CAST(new_date AS VARCHAR) AS new_date FROM ({NOTICED}) WHERE signal = 'late' AND notice = 'reschedule' AND new_date IS NOT NULL")
+def slot_history(t: Tables):
+    """Late slots whose day a notice moved: the slot stays, its day changes, and the change is written down."""
+    c = F.col
+    rows = _slots(t).where("signal = 'late' AND noticed AND program % 2 = 0 AND month(occurrence) % 2 = 0")
+    return rows.select("program", day("occurrence"), F.date_add("occurrence", (400 + 400 * (c("program") % 5)).cast("int")).cast("string").alias("new_date"))
+
+
+TITLES = [("BUILDING", ("ces-n", "cps-ln")), ("MACHINERY", ("eci", "ecec")), ("FURNITURE", ("qcew",)), ("AUTOMOBILE", ("jolts", "jolts-state"))]
+ENTRIES = "SELECT c_custkey AS entry_id, c_mktsegment AS title FROM customer"
+
+
+@query(f"SELECT e.entry_id, COALESCE(p.program, 'unassigned') AS program FROM ({ENTRIES}) e LEFT JOIN (VALUES " + ", ".join(f"('{n}', '{p}')" for n, ps in TITLES for p in ps) + ") p(title, program) ON e.title = p.title")
+def calendar_fan_out(t: Tables):
+    """One calendar entry mints a slot for each program that its title stands for; an unknown title one for triage."""
+    registry = t.spark.createDataFrame([(n, list(ps)) for n, ps in TITLES], "title string, programs array<string>")
+    return control.fan_out(t("customer").select(F.col("c_custkey").alias("entry_id"), F.col("c_mktsegment").alias("title")), registry).select("entry_id", "program")
+
+
+@query("""SELECT slot_id, CAST(CASE WHEN entry_id IS NULL THEN due WHEN entry_date IS NULL THEN estimate ELSE entry_date END AS VARCHAR) AS due, CASE WHEN entry_id IS NULL OR entry_date IS NULL THEN 'cadence' ELSE 'calendar' END AS predicted_from, CASE WHEN entry_id IS NULL THEN 'none' WHEN entry_date IS NULL THEN 'removed' WHEN entry_date <> due THEN 'moved' ELSE 'none' END AS change
+    FROM (SELECT s.*, e.entry_date FROM (SELECT o_orderkey AS slot_id, CASE WHEN o_orderkey % 6 <> 1 THEN o_orderkey END AS entry_id, CAST(o_orderdate AS DATE) AS due, CAST(date_trunc('month', o_orderdate) AS DATE) AS estimate FROM orders) s LEFT JOIN (SELECT o_orderkey AS entry_id, CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 8 = 0 THEN 7 ELSE 0 END AS INT) AS entry_date FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority <> '3-MEDIUM') e ON s.entry_id = e.entry_id)""")
+def calendar_moves(t: Tables):
+    """Slots after their calendar was read again: moved entries move them, withdrawn ones leave them to their cadence."""
+    o, key = t("orders"), F.col("o_orderkey")
+    date = F.col("o_orderdate").cast("date")
+    slots = o.select(key.alias("slot_id"), F.when(key % 6 != 1, key).alias("entry_id"), date.alias("due"), F.trunc("o_orderdate", "month").alias("estimate"))
+    entries = o.where("o_orderstatus <> 'P' AND o_orderpriority <> '3-MEDIUM'").select(key.alias("entry_id"), F.date_add(date, F.when(key % 8 == 0, 7).otherwise(0)).alias("entry_date"))
+    return control.rescheduled(slots, entries).withColumn("due", F.col("due").cast("string"))
+
+
+FEED = "SELECT o_custkey % 11 AS program, o_orderkey AS entry, CAST(o_orderdate AS DATE) AS day, CAST(o_orderdate AS DATE) AS stamp FROM orders WHERE o_orderpriority = '3-MEDIUM'"
+SEEN = "SELECT o_custkey % 11 AS program, o_orderkey AS entry, CAST(o_orderdate AS DATE) - CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS INT) AS stamp FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderstatus <> 'P'"
+
+
+@query(f"SELECT f.program, f.entry, s.slot_id, CASE WHEN s.slot_id IS NULL THEN 'mint_out_of_cycle' ELSE 'arm' END AS arms FROM (SELECT * FROM ({FEED}) WHERE (program, entry, stamp) NOT IN (SELECT (program, entry, stamp) FROM ({SEEN}))) f LEFT JOIN (SELECT f.entry, s.slot_id FROM ({FEED}) f JOIN open_slots s ON f.program = s.program AND abs(s.due - f.day) <= 1 QUALIFY row_number() OVER (PARTITION BY f.entry ORDER BY abs(s.due - f.day), s.slot_id) = 1) s ON f.entry = s.entry")
+def feed_arming(t: Tables):
+    """New and changed feed entries arm the poll ladder of their program, or mint a slot where none is due."""
+    rows = t("orders").where("o_orderpriority = '3-MEDIUM'")
+    date = F.col("o_orderdate").cast("date")
+    name = [(F.col("o_custkey") % 11).alias("program"), F.col("o_orderkey").alias("entry")]
+    feed = rows.select(*name, date.alias("day"), date.alias("stamp"))
+    seen = rows.where("o_orderstatus <> 'P'").select(*name, F.date_sub(date, F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("stamp"))
+    return control.armed_by_feed(seen, feed, t("open_slots")).select("program", "entry", "slot_id", "arms")
 
 
 LATE = f"SELECT program, occurrence FROM ({SLOTS}) WHERE signal = 'late' AND DATE '{NOW}' - occurrence > 3"
@@ -63,16 +117,19 @@ def incident_group(t: Tables):
     """Late slots of sibling programs that follow one another are one incident."""
     days = F.datediff(F.lit(NOW).cast("date"), F.col("occurrence"))
     late = _slots(t).where("signal = 'late'").where(days > 3).select((F.col("program") % 3).alias("grp"), "program", "occurrence")
-    return matching.incidents(late, ["grp"], "occurrence", 31).select("grp", "program", day("occurrence"), "incident")
+    # days are few: incidents are found over them, and every slot takes its day's
+    days = matching.incidents(late.select("grp", "occurrence").distinct(), ["grp"], "occurrence", 31)
+    return late.join(days, ["grp", "occurrence"]).select("grp", "program", day("occurrence"), "incident")
 
 
-@query(f"SELECT program, CAST(MAX(occurrence) FILTER (WHERE artifact) AS VARCHAR) AS newest, CAST(date_diff('month', MAX(occurrence) FILTER (WHERE artifact), DATE '{NOW}') AS BIGINT) AS staleness, date_diff('month', MAX(occurrence) FILTER (WHERE artifact), DATE '{NOW}') > 1 AS flagged FROM slots WHERE occurrence <= DATE '{NOW}' GROUP BY program")
+@query(f"SELECT program, CAST(MAX(occurrence) FILTER (WHERE artifact) AS VARCHAR) AS newest, CAST(date_diff('month', MAX(occurrence) FILTER (WHERE artifact), DATE '{NOW}') AS BIGINT) AS staleness, date_diff('month', MAX(occurrence) FILTER (WHERE artifact), DATE '{NOW}') > CASE program % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 12 END AS flagged FROM slots WHERE occurrence <= DATE '{NOW}' GROUP BY program")
 def coverage(t: Tables):
     """How far each program's newest period lags behind what its cadence implies."""
     newest = F.max(F.when(F.col("artifact"), F.col("occurrence")))
+    step = F.when(F.col("program") % 3 == 0, 1).when(F.col("program") % 3 == 1, 3).otherwise(12)  # monthly, quarterly, annual
     months = (F.year(F.lit(NOW).cast("date")) - F.year("d")) * 12 + F.month(F.lit(NOW).cast("date")) - F.month("d")
     found = t("slots").where(f"occurrence <= DATE'{NOW}'").groupBy("program").agg(newest.alias("d")).withColumn("staleness", months.cast("long"))
-    return found.select("program", F.col("d").cast("string").alias("newest"), "staleness", (F.col("staleness") > 1).alias("flagged"))
+    return found.select("program", F.col("d").cast("string").alias("newest"), "staleness", (F.col("staleness") > step).alias("flagged"))
 
 
 @query("SELECT c.entry_id, c.program, s.slot_id, COALESCE(CASE WHEN s.slot_id IS NOT NULL THEN 'update' END, 'mint') AS action, s.distance FROM calendar c LEFT JOIN (SELECT c.entry_id, s.slot_id, s.due - c.entry_date AS distance FROM calendar c JOIN open_slots s ON c.program = s.program AND abs(s.due - c.entry_date) <= 10 QUALIFY row_number() OVER (PARTITION BY c.entry_id ORDER BY abs(s.due - c.entry_date), s.slot_id) = 1) s ON c.entry_id = s.entry_id")
@@ -142,6 +199,13 @@ def notice_class(t: Tables):
     return t("notices").select("notice_id", control.notice_class(F.col("title")).alias("classification"))
 
 
+@query("SELECT n.notice_id, p.program, CASE WHEN p.program = 'ecec' AND NOT n.names_ecec THEN FALSE ELSE TRUE END AS applied FROM (SELECT notice_id, area, notice_id % 4 = 0 AS names_ecec FROM notices WHERE area = 0) n CROSS JOIN (VALUES ('eci'), ('ecec')) p(program)")
+def inv24c_ncs(t: Tables):
+    """Notices of the shared compensation survey go to both programs, but are applied to the second only if they name it."""
+    rows = t("notices").where("area = 0").select("notice_id", (F.col("notice_id") % 4 == 0).alias("names_ecec"), F.explode(F.array(F.lit("eci"), F.lit("ecec"))).alias("program"))
+    return rows.select("notice_id", "program", ((F.col("program") != "ecec") | F.col("names_ecec")).alias("applied"))
+
+
 AREAS = [(0, ("eci", "ecec")), (1, ("ces-n",)), (2, ("sae",)), (3, ("cps-ln",)), (4, ("jolts", "jolts-state")), (5, ("qcew",)), (6, ("bed",)), (7, ("oews",))]
 
 
@@ -234,10 +298,22 @@ def marker_effective(t: Tables):
     return known.where("asks = 1 AND marker_id IS NOT NULL").select("release_id", "marker_id")
 
 
-@query("SELECT release_id FROM releases WHERE ref_month = 1 AND k % 2 = 0 AND value > 250000")
+LEVELS = "SELECT program, CAST(make_date(ref_year, ref_month, 1) AS DATE) AS ref_date, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS level FROM releases GROUP BY 1, 2"
+ANNOUNCED = "SELECT DISTINCT program FROM (SELECT area % 11 AS program FROM notices WHERE notice_id % 11 = 5)"
+
+
+@query(f"SELECT s.program, CAST(s.ref_date AS VARCHAR) AS ref_date, s.step FROM (SELECT *, level - lag(level) OVER (PARTITION BY program ORDER BY ref_date) AS step FROM ({LEVELS})) s JOIN (SELECT program, median(abs(step)) / 3 AS usual FROM (SELECT *, level - lag(level) OVER (PARTITION BY program ORDER BY ref_date) AS step FROM ({LEVELS})) WHERE month(ref_date) <> 1 GROUP BY program) u ON s.program = u.program WHERE month(s.ref_date) = 1 AND abs(s.step) > 3 * u.usual AND s.program IN ({ANNOUNCED})")
 def popctl_detect(t: Tables):
-    """A population-control break takes three signals; January alone isn't enough."""
-    return t("releases").where("ref_month = 1").where("k % 2 = 0").where("value > 250000").select("release_id")
+    """Breaks by new population controls: January, a step far beyond a program's usual one, and a notice. One isn't enough."""
+    from pyspark.sql.window import Window
+
+    levels = t("releases").groupBy("program", F.make_date(F.col("ref_year").cast("int"), F.col("ref_month").cast("int"), F.lit(1)).alias("ref_date")).agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("level"))
+    # a program has a level for each month: windows over them are small
+    steps = levels.withColumn("step", F.col("level") - F.lag("level").over(Window.partitionBy("program").orderBy("ref_date")))
+    usual = steps.where("month(ref_date) <> 1").groupBy("program").agg((F.median(F.abs("step")) / 3).alias("usual"))
+    announced = t("notices").where("notice_id % 11 = 5").select((F.col("area") % 11).cast("long").alias("program")).distinct().withColumn("announced", F.lit(True))
+    rows = steps.join(usual, "program").join(announced, "program", "left")
+    return rows.where(control.population_break(F.month("ref_date"), F.col("step"), F.col("usual"), F.coalesce("announced", F.lit(False)))).select("program", day("ref_date"), "step")
 
 
 @query("SELECT program, CAST(ref_date AS VARCHAR) AS ref_date, CASE WHEN data_at IS NULL THEN 'uncertain' WHEN CAST(data_at AS DATE) - ref_date BETWEEN 0 AND 20 THEN 'exact' ELSE 'inferred' END AS confidence, CAST(news_date AS VARCHAR) AS news_date FROM knowability")

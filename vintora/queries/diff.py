@@ -95,14 +95,15 @@ def external_check(t: Tables):
 
 
 def hashes(table: str) -> str:
-    text = "concat_ws('|', CAST(unit_key AS VARCHAR), CAST(ref_year AS VARCHAR), COALESCE(CAST(CAST(customer AS BIGINT) AS VARCHAR), '~'), COALESCE(footnote, '~'))"
+    text = "concat_ws('|', CAST(unit_key AS VARCHAR), CAST(ref_year AS VARCHAR), COALESCE(CAST(CAST(customer AS BIGINT) AS VARCHAR), '~'), COALESCE(CAST(CAST(price AS DECIMAL(18,4)) AS VARCHAR), '~'), COALESCE(footnote, '~'))"
     key = "concat_ws('|', CAST(unit_key AS VARCHAR), CAST(ref_year AS VARCHAR))"
     number = lambda s, n: f"CAST('0x' || substr(md5({s}), 1, {n}) AS BIGINT)"
     return f"SELECT ref_year, {number(key, 8)} % 16 AS bucket, COUNT(*) AS n, CAST(SUM({number(text, 12)}) AS VARCHAR) AS hash FROM {table} GROUP BY 1, 2"
 
 
 def _buckets(df):
-    return diff.bucket_hashes(df.withColumn("customer", F.col("customer").cast("long")), KEY, ["customer", "footnote"], 16, ["ref_year"])
+    df = df.withColumns({"customer": F.col("customer").cast("long"), "price": F.col("price").cast("decimal(18,4)")})
+    return diff.bucket_hashes(df, KEY, ["customer", "price", "footnote"], 16, ["ref_year"])
 
 
 @query(f"SELECT COALESCE(a.ref_year, b.ref_year) AS ref_year, COALESCE(a.bucket, b.bucket) AS bucket, a.hash AS left_hash, b.hash AS right_hash FROM ({hashes('wide_prev')}) a FULL JOIN ({hashes('wide_cur')}) b ON a.ref_year = b.ref_year AND a.bucket = b.bucket WHERE a.hash IS DISTINCT FROM b.hash")
@@ -111,12 +112,20 @@ def replay_bucket_hash(t: Tables):
     return diff.differing_buckets(_buckets(t("wide_prev")), _buckets(t("wide_cur")), ["ref_year"])
 
 
-@query(f"SELECT ref_year, SUM(CASE WHEN change_kind = 'revised' THEN 1 ELSE 0 END) * 1.0 / COUNT(*) > 0.5 AS tripped, COUNT(*) AS changed FROM ({cells('c_in IS NOT NULL')}) GROUP BY ref_year")
+LIVE = "SELECT ref_year, COUNT(*) AS live FROM wide_prev GROUP BY ref_year"
+REVISED = f"SELECT ref_year, COUNT(DISTINCT unit_key) AS revised FROM ({cells('c_in IS NOT NULL')}) WHERE change_kind = 'revised' GROUP BY ref_year"
+
+
+@query(f"SELECT l.ref_year, l.live, COALESCE(r.revised, 0) AS revised, COALESCE(r.revised, 0) > 0.09 * l.live AS tripped FROM ({LIVE}) l LEFT JOIN ({REVISED}) r ON l.ref_year = r.ref_year")
 def mass_change_breaker(t: Tables):
-    """Years in which more than half of the changes of a routine release are revisions."""
-    found = diff.wide_diff(t("wide_prev"), t("wide_cur"), KEY, MEASURES)
-    share = F.count(F.when(F.col("change_kind") == "revised", 1)) / F.count("*")
-    return found.groupBy("ref_year").agg((share > 0.5).alias("tripped"), F.count("*").alias("changed"))
+    """Whether a routine release revises more than 9 % of a year's live series: then its commit is aborted."""
+    return diff.mass_change(t("wide_prev"), t("wide_cur"), KEY, MEASURES, ["ref_year"], 0.09)
+
+
+@query(f"SELECT COALESCE(p.unit_key, c.unit_key) AS unit_key, COALESCE(p.ref_year, c.ref_year) AS ref_year, CASE WHEN p.unit_key IS NULL THEN 'right_only' WHEN c.unit_key IS NULL THEN 'left_only' ELSE 'differs' END AS difference FROM {JOINED} WHERE p.price IS DISTINCT FROM c.price OR p.customer IS DISTINCT FROM c.customer OR p.footnote IS DISTINCT FROM c.footnote")
+def replay_rows(t: Tables):
+    """The rows in which a replay and a fresh parse differ, found by descent into differing buckets alone."""
+    return diff.differing_rows(t("wide_prev"), t("wide_cur"), KEY, ["customer", "price", "footnote"], 16, ["ref_year"])
 
 
 @query("SELECT unit_key, ref_year, CASE WHEN unit_key % 26 = 0 THEN 'reinstated' ELSE 'first_print' END AS change_kind FROM wide_cur WHERE unit_key % 13 = 0")

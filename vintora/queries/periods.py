@@ -12,7 +12,7 @@ PROGRAMS = list(periods.STEP)
 _table = ", ".join(f"('{p}', '{k}', {m}, '{s}', {periods.STEP[p]}, '{a[0]}', {12 * a[1] + a[2]}, '{b[0]}', {12 * b[1] + b[2]})" for p, k, m, season, a, b in periods.RULES for s in (("nsa", "sa") if season == "both" else (season,)))
 _names = "CASE o_custkey % 11 " + " ".join(f"WHEN {n} THEN '{p}'" for n, p in enumerate(PROGRAMS)) + " END"
 _step = "CASE o_custkey % 11 " + " ".join(f"WHEN {n} THEN {s}" for n, s in enumerate(periods.STEP.values())) + " END"
-RELEASES = f"SELECT DISTINCT {_names} AS program, CAST(make_date(year(o_orderdate), 1 + (month(o_orderdate) - 1) // ({_step}) * ({_step}), 1) AS DATE) AS t_max FROM orders WHERE o_orderkey % 3 = 0"
+RELEASES = f"SELECT DISTINCT {_names} AS program, CAST(make_date(year(o_orderdate), 1 + (month(o_orderdate) - 1) // ({_step}) * ({_step}), 1) AS DATE) AS t_max FROM orders"
 _at = "date_trunc('month', CASE {f} WHEN 't' THEN r.t_max ELSE make_date(year(r.t_max), 1, 1) END) + {n} * INTERVAL 1 MONTH"
 FOOT = f"""SELECT DISTINCT program, t_max, kind, seasonality, CAST(unnest(generate_series(lo_at, hi_at, step * INTERVAL 1 MONTH)) AS DATE) AS ref_date FROM (SELECT r.program, r.t_max, d.kind, d.seasonality, d.step, {_at.format(f='d.lo_from', n='d.lo')} AS lo_at, {_at.format(f='d.hi_from', n='d.hi')} AS hi_at
     FROM ({RELEASES}) r JOIN (VALUES {_table}) d(program, kind, month, seasonality, step, lo_from, lo, hi_from, hi) ON r.program = d.program AND (d.month = 0 OR d.month = month(r.t_max)))"""
@@ -22,7 +22,7 @@ def releases(t: Tables):
     """Releases by program and newest period, from orders."""
     n = F.col("o_custkey") % 11
     table = t.spark.createDataFrame([(k, p, s) for k, (p, s) in enumerate(periods.STEP.items())], "n long, program string, step int")
-    rows = t("orders").where("o_orderkey % 3 = 0").select(n.alias("n"), "o_orderdate").join(table, "n")
+    rows = t("orders").select(n.alias("n"), "o_orderdate").join(table, "n")
     month = 1 + F.floor((F.month("o_orderdate") - 1) / F.col("step")) * F.col("step")
     return rows.select("program", F.make_date(F.year("o_orderdate"), month.cast("int"), F.lit(1)).alias("t_max")).distinct()
 
@@ -43,18 +43,22 @@ def footprint_union(t: Tables):
     return _foot(t).select("program", "kind", "seasonality", *text("t_max", "ref_date"))
 
 
-@query(f"SELECT program, seasonality, CAST(ref_date AS VARCHAR) AS ref_date, COUNT(DISTINCT t_max) AS prints, CAST(MIN(t_max) AS VARCHAR) AS first_release, CAST(MAX(t_max) AS VARCHAR) AS last_release FROM ({FOOT}) GROUP BY program, seasonality, ref_date")
+@query(f"SELECT program, seasonality, CAST(ref_date AS VARCHAR) AS ref_date, COUNT(DISTINCT t_max) AS prints, CAST(MIN(t_max) AS VARCHAR) AS first_release, CAST(MAX(t_max) AS VARCHAR) AS last_release FROM ({FOOT}) WHERE kind <> 'annual_average' GROUP BY program, seasonality, ref_date")
 def prints_of(t: Tables):
     return periods.prints_of(_foot(t)).select("program", "seasonality", *text("ref_date"), "prints", *text("first_release", "last_release"))
 
 
 _forward = f"SELECT DISTINCT program, t_max, ref_date FROM ({FOOT}) WHERE kind = 'routine' AND program IN ('ces-n', 'sae', 'jolts', 'cps-ln')"
+_falsified = f"SELECT program, t_max, CAST(CASE WHEN month(t_max) = 6 AND t_max <> ref_date THEN ref_date - INTERVAL 2 MONTH ELSE ref_date END AS DATE) AS ref_date FROM ({_forward})"
 _inverse = f"SELECT DISTINCT p.program, r.t_max, p.ref_date FROM ({_forward}) p JOIN (VALUES ('ces-n', 2), ('sae', 1), ('jolts', 1), ('cps-ln', 0)) n(program, reach) ON p.program = n.program JOIN ({RELEASES}) r ON r.program = p.program AND date_diff('month', p.ref_date, r.t_max) BETWEEN 0 AND n.reach"
 
 
-@query(f"SELECT program, {DATES} FROM ((SELECT * FROM ({_forward}) EXCEPT SELECT * FROM ({_inverse})) UNION ALL (SELECT * FROM ({_inverse}) EXCEPT SELECT * FROM ({_forward})))")
+@query(f"SELECT program, {DATES} FROM ((SELECT * FROM ({_falsified}) EXCEPT SELECT * FROM ({_inverse})) UNION ALL (SELECT * FROM ({_inverse}) EXCEPT SELECT * FROM ({_falsified})))")
 def footprint_duality(t: Tables):
-    """Periods of routine monthly footprints that the inverse rule doesn't give, or the other way round: none."""
+    """Periods of routine monthly footprints that the inverse rule doesn't give, or the other way round.
+
+    June's earlier periods are moved by two months on purpose; without that there are none.
+    """
     monthly = ["ces-n", "sae", "jolts", "cps-ln"]
     reach = t.spark.createDataFrame([("ces-n", 2), ("sae", 1), ("jolts", 1), ("cps-ln", 0)], "program string, reach int")
     forward = _foot(t).where(F.col("program").isin(monthly) & (F.col("kind") == "routine")).select("program", "t_max", "ref_date").distinct()
@@ -62,6 +66,7 @@ def footprint_duality(t: Tables):
     refs = forward.select("program", "ref_date").distinct().join(reach, "program")
     later = refs.select("program", "ref_date", F.explode(F.expr("sequence(ref_date, add_months(ref_date, reach), interval 1 month)")).alias("t_max"))
     inverse = later.join(releases(t), ["program", "t_max"], "left_semi").select("program", "t_max", "ref_date")
+    forward = forward.withColumn("ref_date", F.when((F.month("t_max") == 6) & (F.col("t_max") != F.col("ref_date")), F.add_months("ref_date", -2)).otherwise(F.col("ref_date"))).distinct()
     return forward.exceptAll(inverse).unionByName(inverse.exceptAll(forward)).select("program", *text("t_max", "ref_date"))
 
 
@@ -121,32 +126,72 @@ def ref_date_canon(t: Tables):
     return rows.select("event_id", "code", *text("ref_date"), periods.period_kind(F.col("code"), F.col("kind")).alias("period_kind"))
 
 
-@query("SELECT event_type AS program, list_sort(list_distinct(list(s))).array_to_string(',') AS outside FROM (SELECT event_type, CASE event_id % 5 WHEN 0 THEN 'first_prelim' WHEN 1 THEN 'second_prelim' WHEN 2 THEN 'third_final' WHEN 3 THEN 'final' ELSE 'draft' END AS s FROM events WHERE event_type <> 'view') WHERE s NOT IN ('first_prelim', 'second_prelim', 'third_final') GROUP BY event_type")
+# stages that each program declares, by name
+VOCABULARY = {"click": ("first_prelim", "second_prelim", "third_final"), "purchase": ("first_prelim", "final"), "signup": ("final",), "error": ("first_prelim", "second_prelim", "final")}
+_declared = ", ".join(f"('{p}', '{x}')" for p, xs in VOCABULARY.items() for x in xs)
+_counts = ", ".join(f"('{p}', {len(xs)})" for p, xs in VOCABULARY.items())
+
+
+def _stages(t: Tables):
+    """program, declared (array) of the programs with a vocabulary."""
+    return F.broadcast(t.spark.createDataFrame([(p, list(x)) for p, x in VOCABULARY.items()], "program string, declared array<string>"))
+
+
+@query("SELECT event_type AS program, list_sort(list_distinct(list(s))).array_to_string(',') AS outside FROM (SELECT event_type, CASE event_id %% 5 WHEN 0 THEN 'first_prelim' WHEN 1 THEN 'second_prelim' WHEN 2 THEN 'third_final' WHEN 3 THEN 'final' ELSE 'draft' END AS s FROM events WHERE event_type <> 'view') WHERE (event_type, s) NOT IN (VALUES %s) GROUP BY event_type" % _declared)
 def stage_vocab(t: Tables):
     """Stage labels a program uses outside its declared vocabulary."""
     names = F.array(*map(F.lit, ("first_prelim", "second_prelim", "third_final", "final", "draft")))
     rows = t("events").where("event_type <> 'view'").select(F.col("event_type").alias("program"), F.get(names, (F.col("event_id") % 5).cast("int")).alias("s"))
     used = rows.groupBy("program").agg(F.collect_set("s").alias("used"))
-    outside = F.array_except("used", F.array(*map(F.lit, ("first_prelim", "second_prelim", "third_final"))))
+    used, outside = used.join(_stages(t), "program"), F.array_except("used", "declared")
     return used.select("program", F.array_join(F.sort_array(outside), ",").alias("outside"))
 
 
-@query("SELECT program, unit_key, CAST(ref_date AS VARCHAR) AS ref_date, COUNT(*) AS prints FROM obs GROUP BY program, unit_key, ref_date HAVING COUNT(*) > 3")
+@query(f"SELECT o.program, unit_key, CAST(ref_date AS VARCHAR) AS ref_date, COUNT(*) AS prints, s.n - 1 AS priors FROM obs o JOIN (VALUES {_counts}) s(program, n) ON o.program = s.program GROUP BY o.program, unit_key, ref_date, s.n HAVING COUNT(*) > s.n")
 def stage_cardinality(t: Tables):
-    """Periods printed more often than their program has stages."""
-    return t("obs").groupBy("program", "unit_key", "ref_date").agg(F.count("*").alias("prints")).where("prints > 3").select("program", "unit_key", *text("ref_date"), "prints")
+    """Periods printed more often than their program has stages: one new print and its N - 1 priors."""
+    found = t("obs").groupBy("program", "unit_key", "ref_date").agg(F.count("*").alias("prints")).join(_stages(t), "program").where("prints > size(declared)")
+    return found.select("program", "unit_key", *text("ref_date"), "prints", (F.size("declared") - 1).alias("priors"))
 
 
-@query("SELECT program, unit_key, CAST(ref_date AS VARCHAR) AS ref_date, sequence FROM (SELECT *, row_number() OVER (PARTITION BY program, unit_key, ref_date ORDER BY knowledge_time, sequence) AS n, lag(value) OVER (PARTITION BY program, unit_key, ref_date ORDER BY knowledge_time, sequence) AS v FROM obs) WHERE n > 3 AND value <> v")
+@query("SELECT program, unit_key, CAST(ref_date AS VARCHAR) AS ref_date, sequence FROM (SELECT *, row_number() OVER (PARTITION BY program, unit_key, ref_date ORDER BY knowledge_time, sequence) AS n, lag(value) OVER (PARTITION BY program, unit_key, ref_date ORDER BY knowledge_time, sequence) AS v FROM obs) o WHERE n > (SELECT s.n FROM (VALUES %s) s(program, n) WHERE s.program = o.program) AND value <> v" % _counts)
 def stage_window(t: Tables):
     """Values that changed after their last stage."""
     order = Window.partitionBy("program", "unit_key", "ref_date").orderBy("knowledge_time", "sequence")
-    rows = t("obs").withColumns({"n": F.row_number().over(order), "v": F.lag("value").over(order)}).where("n > 3 AND value <> v")
+    rows = t("obs").withColumns({"n": F.row_number().over(order), "v": F.lag("value").over(order)}).join(_stages(t), "program").where("n > size(declared) AND value <> v")
     return rows.select("program", "unit_key", *text("ref_date"), "sequence")
 
 
-@query(f"SELECT CAST(ref_date AS VARCHAR) AS ref_date, COUNT(DISTINCT t_max) AS prints, CAST(6 - quarter(ref_date) AS BIGINT) AS allowed FROM ({FOOT}) WHERE program = 'qcew' GROUP BY ref_date HAVING COUNT(DISTINCT t_max) > 6 - quarter(ref_date)")
+_qcew = f"SELECT t_max, ref_date FROM ({FOOT}) WHERE program = 'qcew' AND kind <> 'annual_average'"
+
+
+@query(f"SELECT CAST(ref_date AS VARCHAR) AS ref_date, COUNT(DISTINCT t_max) AS prints, CAST(6 - quarter(ref_date) AS BIGINT) AS allowed FROM (SELECT * FROM ({_qcew}) UNION ALL SELECT CAST(t_max + INTERVAL 120 MONTH AS DATE), ref_date FROM ({_qcew}) WHERE year(ref_date) % 3 = 0 AND t_max = ref_date) GROUP BY ref_date HAVING COUNT(DISTINCT t_max) > 6 - quarter(ref_date)")
 def inv16_prints(t: Tables):
-    """Quarters printed more often than five, four, three and two times: none."""
-    found = periods.prints_of(_foot(t).where("program = 'qcew'")).withColumn("allowed", (6 - F.quarter("ref_date")).cast("long"))
+    """Quarters printed more often than five, four, three and two times; those of every third year get a print on purpose."""
+    rows = _foot(t).where("program = 'qcew' AND kind <> 'annual_average'")
+    more = rows.where("year(ref_date) % 3 = 0 AND t_max = ref_date").withColumn("t_max", F.add_months("t_max", 120))
+    found = periods.prints_of(rows.unionByName(more)).withColumn("allowed", (6 - F.quarter("ref_date")).cast("long"))
     return found.where("prints > allowed").select(*text("ref_date"), "prints", "allowed")
+
+
+_bounds = " OR ".join(f"({'TRUE' if p == 'all' else f'program = {chr(39)}{p}{chr(39)}'} AND kind = '{k}')" for p, k in sorted(periods.LOWER_BOUND))
+
+
+@query(f"SELECT program, kind, seasonality, COUNT(*) AS periods, {_bounds} AS lower_bound FROM ({FOOT}) GROUP BY program, kind, seasonality")
+def footprint_bounds(t: Tables):
+    """Periods touched by kind, and whether that is all or a lower bound."""
+    found = _foot(t).groupBy("program", "kind", "seasonality").agg(F.count("*").alias("periods"))
+    return found.withColumn("lower_bound", periods.is_lower_bound(F.col("program"), F.col("kind")))
+
+
+_events = "SELECT DISTINCT program, t_max, CASE month(t_max) WHEN 1 THEN 'correction' WHEN 7 THEN 'preliminary_benchmark' WHEN 4 THEN 'reweight' ELSE 'wage_refresh' END AS kind FROM (%s)" % RELEASES
+_announced = ", ".join(f"('{p}', '{k}', {str(c).upper()}, '{r}')" for p, k, c, r in periods.ANNOUNCED)
+
+
+@query(f"SELECT r.program, CAST(r.t_max AS VARCHAR) AS t_max, e.kind, a.expects_change, a.reach, {_bounds.replace('program', 'r.program').replace('kind', 'e.kind')} AS lower_bound FROM ({RELEASES}) r JOIN ({_events}) e ON r.program = e.program AND r.t_max = e.t_max JOIN (VALUES {_announced}) a(of_program, kind, expects_change, reach) ON a.kind = e.kind AND (a.of_program = 'all' OR a.of_program = r.program)")
+def announced_kinds(t: Tables):
+    """Kinds that only an announcement gives a release: they add to what its newest period implies."""
+    rows = releases(t)
+    kind = F.when(F.month("t_max") == 1, "correction").when(F.month("t_max") == 7, "preliminary_benchmark").when(F.month("t_max") == 4, "reweight").otherwise("wage_refresh")
+    found = periods.announced(rows, rows.withColumn("kind", kind))
+    return found.select("program", *text("t_max"), "kind", "expects_change", "reach", "lower_bound")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vintora.operators import control
 from vintora.plans.registry import Tables, query
 from vintora.queries.asof import micros
+from vintora.queries.control import RESOLVED
 from vintora.queries.periods import text
 
 KEYED = "PARTITION BY program, unit_key, measure_code, ref_date, period_code"
@@ -26,11 +28,17 @@ def inv02_overwrite(t: Tables):
     return found.select("release_event_id", "unit_key", *text("ref_date"), "n")
 
 
-@query("SELECT doc_id FROM documents WHERE md5(text) <> md5(CASE WHEN doc_id % 53 = 0 THEN text || ' ' ELSE text END)")
+STORED = "SELECT doc_id, md5(CASE WHEN doc_id % 53 = 0 THEN text || ' ' ELSE text END) AS digest, CAST(strlen(text) AS BIGINT) AS byte_size FROM documents WHERE doc_id % 59 <> 0"
+
+
+@query(f"SELECT d.doc_id, CASE WHEN s.doc_id IS NULL THEN 'no_checksum' ELSE 'changed' END AS finding FROM documents d LEFT JOIN ({STORED}) s ON d.doc_id = s.doc_id WHERE s.digest IS DISTINCT FROM md5(d.text)")
 def inv07_checksum(t: Tables):
-    """Blobs whose content no longer has the hash it was stored under; every 53rd is falsified on purpose."""
-    stored = F.when(F.col("doc_id") % 53 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text"))
-    return t("documents").where(F.md5("text") != F.md5(stored)).select("doc_id")
+    """Blobs without a stored checksum, or whose content no longer has it; the checksums come from a table of their own."""
+    from vintora.operators.validate import checksum_findings
+
+    text = F.when(F.col("doc_id") % 53 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text"))
+    stored = t("documents").where("doc_id % 59 <> 0").select("doc_id", F.md5(text).alias("digest"))
+    return checksum_findings(t("documents"), stored, "doc_id", "text")
 
 
 @query("SELECT release_id, abs(date_diff('minute', scheduled_at, first_observed_at)) AS minutes FROM releases WHERE abs(date_diff('minute', scheduled_at, first_observed_at)) > 20")
@@ -68,11 +76,19 @@ def n1_seed_honesty(t: Tables):
     return t("obs").where(F.col("provenance").isin("seed", "reconstructed") & (F.col("knowledge_time") != at)).select("sequence", "provenance")
 
 
-@query("SELECT release_id, CAST(epoch_us(scheduled_at) AS BIGINT) AS scheduled_us FROM releases WHERE scheduled_at > first_observed_at + INTERVAL 15 MINUTE AND k % 2 = 0")
+@query(f"""SELECT release_id, CAST(epoch_us(known_at) AS BIGINT) AS known_us FROM (SELECT *, known + CASE WHEN release_id % 97 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS known_at FROM (SELECT release_id, observed, CASE WHEN eligible IS NOT NULL AND observed <= eligible + INTERVAL 15 MINUTE THEN eligible WHEN noticed IS NOT NULL THEN noticed ELSE observed END AS known, eligible IS NOT NULL AND observed < eligible - INTERVAL 15 MINUTE AS early, noticed IS NOT NULL AND NOT COALESCE(observed <= eligible + INTERVAL 15 MINUTE, FALSE) AS by_notice FROM ({RESOLVED})))
+    WHERE known_at > observed + INTERVAL 15 MINUTE AND NOT early AND NOT by_notice""")
 def n2_clairvoyance(t: Tables):
-    """Knowledge claimed to be later than its first sight allows, outside the flagged early branch."""
-    bad = t("releases").where("k % 2 = 0").where(F.col("scheduled_at") > F.col("first_observed_at") + F.expr("INTERVAL 15 MINUTES"))
-    return bad.select("release_id", micros("scheduled_at").alias("scheduled_us"))
+    """Resolved knowledge later than the first sight allows, outside the flagged early branch and notices' days.
+
+    Every 97th is moved by a day on purpose.
+    """
+    c = F.col
+    at, source, flag = control.knowledge_time(c("scheduled_at"), c("scheduled_at_source"), c("notice_date"), c("first_observed_at"), F.expr("INTERVAL 15 MINUTES"))
+    rows = t("releases").select("release_id", "first_observed_at", at.alias("at"), source.alias("source"), flag.alias("flag"))
+    rows = rows.withColumn("at", F.when(c("release_id") % 97 == 0, c("at") + F.expr("INTERVAL 1 DAY")).otherwise(c("at")))
+    bad = rows.where(c("at") > c("first_observed_at") + F.expr("INTERVAL 15 MINUTES")).where("NOT (flag <=> 'early_artifact') AND source <> 'notice'")
+    return bad.select("release_id", micros("at").alias("known_us"))
 
 
 @query("SELECT scheduled_at_source, COUNT(*) AS n FROM releases WHERE scheduled_at IS NOT NULL AND scheduled_at_source NOT IN ('ics', 'schedule_page') GROUP BY 1")
@@ -82,10 +98,61 @@ def n3_source(t: Tables):
     return bad.groupBy("scheduled_at_source").agg(F.count("*").alias("n"))
 
 
-@query("SELECT rule, severity, n, CASE WHEN severity = 'assert' AND n > 0 THEN 'abort' WHEN n > 0 THEN 'flag' ELSE 'pass' END AS verdict FROM (SELECT 'inv12' AS rule, 'assert' AS severity, COUNT(*) AS n FROM releases WHERE k = 5 AND ref_month <> 1 UNION ALL SELECT 'inv08', 'flag', COUNT(*) FROM releases WHERE abs(date_diff('minute', scheduled_at, first_observed_at)) > 20 UNION ALL SELECT 'n3', 'assert', COUNT(*) FROM releases WHERE scheduled_at IS NOT NULL AND scheduled_at_source NOT IN ('ics', 'schedule_page') AND k = 99)")
+@query("SELECT rule, severity, n, CASE WHEN severity = 'assert' AND n > 0 THEN 'abort' WHEN n > 0 THEN 'flag' ELSE 'pass' END AS verdict FROM (SELECT 'inv12' AS rule, 'assert' AS severity, COUNT(*) AS n FROM releases WHERE k = 5 AND ref_month <> 1 UNION ALL SELECT 'inv08', 'flag', COUNT(*) FROM releases WHERE abs(date_diff('minute', scheduled_at, first_observed_at)) > 20 UNION ALL SELECT 'n3', 'assert', COUNT(*) FROM releases WHERE scheduled_at IS NOT NULL AND scheduled_at_source NOT IN ('ics', 'schedule_page'))")
 def rule_report(t: Tables):
     """Findings of several rules in one report: an assertion aborts a commit, a flag is written down."""
     from vintora.operators.validate import report
 
-    bad = t("releases").where(F.col("scheduled_at").isNotNull() & ~F.col("scheduled_at_source").isin("ics", "schedule_page") & (F.col("k") == 99))
+    bad = t("releases").where(F.col("scheduled_at").isNotNull() & ~F.col("scheduled_at_source").isin("ics", "schedule_page"))
     return report([("inv12", "assert", inv12_benchmark_month(t)), ("inv08", "flag", inv08_divergence(t)), ("n3", "assert", bad)])
+
+
+@query("SELECT release_id, 'declared' AS clock FROM releases WHERE scheduled_at IS NULL UNION ALL SELECT release_id, 'shared' AS clock FROM releases WHERE scheduled_at = first_observed_at")
+def inv03_clocks(t: Tables):
+    """Declared and observed times are columns of their own: releases without a declared one, or where the two are one."""
+    rows = t("releases")
+    missing = rows.where("scheduled_at IS NULL").select("release_id", F.lit("declared").alias("clock"))
+    return missing.unionByName(rows.where("scheduled_at = first_observed_at").select("release_id", F.lit("shared").alias("clock")))
+
+
+@query("SELECT o.sequence, o.program, split_part(o.release_event_id, '-', 1) AS release_program FROM (SELECT * REPLACE (CASE WHEN sequence % 89 = 0 THEN 'view' ELSE program END AS program) FROM obs) o WHERE split_part(o.release_event_id, '-', 1) <> o.program")
+def inv10_cascade(t: Tables):
+    """Rows that one program's release would write into another program; every 89th is moved on purpose."""
+    moved = t("obs").withColumn("program", F.when(F.col("sequence") % 89 == 0, "view").otherwise(F.col("program")))
+    owner = F.split_part("release_event_id", F.lit("-"), F.lit(1))
+    return moved.where(owner != F.col("program")).select("sequence", "program", owner.alias("release_program"))
+
+
+@query("SELECT release_id, base_year, target_year FROM (SELECT release_id, ref_year AS base_year, ref_year + CASE WHEN k = 7 THEN 9 ELSE 10 END AS target_year FROM releases) WHERE target_year - base_year <> 10")
+def inv21_year_pair(t: Tables):
+    """Projections whose base and target year aren't ten years apart."""
+    from vintora.operators.validate import year_pair_findings
+
+    rows = t("releases").select("release_id", F.col("ref_year").alias("base_year"), (F.col("ref_year") + F.when(F.col("k") == 7, 9).otherwise(10)).alias("target_year"))
+    return year_pair_findings(rows)
+
+
+@query("SELECT request_id, url FROM fetch_log WHERE outcome = 'new_bytes' AND url IN (SELECT url FROM inventory WHERE profile = 'html')")
+def inv23_artifact_key(t: Tables):
+    """Vintages that are keyed to a page instead of a data artifact."""
+    pages = t("inventory").where("profile = 'html'").select("url")
+    return t("fetch_log").where("outcome = 'new_bytes'").join(pages, "url", "left_semi").select("request_id", "url")
+
+
+@query("SELECT program, source, COUNT(*) AS n, MIN(at_minute) AS minute FROM (SELECT program, CASE WHEN program % 5 = 2 THEN 'constant' ELSE scheduled_at_source END AS source, hour(scheduled_at) * 60 + minute(scheduled_at) AS at_minute FROM releases WHERE scheduled_at IS NOT NULL) WHERE source NOT IN ('ics', 'schedule_page', 'cadence_estimate') GROUP BY program, source")
+def inv27_scheduled(t: Tables):
+    """Programs whose scheduled times come from a constant instead of a calendar or an estimate marked as such."""
+    source = F.when(F.col("program") % 5 == 2, "constant").otherwise(F.col("scheduled_at_source"))
+    minute = F.hour("scheduled_at") * 60 + F.minute("scheduled_at")
+    rows = t("releases").where("scheduled_at IS NOT NULL").select("program", source.alias("source"), minute.cast("long").alias("minute"))
+    return rows.where(~F.col("source").isin("ics", "schedule_page", "cadence_estimate")).groupBy("program", "source").agg(F.count("*").alias("n"), F.min("minute").alias("minute"))
+
+
+@query("SELECT digest, MIN(day) AS since FROM (SELECT content_hash AS digest, CAST(CAST(requested_at AS DATE) AS VARCHAR) AS day, requested_at FROM fetch_log WHERE content_hash IS NOT NULL) WHERE digest NOT IN (SELECT content_hash FROM fetch_log WHERE content_hash < '8') GROUP BY digest HAVING MIN(requested_at) < @ts(2024-01-20 00:00:00) - INTERVAL 7 DAY")
+def n12_second_copy(t: Tables):
+    """Blobs that have stood without a second copy for longer than a release cycle of a week."""
+    from vintora.operators.validate import single_copies
+
+    blobs = t("fetch_log").where("content_hash IS NOT NULL")
+    found = single_copies(blobs.select(F.col("content_hash").alias("digest"), F.col("requested_at").alias("stored_at")), blobs.where("content_hash < '8'").select(F.col("content_hash").alias("digest")), F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"), F.expr("INTERVAL 7 DAYS"))
+    return found.select("digest", F.col("since").cast("date").cast("string").alias("since"))

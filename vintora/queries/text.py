@@ -80,11 +80,8 @@ def title_period(t: Tables):
 @query("SELECT conv_id, COUNT(*) AS n_points, COUNT(*) FILTER (WHERE role = 'user') AS n_series, COUNT(*) > 0 AND COUNT(*) FILTER (WHERE role = 'user') > 0 AS success FROM conversations GROUP BY conv_id")
 def api_verdict(t: Tables):
     """Whether a payload holds series and points: the payload decides, not the status."""
-    payload = t("conversations").groupBy("conv_id").agg(F.to_json(F.collect_list(F.struct("turn", "role"))).alias("payload"))
-    data = F.from_json("payload", "array<struct<turn:long,role:string>>")
-    series = F.size(F.filter(data, lambda x: x["role"] == "user")).cast("long")
-    points = F.size(data).cast("long")
-    return payload.select("conv_id", points.alias("n_points"), series.alias("n_series"), ((points > 0) & (series > 0)).alias("success"))
+    found = t("conversations").groupBy("conv_id").agg(F.count("*").alias("n_points"), F.count_if(F.col("role") == "user").alias("n_series"))
+    return found.withColumn("success", (F.col("n_points") > 0) & (F.col("n_series") > 0))
 
 
 @query("SELECT page_id, CAST(strlen(html) AS BIGINT) AS n_bytes, CAST(len(html) - len(replace(html, chr(10), '')) AS BIGINT) AS n_lines FROM pages")

@@ -61,11 +61,11 @@ VIEWS = {
                MIN(o_orderkey) AS first_order
         FROM orders GROUP BY o_custkey % 11, CAST(date_trunc('month', o_orderdate) AS DATE)""",
     # calendar entries: dates near some slots
-    "calendar": "SELECT o_orderkey AS entry_id, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) AS entry_date FROM orders WHERE o_orderkey % 6 = 0",
-    "open_slots": "SELECT o_orderkey AS slot_id, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) AS due FROM orders WHERE o_orderkey % 50 = 1",
+    "calendar": "SELECT o_orderkey AS entry_id, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) AS entry_date FROM orders WHERE o_orderstatus <> 'P'",
+    "open_slots": "SELECT o_orderkey AS slot_id, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) AS due FROM orders WHERE o_orderpriority IN ('2-HIGH', '5-LOW')",
     # announced corrections, and changes nobody expected
-    "errata": "SELECT o_orderkey AS row_key, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) AS added, CASE WHEN o_orderkey % 3 = 0 THEN 'News release' ELSE 'Database' END AS product_type, 'Corrections to be made on ' || lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '/' || lpad(CAST(day(o_orderdate) AS STRING), 2, '0') || '/' || CAST(year(o_orderdate) AS STRING) AS correction_status FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 5 = 0",
-    "mutations": "SELECT DISTINCT l_orderkey * 10 + l_linenumber AS mutation_id, l_partkey % 11 AS program, CAST(l_shipdate AS DATE) AS seen FROM lineitem WHERE l_orderkey % 40 = 0",
+    "errata": "SELECT o_orderkey AS row_key, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) AS added, CASE WHEN o_orderkey % 3 = 0 THEN 'News release' ELSE 'Database' END AS product_type, 'Corrections to be made on ' || lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '/' || lpad(CAST(day(o_orderdate) AS STRING), 2, '0') || '/' || CAST(year(o_orderdate) AS STRING) AS correction_status FROM orders WHERE o_orderpriority = '1-URGENT'",
+    "mutations": "SELECT DISTINCT l_orderkey * 10 + l_linenumber AS mutation_id, l_partkey % 11 AS program, CAST(l_shipdate AS DATE) AS seen FROM lineitem",
     # publication dates before observation began
     "knowability": """
         SELECT program, ref_date, news_date, CASE WHEN k % 7 = 0 THEN NULL WHEN ref_date < DATE '1998-01-01' THEN news_date + INTERVAL 14 DAY ELSE CAST(news_date AS TIMESTAMP) END AS data_at
@@ -74,6 +74,9 @@ VIEWS = {
     # a roster of series and its next vintage
     "catalog_prev": "SELECT p_partkey AS series_id, p_name AS title, p_type AS code FROM part WHERE p_partkey % 31 <> 0",
     "catalog_cur": "SELECT p_partkey AS series_id, CASE WHEN p_partkey % 12 = 0 THEN p_name || ' (revised)' ELSE p_name END AS title, CASE WHEN p_partkey % 15 = 0 THEN 'RECODED' ELSE p_type END AS code FROM part WHERE p_partkey % 23 <> 0",
+    # catalog rows by the release that brought them, and the releases that were committed
+    "catalog_log": "SELECT p_partkey AS series_id, p_name AS title, 'catalog-' || CAST(p_size AS STRING) AS release_event_id FROM part",
+    "catalog_committed": "SELECT DISTINCT 'catalog-' || CAST(p_size AS STRING) AS release_event_id FROM part WHERE p_size % 5 <> 0",
     # notices with prose titles
     "notices": """
         SELECT c_custkey AS notice_id, c_nationkey AS area, CAST(DATE '2024-01-01' + CAST(c_custkey % 300 AS INT) AS DATE) AS published,
