@@ -5,7 +5,9 @@ import hashlib
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vintora.operators import capture, ledger, matching, periods, validate
 from vintora.plans.registry import Tables
@@ -68,6 +70,64 @@ def test_footprints(spark):
     assert len(spans("cps-ln", "2025-12-01", "annual_revision", "sa")) == 59 and spans("cps-ln", "2025-12-01", "annual_revision", "nsa") == []
 
 
+def test_numbering_loses_no_row(spark):
+    """More columns than the order's, many partitions, adaptive plans: every row once, in order."""
+    n = 1_500_000
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + (F.col("request_id") * 7919) % 400_000).cast("timestamp_ntz")
+    log = spark.range(n, numPartitions=12).select(F.col("id").alias("request_id"), F.sha2(F.col("id").cast("string"), 256).alias("url"), (F.col("id") % 97).alias("artifact")).withColumn("requested_at", at)
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        rows = capture.numbered(log)
+        assert rows.agg(F.count("*"), F.count_distinct("sequence"), F.min("sequence"), F.max("sequence")).first()[:] == (n, n, 1, n)
+        places = log.select("request_id", F.unix_micros(F.col("requested_at").cast("timestamp")).alias("us"))
+        steps = rows.select("sequence", "request_id", F.lead("request_id").over(Window.partitionBy(F.floor(F.col("sequence") / 100_000)).orderBy("sequence")).alias("next"))
+        known = steps.join(places, "request_id").join(places.select(F.col("request_id").alias("next"), F.col("us").alias("next_us")), "next")
+        assert known.where("us > next_us OR us = next_us AND request_id > next").count() == 0
+        assert rows.where(F.sha2(F.col("request_id").cast("string"), 256) != F.col("url")).count() == 0
+        assert rows.where("artifact = 5 AND url > '8'").count() == log.where("artifact = 5 AND url > '8'").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_batch_root_over_many_partitions(spark):
+    hs = [hashlib.sha256(str(k).encode()).hexdigest() for k in range(3001)]
+    df = spark.createDataFrame(list(enumerate(hs)), "o int, h string").repartition(9)
+    while len(hs) > 1:
+        hs = [hashlib.sha256((hs[k] + hs[k + 1]).encode()).hexdigest() if k + 1 < len(hs) else hs[k] for k in range(0, len(hs), 2)]
+    assert ledger.batch_root(df, "o", "h") == hs[0]
+
+
+def test_encodings(spark):
+    import gzip
+    import zlib
+
+    body = b"some bytes " * 50
+    sent = [(0, body, None), (1, body, "identity"), (2, gzip.compress(body), "gzip"), (3, zlib.compress(body), " Deflate "), (4, None, "gzip")]
+    got = {r.k: r for r in capture.with_hashes(spark.createDataFrame([(k, bytearray(b) if b else None, e) for k, b, e in sent], "k int, body binary, content_encoding string")).collect()}
+    for k, b, _ in sent[:4]:
+        assert (got[k].wire_sha256, got[k].content_sha256, got[k].byte_size) == (hashlib.sha256(b).hexdigest(), hashlib.sha256(body).hexdigest(), len(body))
+    assert got[4].content_sha256 is None
+    for bad in ((body, "br"), (gzip.compress(body)[:-9], "gzip")):
+        with pytest.raises(Exception, match="unsupported Content-Encoding|ends early"):
+            capture.with_hashes(spark.createDataFrame([(bytearray(bad[0]), bad[1])], "body binary, content_encoding string")).collect()
+
+
+def test_records_are_appended_by_run(spark, tmp_path):
+    rows = lambda day: spark.createDataFrame([(k, dt.datetime(2024, 1, day, k)) for k in range(3)], "request_id long, requested_at timestamp_ntz")
+    started = lambda day: spark.range(1).select(capture.run_id(F.lit(dt.datetime(2024, 1, day)).cast("timestamp_ntz"), F.lit("x"))).first()[0]
+    for day in (9, 10, 10):
+        capture.append_records(rows(day), f"{tmp_path}/log", started(day))
+    got = capture.read_records(spark, f"{tmp_path}/log", "request_id long, requested_at timestamp_ntz")
+    assert got.count() == 9 and [r.run[:9] for r in got.select("run").distinct().orderBy("run").collect()] == ["20240109T", "20240110T"]
+
+
+def test_reconstructed_rows_take_their_release_date(spark):
+    rows = spark.createDataFrame([("qcew", "q1", 1, 5.0), ("qcew", "q1", 2, 6.0), ("qcew", "q2", 1, 7.0)], "program string, ref_date string, print int, value double")
+    dates = spark.createDataFrame([("qcew", "q1", 1, dt.datetime(2017, 6, 1), "a"), ("qcew", "q1", 2, dt.datetime(2017, 9, 1), "b"), ("qcew", "q2", 1, None, "c")], "program string, ref_date string, print int, released_at timestamp_ntz, release_event_id string")
+    got = sorted((r.value, r.knowledge_time, r.provenance) for r in ledger.reconstructed(rows, dates).collect())
+    assert got == [(5.0, dt.datetime(2017, 6, 1), "reconstructed"), (6.0, dt.datetime(2017, 9, 1), "reconstructed")]
+
+
 def test_numbering_is_by_time_over_all_ranges(spark):
     rows = spark.createDataFrame([(k, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=(k * 7919) % 500)) for k in range(300)], "request_id long, requested_at timestamp_ntz")
     got = [r.request_id for r in capture.numbered(rows, 5).orderBy("sequence").collect()]

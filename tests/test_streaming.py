@@ -18,10 +18,23 @@ def test_watch_state(spark, sf, tmp_path):
     log = source(spark, sf, f"{tmp_path}/in")
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
     live.fold_watch_state(stream, f"{tmp_path}/state", f"{tmp_path}/cp").awaitTermination()
-    last = spark.read.parquet(f"{tmp_path}/state/batch=2")
+    last = live.watch_rows(spark, f"{tmp_path}/state")
     assert sorted(map(str, capture.watch_state(last).collect())) == sorted(map(str, capture.watch_state(log).collect()))
 
 
+def test_watch_state_rewrites_touched_parts_only(spark, tmp_path):
+    log = spark.createDataFrame([(1, "a", "new_bytes", "h1"), (2, "b", "unchanged", None), (3, "a", "unchanged", None)], "request_id long, url string, outcome string, content_hash string").withColumns({"requested_at": F.timestamp_seconds("request_id"), "etag": F.lit(None).cast("string"), "last_modified": F.lit(None).cast("string")})
+    for k in (1, 2, 3):
+        log.where(F.col("request_id") == k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(log.schema).parquet(f"{tmp_path}/in")
+        live.fold_watch_state(stream, f"{tmp_path}/state", f"{tmp_path}/cp").awaitTermination()
+    held = spark.read.parquet(f"{tmp_path}/state").groupBy("part").agg(F.sort_array(F.collect_set("batch")).alias("b")).collect()
+    assert sorted(r.b for r in held) == [["0", "2"], ["1"]]
+    got = {r.url: (r.content_hash, r.validators_at) for r in capture.watch_state(live.watch_rows(spark, f"{tmp_path}/state")).collect()}
+    want = {r.url: (r.content_hash, r.validators_at) for r in capture.watch_state(log).collect()}
+    assert got == want and live.watch_rows(spark, f"{tmp_path}/none") is None
+
+
 def test_materializing_twice_adds_nothing(spark, sf, tmp_path):
     log = source(spark, sf, f"{tmp_path}/in")
     read = lambda: spark.readStream.schema(log.schema).parquet(f"{tmp_path}/in")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -99,10 +101,6 @@ def with_hashes(responses: DataFrame, body: str = "body", encoding: str = "conte
     that its encoding can't decode fails the job, and so does an unknown encoding: its hash would be one of compressed
     bytes.
     """
-    import zlib
-
-    import pyarrow as pa
-
     @F.arrow_udf("binary")
     def inflate(bodies: pa.Array, names: pa.Array) -> pa.Array:
         def one(data, name):

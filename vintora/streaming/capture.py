@@ -14,26 +14,61 @@ def records(spark: SparkSession, path: str, schema, at: str = "requested_at") ->
     return spark.readStream.schema(schema).parquet(path).withColumn(at, F.col(at).cast("timestamp"))
 
 
-def fold_watch_state(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Keep the newest observation of each url in a folder of Parquet generations, batch by batch.
+#: Parts of the watch state, by a hash of the url.
+PARTS = 64
 
-    The state is a fold: the batch's records and the last generation's rows go through the same aggregate, so a
-    repeated batch changes nothing. Batch n writes generation n and reads n - 1.
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def watch_rows(spark: SparkSession, table: str) -> DataFrame | None:
+    """The records that decide the watch state: of each part, the newest batch that wrote it. None before the first."""
+    if not _has_data(spark, table):
+        return None
+    rows = spark.read.parquet(table).withColumns({c: F.col(c).cast("long") for c in ("part", "batch")})
+    newest = rows.groupBy("part").agg(F.max("batch").alias("batch"))  # PARTS rows
+    return rows.join(F.broadcast(newest), ["part", "batch"])
+
+
+def fold_watch_state(stream: DataFrame, table: str, checkpoint: str, parts: int = PARTS) -> StreamingQuery:
+    """Keep the newest observations of each url in a folder of parts, batch by batch.
+
+    The state is a fold: a batch's records and the rows of the parts they touch go through the same aggregate, so a
+    repeated batch changes nothing. Batch n writes the parts it touches anew and reads only batches before n; parts that
+    a batch before the last one replaced are dropped.
     """
+    columns = ["url", "requested_at", "request_id", "outcome", "etag", "last_modified", "content_hash"]
 
     def fold(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        columns = ["url", "requested_at", "request_id", "outcome", "etag", "last_modified", "content_hash"]
-        rows = batch.select(*columns)
-        if n > 0:
-            rows = rows.unionByName(spark.read.parquet(f"{table}/batch={n - 1}").select(*columns))
+        part = F.pmod(F.xxhash64("url"), F.lit(parts)).cast("int")
+        rows = batch.select(*columns, part.alias("part"))
+        touched = [r[0] for r in rows.select("part").distinct().collect()]  # parts at most
+        if not touched:
+            return
+        if _has_data(spark, table):
+            held = spark.read.parquet(table).where((F.col("batch").cast("long") < n) & F.col("part").cast("int").isin(touched)).withColumn("part", F.col("part").cast("int"))
+            newest = held.groupBy("part").agg(F.max(F.col("batch").cast("long")).alias("_b"))
+            rows = rows.unionByName(held.join(F.broadcast(newest), "part").where(F.col("batch").cast("long") == F.col("_b")).select(*columns, "part"))
         # the records that decide the state: the newest state-bearing one and the newest with bytes
         newest = lambda c: F.max(F.when(c, F.struct("requested_at", "request_id", *[k for k in columns if k not in ("url", "requested_at", "request_id")])))
         bearing = F.col("outcome").isin(*capture.STATE_BEARING)
-        held = (F.col("outcome") == "new_bytes") & F.col("content_hash").isNotNull()
-        both = rows.where(bearing).groupBy("url").agg(newest(bearing).alias("v"), newest(held).alias("c"))
-        kept = both.select("url", F.inline(F.array_distinct(F.array_compact(F.array("v", "c")))))
-        kept.select(*columns).write.mode("overwrite").parquet(f"{table}/batch={n}")
+        held_bytes = (F.col("outcome") == "new_bytes") & F.col("content_hash").isNotNull()
+        both = rows.where(bearing).groupBy("url", "part").agg(newest(bearing).alias("v"), newest(held_bytes).alias("c"))
+        kept = both.select("url", "part", F.inline(F.array_distinct(F.array_compact(F.array("v", "c")))))
+        kept.select(*columns, "part", F.lit(n).cast("long").alias("batch")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch").parquet(table)
+        # a retried batch reads the state before it, so the last replaced state of a part stays
+        for k in touched:
+            names = sorted(int(s.getPath().getName().split("=")[1]) for s in spark._jvm.org.apache.hadoop.fs.Path(f"{table}/part={k}").getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{table}/part={k}")))
+            for old in names[:-2]:
+                _drop(spark, f"{table}/part={k}/batch={old}")
 
     return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -44,13 +79,10 @@ def materialize_vintages(stream: DataFrame, table: str, checkpoint: str) -> Stre
     def add(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
         new = capture.file_vintages(batch).select("file_vintage_id", "url", "content_hash", "requested_at").dropDuplicates(["file_vintage_id"])
-        try:
-            known = spark.read.option("recursiveFileLookup", True).parquet(table).where(F.col("_batch") != n)
+        if _has_data(spark, table):
+            known = spark.read.schema("file_vintage_id string, _batch long").option("recursiveFileLookup", True).parquet(table).where(F.col("_batch") != n)
             new = new.join(known.select("file_vintage_id"), "file_vintage_id", "left_anti")
-        except Exception as e:  # nothing is there yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        new.withColumn("_batch", F.lit(n)).write.mode("overwrite").parquet(f"{table}/batch={n}")
+        new.withColumn("_batch", F.lit(n).cast("long")).write.mode("overwrite").parquet(f"{table}/batch={n}")
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
