@@ -13,15 +13,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one only where it is unset."""
+    """The folder all executors share (spark.checkpoint.dir).
+
+    A temporary one only where it is unset and all tasks run on this machine; elsewhere a missing one raises.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         set_by_code = spark.sparkContext._jsc.sc().getCheckpointDir()
         if set_by_code.isDefined():
             found = set_by_code.get()
+        elif spark.sparkContext.master.startswith("local"):
+            spark.sparkContext.setCheckpointDir(f"/tmp/checkpoints/{uuid.uuid4().hex}")
+            found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
         else:
-            found = f"/tmp/checkpoints/{uuid.uuid4().hex}"
-            spark.sparkContext.setCheckpointDir(found)
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return found
 
 
@@ -49,9 +54,15 @@ def text_of(column: str = "text"):
 
 
 def small_batches(spark: SparkSession, records: int = 1000, most_bytes: int = 4 << 20) -> None:
-    """Bound what a Python worker gets at a time: texts may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
+    """Bound what a Python worker gets at a time: texts may be long.
+
+    Plans run after the call that makes them, so the bounds stay set; a session's own smaller ones are kept.
+    """
+    for key, most in (("maxRecordsPerBatch", records), ("maxBytesPerBatch", most_bytes)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{key}", None)
+        number = int(now) if now and now.lstrip("-").isdigit() else 0
+        if not 0 < number <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 def trim() -> None:

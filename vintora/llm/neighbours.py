@@ -38,7 +38,7 @@ COLLISIONS = 0.75
 #: Half width of the first window in standard deviations of the projections, and its growth.
 FIRST, GROWTH = 1.15, 1.15
 #: A block's windows widen until this share of its vectors collided, and at least as many as asked for.
-VERIFY = 0.1
+VERIFY = 0.2
 
 INDEX = "block long, dimension int, ids binary, vectors binary, orders binary"
 CHUNK = "dimension int, ids binary, vectors binary"
@@ -52,10 +52,18 @@ def lines(dimension: int, count: int = LINES) -> np.ndarray:
     return np.concatenate(bases)[:count]
 
 
-def _places(vectors: np.ndarray, scale: float, most: float | None) -> np.ndarray:
-    """Places on the lines, line by line; vectors get the added dimension if `most`, their largest scaled norm, is given."""
-    v = vectors / scale
-    rest = np.zeros(len(v)) if most is None else np.sqrt(np.maximum(most * most - (v * v).sum(1), 0))
+def _places(vectors: np.ndarray, scale: float, most: float, asked: bool = False) -> np.ndarray:
+    """Places on the lines, line by line. most: the largest scaled norm of the vectors.
+
+    Vectors get the added dimension. Queries, which have none, are brought to that norm: a query's length changes
+    no order of inner products, and a short one would lie about as far from every vector.
+    """
+    if asked:
+        v = vectors / np.abs(vectors).max(1, keepdims=True)
+        v, rest = v * (most / np.sqrt((v * v).sum(1, keepdims=True))), np.zeros(len(v))
+    else:
+        v = vectors / scale
+        rest = np.sqrt(np.maximum(most * most - (v * v).sum(1), 0))
     return np.ascontiguousarray((np.concatenate([v, rest[:, None]], 1) @ lines(v.shape[1] + 1).T).T)
 
 
@@ -63,7 +71,7 @@ class Block:
     """Some vectors and their order on each line."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, scale: float, most: float, orders: np.ndarray | None = None):
-        self.ids, self.vectors, self.scale = ids, vectors, scale
+        self.ids, self.vectors, self.scale, self.most = ids, vectors, scale, most
         places = _places(vectors, scale, most)
         self.orders = np.argsort(places, 1, kind="stable").astype(np.uint16) if orders is None else orders
         self.sorted = np.take_along_axis(places, self.orders.astype(np.int64), 1)
@@ -73,7 +81,7 @@ class Block:
         """(query id, ids, scores) of the nearest vectors found for each query."""
         n, count = len(self.ids), len(self.sorted)
         need, hits = min(n, k + 1 + int(VERIFY * n)), int(np.ceil(COLLISIONS * count))
-        at = _places(queries, self.scale, None)
+        at = _places(queries, self.scale, self.most, asked=True)
         spread = float(np.abs(self.sorted).max() + np.abs(at).max()) + 1
         widths = [FIRST * self.unit]
         while widths[-1] < spread:

@@ -94,6 +94,7 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST) -> bytes:
     lefts, rights, sizes = [], [], []
     size = np.ones(base, np.int64)
     at = np.arange(max(0, n - 1), dtype=np.int32)
+    held, names = np.full(1, np.iinfo(np.uint64).max, np.uint64), np.zeros(1, np.uint32)  # pairs that have a rule, in order
     while len(at):
         at, pair, pairs, counts = _frequent(seq, after, at, least)
         if not len(at):
@@ -104,17 +105,22 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST) -> bytes:
         begin = np.maximum.accumulate(np.where(np.concatenate([[True], ~touch | (count[1:] != count[:-1])]), row, 0))
         loses = np.concatenate([[False], touch & (count[:-1] > count[1:])]) | np.concatenate([touch & (count[1:] > count[:-1]), [False]])
         taken = ((row - begin) % 2 == 0) & ~loses
-        enough = np.bincount(pair[taken], minlength=len(counts)) >= least
-        good = np.flatnonzero(enough)
-        if not len(good):
+        used = np.bincount(pair[taken], minlength=len(counts))
+        spot = np.minimum(np.searchsorted(held, pairs), len(held) - 1)
+        known = held[spot] == pairs  # what overlapped a more frequent pair when its rule was made
+        enough = (used >= least) | known & (used > 0)
+        if not enough.any():
             break
+        good = np.flatnonzero(enough & ~known)
         left, right = (pairs[good] >> np.uint64(32)).astype(np.uint32), (pairs[good] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         lefts.append(left)
         rights.append(right)
         sizes.append(size[left] + size[right])
         size = np.concatenate([size, sizes[-1]])
-        rule = np.zeros(len(counts), np.uint32)
+        rule = np.where(known, names[spot], 0).astype(np.uint32)
         rule[good] = made + np.arange(len(good))
+        at_ = np.searchsorted(held, pairs[good])
+        held, names = np.insert(held, at_, pairs[good]), np.insert(names, at_, rule[good])
         made += len(good)
         taken &= enough[pair]
         here = at[taken]
