@@ -32,6 +32,10 @@ def test_calendar_and_feed(spark, tmp_path):
     (tmp_path / "c.ics").write_text("BEGIN:VCALENDAR\r\nBEGIN:VEVENT\r\nUID:7\r\nDTSTART;TZID=America/New_York:20260306T083000\r\nSUMMARY:Employment\r\n  Situation\r\nEND:VEVENT\r\nEND:VCALENDAR\r\n", newline="")
     row = files.calendar(spark, str(tmp_path / "c.ics")).first()
     assert (row.uid, row.title, str(row.starts), row.zone) == ("7", "Employment Situation", "2026-03-06 08:30:00", "America/New_York")
+    event = lambda uid, start: f"BEGIN:VEVENT\nUID:{uid}\nDTSTART{start}\nSUMMARY:x\nEND:VEVENT\n"
+    (tmp_path / "d.ics").write_text(event("a", ";VALUE=DATE:20260306") + event("b", ":20260306T133000Z") + event("c", ":20260306T083000") + event("d", ":never"))
+    got = {r.uid: (str(r.starts), r.zone, r.all_day) for r in files.calendar(spark, str(tmp_path / "d.ics")).collect()}
+    assert got == {"a": ("2026-03-06 00:00:00", None, True), "b": ("2026-03-06 13:30:00", "UTC", False), "c": ("2026-03-06 08:30:00", None, False), "d": ("None", None, False)}
     (tmp_path / "f.rss").write_text('<feed><entry><title>A</title><link href="/x"/><updated>2026</updated></entry></feed>')
     (tmp_path / "g.rss").write_text("<rss><item><title>B</title><link>/y</link><pubDate>2025</pubDate></item></rss>")
     assert sorted(map(tuple, files.feed(spark, str(tmp_path / "*.rss")).collect())) == [("A", "/x", "2026"), ("B", "/y", "2025")]

@@ -29,6 +29,24 @@ def nearest(pairs: DataFrame, of: str, ties: Sequence[str]) -> DataFrame:
     return pairs.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
+def carried_forward(marks: DataFrame, asks: DataFrame, by: Sequence[str], date: str, mark: str) -> DataFrame:
+    """asks with `mark`: that of the newest row of marks with equal `by` whose date isn't later; null before the first.
+
+    Dates fall into months. The last mark of each month is carried over the months, of which there are few, and within a
+    month the rows are laid in order: no key's whole history is one task's. Equal dates go by the larger mark.
+    """
+    month = F.trunc(date, "month")
+    held = marks.select(*by, F.col(date).alias("_d"), F.lit(0).alias("_asks"), F.col(mark).alias("_mark"), month.alias("_month"))
+    rows = asks.select(*by, F.col(date).alias("_d"), F.lit(1).alias("_asks"), F.lit(None).cast(marks.schema[mark].dataType).alias("_mark"), month.alias("_month"), F.struct(*asks.columns).alias("_row"))
+    both = held.unionByName(rows, allowMissingColumns=True)
+    last = both.groupBy(*by, "_month").agg(F.max(F.when(F.col("_asks") == 0, F.struct("_d", "_mark")))["_mark"].alias("_last"))
+    months = last.withColumn("_before", F.last("_last", ignorenulls=True).over(Window.partitionBy(*by).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)))
+    order = Window.partitionBy(*by, "_month").orderBy("_d", "_asks", "_mark").rowsBetween(Window.unboundedPreceding, 0)
+    known = both.withColumn("_own", F.last("_mark", ignorenulls=True).over(order)).where("_asks = 1")
+    found = known.join(months.select(*by, "_month", "_before"), [*by, "_month"])
+    return found.select("_row.*", F.coalesce("_own", "_before").alias(mark))
+
+
 def incidents(late: DataFrame, by: Sequence[str], date: str, gap_days: int) -> DataFrame:
     """Late rows with an incident number: a pause of more than gap_days begins a new one."""
     order = Window.partitionBy(*by).orderBy(date)

@@ -147,10 +147,12 @@ def manifest_stats(t: Tables):
     return found.select("release_event_id", "n_rows", "min_key", "max_key", micros("lo").alias("min_us"), micros("hi").alias("max_us"))
 
 
-@query("SELECT program, COUNT(*) AS n, COUNT(DISTINCT url) AS urls FROM inventory GROUP BY program HAVING COUNT(*) > 1")
+@query("SELECT what, name, n FROM (SELECT 'key' AS what, artifact_key AS name, COUNT(*) AS n FROM (SELECT CASE WHEN artifact % 25 = 0 THEN 'twin' ELSE artifact_key END AS artifact_key FROM inventory) GROUP BY artifact_key UNION ALL SELECT 'url', url, COUNT(*) FROM (SELECT CASE WHEN artifact % 30 = 1 THEN 'https://files.example/twin' ELSE url END AS url FROM inventory) GROUP BY url) WHERE n > 1")
 def inventory_unique(t: Tables):
-    """Programs served by several artifacts, with their distinct urls."""
-    return t("inventory").groupBy("program").agg(F.count("*").alias("n"), F.count_distinct("url").alias("urls")).where("n > 1")
+    """Keys and urls that several artifacts share; some are falsified on purpose."""
+    rows = t("inventory").withColumns({"artifact_key": F.when(F.col("artifact") % 25 == 0, "twin").otherwise(F.col("artifact_key")), "url": F.when(F.col("artifact") % 30 == 1, "https://files.example/twin").otherwise(F.col("url"))})
+    names = rows.select(F.inline(F.array(F.struct(F.lit("key").alias("what"), F.col("artifact_key").alias("name")), F.struct(F.lit("url").alias("what"), F.col("url").alias("name")))))
+    return names.groupBy("what", "name").agg(F.count("*").alias("n")).where("n > 1")
 
 
 @query("SELECT split_part(artifact_key, '.', 1) AS prefix, COUNT(*) AS n FROM inventory GROUP BY 1 HAVING COUNT(*) > 1")

@@ -289,13 +289,10 @@ def cascade_hint(t: Tables):
 @query("SELECT release_id, CAST(notice_id AS BIGINT) AS marker_id FROM (SELECT r.release_id, n.notice_id, row_number() OVER (PARTITION BY r.release_id ORDER BY n.effective DESC, n.notice_id DESC) AS k FROM releases r JOIN (SELECT notice_id, area % 11 AS program, published - CAST(9000 AS INT) AS effective FROM notices WHERE notice_id % 11 = 4) n ON r.program = n.program AND n.effective <= CAST(r.first_observed_at AS DATE)) WHERE k = 1")
 def marker_effective(t: Tables):
     """The precision marker in force at each release: the newest effective by then, carried forward in time."""
-    from pyspark.sql.window import Window
-
-    markers = t("notices").where("notice_id % 11 = 4").select((F.col("area") % 11).cast("long").alias("program"), F.date_sub("published", 9000).alias("d"), F.lit(0).alias("asks"), "notice_id", F.lit(None).cast("long").alias("release_id"))
-    asks = t("releases").select("program", F.col("first_observed_at").cast("date").alias("d"), F.lit(1).alias("asks"), F.lit(None).cast("long").alias("notice_id"), "release_id")
-    order = Window.partitionBy("program").orderBy("d", "asks", "notice_id").rowsBetween(Window.unboundedPreceding, 0)
-    known = markers.unionByName(asks).withColumn("marker_id", F.last("notice_id", ignorenulls=True).over(order))
-    return known.where("asks = 1 AND marker_id IS NOT NULL").select("release_id", "marker_id")
+    markers = t("notices").where("notice_id % 11 = 4").select((F.col("area") % 11).cast("long").alias("program"), F.date_sub("published", 9000).alias("d"), "notice_id")
+    asks = t("releases").select("program", F.col("first_observed_at").cast("date").alias("d"), "release_id")
+    known = matching.carried_forward(markers, asks, ["program"], "d", "notice_id")
+    return known.where("notice_id IS NOT NULL").select("release_id", F.col("notice_id").alias("marker_id"))
 
 
 LEVELS = "SELECT program, CAST(make_date(ref_year, ref_month, 1) AS DATE) AS ref_date, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS level FROM releases GROUP BY 1, 2"

@@ -143,5 +143,8 @@ CELLS = "SELECT lpad(CAST(s_nationkey AS VARCHAR), 5, '0') || l_returnflag || p_
 def composite_cells(t: Tables):
     """Cells under a composed key that keeps leading zeros; quantities are summed as decimals."""
     rows = t("lineitem").join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+    # one row for each raw key: the key is composed after the aggregate, not row by row
+    raw = ["s_nationkey", "l_returnflag", "p_brand"]
+    cells = rows.groupBy(*raw, F.year("l_shipdate").cast("long").alias("ref_year"), F.quarter("l_shipdate").cast("long").alias("q")).agg(F.count("*").alias("establishments"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("employment"))
     unit = F.concat(F.lpad(F.col("s_nationkey").cast("string"), 5, "0"), "l_returnflag", "p_brand").alias("unit_key")
-    return rows.groupBy(unit, F.year("l_shipdate").cast("long").alias("ref_year"), F.quarter("l_shipdate").cast("long").alias("q")).agg(F.count("*").alias("establishments"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("employment"))
+    return cells.select(unit, "ref_year", "q", "establishments", "employment")

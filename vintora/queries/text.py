@@ -84,6 +84,19 @@ def api_verdict(t: Tables):
     return found.withColumn("success", (F.col("n_points") > 0) & (F.col("n_series") > 0))
 
 
+@query("SELECT conv_id, turn, CAST(CASE WHEN turn % 4 = 3 THEN 0 ELSE turn % 4 + 1 END AS INT) AS n_series, CAST(CASE WHEN turn % 4 = 3 THEN 0 ELSE (turn % 4 + 1) * (turn % 3) END AS INT) AS n_points, turn % 4 <> 3 AND turn % 3 > 0 AS success FROM conversations")
+def api_payload(t: Tables):
+    """Answers of an API, some without series and some without points, whatever their status says."""
+    from vintora.sources.files import api_payload as parsed
+
+    point = F.lit('{"value":"1"}')
+    data = F.array_join(F.slice(F.array(point, point), F.lit(1), (F.col("turn") % 3).cast("int")), ",")
+    one = F.concat(F.lit('{"seriesID":"x","data":['), data, F.lit("]}"))
+    series = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("turn") % 4), lambda k: one), ",")
+    payload = F.when(F.col("turn") % 4 == 3, '{"status":"REQUEST_SUCCEEDED","Results":{}}').otherwise(F.concat(F.lit('{"status":"REQUEST_SUCCEEDED","Results":{"series":['), series, F.lit("]}}")))
+    return parsed(t("conversations").select("conv_id", "turn", payload.alias("payload"))).select("conv_id", "turn", "n_series", "n_points", "success")
+
+
 @query("SELECT page_id, CAST(strlen(html) AS BIGINT) AS n_bytes, CAST(len(html) - len(replace(html, chr(10), '')) AS BIGINT) AS n_lines FROM pages")
 def member_measure(t: Tables):
     """Size and lines of each member of an archive."""

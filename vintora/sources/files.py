@@ -58,14 +58,22 @@ def zipped_lines(spark: SparkSession, path: str, chunk: int = 1 << 20) -> DataFr
 
 
 def zipped_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of CSV members of archives by a declared schema. The header must hold all its columns."""
+    """Rows of CSV members of archives by a declared schema.
+
+    The header must hold all its columns, and every archive a row: a wrong file under a right name must not pass for an
+    empty one.
+    """
     lines = zipped_lines(spark, path)
     names = [f.name for f in spark.createDataFrame([], schema).schema.fields]
     heads = lines.where("line_no = 0").select("file", "member", F.transform(F.split("line", ","), lambda c: F.trim(c, F.lit(' "'))).alias("head"))
     lacking = heads.where(~F.forall(F.array(*map(F.lit, names)), lambda c: F.array_contains("head", c)))
     if not lacking.isEmpty():
         raise ValueError(f"columns are missing: {lacking.first()}")
-    body = lines.where("line_no > 0 AND line <> ''").join(heads, ["file", "member"])
+    filled = lines.where("line_no > 0 AND line <> ''")
+    empty = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file")).join(filled.select("file").distinct(), "file", "left_anti")
+    if not empty.isEmpty():
+        raise ValueError(f"no rows in {empty.first()[0]}")
+    body = filled.join(F.broadcast(heads), ["file", "member"])  # a header for each member
     cells = F.transform(F.split("line", ',(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda c: F.trim(c, F.lit(' "')))
     row = F.map_from_arrays("head", "cells")
     kinds = {f.name: f.dataType for f in spark.createDataFrame([], schema).schema.fields}
@@ -73,13 +81,20 @@ def zipped_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession, path: str) -> DataFrame:
-    """(uid, title, starts, zone) of the events of iCalendar files; folded lines are joined."""
+    """(uid, title, starts, zone, all_day) of the events of iCalendar files; folded lines are joined.
+
+    starts is local to zone: the one the event names, UTC for times that end in Z, null for floating ones. A date alone is
+    an all-day event, at its first instant.
+    """
     files = spark.read.text(path, wholetext=True)
     body = F.regexp_replace(F.regexp_replace("value", "\r\n", "\n"), "\n[ \t]", "")
     events = files.select(F.explode(F.regexp_extract_all(body, F.lit("(?s)BEGIN:VEVENT\n(.*?)END:VEVENT"), F.lit(1))).alias("e"))
     one = lambda p: F.regexp_extract("e", p, 1)
-    stamp = one(r"(?m)^DTSTART[^:\n]*:(\d{8}T\d{6})")
-    return events.select(one(r"(?m)^UID:(.*)$").alias("uid"), one(r"(?m)^SUMMARY:(.*)$").alias("title"), F.try_to_timestamp(stamp, F.lit("yyyyMMdd'T'HHmmss")).cast("timestamp_ntz").alias("starts"), F.nullif(one(r"(?m)^DTSTART;TZID=([^:\n]*):"), F.lit("")).alias("zone"))
+    stamp, utc = one(r"(?m)^DTSTART[^:\n]*:(\d{8}(?:T\d{6})?)"), one(r"(?m)^DTSTART[^:\n]*:\d{8}T\d{6}(Z)") == "Z"
+    all_day = F.length(stamp) == 8
+    starts = F.try_to_timestamp(F.when(all_day, F.concat(stamp, F.lit("T000000"))).otherwise(stamp), F.lit("yyyyMMdd'T'HHmmss")).cast("timestamp_ntz")
+    zone = F.when(utc, "UTC").otherwise(F.nullif(one(r"(?m)^DTSTART;TZID=([^:\n]*):"), F.lit("")))
+    return events.select(one(r"(?m)^UID:(.*)$").alias("uid"), one(r"(?m)^SUMMARY:(.*)$").alias("title"), starts.alias("starts"), zone.alias("zone"), all_day.alias("all_day"))
 
 
 def feed(spark: SparkSession, path: str) -> DataFrame:
