@@ -279,15 +279,18 @@ def sets_of(sets: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def prefixes_of(sets: DataFrame, ranks, orders: int = ORDERS) -> DataFrame:
-    """(node, p1, p2, ...): the prefix of each set under every order but the first."""
+    """(node, p1, p2, ...): the prefix of each set under every order but the first, tokens cut to 32 bits.
+
+    Equal tokens stay equal, so no pair that shares one is lost.
+    """
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = [*_sets(batch)]
-            lists = [pa.array([in_order(s, ranks.value, k).view(np.int64) for s in held], pa.list_(pa.int64())) for k in range(1, orders)]
+            lists = [pa.array([in_order(s, ranks.value, k).astype(np.uint32).view(np.int32) for s in held], pa.list_(pa.int32())) for k in range(1, orders)]
             yield pa.RecordBatch.from_arrays([batch.column("node"), *lists], names=["node", *(f"p{k}" for k in range(1, orders))])
 
-    return sets.mapInArrow(look, ", ".join(["node long", *(f"p{k} array<long>" for k in range(1, orders))]))
+    return sets.mapInArrow(look, ", ".join(["node long", *(f"p{k} array<int>" for k in range(1, orders))]))
 
 
 def _with_sides(pairs: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
@@ -453,9 +456,8 @@ def links(sets: DataFrame, ranks) -> DataFrame:
     def checked(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs.select("u", "v"), "pairs")
         wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-        own = stored(sets_of(sets, wanted), "sets")
-        found = stored(verified(pairs, own, ranks), "links")
-        discard(pairs, own)
+        found = stored(verified(pairs, sets_of(sets, wanted), ranks), "links")
+        discard(pairs)
         return found
 
     # each node with the leader it shares most prefix tokens with
