@@ -27,11 +27,11 @@ def op7() -> str:
 WITH t(template, label, base, size, place, gram) AS (VALUES {grams}),
 d AS (SELECT row_number() OVER () AS row_id, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 g AS (SELECT row_id, CAST(unnest(range(0, len(w) - {k - 1})) AS INT) AS pos, unnest([array_to_string(w[i:i + {k - 1}], ' ') FOR i IN range(1, len(w) - {k - 2})]) AS gram FROM d WHERE len(w) >= {k}),
-v AS (SELECT row_id, template, label, base, size, pos - place AS diagonal, count(*) AS votes, min(pos) AS first, max(pos) AS last FROM g JOIN t USING (gram) GROUP BY ALL),
+v AS (SELECT row_id, template, label, base, size, pos - place AS diagonal, count(*) AS votes, list(place) AS places, min(pos) AS first, max(pos) AS last FROM g JOIN t USING (gram) GROUP BY ALL),
 o AS (SELECT *, CASE WHEN base OR abs(diagonal - lag(diagonal) OVER q) > {licenses.SHIFT} OR first - lag(last) OVER q > {licenses.GAP} OR lag(last) OVER q IS NULL THEN 1 ELSE 0 END AS new_run FROM v WINDOW q AS (PARTITION BY row_id, template ORDER BY first, diagonal)),
 r AS (SELECT *, sum(new_run) OVER (PARTITION BY row_id, template ORDER BY first, diagonal) AS run FROM o),
-f AS (SELECT row_id, template, label, base, size, run, sum(votes) AS votes, min(diagonal) AS diagonal, min(first) AS first, max(last) - min(first) + {k} AS span FROM r GROUP BY ALL),
-x AS (SELECT *, rank() OVER (PARTITION BY row_id, base, first ORDER BY votes DESC) AS rival, least(1.0, CAST(votes AS DOUBLE) / (size - {k - 1})) AS cover FROM f),
+f AS (SELECT row_id, template, label, base, size, run, sum(votes) AS votes, len(list_distinct(flatten(list(places)))) AS covered, min(diagonal) AS diagonal, min(first) AS first, max(last) - min(first) + {k} AS span FROM r GROUP BY ALL),
+x AS (SELECT *, rank() OVER (PARTITION BY row_id, base, first ORDER BY covered DESC) AS rival, least(1.0, CAST(covered AS DOUBLE) / (size - {k - 1})) AS cover FROM f),
 y AS (SELECT *, base AND votes = size - {k - 1} AS exact, NOT base AND rival = 1 AND cover >= {licenses.COVER} AND span <= 1.5 * size + 2 AS near FROM x),
 z AS (SELECT row_id, count(*) FILTER (WHERE exact) AS n_base, min(diagonal) FILTER (WHERE exact) AS first_word, max(diagonal) FILTER (WHERE exact) AS last_word, array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE exact))), ',') AS base_labels, array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE exact OR near))), ',') AS labels, max(CASE WHEN exact THEN 1.0 WHEN near THEN cover END) AS score FROM y GROUP BY row_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score FROM d LEFT JOIN z ON d.row_id = z.row_id"""
