@@ -1,27 +1,32 @@
-"""The pipeline's stages against plain versions of their decisions."""
+"""The pipeline's stages against decisions worked out apart from them."""
 
 import corpus_pipeline
-from tests.llm.test_queries import PATTERNS, jaccard_truth
-from vintora.llm import decontaminate, toxicity
+from tests.llm.test_queries import PATTERNS, jaccard_truth, overlap_truth, toxic_bins
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_stages_take_effect(spark, small):
-    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
-    columns, seen = docs.columns, {}
+    from vintora.llm import toxicity
+
+    docs = spark.read.parquet(f"{small}/documents.parquet").select(*COLUMNS)
+    bench = [r.text for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    seen = {}
     for name, stage in corpus_pipeline.STAGES:
         before = {r.doc_id: r.text for r in docs.collect()}
         if name == "toxicity":
-            model = toxicity.fit(docs, spark.read.parquet(f"{small}/labels.parquet"))
-            keep = set(before) if model is None else {r.doc_id for r in toxicity.score(docs, model).where("score < 0.5").collect()}
+            weights, bias = toxicity.fit(docs, spark.read.parquet(f"{small}/labels.parquet"))
+            keep = {i for i, t in before.items() if float(weights[sorted(toxic_bins(t))].sum(dtype="float64")) + bias < 0}
         elif name == "n-gram Jaccard join":
+            # texts without words are near duplicates of nothing
             keep = {i for i, (_, c) in jaccard_truth(before).items() if i == c}
         elif name == "benchmark decontamination":
-            keep = set(before) - {r.doc_id for r in decontaminate.contaminated(docs, spark.read.parquet(f"{small}/benchmark.parquet")).collect()}
+            keep = {i for i, t in before.items() if all(overlap_truth(t, b) is None for b in bench)}
         else:
             keep = set(before)
         out = stage(spark, docs, small)
         if (name, stage) != corpus_pipeline.STAGES[-1]:
-            assert out.columns == columns
+            assert out.columns == COLUMNS
         rows = out.collect()
         assert sorted(r.doc_id for r in rows) == sorted(keep), name
         if name == "secret scans":
@@ -35,6 +40,43 @@ def test_stages_take_effect(spark, small):
     assert seen["n-gram Jaccard join"] < seen["toxicity"]
 
 
+def test_toxic_documents_go_and_clean_ones_stay(spark, tmp_path):
+    """Words that only toxic documents hold, in texts that carry no label."""
+    words = [f"plain{k}" for k in range(60)]
+    text = lambda k, bad: " ".join([*(words[(k * 7 + j * j) % 60] for j in range(25)), *(["vilest", "scumword"] if bad else [])])
+    docs = spark.createDataFrame([(k, text(k, k % 4 == 0)) for k in range(400)], "doc_id long, text string")
+    spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(200)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.keep_civil(spark, docs, str(tmp_path)).collect()}
+    assert kept == {k for k in range(400) if k % 4}
+
+
+ROWS = [(1, "T"), (2, "T"), (2, "U"), (None, "T"), (None, "V"), (3, None), (3, None), (None, " ")]
+LONG = {"T": "the first text says one thing to everybody", "U": "a second text says quite another thing", "V": "a third one has no name at all here"}
+
+
+def test_no_text_is_lost_for_anothers_id(spark, small):
+    docs = spark.createDataFrame([(i, LONG.get(t, t), "x") for i, t in ROWS], "doc_id long, text string, row string").withColumnRenamed("row", "text_hash")
+    names = {v: k for k, v in LONG.items()}
+    out = corpus_pipeline.keep_one_of_each(spark, docs, small)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id or 0, names.get(r.text, r.text) or "") for r in out.collect())
+    assert got == [(0, " "), (0, "V"), (1, "T"), (2, "U"), (3, ""), (3, "")]
+
+
+def test_contaminated_rows_go_whatever_their_id(spark, tmp_path):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    spark.createDataFrame([(1, item), (None, "an item without an id that is long enough to be found by all the masks")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, f"see {item} here"), (1, "a clean text under the same id"), (None, item), (None, "clean and nameless"), (2, None), (3, "well an item without an id that is long enough to be found by all the masks")]
+    out = corpus_pipeline.keep_uncontaminated(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path))
+    assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == [(0, "clean and nameless"), (1, "a clean text under the same id"), (2, "")]
+
+
+def test_secrets_are_masked_whole(spark, small):
+    rows = [(1, "key 9Xk2Lm0123456789abcdef0aQw7Zr7Lk2Xw9Vb4Nn6Ts1Yd3 end", 1), (1, None, 2), (None, "plain words alone", 3)]
+    out = corpus_pipeline.redact_secrets(spark, spark.createDataFrame(rows, "doc_id long, text string, secret_spans int"), small)
+    assert sorted((r.secret_spans, r.text) for r in out.collect()) == [(1, "key [SECRET] end"), (2, None), (3, "plain words alone")]
+
+
 def test_repeated_rows_stay_once(spark, small):
     docs = spark.createDataFrame([(1, "some words that repeat in both rows"), (1, "some words that repeat in both rows"), (2, "others"), (None, "no name")], "doc_id long, text string")
     out = corpus_pipeline.keep_one_of_each(spark, docs, small)
