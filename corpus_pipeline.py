@@ -29,6 +29,13 @@ def _matching(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
     return docs.alias("_d").join(rows, F.col("_d.doc_id").eqNullSafe(F.col("_r.doc_id")) & (text_hash == F.col("_r.text_hash")), how)
 
 
+def _apart(docs: DataFrame, step) -> DataFrame:
+    """step over docs, whose columns but text have other names meanwhile, so that none clashes with the step's own."""
+    names = {c: "text" if c == "text" else f"column_{k}" for k, c in enumerate(docs.columns)}
+    out = step(docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())))
+    return out.select(*(F.col(n).alias(c) for c, n in names.items()))
+
+
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, trained on the labelled rows among them, doesn't reject.
 
@@ -36,8 +43,7 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     without labelled rows of both classes nothing is rejected.
     """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    held = toxicity.score(docs.select(F.struct("*").alias("row"), "text"), model)
-    return held.where("score < 0.5").select("row.*")
+    return _apart(docs, lambda rows: toxicity.score(rows, model).where("score < 0.5"))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,9 +70,8 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts masked. Null texts stay null; repeated rows are masked alike."""
-    held = docs.select(F.struct("*").alias("row"), "text")
-    masked = secrets.redact(secrets.find(held, secrets.train(secrets.labelled_samples(docs))))
-    return masked.select(F.col("row").withField("text", F.col("text")).alias("row")).select("row.*")
+    model = secrets.train(secrets.labelled_samples(docs))
+    return _apart(docs, lambda rows: secrets.redact(secrets.find(rows, model)))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
