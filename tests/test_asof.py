@@ -52,6 +52,30 @@ def test_a_defective_vintage_stays_readable_between_two_releases(spark):
     assert [asof.as_of(rows, c, at(d)).first().value for d in (3, 6)] == [0.0, 1.0]
 
 
+def test_a_spine_sees_committed_rows_only(spark):
+    rows = log(spark, [("a", 1, "r1", "revised", "observed"), ("a", 2, "r3", "revised", "observed"), ("a", 3, "r1", "revised", "external"), ("b", 1, "r1", "revised", "observed"), ("b", 4, "r2", "deleted", "observed")])
+    spine = rows.select(*asof.KEY).distinct().withColumn("at", F.explode(F.array(at(2), at(5))))
+    read = lambda **more: {(r.unit_key, r.at.day): r.sequence for r in asof.as_of_spine(rows, committed(spark, "r1", "r2"), spine, **more).collect()}
+    assert read() == {("a", 3): 0, ("a", 6): 0, ("b", 3): 3}
+    assert read(strict=False, until=at(5)) == {("a", 3): 0, ("a", 6): 2, ("b", 3): 3}
+
+
+def test_reference_years_prune_folders(spark, tmp_path):
+    rows = log(spark, [("a", 1, "r1", "revised", "observed")])
+    rows = rows.unionByName(rows.withColumn("ref_date", F.lit("2020-01-01").cast("date")))
+    rows.withColumn("ref_year", F.year("ref_date")).write.partitionBy("ref_year").parquet(f"{tmp_path}/log")
+    found = asof.as_of(spark.read.parquet(f"{tmp_path}/log"), committed(spark, "r1"), at(3), years=[2024])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ref_year" in plan or "PartitionFilters: [(cast(ref_year" in plan
+    assert found.count() == 1
+
+
+def test_precision_changes_where_a_marker_says_so(spark):
+    prev, cur = (spark.createDataFrame([(1, a), (2, b)], "k int, m double") for a, b in ((1.234, 5.678), (1.2, 9.0)))
+    kinds = lambda where: {r.k: r.change_kind for r in diff.wide_diff(prev, cur, ["k"], ["m"], precision=(where, 1)).collect()}
+    assert kinds(F.lit(True)) == {1: "precision_only", 2: "revised"} and kinds(F.col("k") > 1) == {1: "revised", 2: "revised"}
+
+
 def test_plan_has_a_partial_top_one(spark, sf):
     from vintora.queries import QUERIES
 

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def wide_diff(prev: DataFrame, cur: DataFrame, key: Sequence[str], measures: Sequence[str], scope: Column | None = None, footnote: str | None = None) -> DataFrame:
+def wide_diff(prev: DataFrame, cur: DataFrame, key: Sequence[str], measures: Sequence[str], scope: Column | None = None, footnote: str | None = None, precision: tuple[Column, int] | None = None) -> DataFrame:
     """Changed cells of two wide snapshots: key, measure, value, prev_value, change_kind.
 
     The tables are joined once and wide; only changed cells are melted. Rows missing from cur are deleted only
     inside `scope`, a condition on the key columns: without one, nothing is deleted. A change of the footnote
-    column alone is a change of its own.
+    column alone is a change of its own. precision is a condition on the key columns, true where a marker of changed
+    precision is in force, and the digits of the coarser side: values that agree at these are no revision there.
     """
     side = lambda df, tag: df.select(*key, *(F.col(m).cast("double").alias(f"{tag}_{m}") for m in measures), *([F.col(footnote).alias(f"{tag}_footnote")] if footnote else []), F.lit(True).alias(f"{tag}_in"))
     both = side(prev, "p").join(side(cur, "c"), list(key), "full_outer")
@@ -25,7 +26,10 @@ def wide_diff(prev: DataFrame, cur: DataFrame, key: Sequence[str], measures: Seq
 
     def kind(m: str) -> Column:
         p, c = F.col(f"p_{m}"), F.col(f"c_{m}")
-        found = F.when(F.col("p_in").isNull(), "first_print").when(gone, "deleted").when(p.isNotNull() & c.isNull(), "suppressed").when(p.isNull() & c.isNotNull(), "unsuppressed").when(p != c, "revised")
+        found = F.when(F.col("p_in").isNull(), "first_print").when(gone, "deleted").when(p.isNotNull() & c.isNull(), "suppressed").when(p.isNull() & c.isNotNull(), "unsuppressed")
+        if precision:
+            found = found.when((p != c) & precision[0] & same_at(p, c, precision[1]), "precision_only")
+        found = found.when(p != c, "revised")
         return found.when(~F.col("p_footnote").eqNullSafe(F.col("c_footnote")), "footnote_only") if footnote else found
 
     cells = F.array(*(F.struct(F.lit(m).alias("measure"), F.col(f"c_{m}").alias("value"), F.col(f"p_{m}").alias("prev_value"), kind(m).alias("change_kind")) for m in measures))

@@ -91,6 +91,20 @@ def announced(releases: DataFrame, events: DataFrame) -> DataFrame:
     return hit.select(*releases.columns, "kind", "expects_change", "reach", is_lower_bound(F.col("program"), F.col("kind")).alias("lower_bound"))
 
 
+def divergence(expected: DataFrame, observed: DataFrame, by: list[str]) -> DataFrame:
+    """by columns, ref_date, divergence: periods a footprint holds and a release didn't touch (`missing`), or the reverse.
+
+    expected: by columns, ref_date, lower_bound; observed: by columns, ref_date. A footprint known from below only makes no
+    period beyond it unexpected.
+    """
+    key = [*by, "ref_date"]
+    e = expected.groupBy(*key).agg(F.max("lower_bound").alias("_bound"))
+    bounds = e.groupBy(*by).agg(F.max("_bound").alias("_bound"))
+    both = e.select(*key, F.lit(True).alias("_e")).join(observed.select(*key).distinct().withColumn("_o", F.lit(True)), key, "full_outer")
+    both = both.where("_e IS NULL OR _o IS NULL").join(bounds, by, "left").where("_o IS NULL OR NOT coalesce(_bound, false)")
+    return both.select(*key, F.when(F.col("_e").isNull(), "unexpected").otherwise("missing").alias("divergence"))
+
+
 def prints_of(footprints: DataFrame) -> DataFrame:
     """The inverse: how often each period is printed, and first and last by which release. Derived, never stored.
 

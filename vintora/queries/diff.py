@@ -60,6 +60,18 @@ def precision_only(t: Tables):
     return rows.select(*KEY, F.when(v.isNull() | w.isNull(), "suppressed").when(v == w, "unchanged").when(diff.same_at(v, w, 0), "precision_only").otherwise("revised").alias("change"))
 
 
+COARSE = "SELECT unit_key, ref_year, price AS p, CASE WHEN unit_key % 3 = 0 THEN round(price) WHEN unit_key % 7 = 0 THEN price + 3 ELSE price END AS c FROM wide_prev"
+
+
+@query(f"SELECT unit_key, ref_year, p AS prev_value, c AS value, CASE WHEN ref_year >= 1995 AND round(p) = round(c) THEN 'precision_only' ELSE 'revised' END AS change_kind FROM ({COARSE}) WHERE p <> c")
+def precision_change(t: Tables):
+    """Values given with fewer digits: since 1995, when a marker announced it, a change of precision, before a revision."""
+    k = F.col("unit_key")
+    cur = t("wide_prev").withColumn("price", F.when(k % 3 == 0, F.round("price")).when(k % 7 == 0, F.col("price") + 3).otherwise(F.col("price")))
+    found = diff.wide_diff(t("wide_prev"), cur, KEY, ["price"], precision=(F.col("ref_year") >= 1995, 0))
+    return found.select(*KEY, "prev_value", "value", "change_kind")
+
+
 @query("SELECT COALESCE(p.series_id, c.series_id) AS series_id, CASE WHEN p.series_id IS NULL THEN 'added' WHEN c.series_id IS NULL THEN 'discontinued' WHEN p.code IS DISTINCT FROM c.code THEN 'recoded' WHEN p.title IS DISTINCT FROM c.title THEN 'retitled' ELSE 'present' END AS status FROM catalog_prev p FULL JOIN catalog_cur c ON p.series_id = c.series_id")
 def catalog_diff(t: Tables):
     return diff.catalog_diff(t("catalog_prev"), t("catalog_cur"), "series_id")

@@ -195,3 +195,18 @@ def announced_kinds(t: Tables):
     kind = F.when(F.month("t_max") == 1, "correction").when(F.month("t_max") == 7, "preliminary_benchmark").when(F.month("t_max") == 4, "reweight").otherwise("wage_refresh")
     found = periods.announced(rows, rows.withColumn("kind", kind))
     return found.select("program", *text("t_max"), "kind", "expects_change", "reach", "lower_bound")
+
+
+_reach = f"SELECT program, t_max, seasonality, ref_date, bool_or({_bounds}) AS lb FROM ({FOOT}) GROUP BY ALL"
+_seen = f"SELECT program, t_max, seasonality, ref_date FROM ({_reach}) WHERE month(ref_date) % 5 <> 0 UNION SELECT program, t_max, seasonality, CAST(MIN(ref_date) - INTERVAL 12 MONTH AS DATE) FROM ({_reach}) GROUP BY program, t_max, seasonality"
+
+
+@query(f"SELECT COALESCE(e.program, o.program) AS program, CAST(COALESCE(e.t_max, o.t_max) AS VARCHAR) AS t_max, COALESCE(e.seasonality, o.seasonality) AS seasonality, CAST(COALESCE(e.ref_date, o.ref_date) AS VARCHAR) AS ref_date, CASE WHEN e.program IS NULL THEN 'unexpected' ELSE 'missing' END AS divergence FROM ({_reach}) e FULL JOIN ({_seen}) o ON e.program = o.program AND e.t_max = o.t_max AND e.seasonality = o.seasonality AND e.ref_date = o.ref_date LEFT JOIN (SELECT program, t_max, seasonality, bool_or(lb) AS lb FROM ({_reach}) GROUP BY ALL) l ON l.program = COALESCE(e.program, o.program) AND l.t_max = COALESCE(e.t_max, o.t_max) AND l.seasonality = COALESCE(e.seasonality, o.seasonality) WHERE o.program IS NULL OR e.program IS NULL AND NOT COALESCE(l.lb, FALSE)")
+def footprint_reach(t: Tables):
+    """Divergences by seasonality; some periods are left out on purpose, and one a year before each footprint is added."""
+    by = ["program", "t_max", "seasonality"]
+    expected = _foot(t).withColumn("lower_bound", periods.is_lower_bound(F.col("program"), F.col("kind")))
+    earlier = expected.groupBy(*by).agg(F.add_months(F.min("ref_date"), -12).alias("ref_date"))
+    seen = expected.where("month(ref_date) % 5 <> 0").select(*by, "ref_date").unionByName(earlier)
+    found = periods.divergence(expected, seen, by)
+    return found.select("program", *text("t_max"), "seasonality", *text("ref_date"), "divergence")
