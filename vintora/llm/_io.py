@@ -48,6 +48,11 @@ def discard(*tables: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: its cleaner follows the driver's garbage collection."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(column: str = "text"):
     """A text column with null read as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintora.llm import tables
-from vintora.llm._io import discard, small_batches, stored, trim
+from vintora.llm._io import discard, release_shuffles, small_batches, stored, trim
 from vintora.llm.bpe import by_bytes
 from vintora.llm.components import components
 
@@ -450,6 +450,7 @@ def _block_links(group: pa.Table, ranks: np.ndarray) -> pa.Table:
 def links(sets: DataFrame, ranks) -> DataFrame:
     """(node, component) of the nodes linked with another."""
     rows = stored(shared(prefix_rows(sets, ranks)), "shared")
+    release_shuffles(sets.sparkSession)
     fits = "5 * least(u_n, v_n) >= 4 * greatest(u_n, v_n)"
     may = lambda common: _may_link(common, F.col("u_n"), F.col("v_n"), F.col("u_last"), F.col("v_last"))
 
@@ -458,6 +459,7 @@ def links(sets: DataFrame, ranks) -> DataFrame:
         wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
         found = stored(verified(pairs, sets_of(sets, wanted), ranks), "links")
         discard(pairs)
+        release_shuffles(sets.sparkSession)
         return found
 
     # each node with the leader it shares most prefix tokens with
