@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +31,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Spark's own deletion of a query's shuffle files once the query is over.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str, **options) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write df to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The write's shuffle files go with its end; the session's setting is put back.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.parquet(path)
     out._stored_at = path
     return out
@@ -48,9 +61,21 @@ def discard(*tables: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps: its cleaner follows the driver's garbage collection."""
-    spark.sparkContext._jvm.System.gc()
+def numbered(rows: DataFrame, order: list[Column], to: str, running: str | None = None) -> DataFrame:
+    """rows with their number, from 1 in an order over everything, and the running sum <running>_to of a column.
+
+    Ranges are numbered on their own, stored once, and shifted by what stands before them; no task sees all rows.
+    """
+    ranged = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    own = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = stored(ranged.withColumns({"_n": F.count("*").over(own), "_sum": F.sum(running).over(own) if running else F.lit(0).cast("long")}), "ranges")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    sizes = ranged.groupBy("_part").agg(F.max("_n").alias("_size"), F.max("_sum").alias("_all"))
+    shifts = sizes.select("_part", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("_size", "_all")))
+    out = ranged.join(F.broadcast(shifts), "_part").withColumn(to, F.col("_n") + F.col("_size"))
+    if running:
+        out = out.withColumn(f"{running}_to", F.col("_sum") + F.col("_all"))
+    return out.drop("_part", "_n", "_sum", "_size", "_all")
 
 
 def text_of(column: str = "text"):

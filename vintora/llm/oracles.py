@@ -37,4 +37,28 @@ z AS (SELECT row_id, count(*) FILTER (WHERE exact) AS n_base, min(diagonal) FILT
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score FROM d LEFT JOIN z ON d.row_id = z.row_id"""
 
 
-ORACLES = {"op1_jaccard_join": OP1, "op7_licenses": op7()}
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, {_lower} AS t FROM documents),
+p AS (SELECT d, lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS t FROM d),
+w AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM p),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, unnest(w) AS g, 1 AS k FROM w
+      UNION ALL SELECT lang, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]), 2 FROM w WHERE len(w) > 1
+      UNION ALL SELECT lang, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]), 3 FROM w WHERE len(w) > 2),
+f AS (SELECT lang, g, k, count(*) AS f, string_split(g, ' ') AS w FROM g GROUP BY ALL HAVING count(*) >= 10),
+cut AS (SELECT c.lang, c.g, c.w, c.k, c.f AS a, x.f AS l, y.f AS r, x.k AS place, (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score FROM f c
+    JOIN f x ON x.lang = c.lang AND x.k < c.k AND x.g = array_to_string(c.w[:x.k], ' ') JOIN f y ON y.lang = c.lang AND y.k = c.k - x.k AND y.g = array_to_string(c.w[x.k + 1:], ' ') WHERE c.k > 1),
+c AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, place) = 1),
+part AS (SELECT lang, array_to_string(w[1:2], ' ') AS g, a FROM c WHERE k = 3 UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM c WHERE k = 3),
+longer AS (SELECT lang, g, max(a) AS longer FROM part GROUP BY lang, g),
+kept AS (SELECT c.* FROM c LEFT JOIN longer USING (lang, g) WHERE longer IS NULL OR 100 * longer < 50 * a),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, g AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM r JOIN n USING (lang) WHERE rank <= 2000"""
+
+OP12 = f"""
+WITH d AS (SELECT doc_id, {_lower} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256 FROM d"""
+
+ORACLES = {"op1_jaccard_join": OP1, "op7_licenses": op7(), "op11_collocations": OP11, "op12_exact_dedup": OP12}

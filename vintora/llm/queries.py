@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import bpe, decontaminate, jaccard, licenses, lm_score, neighbours, secrets, tokenfile, toxicity
+from vintora.llm import bpe, collocations, decontaminate, exact, jaccard, licenses, lm_score, neighbours, resample, secrets, tokenfile, toxicity
 from vintora.llm._io import table
 from vintora.llm.oracles import ORACLES  # noqa: F401
 
@@ -73,4 +73,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe_round_trip, op3_decontaminate, op4_token_shards, op5_nearest, op6_secrets, op7_licenses, op8_lm_score, op9_token_counts, op10_toxicity)}
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe_round_trip, op3_decontaminate, op4_token_shards, op5_nearest, op6_secrets, op7_licenses, op8_lm_score, op9_token_counts, op10_toxicity, op11_collocations, op12_exact_dedup, op13_resample)}
