@@ -9,21 +9,60 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vintora.operators import capture, ledger, matching, periods, validate
+from vintora.operators import capture, diff, ledger, matching, periods, validate
 from vintora.plans.registry import Tables
+from vintora.queries import QUERIES
 
 
 def test_rebuild_gives_the_same_rows(spark, sf):
-    log = Tables(spark, sf)("fetch_log")
-    committed = spark.createDataFrame([("r0",), ("r1",)], "release_event_id string")
+    log = Tables(spark, sf)("fetch_log").withColumn("program", F.lit("p"))
 
     def parse(v):
-        return v.select("file_vintage_id", F.lit("p").alias("program"), "url", F.lit("v").alias("measure_code"), F.lit("2024-01-01").cast("date").alias("ref_date"), F.lit("M01").alias("period_code"), F.concat(F.lit("r"), (F.col("request_id") % 3).cast("string")).alias("release_event_id"), F.col("artifact").cast("double").alias("value"), F.lit("revised").alias("change_kind"), F.lit("observed").alias("provenance")).withColumnRenamed("url", "unit_key")
+        return v.select("file_vintage_id", "program", "url", F.lit("2024-01-01").cast("date").alias("ref_date"), F.lit("M01").alias("period_code"), F.col("artifact").cast("double").alias("value"), (F.col("request_id") % 7).cast("double").alias("more")).withColumnRenamed("url", "unit_key").where("more > 0")
 
-    first, again = (ledger.rebuild(df, parse, committed) for df in (log, log.repartition(7)))
+    keep = lambda events: events.where(F.col("vintage") % 3 != 1)
+    first, again = (ledger.rebuild(df, parse, ["value", "more"], keep, scope=F.lit(True)) for df in (log, log.repartition(7)))
     for name in first:
         assert sorted(map(str, first[name].collect())) == sorted(map(str, again[name].select(first[name].columns).collect())), name
-    assert first["visible"].count() < first["observation"].count()
+    assert 0 < first["visible"].count() < first["observation"].count()
+    kinds = {r[0] for r in first["observation"].select("change_kind").distinct().collect()}
+    assert {"first_print", "revised", "deleted"} <= kinds
+
+
+def test_change_log_equals_repeated_diffs(spark):
+    """Over random vintages: each is compared with the state before it, deletions in scope and reinstatements included."""
+    import random
+
+    rnd, vintages = random.Random(7), 6
+    rows = [(k, k % 3, v, rnd.choice([None, 1.0, 1.2, 2.0]), rnd.choice(["a", "b"])) for k in range(60) for v in range(1, vintages + 1) if rnd.random() < 0.6]
+    df = spark.createDataFrame(rows, "k int, y int, v int, m double, f string")
+    scope, precision = F.col("y") != 1, (F.col("k") < 30, 0)
+    got = diff.change_log(df, ["k", "y"], "v", ["m"], F.lit(vintages), scope=scope, footnote="f", precision=precision)
+    state, gone, want = {}, set(), []
+    held = {}
+    for r in rows:
+        held.setdefault(r[2], {})[r[0]] = r
+    for v in range(1, vintages + 1):
+        prev = spark.createDataFrame([s for s in state.values()], df.schema) if state else df.limit(0)
+        now = spark.createDataFrame(list(held[v].values()), df.schema)
+        for r in diff.wide_diff(prev, now, ["k", "y"], ["m"], scope=scope, footnote="f", precision=precision).collect():
+            kind = "reinstated" if r.change_kind == "first_print" and r.k in gone else r.change_kind
+            want.append((r.k, v, r.value, r.prev_value, kind))
+            if kind == "deleted":
+                gone.add(r.k)
+                del state[r.k]
+        state |= held[v]
+    found = [(r.k, r.vintage, r.value, r.prev_value, r.change_kind) for r in got.collect()]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+    assert len({r[4] for r in found}) == 8
+    assert diff.change_log(df, ["k", "y"], "v", ["m"], F.lit(vintages)).where("change_kind IN ('deleted', 'reinstated')").count() == 0
+
+
+def test_the_vintage_log_is_one_exchange(spark, sf):
+    plan = QUERIES["vintage_log"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    kinds = {r[0] for r in QUERIES["vintage_kinds"](spark, sf).select("change_kind").distinct().collect()}
+    assert kinds == {"first_print", "revised", "deleted", "reinstated", "suppressed", "unsuppressed", "footnote_only", "precision_only"}
 
 
 def test_batch_root(spark):
@@ -46,12 +85,30 @@ def test_policy_covers_flags_only(spark):
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(left=st.lists(st.integers(0, 60), min_size=1, max_size=8), right=st.lists(st.integers(0, 60), min_size=1, max_size=8), days=st.integers(0, 15))
-def test_pairs_within(spark, left, right, days):
+def test_nearest_within(spark, left, right, days):
     day = lambda k: dt.date(1969, 12, 1) + dt.timedelta(days=k)
     a = spark.createDataFrame([(1, n, day(k)) for n, k in enumerate(left)], "p int, i int, a date")
     b = spark.createDataFrame([(1, n, day(k)) for n, k in enumerate(right)], "p int, j int, b date")
-    got = sorted((r.i, r.j) for r in matching.pairs_within(a, b, ["p"], "a", "b", days).collect())
-    assert got == sorted((i, j) for i, x in enumerate(left) for j, y in enumerate(right) if abs(x - y) <= days)
+    got = {r.i: (r.j, r.distance) for r in matching.nearest_within(a, b, ["p"], "a", "b", "j", days).collect()}
+    near = {i: min(((abs(y - x), j, y - x) for j, y in enumerate(right) if abs(x - y) <= days), default=None) for i, x in enumerate(left)}
+    assert got == {i: (n[1], n[2]) if n else (None, None) for i, n in near.items()}
+
+
+def test_nearest_match_builds_no_pairs(spark):
+    """Rows of every join stay within the left rows and the days, however many rows share a day; nulls match nothing."""
+    n = 20_000
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 40).cast("int"))
+    left = spark.range(n).select((F.col("id") % 2).alias("p"), F.col("id").alias("i"), day.alias("a"))
+    left = left.unionByName(spark.createDataFrame([(None, -1, dt.date(2020, 1, 1)), (1, -2, None)], "p long, i long, a date"))
+    right = left.select("p", F.col("i").alias("j"), F.date_add("a", 3).alias("b"))
+    found = matching.nearest_within(left, right, ["p"], "a", "b", "j", 10)
+    rows = {r.i: (r.j, r.distance) for r in found.collect()}
+    assert len(rows) == n + 2
+    assert rows[-1] == rows[-2] == (None, None) and sum(j is not None for j, _ in rows.values()) == n
+    days = matching._days(left, right, ["p"], "a", "b", F.min("j"))
+    assert days.count() <= 2 * (40 + 43) + 2
+    joins = found._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert joins == 1  # days are joined back to rows, nothing else
 
 
 def test_closure_of_a_cycle(spark):

@@ -85,11 +85,10 @@ def armed_by_feed(seen: DataFrame, feed: DataFrame, slots: DataFrame, near: int
     A slot due within `near` days is armed; without one an out-of-cycle slot is minted. The feed arms, it never tells
     what was published.
     """
-    from vintora.operators.matching import nearest, pairs_within
+    from vintora.operators.matching import nearest_within
 
     fresh = feed.join(seen.select("program", "entry", "stamp"), ["program", "entry", "stamp"], "left_anti").select("program", "entry", "day")
-    due = nearest(pairs_within(fresh.withColumn("_e", F.struct("program", "entry")), slots, ["program"], "day", "due", near), "_e", ["slot_id"])
-    found = fresh.join(due.select("program", "entry", "slot_id"), ["program", "entry"], "left")
+    found = nearest_within(fresh, slots, ["program"], "day", "due", "slot_id", near)
     return found.select("program", "entry", "day", "slot_id", F.when(F.col("slot_id").isNull(), "mint_out_of_cycle").otherwise("arm").alias("arms"))
 
 

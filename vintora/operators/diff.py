@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def wide_diff(prev: DataFrame, cur: DataFrame, key: Sequence[str], measures: Sequence[str], scope: Column | None = None, footnote: str | None = None, precision: tuple[Column, int] | None = None) -> DataFrame:
@@ -36,6 +37,40 @@ def wide_diff(prev: DataFrame, cur: DataFrame, key: Sequence[str], measures: Seq
     return both.select(*key, F.inline(F.filter(cells, lambda c: c["change_kind"].isNotNull())))
 
 
+def change_log(rows: DataFrame, key: Sequence[str], vintage: str, measures: Sequence[str], newest: Column, scope: Column | None = None, footnote: str | None = None, precision: tuple[Column, int] | None = None) -> DataFrame:
+    """The whole change log of an artifact from all its vintages: key, vintage, measure, value, prev_value, change_kind.
+
+    rows: key, vintage (numbered without gaps) and measures, one row for each key of each vintage; newest: the number of
+    the last vintage, a literal or a column of rows where artifacts have their own. One exchange by key: a row is compared
+    with the key's row before it, and a gap in the key's run of numbers is a deletion at its first vintage and a
+    reinstatement at the row behind it. Keys outside `scope`, a condition on the key columns, are never deleted: their next row
+    is compared with their last. Without a scope nothing is deleted. precision is a condition on key and vintage, as in
+    wide_diff, which this equals when it is applied to each vintage and the state before it.
+    """
+    held = F.struct(*(F.col(m).cast("double").alias(m) for m in measures), *([F.col(footnote).alias("_footnote")] if footnote else []))
+    order = Window.partitionBy(*key).orderBy("vintage")
+    run = rows.where(F.col(vintage).isNotNull()).select(*key, F.col(vintage).cast("long").alias("vintage"), held.alias("_c"), newest.cast("long").alias("_newest"))
+    run = run.withColumns({"_p": F.lag("_c").over(order), "_back": F.lag("vintage").over(order), "_next": F.lead("vintage").over(order)})
+    # a row for each vintage in which something may have happened: its own, and the one after it, where the key is gone
+    scoped = F.lit(False) if scope is None else F.coalesce(scope, F.lit(False))
+    ends = scoped & (F.coalesce("_next", F.col("_newest") + 1) > F.col("vintage") + 1)
+    again = scoped & (F.col("_back") < F.col("vintage") - 1)
+
+    def kind(m: str) -> Column:
+        p, c = F.col(f"_p.{m}"), F.col(f"_c.{m}")
+        found = F.when(F.col("_back").isNull(), "first_print").when(again, "reinstated").when(p.isNotNull() & c.isNull(), "suppressed").when(p.isNull() & c.isNotNull(), "unsuppressed")
+        if precision:
+            found = found.when((p != c) & precision[0] & same_at(p, c, precision[1]), "precision_only")
+        found = found.when(p != c, "revised")
+        return found.when(~F.col("_p._footnote").eqNullSafe(F.col("_c._footnote")), "footnote_only") if footnote else found
+
+    cell = lambda v, m, value, prev, what: F.struct(v.alias("vintage"), F.lit(m).alias("measure"), value.alias("value"), prev.alias("prev_value"), what.alias("change_kind"))
+    none = F.lit(None).cast("double")
+    own = [cell(F.col("vintage"), m, F.col(f"_c.{m}"), F.when(~again, F.col(f"_p.{m}")), kind(m)) for m in measures]
+    gone = [cell(F.col("vintage") + 1, m, none, F.col(f"_c.{m}"), F.when(ends, "deleted")) for m in measures]
+    return run.select(*key, F.inline(F.filter(F.array(*own, *gone), lambda c: c["change_kind"].isNotNull())))
+
+
 def reinstated(changes: DataFrame, last: DataFrame, key: Sequence[str]) -> DataFrame:
     """First prints of keys whose last recorded change was a deletion are reinstatements."""
     gone = last.where("change_kind = 'deleted'").select(*key, F.lit(True).alias("_gone"))

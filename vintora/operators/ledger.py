@@ -2,23 +2,54 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from vintora.operators import asof, capture, control, diff, matching
+
+#: What names a cell's row in a parsed artifact.
+WIDE_KEY = ("program", "unit_key", "ref_date", "period_code")
 
-from vintora.operators import asof, capture
+
+def release_events(vintages: DataFrame, slots: DataFrame | None = None, near: int = 3, tolerance: str = "INTERVAL 30 MINUTES") -> DataFrame:
+    """vintages with release_event_id, slot_id, knowledge_time and its source: each belongs to the nearest slot of its program.
+
+    vintages: program, requested_at and more; slots: slot_id, program, scheduled_at, scheduled_at_source, notice_date.
+    Without a slot within `near` days the event is out of cycle and known when it was observed.
+    """
+    observed = F.col("requested_at")
+    name = F.sha2(F.concat_ws("|", "program", F.coalesce(F.col("slot_id").cast("string"), F.lit("~")), "file_vintage_id"), 256).alias("release_event_id")
+    if slots is None:
+        return vintages.withColumn("slot_id", F.lit(None).cast("string")).select("*", name, observed.alias("knowledge_time"), F.lit("observed").alias("knowledge_time_source"))
+    due = slots.withColumn("_due", F.col("scheduled_at").cast("date"))
+    placed = matching.nearest_within(vintages, due, ["program"], "requested_at", "_due", "slot_id", near).drop("distance")
+    placed = placed.join(slots.drop("program"), "slot_id", "left")
+    at, source, _ = control.knowledge_time(F.col("scheduled_at"), F.col("scheduled_at_source"), F.col("notice_date"), observed, F.expr(tolerance))
+    return placed.select(*vintages.columns, "slot_id", name, at.alias("knowledge_time"), source.alias("knowledge_time_source"))
 
 
-def rebuild(log: DataFrame, parse, committed: DataFrame) -> dict[str, DataFrame]:
-    """Every ledger table as a function of the capture log alone: vintages, observations, visible rows, state.
+def rebuild(log: DataFrame, parse: Callable[[DataFrame], DataFrame], measures: Sequence[str], committed: Callable[[DataFrame], DataFrame], *, scope=None, footnote: str | None = None, slots: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every ledger table as a function of the capture log alone: vintages, events, observations, visible rows, state.
 
-    parse: vintages -> observation rows (columns of asof.KEY, release_event_id, value, change_kind, provenance and
-    file_vintage_id). knowledge_time is when the log first saw the vintage and sequence its place in the log, so a
-    rebuild gives the same rows and ids as the first run.
+    parse: vintages -> wide rows (file_vintage_id, WIDE_KEY, measures, footnote); program: a column of the log; committed:
+    events -> those of the manifest. Vintages are numbered by the log's order, within each artifact without gaps; events
+    follow from them and the slots, observations from the differ over all vintages of an artifact, in the order of its
+    numbers, and state from the observations. A rebuild gives the same rows and ids as the first run.
     """
     vintages = capture.numbered(capture.file_vintages(log))
-    facts = vintages.select("file_vintage_id", F.col("requested_at").alias("knowledge_time"), "sequence")
-    observations = parse(vintages).join(facts, "file_vintage_id")
-    return {"file_vintage": vintages, "observation": observations, "visible": asof.visible(observations, committed), "current_state": asof.newest(asof.visible(observations, committed))}
+    order = Window.partitionBy("url").orderBy("sequence")
+    vintages = vintages.withColumn("vintage", F.row_number().over(order).cast("long"))
+    events = release_events(vintages, slots)
+    newest = vintages.groupBy("url").agg(F.max("vintage").alias("newest"))
+    wide = parse(vintages).join(vintages.select("file_vintage_id", "url", "vintage"), "file_vintage_id").join(newest, "url")
+    changes = diff.change_log(wide, ["url", *WIDE_KEY], "vintage", measures, F.col("newest"), scope, footnote)
+    facts = events.select("url", "vintage", "file_vintage_id", "release_event_id", "knowledge_time", "knowledge_time_source", "sequence")
+    observations = changes.withColumnRenamed("measure", "measure_code").join(facts, ["url", "vintage"]).withColumn("provenance", F.lit("observed"))
+    visible = asof.visible(observations, committed(events))
+    return {"file_vintage": vintages, "release_event": events, "observation": observations, "visible": visible, "current_state": asof.newest(visible)}
 
 
 def batch_root(hashes: DataFrame, order_by: str, digest: str) -> str | None:

@@ -4,47 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def pairs_within(left: DataFrame, right: DataFrame, by: Sequence[str], left_date: str, right_date: str, days: int) -> DataFrame:
-    """Pairs of equal `by` whose dates are at most `days` apart, with `distance` in days.
+def _days(asks: DataFrame, marks: DataFrame, by: Sequence[str], ask_date: str, mark_date: str, mark: Column) -> DataFrame:
+    """by columns, _day, _mark: every day of either side once; _mark is null where only asks stand.
 
-    Dates fall into cells of days + 1; a left row looks into its own cell and the two beside it. The join stays an
-    equality join, and one `by` value doesn't meet itself as a whole.
+    Whatever the sides hold, a `by` value has no more rows than there are days.
     """
-    width = days + 1
-    cell = lambda c: F.floor(F.unix_date(F.col(c).cast("date")) / width)
-    near = left.withColumn("_cell", F.explode(F.sequence(cell(left_date) - 1, cell(left_date) + 1)))
-    there = right.withColumn("_cell", cell(right_date))
-    gap = F.datediff(F.col(right_date), F.col(left_date))
-    return near.join(there, [*by, "_cell"]).withColumn("distance", gap.cast("long")).where(F.abs("distance") <= days).drop("_cell")
+    name = lambda c: F.col(c).cast("date").alias("_day")
+    held = marks.select(*marks.columns, name(mark_date)).where("_day IS NOT NULL").groupBy(*by, "_day").agg(mark.alias("_mark"))
+    asked = asks.select(*by, name(ask_date)).distinct()
+    both = held.unionByName(asked, allowMissingColumns=True)
+    return both.groupBy(*by, "_day").agg(F.max("_mark").alias("_mark"))
 
 
-def nearest(pairs: DataFrame, of: str, ties: Sequence[str]) -> DataFrame:
-    """The nearest pair of each `of`; equal distances go by the tie columns."""
-    order = Window.partitionBy(of).orderBy(F.abs("distance"), *ties)
-    return pairs.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+def nearest_within(left: DataFrame, right: DataFrame, by: Sequence[str], left_date: str, right_date: str, tie: str, days: int) -> DataFrame:
+    """left with `tie`, of the right row of equal `by` that is nearest in time, and `distance` in days; null beyond `days`.
+
+    Equal distances go by the smallest tie. Both sides are reduced to their days, over which the last one before and the
+    first one after are carried along; no pair is ever built. Rows without a date or a `by` value match nothing.
+    """
+    known = _days(left, right.where(" AND ".join(f"{c} IS NOT NULL" for c in by)), by, left_date, right_date, F.min(tie))
+    known = known.withColumn("_at", F.when(F.col("_mark").isNotNull(), F.struct("_day", "_mark")))
+    back = Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    found = known.withColumns({"_before": F.last("_at", ignorenulls=True).over(back.orderBy("_day")), "_after": F.last("_at", ignorenulls=True).over(back.orderBy(F.desc("_day")))})
+    gap = lambda c: F.datediff(F.col(f"{c}._day"), F.col("_day"))
+    choice = lambda c: F.when(F.abs(gap(c)) <= days, F.struct(F.abs(gap(c)).alias("far"), F.col(f"{c}._mark").alias("tie"), gap(c).cast("long").alias("distance")))
+    best = found.select(*by, "_day", F.least(choice("_before"), choice("_after")).alias("_best")).where("_best IS NOT NULL")
+    asked = left.withColumn("_day", F.col(left_date).cast("date"))
+    return asked.join(best, [*by, "_day"], "left").select(*left.columns, F.col("_best.tie").alias(tie), F.col("_best.distance").alias("distance"))
 
 
 def carried_forward(marks: DataFrame, asks: DataFrame, by: Sequence[str], date: str, mark: str) -> DataFrame:
     """asks with `mark`: that of the newest row of marks with equal `by` whose date isn't later; null before the first.
 
-    Dates fall into months. The last mark of each month is carried over the months, of which there are few, and within a
-    month the rows are laid in order: no key's whole history is one task's. Equal dates go by the larger mark.
+    As in nearest_within, only days meet. Equal dates go by the larger mark.
     """
-    month = F.trunc(date, "month")
-    held = marks.select(*by, F.col(date).alias("_d"), F.lit(0).alias("_asks"), F.col(mark).alias("_mark"), month.alias("_month"))
-    rows = asks.select(*by, F.col(date).alias("_d"), F.lit(1).alias("_asks"), F.lit(None).cast(marks.schema[mark].dataType).alias("_mark"), month.alias("_month"), F.struct(*asks.columns).alias("_row"))
-    both = held.unionByName(rows, allowMissingColumns=True)
-    last = both.groupBy(*by, "_month").agg(F.max(F.when(F.col("_asks") == 0, F.struct("_d", "_mark")))["_mark"].alias("_last"))
-    months = last.withColumn("_before", F.last("_last", ignorenulls=True).over(Window.partitionBy(*by).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)))
-    order = Window.partitionBy(*by, "_month").orderBy("_d", "_asks", "_mark").rowsBetween(Window.unboundedPreceding, 0)
-    known = both.withColumn("_own", F.last("_mark", ignorenulls=True).over(order)).where("_asks = 1")
-    found = known.join(months.select(*by, "_month", "_before"), [*by, "_month"])
-    return found.select("_row.*", F.coalesce("_own", "_before").alias(mark))
+    known = _days(asks, marks.where(" AND ".join(f"{c} IS NOT NULL" for c in by)), by, date, date, F.max(mark))
+    order = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    found = known.select(*by, "_day", F.last("_mark", ignorenulls=True).over(order).alias(mark))
+    return asks.withColumn("_day", F.col(date).cast("date")).join(found, [*by, "_day"], "left").select(*asks.columns, mark)
 
 
 def incidents(late: DataFrame, by: Sequence[str], date: str, gap_days: int) -> DataFrame:

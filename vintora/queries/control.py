@@ -88,19 +88,19 @@ def calendar_moves(t: Tables):
     return control.rescheduled(slots, entries).withColumn("due", F.col("due").cast("string"))
 
 
-FEED = "SELECT o_custkey % 11 AS program, o_orderkey AS entry, CAST(o_orderdate AS DATE) AS day, CAST(o_orderdate AS DATE) AS stamp FROM orders WHERE o_orderpriority = '3-MEDIUM'"
-SEEN = "SELECT o_custkey % 11 AS program, o_orderkey AS entry, CAST(o_orderdate AS DATE) - CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS INT) AS stamp FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderstatus <> 'P'"
+FEED = "SELECT o_custkey % 11 AS program, o_orderkey AS entry, CAST(o_orderdate AS DATE) AS day, CAST(o_orderdate AS DATE) AS stamp FROM orders"
+SEEN = "SELECT o_custkey % 11 AS program, o_orderkey AS entry, CAST(o_orderdate AS DATE) - CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS INT) AS stamp FROM orders WHERE o_orderstatus <> 'P'"
 
 
-@query(f"SELECT f.program, f.entry, s.slot_id, CASE WHEN s.slot_id IS NULL THEN 'mint_out_of_cycle' ELSE 'arm' END AS arms FROM (SELECT * FROM ({FEED}) WHERE (program, entry, stamp) NOT IN (SELECT (program, entry, stamp) FROM ({SEEN}))) f LEFT JOIN (SELECT f.entry, s.slot_id FROM ({FEED}) f JOIN open_slots s ON f.program = s.program AND abs(s.due - f.day) <= 1 QUALIFY row_number() OVER (PARTITION BY f.entry ORDER BY abs(s.due - f.day), s.slot_id) = 1) s ON f.entry = s.entry")
+@query(f"SELECT f.program, f.entry, s.slot_id, CASE WHEN s.slot_id IS NULL THEN 'mint_out_of_cycle' ELSE 'arm' END AS arms FROM (SELECT * FROM ({FEED}) WHERE (program, entry, stamp) NOT IN (SELECT (program, entry, stamp) FROM ({SEEN}))) f LEFT JOIN (SELECT f.entry, s.slot_id FROM ({FEED}) f JOIN open_slots s ON f.program = s.program AND s.state = 'open' AND abs(s.due - f.day) <= 1 QUALIFY row_number() OVER (PARTITION BY f.entry ORDER BY abs(s.due - f.day), s.slot_id) = 1) s ON f.entry = s.entry")
 def feed_arming(t: Tables):
     """New and changed feed entries arm the poll ladder of their program, or mint a slot where none is due."""
-    rows = t("orders").where("o_orderpriority = '3-MEDIUM'")
+    rows = t("orders")
     date = F.col("o_orderdate").cast("date")
     name = [(F.col("o_custkey") % 11).alias("program"), F.col("o_orderkey").alias("entry")]
     feed = rows.select(*name, date.alias("day"), date.alias("stamp"))
     seen = rows.where("o_orderstatus <> 'P'").select(*name, F.date_sub(date, F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("stamp"))
-    return control.armed_by_feed(seen, feed, t("open_slots")).select("program", "entry", "slot_id", "arms")
+    return control.armed_by_feed(seen, feed, t("open_slots").where("state = 'open'")).select("program", "entry", "slot_id", "arms")
 
 
 LATE = f"SELECT program, occurrence FROM ({SLOTS}) WHERE signal = 'late' AND DATE '{NOW}' - occurrence > 3"
@@ -132,27 +132,27 @@ def coverage(t: Tables):
     return found.select("program", F.col("d").cast("string").alias("newest"), "staleness", (F.col("staleness") > step).alias("flagged"))
 
 
-@query("SELECT c.entry_id, c.program, s.slot_id, COALESCE(CASE WHEN s.slot_id IS NOT NULL THEN 'update' END, 'mint') AS action, s.distance FROM calendar c LEFT JOIN (SELECT c.entry_id, s.slot_id, s.due - c.entry_date AS distance FROM calendar c JOIN open_slots s ON c.program = s.program AND abs(s.due - c.entry_date) <= 10 QUALIFY row_number() OVER (PARTITION BY c.entry_id ORDER BY abs(s.due - c.entry_date), s.slot_id) = 1) s ON c.entry_id = s.entry_id")
+@query("SELECT c.entry_id, c.program, s.slot_id, COALESCE(CASE WHEN s.slot_id IS NOT NULL THEN 'update' END, 'mint') AS action, s.distance FROM calendar c LEFT JOIN (SELECT c.entry_id, s.slot_id, s.due - c.entry_date AS distance FROM calendar c JOIN open_slots s ON c.program = s.program AND s.state = 'open' AND abs(s.due - c.entry_date) <= 10 QUALIFY row_number() OVER (PARTITION BY c.entry_id ORDER BY abs(s.due - c.entry_date), s.slot_id) = 1) s ON c.entry_id = s.entry_id")
 def calendar_match(t: Tables):
     """Calendar entries update the nearest open slot within ten days, or mint one."""
-    pairs = matching.pairs_within(t("calendar"), t("open_slots"), ["program"], "entry_date", "due", 10)
-    best = matching.nearest(pairs, "entry_id", ["slot_id"]).select("entry_id", "slot_id", "distance")
-    return t("calendar").join(best, "entry_id", "left").select("entry_id", "program", "slot_id", F.when(F.col("slot_id").isNotNull(), "update").otherwise("mint").alias("action"), "distance")
+    best = matching.nearest_within(t("calendar"), t("open_slots").where("state = 'open'"), ["program"], "entry_date", "due", "slot_id", 10)
+    return best.select("entry_id", "program", "slot_id", F.when(F.col("slot_id").isNotNull(), "update").otherwise("mint").alias("action"), "distance")
 
 
 @query("SELECT m.mutation_id, e.row_key, e.added - m.seen AS distance FROM mutations m JOIN errata e ON m.program = e.program AND e.product_type = 'Database' AND abs(e.added - m.seen) <= 14 QUALIFY row_number() OVER (PARTITION BY m.mutation_id, m.program, m.seen ORDER BY abs(e.added - m.seen), e.row_key) = 1")
 def errata_match(t: Tables):
     """Each unexpected change with its nearest announced correction within 14 days."""
-    rows = t("mutations").withColumn("m", F.struct("mutation_id", "program", "seen"))
-    pairs = matching.pairs_within(rows, t("errata").where("product_type = 'Database'"), ["program"], "seen", "added", 14)
-    return matching.nearest(pairs, "m", ["row_key"]).select("mutation_id", "row_key", "distance")
+    return _explained(t).where("row_key IS NOT NULL").select("mutation_id", "row_key", "distance")
+
+
+def _explained(t: Tables):
+    return matching.nearest_within(t("mutations"), t("errata").where("product_type = 'Database'"), ["program"], "seen", "added", "row_key", 14)
 
 
 @query("SELECT m.mutation_id, m.program FROM mutations m WHERE NOT EXISTS (SELECT 1 FROM errata e WHERE m.program = e.program AND e.product_type = 'Database' AND abs(e.added - m.seen) <= 14)")
 def unexplained_mutation(t: Tables):
     """Changes that no correction within 14 days explains."""
-    pairs = matching.pairs_within(t("mutations"), t("errata").where("product_type = 'Database'"), ["program"], "seen", "added", 14)
-    return t("mutations").join(pairs.select("mutation_id", "program", "seen").distinct(), ["mutation_id", "program", "seen"], "left_anti").select("mutation_id", "program")
+    return _explained(t).where("row_key IS NULL").select("mutation_id", "program")
 
 
 DUE = "TRY_CAST(regexp_extract(correction_status, '([0-9]{2})/([0-9]{2})/([0-9]{4})', 3) || '-' || regexp_extract(correction_status, '([0-9]{2})/([0-9]{2})/([0-9]{4})', 1) || '-' || regexp_extract(correction_status, '([0-9]{2})/([0-9]{2})/([0-9]{4})', 2) AS DATE)"

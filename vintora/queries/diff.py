@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vintora.operators import diff
+from vintora.operators import diff, ledger
 from vintora.plans.registry import Tables, query
 
 KINDS = "CASE WHEN p_in IS NULL THEN 'first_print' WHEN c_in IS NULL THEN 'deleted' WHEN p IS NOT NULL AND c IS NULL THEN 'suppressed' WHEN p IS NULL AND c IS NOT NULL THEN 'unsuppressed' WHEN p <> c THEN 'revised'{more} END"
@@ -160,3 +160,55 @@ def composite_cells(t: Tables):
     cells = rows.groupBy(*raw, F.year("l_shipdate").cast("long").alias("ref_year"), F.quarter("l_shipdate").cast("long").alias("q")).agg(F.count("*").alias("establishments"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("employment"))
     unit = F.concat(F.lpad(F.col("s_nationkey").cast("string"), 5, "0"), "l_returnflag", "p_brand").alias("unit_key")
     return cells.select(unit, "ref_year", "q", "establishments", "employment")
+
+
+NEWEST, MARKED = 12, "ref_year >= 1995 AND vintage >= 6"
+_row = "unit_key, ref_year, vintage, price, customer, footnote"
+_steps = f"""SELECT k.unit_key, k.ref_year, k.vintage, c.unit_key AS c_in, p.unit_key AS p_in, c.price AS c_price, p.price AS p_price, c.customer AS c_customer, p.customer AS p_customer, c.footnote AS cf, p.footnote AS pf, k.first < k.vintage AS known
+    FROM (SELECT unit_key, ref_year, first, unnest(range(1, {NEWEST + 1})) AS vintage FROM (SELECT unit_key, ref_year, min(vintage) AS first FROM wide_vintages GROUP BY unit_key, ref_year)) k
+    LEFT JOIN wide_vintages c ON c.unit_key = k.unit_key AND c.ref_year = k.ref_year AND c.vintage = k.vintage
+    LEFT JOIN (SELECT w.*, n.vintage AS at FROM wide_vintages w JOIN (SELECT unit_key, ref_year, v AS vintage, CASE WHEN ref_year = 1996 THEN (SELECT max(x.vintage) FROM wide_vintages x WHERE x.unit_key = y.unit_key AND x.ref_year = y.ref_year AND x.vintage < v) ELSE v - 1 END AS before
+        FROM (SELECT DISTINCT unit_key, ref_year FROM wide_vintages) y, range(1, {NEWEST + 1}) r(v)) n ON w.unit_key = n.unit_key AND w.ref_year = n.ref_year AND w.vintage = n.before) p ON p.unit_key = k.unit_key AND p.ref_year = k.ref_year AND p.at = k.vintage
+    WHERE c.unit_key IS NOT NULL OR (p.unit_key IS NOT NULL AND k.ref_year <> 1996)"""
+_step_kind = f"CASE WHEN p_in IS NULL AND known THEN 'reinstated' WHEN p_in IS NULL THEN 'first_print' WHEN c_in IS NULL THEN 'deleted' WHEN p IS NOT NULL AND c IS NULL THEN 'suppressed' WHEN p IS NULL AND c IS NOT NULL THEN 'unsuppressed' WHEN p <> c AND {MARKED} AND round(p) = round(c) THEN 'precision_only' WHEN p <> c THEN 'revised' WHEN pf IS DISTINCT FROM cf THEN 'footnote_only' END"
+VINTAGE_LOG = f"SELECT unit_key, ref_year, CAST(vintage AS BIGINT) AS vintage, measure, c AS value, p AS prev_value, {_step_kind} AS change_kind FROM (" + " UNION ALL ".join(f"SELECT unit_key, ref_year, vintage, '{m}' AS measure, c_{m} AS c, p_{m} AS p, c_in, p_in, cf, pf, known FROM ({_steps})" for m in MEASURES) + f") WHERE {_step_kind} IS NOT NULL"
+
+
+@query(VINTAGE_LOG)
+def vintage_log(t: Tables):
+    """The change log of twelve vintages in one pass; its twin compares each vintage with the state before it. Keys of 1996 lie
+    out of scope and are never deleted."""
+    return diff.change_log(t("wide_vintages"), KEY, "vintage", MEASURES, F.lit(NEWEST), scope=F.col("ref_year") != 1996, footnote="footnote", precision=(F.expr(MARKED), 0))
+
+
+@query(f"SELECT change_kind, CAST(vintage AS BIGINT) AS vintage, COUNT(*) AS n FROM ({VINTAGE_LOG}) GROUP BY change_kind, vintage")
+def vintage_kinds(t: Tables):
+    """How much of each kind every vintage brought: all eight kinds occur."""
+    return vintage_log(t).groupBy("change_kind", "vintage").agg(F.count("*").alias("n"))
+
+
+_vint = "SELECT url, artifact, CAST(artifact % 11 AS STRING) AS program, content_hash AS h, requested_at, row_number() OVER (ORDER BY requested_at, request_id) AS sequence, row_number() OVER (PARTITION BY url ORDER BY requested_at, request_id) AS vintage FROM fetch_log WHERE outcome = 'new_bytes'"
+_slots = "SELECT DISTINCT CAST(artifact % 11 AS STRING) || '/' || CAST(CAST(requested_at AS DATE) AS STRING) AS slot_id, CAST(artifact % 11 AS STRING) AS program, CAST(CAST(requested_at AS DATE) AS TIMESTAMP) + INTERVAL 8 HOUR AS scheduled_at, CASE WHEN artifact % 11 < 6 THEN 'ics' ELSE 'cadence_estimate' END AS scheduled_at_source, CAST(NULL AS DATE) AS notice_date FROM fetch_log WHERE day(requested_at) % 9 = 0"
+
+
+@query(f"""WITH v AS ({_vint}), s AS ({_slots}),
+    e AS (SELECT v.*, s.slot_id, CASE WHEN s.scheduled_at_source = 'ics' AND v.requested_at <= s.scheduled_at + INTERVAL 30 MINUTE THEN s.scheduled_at END AS used FROM v LEFT JOIN s ON s.slot_id = (SELECT arg_min(x.slot_id, (abs(CAST(x.scheduled_at AS DATE) - CAST(v.requested_at AS DATE)), x.slot_id)) FROM s x WHERE x.program = v.program AND abs(CAST(x.scheduled_at AS DATE) - CAST(v.requested_at AS DATE)) <= 3)),
+    g AS (SELECT e.*, k, substr(h, k, 1) < 'c' AS here, CASE WHEN substr(h, k, 1) < 'c' AND substr(h, k + 4, 1) <> '0' THEN CAST(instr('0123456789abcdef', substr(h, k + 4, 1)) AS DOUBLE) END AS val FROM e, range(1, 5) r(k)),
+    p AS (SELECT *, coalesce(lag(here) OVER q, FALSE) AS was, lag(val) OVER q AS prev, coalesce(bool_or(here) OVER (PARTITION BY url, k ORDER BY vintage ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS ever FROM g WINDOW q AS (PARTITION BY url, k ORDER BY vintage)),
+    c AS (SELECT *, CASE WHEN here AND NOT was THEN CASE WHEN ever THEN 'reinstated' ELSE 'first_print' END WHEN was AND NOT here THEN 'deleted' WHEN here AND prev IS NOT NULL AND val IS NULL THEN 'suppressed' WHEN here AND prev IS NULL AND val IS NOT NULL THEN 'unsuppressed' WHEN here AND prev <> val THEN 'revised' END AS change_kind FROM p)
+    SELECT program, url || '#' || CAST(k AS STRING) AS unit_key, val AS value, change_kind, CAST(epoch_us(coalesce(used, requested_at)) AS BIGINT) AS known_at, CASE WHEN used IS NULL THEN 'observed' ELSE 'scheduled' END AS knowledge_time_source, CAST(vintage AS BIGINT) AS vintage
+    FROM c WHERE change_kind IS NOT NULL AND (slot_id IS NOT NULL OR program <> '3') QUALIFY row_number() OVER (PARTITION BY url, k ORDER BY coalesce(used, requested_at) DESC, sequence DESC) = 1""")
+def rebuilt_state(t: Tables):
+    """Current state, rebuilt from the log alone: vintages, slots, events, the differ over all vintages, what was committed."""
+    log = t("fetch_log").withColumn("program", (F.col("artifact") % 11).cast("string"))
+    slots = log.where("day(requested_at) % 9 = 0").select("program", F.col("requested_at").cast("date").alias("d"), F.col("artifact") % 11 < 6).toDF("program", "d", "ics").distinct()
+    slots = slots.select(F.concat_ws("/", "program", F.col("d").cast("string")).alias("slot_id"), "program", (F.col("d").cast("timestamp_ntz") + F.expr("INTERVAL 8 HOURS")).alias("scheduled_at"), F.when(F.col("ics"), "ics").otherwise("cadence_estimate").alias("scheduled_at_source"), F.lit(None).cast("date").alias("notice_date"))
+
+    def parse(vintages):
+        cell = lambda k: F.substring("content_hash", k, 1)
+        rows = F.array(*(F.struct(F.lit(k).alias("k"), cell(k).alias("here"), F.when(cell(k + 4) != "0", F.instr(F.lit("0123456789abcdef"), cell(k + 4))).cast("double").alias("val")) for k in range(1, 5)))
+        found = vintages.select("file_vintage_id", "program", "url", F.explode(rows).alias("r")).where("r.here < 'c'")
+        return found.select("file_vintage_id", "program", F.concat("url", F.lit("#"), F.col("r.k").cast("string")).alias("unit_key"), F.lit("2024-01-01").cast("date").alias("ref_date"), F.lit("A01").alias("period_code"), F.col("r.val").alias("val"))
+
+    tables = ledger.rebuild(log, parse, ["val"], lambda events: events.where("slot_id IS NOT NULL OR program <> '3'"), scope=F.lit(True), slots=slots)
+    return tables["current_state"].select("program", "unit_key", "value", "change_kind", F.unix_micros(F.col("knowledge_time").cast("timestamp")).alias("known_at"), "knowledge_time_source", "vintage")

@@ -40,6 +40,14 @@ VIEWS = {
                CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_totalprice END AS price,
                CAST(o_custkey AS DOUBLE) AS customer, CASE WHEN o_orderkey % 19 = 0 THEN 'r' ELSE o_orderpriority END AS footnote
         FROM orders WHERE o_orderkey % 29 <> 0""",
+    # twelve vintages of a wide artifact: keys come, go and return, values move, go missing and lose digits
+    "wide_vintages": """
+        SELECT o_orderkey AS unit_key, CAST(year(o_orderdate) AS BIGINT) AS ref_year, v AS vintage,
+               CASE WHEN (o_orderkey + v) % 17 = 0 THEN NULL WHEN o_orderkey % 5 = 0 AND v >= 6 THEN round(o_totalprice + 0.3)
+                    ELSE o_totalprice + 0.3 + CASE WHEN o_orderkey % 7 < v - 4 THEN 25 ELSE 0 END END AS price,
+               CAST(o_custkey AS DOUBLE) AS customer, CASE WHEN (o_orderkey + v) % 19 = 0 THEN 'r' ELSE o_orderpriority END AS footnote
+        FROM orders CROSS JOIN (SELECT 1 AS v UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5 UNION ALL SELECT 6 UNION ALL SELECT 7 UNION ALL SELECT 8 UNION ALL SELECT 9 UNION ALL SELECT 10 UNION ALL SELECT 11 UNION ALL SELECT 12) n
+        WHERE v > o_orderkey % 4 AND o_orderkey % 13 <> v AND NOT (o_orderkey % 29 = 0 AND v > 8)""",
     # one record for each request of a capture run
     "fetch_log": """
         SELECT event_id AS request_id, 'https://files.example/u/' || CAST(user_id AS STRING) AS url, user_id AS artifact, ts AS requested_at,
@@ -61,10 +69,11 @@ VIEWS = {
                MIN(o_orderkey) AS first_order
         FROM orders GROUP BY o_custkey % 11, CAST(date_trunc('month', o_orderdate) AS DATE)""",
     # calendar entries: dates near some slots
-    "calendar": "SELECT o_orderkey AS entry_id, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) AS entry_date FROM orders WHERE o_orderstatus <> 'P'",
-    "open_slots": "SELECT o_orderkey AS slot_id, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) AS due FROM orders WHERE o_orderpriority IN ('2-HIGH', '5-LOW')",
+    "calendar": "SELECT o_orderkey AS entry_id, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) AS entry_date FROM orders",
+    # slots in every state; what matches asks for open ones
+    "open_slots": "SELECT o_orderkey AS slot_id, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 AS INT) AS due, CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'P' THEN 'late' ELSE 'committed' END AS state FROM orders",
     # announced corrections, and changes nobody expected
-    "errata": "SELECT o_orderkey AS row_key, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) AS added, CASE WHEN o_orderkey % 3 = 0 THEN 'News release' ELSE 'Database' END AS product_type, 'Corrections to be made on ' || lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '/' || lpad(CAST(day(o_orderdate) AS STRING), 2, '0') || '/' || CAST(year(o_orderdate) AS STRING) AS correction_status FROM orders WHERE o_orderpriority = '1-URGENT'",
+    "errata": "SELECT o_orderkey AS row_key, o_custkey % 11 AS program, CAST(o_orderdate AS DATE) AS added, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Database' ELSE 'News release' END AS product_type, 'Corrections to be made on ' || lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '/' || lpad(CAST(day(o_orderdate) AS STRING), 2, '0') || '/' || CAST(year(o_orderdate) AS STRING) AS correction_status FROM orders",
     "mutations": "SELECT DISTINCT l_orderkey * 10 + l_linenumber AS mutation_id, l_partkey % 11 AS program, CAST(l_shipdate AS DATE) AS seen FROM lineitem",
     # publication dates before observation began
     "knowability": """
