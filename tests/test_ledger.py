@@ -190,3 +190,40 @@ def test_numbering_is_by_time_over_all_ranges(spark):
     got = [r.request_id for r in capture.numbered(rows, 5).orderBy("sequence").collect()]
     assert got == [r.request_id for r in rows.orderBy("requested_at", "request_id").collect()]
     assert sorted(r.sequence for r in capture.numbered(rows, 5).collect()) == list(range(1, 301))
+
+
+def test_releases_are_classified_by_what_they_touched(spark):
+    """A benchmark shows by its periods, a correction by a notice and new bytes; history without either is a finding."""
+    d = dt.date
+    releases = spark.createDataFrame([
+        ("seed", "ces-n", d(2023, 12, 1), d(2024, 1, 5), "a", True),
+        ("bench", "ces-n", d(2024, 1, 1), d(2024, 2, 5), "b", True),
+        ("same", "ces-n", d(2024, 1, 1), d(2024, 2, 6), "b", False),
+        ("plain", "ces-n", d(2024, 2, 1), d(2024, 3, 5), "c", True),
+        ("fix", "ces-n", d(2024, 2, 1), d(2024, 3, 9), "d", False),
+        ("odd", "ces-n", d(2024, 2, 1), d(2024, 3, 20), "e", True),
+        ("late", "ces-n", d(2024, 3, 1), d(2024, 4, 5), "f", False),
+        ("none", None, None, None, None, None),
+    ], "release_id string, program string, t_max date, released_at date, content_hash string, on_calendar boolean")
+    table = periods.rules(spark)
+    foot = periods.footprint(releases.select("release_id", "program", "t_max"), table)
+    seen = foot.where("release_id = 'bench' OR (release_id IN ('seed', 'plain', 'late') AND kind = 'routine')").select("release_id", "seasonality", "ref_date")
+    old = spark.createDataFrame([("fix", "nsa", d(2011, 1, 1)), ("odd", "nsa", d(2011, 1, 1))], "release_id string, seasonality string, ref_date date")
+    notices = spark.createDataFrame([("ces-n", d(2024, 2, 1), "correction"), ("ces-n", d(2024, 1, 1), "rumour")], "program string, t_max date, kind string")
+    said = notices.where("kind = 'rumour'").unionByName(notices.where("kind = 'correction'"))
+    got = {r.release_id: (r.primary_kind, r.secondary_kinds, r.finding) for r in periods.classified(releases, seen.unionByName(old).union(old), table, said).collect()}
+    assert got["seed"] == ("seed", [], None)
+    assert got["bench"] == ("routine", ["benchmark"], None)
+    assert got["same"] == ("unchanged_republication", [], None)
+    assert got["plain"] == ("routine", ["correction"], None)  # the notice speaks of its newest period, and its bytes are new
+    assert got["fix"] == got["odd"] == ("out_of_cycle", ["correction"], None)
+    assert got["late"][0] == "out_of_cycle" and len(got) == 8
+    bare = {r.release_id: r for r in periods.classified(releases, seen.unionByName(old), table, notices.limit(0)).collect()}
+    assert (bare["odd"].secondary_kinds, bare["odd"].finding) == ([], "unexplained_mutation")
+
+
+def test_every_primary_kind_occurs(spark, sf):
+    rows = QUERIES["classified_releases"](spark, sf).collect()
+    assert {r.primary_kind for r in rows} == {"seed", "routine", "new_vintage", "unchanged_republication", "out_of_cycle"}
+    assert {k for r in rows for k in r.secondary_kinds.split(",") if k} >= {"benchmark", "annual_revision", "sa_revision", "correction", "reweight", "population_control"}
+    assert {r.finding for r in rows} == {None, "unexplained_mutation"}

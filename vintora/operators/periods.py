@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Delta rules. program, kind, month of t_max the rule needs (0: any), seasonality, first period
 # touched and last period touched. Periods are (anchor, years, months): anchor "t" is t_max, "y" is January of
@@ -91,6 +92,73 @@ def announced(releases: DataFrame, events: DataFrame) -> DataFrame:
     return hit.select(*releases.columns, "kind", "expects_change", "reach", is_lower_bound(F.col("program"), F.col("kind")).alias("lower_bound"))
 
 
+#: Kinds that a release is by itself; all others ride on one.
+PRIMARY = ("routine", "new_vintage", "full_data")
+# Secondary kinds in their order.
+SECONDARY = ("benchmark", "annual_revision", "population_control", "sa_revision", "annual_average", "correction", "reweight", "wage_refresh")
+#: Hundredths of the periods that a kind adds to the routine ones which a release must touch to be of that kind.
+CONTAINED = 80
+
+
+def coverage(releases: DataFrame, observed: DataFrame, table: DataFrame, key: str = "release_id") -> DataFrame:
+    """key, n_observed, kinds (kind, expected, hit, beyond, beyond_hit of each), spare: observed periods against all footprints.
+
+    releases: key, program, t_max; observed: key, seasonality, ref_date, what each release touched. expected and hit count a
+    kind's periods, beyond and beyond_hit those that no primary kind's footprint holds; spare are observed ones in no
+    footprint. Each period of a release is one row, so containment of all kinds is two sums.
+    """
+    cover = footprint(releases.select(key, "program", "t_max"), table)
+    by = [key, "seasonality", "ref_date"]
+    cover = cover.groupBy(*by).agg(F.collect_set("kind").alias("kinds"))  # a few kinds at most
+    seen = observed.select(*by).distinct().withColumn("seen", F.lit(True))
+    both = cover.join(seen, by, "full_outer").withColumn("seen", F.coalesce("seen", F.lit(False)))
+    both = both.withColumn("base", F.arrays_overlap("kinds", F.array(*map(F.lit, PRIMARY))))
+    one = lambda c: F.count(F.when(c, 1))
+    kind = both.select(key, "seen", "base", F.explode_outer("kinds").alias("kind")).groupBy(key, "kind").agg(
+        F.count("*").alias("expected"), one(F.col("seen")).alias("hit"), one(~F.col("base")).alias("beyond"), one(~F.col("base") & F.col("seen")).alias("beyond_hit")
+    )
+    each = F.collect_list(F.when(F.col("kind").isNotNull(), F.struct("kind", "expected", "hit", "beyond", "beyond_hit")))
+    kinds = kind.groupBy(key).agg(each.alias("kinds"), F.coalesce(F.sum(F.when(F.col("kind").isNull(), F.col("hit"))), F.lit(0)).alias("spare"))
+    count = seen.groupBy(key).agg(F.count("*").alias("n_observed"))
+    return releases.select(key).join(kinds, key, "left").join(count, key, "left").select(key, F.coalesce("n_observed", F.lit(0)).alias("n_observed"), "kinds", F.coalesce("spare", F.lit(0)).alias("spare"))
+
+
+def classified(releases: DataFrame, observed: DataFrame, table: DataFrame, notices: DataFrame, key: str = "release_id") -> DataFrame:
+    """key, program, t_max, primary_kind, secondary_kinds (ordered), finding: from structure alone, never from a headline.
+
+    releases: key, program, t_max, released_at, content_hash, on_calendar; observed: as in coverage; notices: program, t_max,
+    kind, as matched to a release's newest period. Primary: a program's first release is its seed; one that touches
+    nothing and repeats the bytes before it is an unchanged republication; one whose newest period is new, whose
+    primary footprint it holds and which the calendar knows is routine or a new vintage; anything else is out of cycle.
+    Secondary: a kind whose periods beyond the primary footprint are observed, and announced kinds where the bytes
+    changed. finding is `unexplained_mutation` where periods were touched that no kind and no notice accounts for.
+    """
+    order = Window.partitionBy("program").orderBy("released_at", key)
+    rows = releases.withColumns({"_hash": F.lag("content_hash").over(order), "_newest": F.max("t_max").over(order.rowsBetween(Window.unboundedPreceding, -1)), "_n": F.row_number().over(order)})
+    known = notices.where(F.col("kind").isin(*SECONDARY)).groupBy("program", "t_max").agg(F.collect_set("kind").alias("_noticed"))
+    rows = rows.join(coverage(releases, observed, table, key), key).join(known, ["program", "t_max"], "left")
+    changed = ~F.col("content_hash").eqNullSafe(F.col("_hash"))
+    enough = lambda part, whole: 100 * part >= CONTAINED * whole
+    held = lambda names: F.exists(F.coalesce("kinds", F.array()), lambda k: k["kind"].isin(*names) & (k["hit"] > 0) & enough(k["hit"], k["expected"]))
+    fresh = F.coalesce(F.col("t_max") > F.col("_newest"), F.lit(True)) & F.col("on_calendar")
+    primary = (
+        F.when(F.col("_n") == 1, "seed")
+        .when((F.col("n_observed") == 0) & ~changed, "unchanged_republication")
+        .when(fresh & held(["routine", "full_data"]), "routine")
+        .when(fresh & held(["new_vintage"]), "new_vintage")
+        .otherwise("out_of_cycle")
+    )
+    shown = F.transform(F.filter(F.coalesce("kinds", F.array()), lambda k: ~k["kind"].isin(*PRIMARY) & (k["beyond"] > 0) & enough(k["beyond_hit"], k["beyond"])), lambda k: k["kind"])
+    told = F.when(changed, F.coalesce("_noticed", F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumns({"primary_kind": primary, "_shown": shown, "_told": told})
+    secondary = F.filter(F.array(*map(F.lit, SECONDARY)), lambda k: F.array_contains("_shown", k) | F.array_contains("_told", k))
+    # periods beyond the primary footprint that belong to kinds not found, and those of no footprint at all
+    loose = F.aggregate(F.coalesce("kinds", F.array()), F.lit(0).cast("long"), lambda n, k: n + F.when(~k["kind"].isin(*PRIMARY) & ~F.array_contains("_shown", k["kind"]), k["beyond_hit"]).otherwise(0))
+    open_ended = F.arrays_overlap("_told", F.array(*(F.lit(k) for _, k, _, reach in ANNOUNCED if reach == "unbounded")))
+    finding = F.when((F.col("spare") + loose > 0) & ~open_ended & (F.col("primary_kind") != "seed"), "unexplained_mutation")
+    return rows.select(key, "program", "t_max", "primary_kind", secondary.alias("secondary_kinds"), finding.alias("finding"))
+
+
 def divergence(expected: DataFrame, observed: DataFrame, by: list[str]) -> DataFrame:
     """by columns, ref_date, divergence: periods a footprint holds and a release didn't touch (`missing`), or the reverse.
 

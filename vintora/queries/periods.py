@@ -210,3 +210,68 @@ def footprint_reach(t: Tables):
     seen = expected.where("month(ref_date) % 5 <> 0").select(*by, "ref_date").unionByName(earlier)
     found = periods.divergence(expected, seen, by)
     return found.select("program", *text("t_max"), "seasonality", *text("ref_date"), "divergence")
+
+
+# what orders say of each release: when it came, its bytes, whether it stood in the calendar, whether it came twice
+_said = f"SELECT program, t_max, count(*) AS n, min(o_orderkey) AS k, max(o_orderkey) AS k2, max(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) = 0 AS on_calendar FROM (SELECT *, {_names} AS program, CAST(make_date(year(o_orderdate), 1 + (month(o_orderdate) - 1) // ({_step}) * ({_step}), 1) AS DATE) AS t_max FROM orders) GROUP BY program, t_max"
+EVENTS = f"""SELECT program || '@' || CAST(t_max AS STRING) || '/0' AS release_id, program, t_max, t_max AS released_at, md5(CAST(k AS STRING)) AS content_hash, on_calendar OR k % 2 = 0 AS on_calendar, CASE WHEN k % 3 = 0 THEN 'all' WHEN k % 3 = 1 THEN 'most' ELSE 'routine' END AS touched FROM ({_said})
+    UNION ALL SELECT program || '@' || CAST(t_max AS STRING) || '/1', program, t_max, CAST(t_max + INTERVAL 9 DAY AS DATE), CASE WHEN k2 % 2 = 0 THEN md5(CAST(k AS STRING)) ELSE md5(CAST(k2 AS STRING)) END, FALSE, CASE WHEN k2 % 2 = 0 THEN 'none' ELSE 'history' END FROM ({_said}) WHERE k2 % 4 < 3 AND n > 1"""
+TOUCHED = f"""SELECT e.release_id, f.seasonality, f.ref_date FROM ({EVENTS}) e JOIN ({FOOT}) f ON e.program = f.program AND e.t_max = f.t_max WHERE e.touched = 'all' OR (e.touched = 'most' AND month(f.ref_date) <> 7) OR (e.touched = 'routine' AND f.kind IN ('routine', 'new_vintage', 'full_data')) OR (e.touched = 'history' AND f.kind <> 'routine')
+    UNION SELECT release_id, 'nsa', CAST(t_max - INTERVAL 40 YEAR AS DATE) FROM ({EVENTS}) WHERE touched = 'history'"""
+NOTICED = f"SELECT DISTINCT r.program, r.t_max, n.kind FROM ({_said}) r JOIN (SELECT area, CASE notice_id % 11 WHEN 2 THEN 'correction' WHEN 3 THEN 'reweight' ELSE 'population_control' END AS kind, month(published) AS m FROM notices WHERE notice_id % 11 IN (2, 3, 5)) n ON n.area = r.k % 25 AND n.m = month(r.t_max)"
+_kinds = f"""SELECT release_id, kind, count(*) AS expected, count(*) FILTER (WHERE seen) AS hit, count(*) FILTER (WHERE NOT base) AS beyond, count(*) FILTER (WHERE NOT base AND seen) AS beyond_hit FROM (
+    SELECT e.release_id, f.kind, EXISTS (SELECT 1 FROM ({TOUCHED}) o WHERE o.release_id = e.release_id AND o.seasonality = f.seasonality AND o.ref_date = f.ref_date) AS seen,
+        EXISTS (SELECT 1 FROM ({FOOT}) b WHERE b.program = f.program AND b.t_max = f.t_max AND b.seasonality = f.seasonality AND b.ref_date = f.ref_date AND b.kind IN ('routine', 'new_vintage', 'full_data')) AS base
+    FROM ({EVENTS}) e JOIN ({FOOT}) f ON e.program = f.program AND e.t_max = f.t_max) GROUP BY release_id, kind"""
+_in = lambda names: "(" + ", ".join(f"'{n}'" for n in names) + ")"
+CLASSIFIED = f"""WITH ev AS MATERIALIZED ({EVENTS}), seen AS MATERIALIZED ({TOUCHED}), kinds AS MATERIALIZED ({_kinds}), told AS MATERIALIZED ({NOTICED}),
+    r AS (SELECT *, lag(content_hash) OVER q AS hash_before, max(t_max) OVER (PARTITION BY program ORDER BY released_at, release_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest, row_number() OVER q AS n FROM ev WINDOW q AS (PARTITION BY program ORDER BY released_at, release_id)),
+    s AS (SELECT release_id, count(*) AS n_observed FROM seen GROUP BY release_id),
+    spare AS (SELECT release_id, count(*) AS spare FROM seen o WHERE NOT EXISTS (SELECT 1 FROM ev e JOIN ({FOOT}) f ON e.program = f.program AND e.t_max = f.t_max WHERE e.release_id = o.release_id AND f.seasonality = o.seasonality AND f.ref_date = o.ref_date) GROUP BY release_id),
+    k AS (SELECT release_id, bool_or(kind IN ('routine', 'full_data') AND hit > 0 AND 100 * hit >= 80 * expected) AS routine, bool_or(kind = 'new_vintage' AND hit > 0 AND 100 * hit >= 80 * expected) AS vintage,
+        list(kind) FILTER (WHERE kind NOT IN {_in(periods.PRIMARY)} AND beyond > 0 AND 100 * beyond_hit >= 80 * beyond) AS shown, sum(CASE WHEN kind NOT IN {_in(periods.PRIMARY)} AND NOT (beyond > 0 AND 100 * beyond_hit >= 80 * beyond) THEN beyond_hit ELSE 0 END) AS loose FROM kinds GROUP BY release_id),
+    x AS (SELECT r.release_id, r.program, r.t_max, r.content_hash IS DISTINCT FROM r.hash_before AS changed, r.n, coalesce(s.n_observed, 0) AS n_observed, coalesce(r.t_max > r.newest, TRUE) AND r.on_calendar AS fresh, coalesce(k.routine, FALSE) AS routine, coalesce(k.vintage, FALSE) AS vintage, coalesce(k.shown, []) AS shown, coalesce(k.loose, 0) + coalesce(spare.spare, 0) AS loose,
+        CASE WHEN r.content_hash IS DISTINCT FROM r.hash_before THEN coalesce((SELECT list(kind) FROM told t WHERE t.program = r.program AND t.t_max = r.t_max), []) ELSE [] END AS told
+        FROM r LEFT JOIN s USING (release_id) LEFT JOIN k USING (release_id) LEFT JOIN spare USING (release_id)),
+    y AS (SELECT *, CASE WHEN n = 1 THEN 'seed' WHEN n_observed = 0 AND NOT changed THEN 'unchanged_republication' WHEN fresh AND routine THEN 'routine' WHEN fresh AND vintage THEN 'new_vintage' ELSE 'out_of_cycle' END AS primary_kind FROM x)
+    SELECT release_id, program, CAST(t_max AS VARCHAR) AS t_max, primary_kind, array_to_string(list_filter([{', '.join(f"'{k}'" for k in periods.SECONDARY)}], lambda z: list_contains(shown, z) OR list_contains(told, z)), ',') AS secondary_kinds,
+        CASE WHEN loose > 0 AND NOT list_has_any(told, ['reweight', 'correction']) AND primary_kind <> 'seed' THEN 'unexplained_mutation' END AS finding FROM y"""
+
+
+def _orders_by_release(t: Tables):
+    n = F.col("o_custkey") % 11
+    table = t.spark.createDataFrame([(k, p, s) for k, (p, s) in enumerate(periods.STEP.items())], "n long, program string, step int")
+    month = 1 + F.floor((F.month("o_orderdate") - 1) / F.col("step")) * F.col("step")
+    rows = t("orders").withColumn("n", n).join(table, "n").withColumn("t_max", F.make_date(F.year("o_orderdate"), month.cast("int"), F.lit(1)))
+    return rows.groupBy("program", "t_max").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("k"), F.max("o_orderkey").alias("k2"), (F.max((F.col("o_orderstatus") == "P").cast("int")) == 0).alias("on_calendar"))
+
+
+def release_events(t: Tables):
+    """Releases as they came: some twice, with the same bytes or others, some without a calendar entry."""
+    said = _orders_by_release(t)
+    k, k2, name = F.col("k"), F.col("k2"), lambda n: F.concat("program", F.lit("@"), F.col("t_max").cast("string"), F.lit(f"/{n}"))
+    bytes_of = lambda c: F.md5(c.cast("string"))
+    once = said.select(name(0).alias("release_id"), "program", "t_max", F.col("t_max").alias("released_at"), bytes_of(k).alias("content_hash"), (F.col("on_calendar") | (k % 2 == 0)).alias("on_calendar"), F.when(k % 3 == 0, "all").when(k % 3 == 1, "most").otherwise("routine").alias("touched"))
+    twice = said.where("k2 % 4 < 3 AND n > 1").select(name(1).alias("release_id"), "program", "t_max", F.date_add("t_max", 9).alias("released_at"), F.when(k2 % 2 == 0, bytes_of(k)).otherwise(bytes_of(k2)).alias("content_hash"), F.lit(False).alias("on_calendar"), F.when(k2 % 2 == 0, "none").otherwise("history").alias("touched"))
+    return once.unionByName(twice)
+
+
+def touched_periods(t: Tables, events):
+    """What each release touched: all of its footprint, parts of it, or history nobody announced."""
+    foot = _foot(t).join(events.select("release_id", "program", "t_max", "touched"), ["program", "t_max"])
+    base = F.col("kind").isin(*periods.PRIMARY)
+    how = F.col("touched")
+    seen = foot.where((how == "all") | ((how == "most") & (F.month("ref_date") != 7)) | ((how == "routine") & base) | ((how == "history") & (F.col("kind") != "routine")))
+    old = events.where("touched = 'history'").select("release_id", F.lit("nsa").alias("seasonality"), F.add_months("t_max", -480).alias("ref_date"))
+    return seen.select("release_id", "seasonality", "ref_date").unionByName(old).distinct()
+
+
+@query(CLASSIFIED)
+def classified_releases(t: Tables):
+    """Every release's primary and secondary kinds from observed periods, footprints, bytes, calendar and notices."""
+    events = release_events(t)
+    kind = F.when(F.col("notice_id") % 11 == 2, "correction").when(F.col("notice_id") % 11 == 3, "reweight").otherwise("population_control")
+    told = t("notices").where("notice_id % 11 IN (2, 3, 5)").select(F.col("area").cast("long").alias("area"), kind.alias("kind"), F.month("published").alias("m")).distinct()
+    noticed = _orders_by_release(t).withColumns({"area": F.col("k") % 25, "m": F.month("t_max")}).join(told, ["area", "m"]).select("program", "t_max", "kind").distinct()
+    found = periods.classified(events, touched_periods(t, events), periods.rules(t.spark), noticed)
+    return found.select("release_id", "program", *text("t_max"), "primary_kind", F.array_join("secondary_kinds", ",").alias("secondary_kinds"), "finding")
