@@ -249,6 +249,23 @@ def test_secret_models(spark):
     assert set(level) == {0.0}
 
 
+def test_planted_secrets_are_found_and_ordinary_words_are_not(spark):
+    """Recall by kind and length, false alarms over whole documents and over identifiers of words the samples lack."""
+    import string
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model, rnd = secrets.train(secrets.labelled_samples(docs)), random.Random(3)
+    kinds = {"mixed": string.ascii_letters + string.digits + "+/", "lower": string.ascii_lowercase, "digits": string.ascii_lowercase + string.digits}
+    rows = [(k, n, "".join(rnd.choice(a) for _ in range(n))) for k, a in kinds.items() for n in (12, 16, 24, 32) for _ in range(300)]
+    added = F.size(F.filter("secret_spans", lambda x: x["kind"] == 3)) > 0
+    found = secrets.find(spark.createDataFrame(rows, "k string, n int, text string"), model)
+    recall = {(r.k, r.n): r.share for r in found.groupBy("k", "n").agg(F.avg(added.cast("int")).alias("share")).collect()}
+    assert all(x >= (0.5, 0.75, 0.9, 0.95)[(12, 16, 24, 32).index(n)] for (_, n), x in recall.items()), recall
+    words = ["getElementsByClassName", "AbstractSingletonProxyFactoryBean", "unbelievable_circumstances", "Donaudampfschiffahrtsgesellschaft", "the/path/to/some_file-name", "2024-11-05", "================", "internationalization"]
+    assert secrets.find(spark.createDataFrame([(w,) for w in words], "text string"), model).where(added).count() == 0
+    assert secrets.find(docs, model).where(added).count() <= 5  # of 10,000 documents
+
+
 def test_redaction(spark):
     rows = [("a token = 'abcdefabcdefabcdef12' b",), (None,), ("",), ("clean",)]
     out = secrets.redact(secrets.find(spark.createDataFrame(rows, "text string"), [0.0] * (len(secrets.ALPHABET) + 1) ** 2)).collect()

@@ -155,8 +155,7 @@ def markov_spans(model, text, base):
     least = 1 + math.ceil(s.LEVEL / max(model))
     for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
         run = m[0]
-        plain = re.fullmatch(r"[A-Z]?(?:[a-z]*|[A-Z]*)", run)
-        if len(run) < least or plain and len(run) < s.PLAIN:
+        if len(run) < least:
             continue
         ratios = [round(model[s.ALPHABET.index(a) * k + s.ALPHABET.index(b)], 6) for a, b in zip(run, run[1:])]
         if sum(ratios) >= s.LEVEL and sum(ratios) >= s.THRESHOLD * len(ratios) and not any(b <= m.start() and m.end() <= e for b, _, e in base):

@@ -255,13 +255,15 @@ _COUNTERS: dict = {}
 
 
 def _counter(path: str):
+    """A function from texts to token counts, and whether texts may be split at safe boundaries."""
     if path not in _COUNTERS:
         if path.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
-            _COUNTERS[path] = lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
+            _COUNTERS[path] = lambda texts: [len(x) for x in model.encode(texts, num_threads=1)], False
         else:
+            import json
             import os
 
             from tokenizers import Tokenizer
@@ -270,7 +272,10 @@ def _counter(path: str):
             model = Tokenizer.from_file(path)
             model.no_truncation()
             model.no_padding()
-            _COUNTERS[path] = lambda texts: [len(x) for x in model.encode_batch_fast(texts, add_special_tokens=False)]
+            known = json.loads(model.to_str())
+            pre = known["pre_tokenizer"] or {}
+            byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not known["normalizer"]
+            _COUNTERS[path] = lambda texts: [len(x) for x in model.encode_batch_fast(texts, add_special_tokens=False)], byte_level
     return _COUNTERS[path]
 
 
@@ -278,13 +283,12 @@ def token_count(text: Column, path: str) -> Column:
     """long: the number of tokens of a text column.
 
     Only lengths leave the worker. Batches hold about BATCH_BYTES; texts over PIECE_BYTES are split at safe
-    boundaries (byte-level vocabularies only: other models see whole texts).
+    boundaries where the file's own pre-tokenizer is the byte-level one: other models see whole texts.
     """
-    split = not path.endswith(".model")
 
     @F.arrow_udf("long")
     def lengths(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        count = _counter(path)
+        count, split = _counter(path)
         for batch in batches:
             pieces: list[str] = []
             owner: list[int] = []
@@ -293,7 +297,7 @@ def token_count(text: Column, path: str) -> Column:
                 pieces += found
                 owner += [k] * len(found)
             n = np.zeros(len(batch), np.int64)
-            for a, b in by_bytes([len(p) for p in pieces], BATCH_BYTES):
+            for a, b in by_bytes([len(p.encode("utf-8", "surrogatepass")) for p in pieces], BATCH_BYTES):
                 np.add.at(n, owner[a:b], count(pieces[a:b]))
             yield pa.array(n)
 

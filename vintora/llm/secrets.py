@@ -1,12 +1,12 @@
 """Secret scan: fixed patterns, and character Markov models of random strings and ordinary identifiers.
 
 Built-in functions only. Two bigram models, of random strings and of ordinary identifiers, are trained from
-labelled samples, every bigram counted as often as it occurs; the corpus gives samples itself (values that the fixed
-patterns find are random, all other runs of its texts ordinary). A run of key characters is a secret too if its
-log-likelihood ratio is at least LEVEL in all and THRESHOLD for each bigram. Runs that mix kinds of characters take
-part whatever their length; those too short to reach LEVEL with the model's largest ratio are left out by the pattern
-already. A plain word, letters of one case after at most one capital, takes part from PLAIN letters on: nothing tells
-a shorter one from a name.
+labelled samples, every bigram counted as often as it occurs: a table of rule-made strings (default_samples, or one of
+the user's own), and all runs of the corpus, whatever its size (values that the fixed patterns find are random, all
+other runs ordinary; a secret that no pattern knows is one run among all those of the corpus, so it hardly counts). A run
+of key characters is a secret too if its log-likelihood ratio is at least LEVEL in all and THRESHOLD for each bigram.
+Every run takes part, of whatever kind and length; those too short to reach LEVEL with the model's largest ratio are left
+out by the pattern already.
 
 Spans are in code points, end exclusive. A run that overlaps spans of the patterns stays a span of its own, unless it
 lies within one. Odd input: a null text counts as empty and has no spans; repeated rows are scanned one by one; extra
@@ -32,10 +32,6 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 RUN = "A-Za-z0-9+/_=-"
 #: Log-likelihood ratio from which a run counts as random, in all and for each of its bigrams.
 LEVEL, THRESHOLD = 12.0, 0.6
-#: Letters from which a plain word is looked at.
-PLAIN = 16
-#: Documents, about, that corpus_samples takes at most.
-SAMPLE_DOCS = 20_000
 #: Weight of even transitions in both models; it bounds what one unseen bigram can say.
 EVEN = 0.1
 #: Rows of each kind in the sample of default_samples.
@@ -68,18 +64,22 @@ developpement gouvernement connaissance entreprise naturelle questionnaire quelq
 def default_samples(spark: SparkSession, n: int = SAMPLES) -> DataFrame:
     """text, label (1: random string, 0: ordinary identifier): n rows of each, by a rule.
 
-    Ordinary ones are names of one to three words in several spellings, and ruled lines.
+    Random ones are SHA-256 digests of numbers, in hexadecimal, in both base64 alphabets, and in small letters alone;
+    ordinary ones are names of one to three words in several spellings, ruled lines, and characters in alphabetical order.
     """
     words = F.split(F.lit(" ".join(PARTS.split())), " ")
     rows = spark.range(n)
     digest = F.sha2(F.concat(F.lit("sample "), F.col("id").cast("string")), 256)
     packed = F.base64(F.unhex(digest))
-    random = rows.select(F.when(F.col("id") % 3 == 0, F.substring(digest, 1, 40)).when(F.col("id") % 3 == 1, F.substring(packed, 1, 40)).otherwise(F.translate(F.substring(packed, 1, 36), "+/", "-_")).alias("text"), F.lit(1).alias("label"))
+    letters = F.translate(F.lower(packed), "0123456789+/=", "bcdfghjkpqvwx")
+    kind = F.col("id") % 4
+    random = rows.select(F.when(kind == 0, F.substring(digest, 1, 40)).when(kind == 1, F.substring(packed, 1, 40)).when(kind == 2, F.substring(letters, 1, 40)).otherwise(F.translate(F.substring(packed, 1, 36), "+/", "-_")).alias("text"), F.lit(1).alias("label"))
     pick = lambda a, b: words[F.pmod(F.col("id") * a + b, F.size(words)).cast("int")]
     three = (pick(7, 1), pick(131, 17), pick(577, 53))
     ordinary = rows.select(F.when(F.col("id") % 3 == 0, F.concat_ws("_", *three)).when(F.col("id") % 3 == 1, F.concat(three[0], F.initcap(three[1]), F.initcap(three[2]))).when(F.col("id") % 6 == 2, F.concat_ws("-", *three, (F.col("id") % 40).cast("string"))).otherwise(F.concat(*three)).alias("text"), F.lit(0).alias("label"))
     ruled = rows.where(F.col("id") % 10 == 0).select(F.repeat(F.substring(F.lit(ALPHABET), (F.col("id") / 10 % len(ALPHABET)).cast("int") + 1, F.lit(1)), F.lit(40)).alias("text"), F.lit(0).alias("label"))
-    return random.unionByName(ordinary).unionByName(ruled)
+    ordered = rows.where(F.col("id") % 10 == 1).select(F.substring(F.lit(ALPHABET), (F.col("id") / 10 % (len(ALPHABET) - 8)).cast("int") + 1, F.lit(20)).alias("text"), F.lit(0).alias("label"))
+    return random.unionByName(ordinary).unionByName(ruled).unionByName(ordered)
 
 
 def _bigrams(s: Column) -> Column:
@@ -92,14 +92,12 @@ def _bigrams(s: Column) -> Column:
 
 
 def corpus_samples(docs: DataFrame, text: str = "text") -> DataFrame:
-    """text, label, weight: the distinct runs of about SAMPLE_DOCS documents, and how often each occurs.
+    """text, label, weight: the distinct runs of all documents, and how often each occurs.
 
-    Documents are taken by a hash of id and text. What a fixed pattern finds in a run is random (1); every other run
-    is ordinary (0). Runs are counted before the exchange, and only distinct ones are looked at.
+    What a fixed pattern finds in a run is random (1); every other run is ordinary (0). Runs are counted before the
+    exchange, and only distinct ones are looked at.
     """
-    every = max(1, docs.count() // SAMPLE_DOCS)
-    some = docs if every == 1 else docs.where(F.pmod(F.xxhash64("doc_id", text), F.lit(every)) == 0)
-    runs = some.select(F.explode(F.split(F.coalesce(F.col(text), F.lit("")), f"[^{RUN}]+")).alias("text")).where("length(text) > 1").groupBy("text").agg(F.count("*").alias("weight"))
+    runs = docs.select(F.explode(F.split(F.coalesce(F.col(text), F.lit("")), f"[^{RUN}]+")).alias("text")).where("length(text) > 1").groupBy("text").agg(F.count("*").alias("weight"))
     values = [F.regexp_extract("text", p, g) for p, g in (ASSIGN[:2], (f"AKIA[A-Z0-9]{{{ACCESS[2] - 4},}}", 0), (f"[0-9a-f]{{{HEX[2]},}}", 0))]
     found = F.coalesce(*(F.when(F.length(v) >= n, v) for v, n in zip(values, (ASSIGN[2], 1, 1))))
     return runs.select(F.coalesce(found, "text").alias("text"), found.isNotNull().cast("int").alias("label"), "weight")
@@ -158,7 +156,7 @@ def candidate_pattern(model: list[float]) -> str | None:
     """The pattern of the runs to be looked at; None if none can reach LEVEL. A run has no other right before it."""
     if (most := max(model)) < THRESHOLD:
         return None
-    return rf"(?<![{RUN}])(?![A-Z]?(?:[a-z]{{0,{PLAIN - 1}}}+|[A-Z]{{0,{PLAIN - 1}}}+)(?![{RUN}]))[{RUN}]{{{1 + math.ceil(LEVEL / most)},}}+"
+    return rf"(?<![{RUN}])[{RUN}]{{{1 + math.ceil(LEVEL / most)},}}+"
 
 
 def find(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
