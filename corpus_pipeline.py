@@ -58,8 +58,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(HAS_WORDS)
     kept = _matching(docs.where(worded), best, "left_semi")
     repeated = groups.groupBy("doc_id", "text_hash").count().where("count > 1")
-    if repeated.limit(1).count():
-        kept = kept.dropDuplicates(["doc_id", "text"])
+    if repeated.limit(1).count():  # only the rows that repeat are shuffled
+        kept = _matching(kept, repeated, "left_anti").unionByName(_matching(kept, repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
     return kept.unionByName(docs.where(~worded))
 
 
