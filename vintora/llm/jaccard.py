@@ -189,8 +189,9 @@ def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), "text").mapInArrow(look, "doc_id long, text_hash long, n int, node long, tokens binary, block int, part int, counts binary")
     rows = stored(rows, "described")
-    counts = tables.summed(rows.where("block IS NOT NULL"), 1 << TABLE_BITS)
-    ranks = np.minimum(4 * np.log2(1 + counts.astype(float)), 255).astype(np.uint8)
+    rank = lambda counts: np.minimum(4 * np.log2(1 + counts.astype(float)), 255).astype(np.uint8)
+    ranks = tables.summed(rows.where("block IS NOT NULL"), 1 << TABLE_BITS, rank, np.uint8)
+    trim()
     sets = rows.where("tokens IS NOT NULL").select("node", "tokens")
     sets._stored_at = rows._stored_at
     return rows.where("block IS NULL").select("doc_id", "text_hash", "n", "node"), sets, ranks
@@ -256,23 +257,24 @@ def shared(rows: DataFrame) -> DataFrame:
 
 
 def _filter_bits(nodes: DataFrame) -> np.ndarray:
-    """A bit for each node's hash; the size follows the number of nodes up to 2**FILTER_BITS."""
+    """A bit for each node's hash, eight to a byte, the lowest first; the size follows the number of nodes up to 2**FILTER_BITS."""
     bits = min(FILTER_BITS, max(12, (16 * nodes.count()).bit_length()))
     place = F.pmod(F.col("node"), F.lit(1 << bits))
     words = nodes.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(node, {1 << bits}) & 63 as int))")).alias("held")).toPandas()  # 2**(FILTER_BITS - 6) rows at most
     out = np.zeros(1 << (bits - 6), np.int64)
     out[words["word"].to_numpy(np.int64)] = words["held"].to_numpy(np.int64)
-    return np.unpackbits(out.view(np.uint8), bitorder="little")
+    return out.view(np.uint8)
 
 
 def sets_of(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, tokens binary) of the given nodes, and of a few others that the filter lets through."""
-    wanted = sets.sparkSession.sparkContext.broadcast(np.packbits(_filter_bits(nodes)))
+    wanted = sets.sparkSession.sparkContext.broadcast(_filter_bits(nodes))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(wanted.value)
+        held = wanted.value
         for batch in batches:
-            yield batch.filter(pa.array(bits[batch.column("node").to_numpy() % len(bits)] > 0))
+            place = batch.column("node").to_numpy() % (8 * len(held))
+            yield batch.filter(pa.array((held[place >> 3] >> (place & 7).astype(np.uint8) & 1) > 0))
         trim()
 
     return sets.mapInArrow(look, "node long, tokens binary").dropDuplicates(["node"])

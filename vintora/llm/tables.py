@@ -22,10 +22,11 @@ def blocks(table: np.ndarray, part: int) -> Iterator[tuple[int, int, bytes]]:
             yield k // BLOCK, part, zlib.compress(held.astype("<u8").tobytes(), 1)
 
 
-def summed(rows: DataFrame, size: int) -> np.ndarray:
+def summed(rows: DataFrame, size: int, shown=lambda counts: counts, kind=np.uint64) -> np.ndarray:
     """The table whose blocks all tasks gave (columns of SCHEMA): first 16 sums of each block, then one.
 
-    A task adds blocks up as they come and holds one at a time; only the sum, of fixed size, gets to the driver.
+    A task adds blocks up as they come and holds one at a time; only the sum, of fixed size, gets to the driver. There
+    `shown` makes a block's counts into what the table holds, of type `kind`, before the next block comes.
     """
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,7 +46,8 @@ def summed(rows: DataFrame, size: int) -> np.ndarray:
     sums = rows.select(*NAMES)
     for key in (F.col("part") % 16, F.lit(0)):
         sums = sums.withColumn("part", key).repartition("block", "part").sortWithinPartitions("block", "part").mapInArrow(add_up, SCHEMA)
-    table = np.zeros(-(-size // BLOCK) * BLOCK, np.uint64)
+    table = np.zeros(-(-size // BLOCK) * BLOCK, kind)
+    table[:] = shown(np.zeros(1, np.uint64))[0]
     for r in sums.toLocalIterator():
-        table[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(bytes(r["counts"])), "<u8")
+        table[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = shown(np.frombuffer(zlib.decompress(bytes(r["counts"])), "<u8"))
     return table[:size]

@@ -192,9 +192,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
     useful = np.logical_or.reduce([np.abs(r) >= least for r in (ratio, *map(log_ratio, counts))])
     sample = _sample(rows, useful)
     model = Linear(sample, ratio, *choose(sample, counts), STEPS)
-    share = model.share
+    weights, bias, share = model.weights, model.bias, model.share
+    del model, sample, useful
+    trim()  # the driver's Python gives the sample's memory back
     shift = np.log(totals[1, -1] / totals[0, -1]) - (np.log(share / (1 - share)) if 0 < share < 1 else 0.0)
-    return model.weights, float(model.bias + shift)
+    return weights, float(bias + shift)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float] | None, text: str = "text", to: str = "score") -> DataFrame:
