@@ -36,18 +36,30 @@ def of_years(rows: DataFrame, years: Sequence[int]) -> DataFrame:
     return rows.where(F.year("ref_date").isin(*years))
 
 
-def as_of(log: DataFrame, committed: DataFrame, at: Column, *, strict: bool = True, first_instant: Column | None = None, years: Sequence[int] | None = None, key: Sequence[str] = KEY) -> DataFrame:
-    """The state at an instant. A strict reading before first_instant is empty; at it, the seed is visible."""
+def as_of(log: DataFrame, committed: DataFrame, at: Column, *, strict: bool = True, first_instant: Column | None = None, first_instants: DataFrame | None = None, years: Sequence[int] | None = None, key: Sequence[str] = KEY) -> DataFrame:
+    """The state at an instant. A strict reading before first_instant is empty; at it, the seed is visible.
+
+    first_instants (program, first_instant) gives each program its own: a strict reading has no rows of a program that
+    hasn't begun by then, or that isn't named.
+    """
     rows = log.where(F.col("knowledge_time") <= at)
     if strict:
         rows = rows.where(F.col("provenance").isin(*STRICT))
         if first_instant is not None:
             rows = rows.where(at >= first_instant)
+        if first_instants is not None:
+            rows = rows.join(first_instants.where(F.col("first_instant") <= at).select("program"), "program", "left_semi")
     if years is not None:
         rows = of_years(rows, years)
     return newest(visible(rows, committed), key).where("change_kind <> 'deleted'")
 
 
+def unpinned_seeds(log: DataFrame, first_instants: DataFrame) -> DataFrame:
+    """Seed rows that don't stand at their program's first instant, or whose program has none."""
+    seeds = log.where("provenance = 'seed'").join(first_instants.select("program", "first_instant"), "program", "left")
+    return seeds.where(~F.col("knowledge_time").eqNullSafe(F.col("first_instant")))
+
+
 def as_of_spine(log: DataFrame, committed: DataFrame, spine: DataFrame, *, strict: bool = True, until: Column | None = None, key: Sequence[str] = KEY) -> DataFrame:
     """For each row of spine (key columns and `at`): the newest visible log row known then, deletions dropped.
 

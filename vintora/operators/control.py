@@ -78,6 +78,25 @@ def rescheduled(slots: DataFrame, entries: DataFrame) -> DataFrame:
     return both.select("slot_id", due.alias("due"), F.when(gone | F.col("entry_id").isNull(), "cadence").otherwise("calendar").alias("predicted_from"), change.alias("change"))
 
 
+def placed_by_cadence(archive: DataFrame, periods: DataFrame, near: int) -> DataFrame:
+    """program, ref_date, release_date, dates, finding, confidence: archive dates laid on the periods a cadence implies.
+
+    archive: program, release_date; periods: program, ref_date, expected (the cadence's day). Each date goes to the period
+    expected nearest to it, which keeps their order, if that is at most `near` days off. A period with one date is
+    `on_cadence` and exact; with none `missing`, with several `doubled` (the first of them is given), and a date that
+    fits no period is `off_cadence`, without a period: all uncertain.
+    """
+    from vintora.operators.matching import nearest_within
+
+    placed = nearest_within(archive.select("program", "release_date").distinct(), periods, ["program"], "release_date", "expected", "ref_date", near)
+    held = placed.where("ref_date IS NOT NULL").groupBy("program", "ref_date").agg(F.min("release_date").alias("release_date"), F.count("*").alias("dates"))
+    every = periods.select("program", "ref_date").distinct().join(held, ["program", "ref_date"], "left").withColumn("dates", F.coalesce("dates", F.lit(0)))
+    finding = F.when(F.col("ref_date").isNull(), "off_cadence").when(F.col("dates") == 0, "missing").when(F.col("dates") > 1, "doubled").otherwise("on_cadence")
+    strays = placed.where("ref_date IS NULL").select("program", "ref_date", "release_date", F.lit(1).cast("long").alias("dates"))
+    both = every.select("program", "ref_date", "release_date", F.col("dates").cast("long").alias("dates")).unionByName(strays).withColumn("finding", finding)
+    return both.withColumn("confidence", F.when(F.col("finding") == "on_cadence", "exact").otherwise("uncertain"))
+
+
 def armed_by_feed(seen: DataFrame, feed: DataFrame, slots: DataFrame, near: int = 1) -> DataFrame:
     """program, entry, day, slot_id, arms of the feed's new and changed entries: each arms its program at once.
 

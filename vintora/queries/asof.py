@@ -152,3 +152,30 @@ def slot_context(t: Tables):
     rows = t("obs").join(t("committed").select("release_event_id", "release_date"), "release_event_id")
     last = rows.withColumn("n", F.row_number().over(Window.partitionBy("program").orderBy(F.desc("sequence")))).where("n <= 5")
     return last.select("program", "unit_key", F.col("ref_date").cast("string").alias("ref_date"), "sequence", "value", F.col("release_date").cast("string").alias("release_date"))
+
+
+EARLIER = "2024-01-06 12:00:00"
+BEGUN = f"program IN (SELECT program FROM first_instants WHERE first_instant <= @ts({EARLIER}))"
+
+
+@query(state(f"provenance IN ('observed', 'seed') AND {BEGUN}", EARLIER).replace("FROM obs", "FROM program_obs"))
+def asof_program_t0(t: Tables):
+    """The strict state at an instant that some programs' observation had begun by, and others' not."""
+    return shown(asof.as_of(t("program_obs"), t("committed"), instant(EARLIER), first_instants=t("first_instants")))
+
+
+@query(f"""
+    SELECT f.program, CAST(epoch_us(f.first_instant) AS BIGINT) AS first_us, COALESCE(s.n, 0) AS strict_rows, COALESCE(a.n, 0) AS all_rows FROM first_instants f
+    LEFT JOIN (SELECT program, COUNT(*) AS n FROM ({state(f"provenance IN ('observed', 'seed') AND {BEGUN}", EARLIER).replace("FROM obs", "FROM program_obs")}) GROUP BY program) s ON s.program = f.program
+    LEFT JOIN (SELECT program, COUNT(*) AS n FROM ({state("TRUE", EARLIER).replace("FROM obs", "FROM program_obs")}) GROUP BY program) a ON a.program = f.program""")
+def strict_start(t: Tables):
+    """How many rows either reading has of each program: none strictly before its own first instant."""
+    read = lambda strict, name: asof.as_of(t("program_obs"), t("committed"), instant(EARLIER), strict=strict, first_instants=t("first_instants")).groupBy("program").agg(F.count("*").alias(name))
+    both = t("first_instants").join(read(True, "s"), "program", "left").join(read(False, "a"), "program", "left")
+    return both.select("program", micros("first_instant").alias("first_us"), F.coalesce("s", F.lit(0)).alias("strict_rows"), F.coalesce("a", F.lit(0)).alias("all_rows"))
+
+
+@query("SELECT o.program, o.sequence, CAST(epoch_us(o.knowledge_time) AS BIGINT) AS known_us FROM program_obs o JOIN first_instants f ON o.program = f.program WHERE o.provenance = 'seed' AND o.knowledge_time <> f.first_instant")
+def n1_seed_pinned(t: Tables):
+    """Seed rows that claim to have been known at another instant than their program's first."""
+    return asof.unpinned_seeds(t("program_obs"), t("first_instants")).select("program", "sequence", micros("knowledge_time").alias("known_us"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vintora.operators import control, matching
+from vintora.operators import control, markers, matching
 from vintora.plans.registry import Tables, query
 from vintora.queries.asof import micros
 
@@ -318,3 +318,41 @@ def knowability(t: Tables):
     """Publication dates of periods before observation, with how sure they are; they never enter knowledge_time."""
     lag = F.datediff(F.col("data_at").cast("date"), F.col("ref_date"))
     return t("knowability").select("program", day("ref_date"), F.when(F.col("data_at").isNull(), "uncertain").when(lag.between(0, 20), "exact").otherwise("inferred").alias("confidence"), day("news_date"))
+
+
+@query("""
+    WITH placed AS (SELECT a.program, a.release_date, p.ref_date FROM (SELECT DISTINCT program, release_date FROM archive_dates) a LEFT JOIN cadence_periods p ON p.program = a.program AND abs(p.expected - a.release_date) <= 6
+                    QUALIFY row_number() OVER (PARTITION BY a.program, a.release_date ORDER BY abs(p.expected - a.release_date), p.ref_date) = 1),
+         every AS (SELECT p.program, p.ref_date, MIN(h.release_date) AS release_date, COUNT(h.release_date) AS dates FROM cadence_periods p LEFT JOIN placed h ON h.program = p.program AND h.ref_date = p.ref_date GROUP BY p.program, p.ref_date
+                   UNION ALL SELECT program, NULL, release_date, 1 FROM placed WHERE ref_date IS NULL)
+    SELECT program, CAST(ref_date AS VARCHAR) AS ref_date, CAST(release_date AS VARCHAR) AS release_date, dates, finding, CASE WHEN finding = 'on_cadence' THEN 'exact' ELSE 'uncertain' END AS confidence
+    FROM (SELECT *, CASE WHEN ref_date IS NULL THEN 'off_cadence' WHEN dates = 0 THEN 'missing' WHEN dates > 1 THEN 'doubled' ELSE 'on_cadence' END AS finding FROM every)""")
+def knowability_cadence(t: Tables):
+    """Archive dates checked against the cadence: what is shifted, missing or doubled stays uncertain."""
+    return control.placed_by_cadence(t("archive_dates"), t("cadence_periods"), 6).select("program", day("ref_date"), day("release_date"), "dates", "finding", "confidence")
+
+
+def in_force(kinds: str) -> str:
+    return f"SELECT r.*, m.marker_id, m.kind, m.effective FROM measured r LEFT JOIN markers m ON m.program = r.program AND starts_with(r.unit_key, m.prefix) AND m.effective <= r.ref_date AND m.kind IN ({kinds}) QUALIFY row_number() OVER (PARTITION BY r.row_id ORDER BY length(m.prefix) DESC NULLS LAST, m.effective DESC, m.marker_id DESC) = 1"
+
+
+@query(f"SELECT row_id, CASE WHEN prev_value IS NOT DISTINCT FROM value THEN 'same' WHEN marker_id IS NOT NULL AND round(prev_value) IS NOT DISTINCT FROM round(value) THEN 'precision_change' ELSE 'revised' END AS change, marker_id FROM ({in_force(repr('precision_change'))})")
+def precision_by_marker(t: Tables):
+    """Changes of value, told from changes of precision by the marker in force for the series."""
+    found = markers.in_force(t("measured"), t("markers"), ["precision_change"], "ref_date")
+    return found.select("row_id", markers.change_kind(F.col("prev_value"), F.col("value"), F.col("marker"), 0).alias("change"), F.col("marker.marker_id").alias("marker_id"))
+
+
+@query(f"""SELECT row_id, marker_id, COALESCE(kind IN ('suspension', 'discontinuation'), FALSE) AS expected FROM ({in_force("'suspension', 'discontinuation', 'resumption'")}) WHERE value IS NULL""")
+def expected_loss(t: Tables):
+    """Values that went missing, with whether a suspension or discontinuation of their scope announced it."""
+    found = markers.in_force(t("measured").where("value IS NULL"), t("markers"), ["suspension", "discontinuation", "resumption"], "ref_date")
+    return found.select("row_id", F.col("marker.marker_id").alias("marker_id"), markers.expected_loss(F.col("marker")).alias("expected"))
+
+
+@query(f"""SELECT row_id, CAST(effective AS VARCHAR) AS effective FROM ({in_force("'reweight', 'population_control'")}) WHERE abs(value - prev_value) >= 2 AND NOT COALESCE(ref_date - effective <= 365, FALSE)""")
+def inv20_rebase(t: Tables):
+    """Jumps in a series that no reweight or population control of its scope accompanies within a year."""
+    found = markers.in_force(t("measured"), t("markers"), ["reweight", "population_control"], "ref_date")
+    broken = markers.unmarked_break(F.col("prev_value"), F.col("value"), F.col("ref_date"), F.col("marker"), 2, 365)
+    return found.where(broken).select("row_id", F.col("marker.effective").cast("string").alias("effective"))

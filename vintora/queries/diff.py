@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vintora.operators import diff, ledger
+from vintora.operators import diff, ledger, links
 from vintora.plans.registry import Tables, query
 
 KINDS = "CASE WHEN p_in IS NULL THEN 'first_print' WHEN c_in IS NULL THEN 'deleted' WHEN p IS NOT NULL AND c IS NULL THEN 'suppressed' WHEN p IS NULL AND c IS NOT NULL THEN 'unsuppressed' WHEN p <> c THEN 'revised'{more} END"
@@ -212,3 +212,36 @@ def rebuilt_state(t: Tables):
 
     tables = ledger.rebuild(log, parse, ["val"], lambda events: events.where("slot_id IS NOT NULL OR program <> '3'"), scope=F.lit(True), slots=slots)
     return tables["current_state"].select("program", "unit_key", "value", "change_kind", F.unix_micros(F.col("knowledge_time").cast("timestamp")).alias("known_at"), "knowledge_time_source", "vintage")
+
+
+CAPTURED = f"SELECT DISTINCT lang AS link_set, link, v AS vintage FROM (SELECT page_id, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, unnest(regexp_extract_all(html, 'href=\"([^\"?]+)\"', 1)) AS link FROM pages) CROSS JOIN range(1, 9) r(v) WHERE (page_id + v) % 5 <> 0 AND page_id % 11 <> v"
+
+
+def _captures(t: Tables, vintages=range(1, 9)):
+    """Eight captures of the landing pages, in each of which some pages were out of reach."""
+    link = F.explode(F.regexp_extract_all("html", F.lit('href="([^"?]+)"'), F.lit(1)))
+    found = t("pages").select("page_id", F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("link_set"), link.alias("link"))
+    rows = found.withColumn("vintage", F.explode(F.array(*(F.lit(v).cast("long") for v in vintages))))
+    return rows.where("(page_id + vintage) % 5 <> 0 AND page_id % 11 <> vintage").select("link_set", "link", "vintage")
+
+
+HELD = f"SELECT link_set, link, MIN(vintage) AS first, MAX(vintage) AS last FROM (SELECT *, vintage - row_number() OVER (PARTITION BY link_set, link ORDER BY vintage) AS run FROM ({CAPTURED})) GROUP BY link_set, link, run"
+
+
+@query(HELD)
+def link_intervals(t: Tables):
+    """Link sets by vintage: when each link was there, over all captures."""
+    return links.intervals(_captures(t), ["link_set"], "link")
+
+
+@query(HELD, name="link_advance")
+def link_advance(t: Tables):
+    """The same from the intervals of seven captures and the eighth alone."""
+    held = links.intervals(_captures(t, range(1, 8)), ["link_set"], "link")
+    return links.advanced(held, _captures(t, [8]), ["link_set"], "link", 8)
+
+
+@query(f"WITH c AS ({CAPTURED}) (SELECT link_set, link, 'added' AS change FROM (SELECT link_set, link FROM c WHERE vintage = 6 EXCEPT SELECT link_set, link FROM c WHERE vintage = 3)) UNION ALL (SELECT link_set, link, 'removed' AS change FROM (SELECT link_set, link FROM c WHERE vintage = 3 EXCEPT SELECT link_set, link FROM c WHERE vintage = 6))")
+def link_changes(t: Tables):
+    """Links gained and lost between two vintages, read from the intervals."""
+    return links.between(links.intervals(_captures(t), ["link_set"], "link"), ["link_set"], "link", 3, 6)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vintora.operators import control
+from vintora.operators import control, validate
 from vintora.plans.registry import Tables, query
 from vintora.queries.asof import micros
 from vintora.queries.control import RESOLVED
 from vintora.queries.periods import text
+from vintora.sources.views import T0, for_spark
 
 KEYED = "PARTITION BY program, unit_key, measure_code, ref_date, period_code"
 
@@ -156,3 +157,75 @@ def n12_second_copy(t: Tables):
     blobs = t("fetch_log").where("content_hash IS NOT NULL")
     found = single_copies(blobs.select(F.col("content_hash").alias("digest"), F.col("requested_at").alias("stored_at")), blobs.where("content_hash < '8'").select(F.col("content_hash").alias("digest")), F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"), F.expr("INTERVAL 7 DAYS"))
     return found.select("digest", F.col("since").cast("date").cast("string").alias("since"))
+
+
+# rules over the log, as conditions that hold where they are broken, for Spark and DuckDB alike
+LOG_RULES = [
+    ("inv01", "assert", "ref_date > CAST(knowledge_time AS DATE)"),
+    ("inv04", "assert", "program IS NULL OR unit_key IS NULL OR ref_date IS NULL OR knowledge_time IS NULL"),
+    ("inv09", "flag", "value IS NULL"),
+    ("inv10", "assert", "split_part(release_event_id, '-', 1) <> program"),
+    ("inv11a", "assert", "period_kind NOT IN ('period', 'annual_average')"),
+    ("inv26b", "flag", "provenance = 'external'"),
+    ("n1", "assert", f"provenance = 'seed' AND knowledge_time <> @ts({T0})"),
+    ("n4", "assert", "change_kind = 'deleted' AND provenance = 'external'"),
+]
+# the same over the rows of one release
+RELEASE_RULES = [("n5", "assert", "COUNT(CASE WHEN change_kind = 'deleted' THEN 1 END) * 8 > COUNT(*)"), ("inv06", "assert", "MIN(program) <> MAX(program)")]
+# and over releases
+CLOCK_RULES = [
+    ("inv01c", "assert", "make_date(CAST(ref_year AS INT), CAST(ref_month AS INT), 1) > CAST(first_observed_at AS DATE)"),
+    ("inv03", "flag", "scheduled_at = first_observed_at"),
+    ("inv08", "flag", "scheduled_at > first_observed_at + INTERVAL 20 MINUTE OR scheduled_at < first_observed_at - INTERVAL 20 MINUTE"),
+    ("inv27", "assert", "scheduled_at_source NOT IN ('ics', 'schedule_page', 'cadence_estimate')"),
+    ("n2", "flag", "scheduled_at > first_observed_at + INTERVAL 15 MINUTE"),
+    ("n3", "assert", "scheduled_at IS NOT NULL AND scheduled_at_source NOT IN ('ics', 'schedule_page')"),
+]
+
+
+def _sql(rules, rows: str, subject: str, group: str = "") -> str:
+    return " UNION ALL ".join(f"SELECT {subject}, '{name}' AS rule, '{severity}' AS severity FROM {rows} {f'GROUP BY {group} HAVING {broken}' if group else f'WHERE {broken}'}" for name, severity, broken in rules)
+
+
+def _rules(rules):
+    return [(name, severity, F.expr(for_spark(broken))) for name, severity, broken in rules]
+
+
+BY_RELEASE = f"{_sql(LOG_RULES, 'obs', 'program, release_event_id')} UNION ALL {_sql(RELEASE_RULES, 'obs', 'MIN(program) AS program, release_event_id', 'release_event_id')}"
+
+
+def _log_findings(t: Tables):
+    rows = validate.row_findings(t("obs"), _rules(LOG_RULES), ["program", "release_event_id"])
+    # a release's program travels with it in the shared aggregate
+    grouped = validate.key_findings(t("obs"), ["release_event_id"], _rules(RELEASE_RULES)).withColumn("program", F.split_part("release_event_id", F.lit("-"), F.lit(1)))
+    return rows.unionByName(grouped)
+
+
+@query(f"SELECT program, rule, severity, COUNT(*) AS n FROM (SELECT program, rule, severity FROM ({BY_RELEASE}) UNION ALL SELECT CAST(program AS VARCHAR), rule, severity FROM ({_sql(CLOCK_RULES, 'releases', 'program')})) GROUP BY program, rule, severity")
+def rule_findings(t: Tables):
+    """Findings of sixteen rules by program: log and releases are scanned once for their row rules, the log once for its group rules."""
+    clocks = validate.row_findings(t("releases"), _rules(CLOCK_RULES), ["program"]).withColumn("program", F.col("program").cast("string"))
+    return _log_findings(t).drop("release_event_id").unionByName(clocks).groupBy("program", "rule", "severity").agg(F.count("*").alias("n"))
+
+
+VERDICTS = f"""SELECT release_event_id, asserts, overridden, flags, CASE WHEN asserts > 0 THEN 'abort' WHEN overridden > 0 THEN 'override' WHEN flags > 0 THEN 'flag' ELSE 'pass' END AS verdict FROM (
+    SELECT f.release_event_id, COUNT(CASE WHEN severity = 'assert' AND o.rule IS NULL THEN 1 END) AS asserts, COUNT(CASE WHEN severity = 'assert' AND o.rule IS NOT NULL THEN 1 END) AS overridden, COUNT(CASE WHEN severity = 'flag' THEN 1 END) AS flags
+    FROM ({BY_RELEASE}) f LEFT JOIN (SELECT release_event_id, rule FROM overrides WHERE trim(reason) <> '') o ON o.release_event_id = f.release_event_id AND o.rule = f.rule
+    WHERE NOT (severity = 'flag' AND f.rule = 'inv26b' AND f.program = 'view') GROUP BY f.release_event_id)"""
+
+
+def _verdicts(t: Tables):
+    expected = t.spark.createDataFrame([("view", "inv26b")], "program string, rule string")
+    return validate.verdicts(_log_findings(t), t("overrides"), expected)
+
+
+@query(VERDICTS)
+def commit_verdicts(t: Tables):
+    """What the rules say of each release with findings: an assertion aborts unless overridden with a reason, an expected flag is no finding."""
+    return _verdicts(t)
+
+
+@query(f"SELECT program, release_event_id, COUNT(*) AS n FROM obs WHERE release_event_id NOT IN (SELECT release_event_id FROM ({VERDICTS}) WHERE verdict = 'abort') GROUP BY program, release_event_id")
+def commit_gate(t: Tables):
+    """Rows that a commit may write: those of releases no assertion stops."""
+    return validate.committable(t("obs"), _verdicts(t)).groupBy("program", "release_event_id").agg(F.count("*").alias("n"))

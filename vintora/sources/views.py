@@ -31,6 +31,18 @@ VIEWS = {
                     WHEN event_id % 23 = 0 THEN 'external' ELSE 'observed' END AS provenance,
                CASE WHEN ts < @ts({T0}) AND event_id % 3 <> 0 THEN @ts({T0}) ELSE ts END AS knowledge_time
         FROM events""",
+    # the first instant of observation of each program, and a log seeded at it
+    "first_instants": "SELECT event_type AS program, MIN(ts) + CAST(length(event_type) AS INT) * INTERVAL 1 DAY AS first_instant FROM events GROUP BY event_type",
+    "program_obs": """
+        SELECT e.event_type AS program, CAST(e.user_id AS STRING) AS unit_key, 'value' AS measure_code, CAST(date_trunc('week', e.ts) AS DATE) AS ref_date,
+               'W' || lpad(CAST(weekofyear(e.ts) AS STRING), 2, '0') AS period_code, e.event_id AS sequence,
+               e.event_type || '-' || CAST(CAST(e.ts AS DATE) AS STRING) AS release_event_id, e.value,
+               CASE WHEN e.event_id % 11 = 0 THEN 'deleted' ELSE 'revised' END AS change_kind,
+               CASE WHEN e.ts >= f.first_instant THEN 'observed' WHEN e.event_id % 3 = 0 THEN 'reconstructed' ELSE 'seed' END AS provenance,
+               CASE WHEN e.ts < f.first_instant AND e.event_id % 3 <> 0 AND e.user_id % 41 <> 0 THEN f.first_instant ELSE e.ts END AS knowledge_time
+        FROM events e JOIN first_instants f ON e.event_type = f.program""",
+    # assertions overridden by a named reason; one reason was left blank
+    "overrides": "SELECT DISTINCT event_type || '-' || CAST(CAST(ts AS DATE) AS STRING) AS release_event_id, 'n5' AS rule, CASE WHEN event_type = 'click' THEN ' ' ELSE 'checked by hand' END AS reason FROM events WHERE day(ts) % 2 = 0",
     # manifest of committed releases
     "committed": "SELECT DISTINCT event_type || '-' || CAST(CAST(ts AS DATE) AS STRING) AS release_event_id, event_type AS program, CAST(ts AS DATE) AS release_date FROM events WHERE day(ts) % 7 <> 0",
     # two wide snapshots of one artifact
@@ -80,6 +92,25 @@ VIEWS = {
         SELECT program, ref_date, news_date, CASE WHEN k % 7 = 0 THEN NULL WHEN ref_date < DATE '1998-01-01' THEN news_date + INTERVAL 14 DAY ELSE CAST(news_date AS TIMESTAMP) END AS data_at
         FROM (SELECT o_custkey % 11 AS program, CAST(date_trunc('month', o_orderdate) AS DATE) AS ref_date, MIN(CAST(o_orderdate AS DATE)) AS news_date, MIN(o_orderkey) AS k
               FROM orders GROUP BY o_custkey % 11, CAST(date_trunc('month', o_orderdate) AS DATE)) x""",
+    # periods with the day a monthly cadence expects, and the dates an archive lists: some late by weeks, lacking or twice
+    "cadence_periods": "SELECT DISTINCT o_custkey % 11 AS program, CAST(date_trunc('month', o_orderdate) AS DATE) AS ref_date, CAST(date_trunc('month', o_orderdate) AS DATE) + CAST(40 AS INT) AS expected FROM orders",
+    "archive_dates": """
+        SELECT program, ref_date + CAST(40 + CASE WHEN k % 7 = 1 AND n = 0 THEN 14 WHEN n = 1 THEN 4 ELSE k % 3 END AS INT) AS release_date
+        FROM (SELECT o_custkey % 11 AS program, CAST(date_trunc('month', o_orderdate) AS DATE) AS ref_date, MIN(o_orderkey) AS k
+              FROM orders GROUP BY o_custkey % 11, CAST(date_trunc('month', o_orderdate) AS DATE)) x CROSS JOIN (SELECT 0 AS n UNION ALL SELECT 1 AS n) y
+        WHERE (n = 0 AND k % 7 <> 0) OR (n = 1 AND k % 7 = 2)""",
+    # markers from notices, by scope, and series values before and after
+    "markers": """
+        SELECT notice_id AS marker_id, CAST(area % 11 AS BIGINT) AS program,
+               CASE WHEN notice_id % 3 = 0 THEN '' WHEN notice_id % 3 = 1 THEN CAST(1 + notice_id % 9 AS STRING) ELSE CAST(10 + notice_id % 90 AS STRING) END AS prefix,
+               CASE WHEN title LIKE '%weights%' THEN 'reweight' WHEN title LIKE '%decimals%' THEN 'precision_change' WHEN title LIKE '%population control%' THEN 'population_control'
+                    WHEN title LIKE '%discontinued%' THEN 'discontinuation' WHEN title LIKE '%suspended%' THEN 'suspension' WHEN title LIKE '%resumed%' THEN 'resumption' ELSE 'other' END AS kind,
+               published - CAST(9000 + notice_id % 7 * 300 AS INT) AS effective
+        FROM notices""",
+    "measured": """
+        SELECT o_orderkey AS row_id, o_custkey % 11 AS program, CAST(o_custkey AS STRING) AS unit_key, CAST(o_orderdate AS DATE) AS ref_date, o_totalprice AS prev_value,
+               CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderpriority = '1-URGENT' THEN round(o_totalprice) WHEN o_orderpriority = '2-HIGH' THEN o_totalprice + 3 ELSE o_totalprice END AS value
+        FROM orders""",
     # a roster of series and its next vintage
     "catalog_prev": "SELECT p_partkey AS series_id, p_name AS title, p_type AS code FROM part WHERE p_partkey % 31 <> 0",
     "catalog_cur": "SELECT p_partkey AS series_id, CASE WHEN p_partkey % 12 = 0 THEN p_name || ' (revised)' ELSE p_name END AS title, CASE WHEN p_partkey % 15 = 0 THEN 'RECODED' ELSE p_type END AS code FROM part WHERE p_partkey % 23 <> 0",
