@@ -183,7 +183,6 @@ def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
             none = pa.nulls(1, pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, pa.nulls(1, pa.int32()), none, pa.nulls(1, pa.binary()), pa.array([k], pa.int32()), pa.array([part], pa.int32()), pa.array([counts])], names=names_out)
         del table
-        _POWERS.clear()  # as long as the longest text of the task
         trim()
 
     small_batches(docs.sparkSession)
@@ -253,7 +252,6 @@ def shared(rows: DataFrame) -> DataFrame:
                 before, leader = t[-2], tuple(a[-2] for a in lead)
         if held is not None and before is not None and held[0] == before:
             yield pa.RecordBatch.from_arrays([pa.array(np.array([a], np.int32 if k in (2, 5) else np.int64)) for k, a in enumerate((*held, *leader))], names=names)
-        trim()
 
     return rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(look, "token long, node long, n int, last long, leader long, leader_n int, leader_last long")
 
@@ -293,7 +291,6 @@ def prefixes_of(sets: DataFrame, ranks, orders: int = ORDERS) -> DataFrame:
             held = [*_sets(batch)]
             lists = [pa.array([in_order(s, ranks.value, k).astype(np.uint32).view(np.int32) for s in held], pa.list_(pa.int32())) for k in range(1, orders)]
             yield pa.RecordBatch.from_arrays([batch.column("node"), *lists], names=["node", *(f"p{k}" for k in range(1, orders))])
-        trim()
 
     return sets.mapInArrow(look, ", ".join(["node long", *(f"p{k} array<int>" for k in range(1, orders))]))
 
@@ -322,7 +319,6 @@ def verified(pairs: DataFrame, sets: DataFrame, ranks, orders: int = ORDERS) ->
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 out.append(100 * both >= 80 * (len(a) + len(b) - both))
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(out, pa.bool_()))
-        trim()
 
     return _with_sides(pairs, sets, ["tokens"]).select("u", "v", "u_tokens", "v_tokens").mapInArrow(look, "u long, v long")
 
