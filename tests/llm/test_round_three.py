@@ -205,3 +205,16 @@ def test_the_ring_gives_every_run(text, longest):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOW))
     got = resample.ring_of_crcs(resample.words_of(text.encode()), longest)
     assert Counter(got) == Counter(crc32(" ".join(w[i : i + k]).encode()) for k in range(1, longest + 1) for i in range(len(w) - k + 1))
+
+
+def test_workers_drop_what_another_operator_kept():
+    from vintora.llm import _io, bpe
+    from vintora.llm.queries import vocabulary
+
+    path = vocabulary("byte_bpe_50k.json")
+    first = bpe.opened(path).encode(["a text of words"])[0].tolist()
+    assert path in bpe._OPEN and any(held is bpe._OPEN for held in _io.KEPT)
+    _io.trim(kept=True)
+    assert path in bpe._OPEN
+    _io.trim()
+    assert not bpe._OPEN and bpe.opened(path).encode(["a text of words"])[0].tolist() == first

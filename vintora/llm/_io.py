@@ -95,13 +95,23 @@ def small_batches(spark: SparkSession, records: int = 1000, most_bytes: int = 4
             spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
-def trim() -> None:
-    """Give a Python worker's unused memory back: workers stay, for other tasks, after theirs end."""
+#: What workers keep from task to task by name: vocabularies and the pieces remembered with them.
+KEPT: list[dict] = []
+
+
+def trim(kept: bool = False) -> None:
+    """Give a Python worker's unused memory back: workers stay, for other tasks, after theirs end.
+
+    What an operator keeps from task to task goes as well, unless `kept`: the tasks after it may be another operator's.
+    """
     import ctypes
     import gc
 
     import pyarrow as pa
 
+    if not kept:
+        for held in KEPT:
+            held.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

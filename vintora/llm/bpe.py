@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintora.llm._io import small_batches, trim
+from vintora.llm._io import KEPT, small_batches, trim
 
 #: Fragments and pretokens remembered by a worker before its memory is cleared.
 MEMO = 150_000
@@ -163,13 +163,14 @@ class ByteBpe:
 
 
 _OPEN: dict[str, ByteBpe] = {}
+KEPT.append(_OPEN)
 
 
 def opened(path: str) -> ByteBpe:
     """One encoder for each worker process and vocabulary."""
     if path not in _OPEN:
         _OPEN[path] = ByteBpe(path)
-        trim()
+        trim(kept=True)
     return _OPEN[path]
 
 
@@ -252,6 +253,7 @@ def safe_pieces(text: str, most: int = PIECE_BYTES) -> list[str]:
 
 
 _COUNTERS: dict = {}
+KEPT.append(_COUNTERS)
 
 
 def _counter(path: str):

@@ -301,6 +301,7 @@ class WordEncoder:
 
 
 _OPEN: dict[tuple[str, int], WordEncoder] = {}
+_io.KEPT.append(_OPEN)
 
 
 def _encoder(path: str, end_id: int) -> WordEncoder:
