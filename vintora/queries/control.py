@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vintora.operators import control, markers, matching
+from vintora.operators import control, markers, matching, slots
 from vintora.plans.registry import Tables, query
 from vintora.queries.asof import micros
 
@@ -66,6 +66,40 @@ def slot_history(t: Tables):
     return rows.select("program", day("occurrence"), F.date_add("occurrence", (400 + 400 * (c("program") % 5)).cast("int")).cast("string").alias("new_date"))
 
 
+# events of slots: an order foretells its slot, its lines give it days, and say what became of it
+SLOT_EVENTS = """SELECT o_orderkey AS slot_id, CAST(o_orderdate AS TIMESTAMP) - INTERVAL 20 DAY AS moment, 0 AS seq, 'predicted' AS kind, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 10 DAY AS due FROM orders
+    UNION ALL SELECT l_orderkey, CAST(l_shipdate AS TIMESTAMP), l_linenumber, 'scheduled', CAST(l_shipdate AS TIMESTAMP) + CAST(4 + l_linenumber AS INT) * INTERVAL 1 DAY FROM lineitem
+    UNION ALL SELECT l_orderkey, CAST(l_shipdate AS TIMESTAMP) + INTERVAL 20 DAY, 10 + l_linenumber, CASE CAST(round(l_tax * 100) AS INT) WHEN 0 THEN 'captured' WHEN 1 THEN 'captured' WHEN 2 THEN 'news_only' WHEN 3 THEN 'cancelled' ELSE 'delayed' END, NULL FROM lineitem WHERE l_returnflag <> 'N'
+    UNION ALL SELECT l_orderkey, CAST(l_shipdate AS TIMESTAMP) + INTERVAL 22 DAY, 20 + l_linenumber, 'committed', NULL FROM lineitem WHERE l_returnflag = 'R' AND CAST(round(l_tax * 100) AS INT) = 0"""
+LIFE_NOW = "1998-06-15"
+
+
+@query(f"""WITH d AS (SELECT *, COALESCE(MAX(CAST(kind = 'captured' AS INT)) OVER (PARTITION BY slot_id ORDER BY moment, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken FROM ({SLOT_EVENTS}) WHERE moment <= TIMESTAMP '{LIFE_NOW}'),
+    e AS (SELECT *, last_value(CASE WHEN taken = 0 THEN due END IGNORE NULLS) OVER (PARTITION BY slot_id ORDER BY moment, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS due_now FROM d),
+    f AS (SELECT * FROM e WHERE kind IN ('committed', 'news_only') OR (taken = 0 AND (kind NOT IN ('delayed', 'cancelled') OR moment >= due_now + INTERVAL 3 DAY))),
+    g AS (SELECT *, COALESCE(MAX(CAST(kind IN ('cancelled', 'committed', 'news_only') AS INT)) OVER (PARTITION BY slot_id ORDER BY moment, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS over_ FROM f)
+    SELECT slot_id, CASE WHEN kind NOT IN ('predicted', 'scheduled') THEN kind WHEN TIMESTAMP '{LIFE_NOW}' >= due_now + INTERVAL 3 DAY THEN 'late' WHEN TIMESTAMP '{LIFE_NOW}' >= due_now - INTERVAL 5 MINUTE THEN 'watching' ELSE kind END AS state, CAST(CAST(due_now AS DATE) AS VARCHAR) AS due
+    FROM g WHERE over_ = 0 QUALIFY row_number() OVER (PARTITION BY slot_id ORDER BY moment DESC, seq DESC) = 1""")
+def slot_life(t: Tables):
+    """State of each slot at an instant, from all its events; streaming.slots keeps the same with timers."""
+    return slots.life(slot_events(t), F.lit(LIFE_NOW).cast("timestamp_ntz")).select("slot_id", "state", F.col("due").cast("date").cast("string").alias("due"))
+
+
+def slot_events(t: Tables):
+    at = lambda c, days=0: F.date_add(F.col(c).cast("date"), days).cast("timestamp_ntz")
+    event = lambda when, seq, kind, due=F.lit(None).cast("timestamp_ntz"): F.struct(when.alias("at"), seq.cast("int").alias("seq"), kind.alias("kind"), due.alias("due"))
+    tax, back, line = F.round(F.col("l_tax") * 100).cast("int"), F.col("l_returnflag"), F.col("l_linenumber").cast("int")
+    outcome = F.when(tax <= 1, "captured").when(tax == 2, "news_only").when(tax == 3, "cancelled").otherwise("delayed")
+    of_line = F.array(
+        event(at("l_shipdate"), line, F.lit("scheduled"), at("l_shipdate", 4 + line)),
+        F.when(back != "N", event(at("l_shipdate", 20), 10 + line, outcome)),
+        F.when((back == "R") & (tax == 0), event(at("l_shipdate", 22), 20 + line, F.lit("committed"))),
+    )
+    lines = t("lineitem").select(F.col("l_orderkey").alias("slot_id"), F.inline(F.array_compact(of_line)))
+    foretold = t("orders").select(F.col("o_orderkey").alias("slot_id"), at("o_orderdate", -20).alias("at"), F.lit(0).alias("seq"), F.lit("predicted").alias("kind"), at("o_orderdate", 10).alias("due"))
+    return foretold.unionByName(lines)
+
+
 TITLES = [("BUILDING", ("ces-n", "cps-ln")), ("MACHINERY", ("eci", "ecec")), ("FURNITURE", ("qcew",)), ("AUTOMOBILE", ("jolts", "jolts-state"))]
 ENTRIES = "SELECT c_custkey AS entry_id, c_mktsegment AS title FROM customer"
 
