@@ -109,21 +109,6 @@ def _bucket(key: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in key))), 1, 8), 16, 10).cast("long"), F.lit(buckets))
 
 
-def differing_rows(a: DataFrame, b: DataFrame, key: Sequence[str], values: Sequence[str], buckets: int, partition: Sequence[str] = ()) -> DataFrame:
-    """key, difference (left_only, right_only, differs): rows are joined in buckets whose hashes differ only.
-
-    Bucket hashes are exclusive sums of row hashes, in Spark alone; a row that stands twice shows by the counts.
-    """
-    on = [*partition, "bucket"]
-    sums = lambda df: df.groupBy(*partition, _bucket(key, buckets).alias("bucket")).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*key, *values)).alias("h"))
-    left, right = (sums(df).select(*on, F.struct("n", "h").alias(name)) for df, name in ((a, "_l"), (b, "_r")))
-    open_ = left.join(right, on, "full_outer").where("NOT (_l <=> _r)").select(*on)
-    side = lambda df, tag: df.withColumn("bucket", _bucket(key, buckets)).join(F.broadcast(open_), on, "left_semi").select(*key, F.struct(*values).alias(tag), F.lit(True).alias(f"{tag}_in"))
-    both = side(a, "_a").join(side(b, "_b"), list(key), "full_outer")
-    kind = F.when(F.col("_b_in").isNull(), "left_only").when(F.col("_a_in").isNull(), "right_only").when(~F.col("_a").eqNullSafe(F.col("_b")), "differs")
-    return both.select(*key, kind.alias("difference")).where("difference IS NOT NULL")
-
-
 def bucket_hashes(rows: DataFrame, key: Sequence[str], values: Sequence[str], buckets: int, partition: Sequence[str] = ()) -> DataFrame:
     """An order-free hash and count of each bucket of rows. Hashes of rows are summed, so no bucket is collected."""
     text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in (*key, *values)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vintora.operators import diff, ledger, links
+from vintora.operators import diff, hashtree, ledger, links
 from vintora.plans.registry import Tables, query
 
 KINDS = "CASE WHEN p_in IS NULL THEN 'first_print' WHEN c_in IS NULL THEN 'deleted' WHEN p IS NOT NULL AND c IS NULL THEN 'suppressed' WHEN p IS NULL AND c IS NOT NULL THEN 'unsuppressed' WHEN p <> c THEN 'revised'{more} END"
@@ -136,8 +136,8 @@ def mass_change_breaker(t: Tables):
 
 @query(f"SELECT COALESCE(p.unit_key, c.unit_key) AS unit_key, COALESCE(p.ref_year, c.ref_year) AS ref_year, CASE WHEN p.unit_key IS NULL THEN 'right_only' WHEN c.unit_key IS NULL THEN 'left_only' ELSE 'differs' END AS difference FROM {JOINED} WHERE p.price IS DISTINCT FROM c.price OR p.customer IS DISTINCT FROM c.customer OR p.footnote IS DISTINCT FROM c.footnote")
 def replay_rows(t: Tables):
-    """The rows in which a replay and a fresh parse differ, found by descent into differing buckets alone."""
-    return diff.differing_rows(t("wide_prev"), t("wide_cur"), KEY, ["customer", "price", "footnote"], 16, ["ref_year"])
+    """The rows in which a replay and a fresh parse differ, found by descent into differing nodes of a hash tree alone."""
+    return hashtree.differing_rows(t("wide_prev"), t("wide_cur"), KEY, ["customer", "price", "footnote"])
 
 
 @query("SELECT unit_key, ref_year, CASE WHEN unit_key % 26 = 0 THEN 'reinstated' ELSE 'first_print' END AS change_kind FROM wide_cur WHERE unit_key % 13 = 0")
