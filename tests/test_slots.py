@@ -1,12 +1,15 @@
 """Slots over time: the stream with timers against the batch operator."""
 
 import datetime as dt
+from itertools import permutations
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from vintora.operators import slots
 from vintora.plans.registry import Tables
+from vintora.queries import ORACLES, QUERIES
 from vintora.queries.control import slot_events
 from vintora.streaming import slots as live
 
@@ -74,3 +77,40 @@ def test_odd_events(spark):
     got = {r.slot_id: r.state for r in slots.life(spark.createDataFrame(rows, SCHEMA), F.lit(at(10)).cast("timestamp")).collect()}
     assert got == {2: "captured", 3: "late", 4: "cancelled", 7: "scheduled"}
     assert slots.life(spark.createDataFrame([], SCHEMA), F.current_timestamp()).count() == 0
+
+
+#: Events of one instant and seq: (kind, due), and the state and due they leave.
+TIES = [
+    (("cancelled", None), ("captured", None), "captured", 2),
+    (("delayed", None), ("captured", None), "captured", 2),
+    (("delayed", None), ("cancelled", None), "cancelled", 2),
+    (("news_only", None), ("committed", None), "committed", 2),
+    (("scheduled", 20), ("scheduled", 25), "scheduled", 25),
+    (("scheduled", 20), ("captured", None), "captured", 20),
+]
+
+
+def test_events_of_one_instant_and_seq_in_any_order(rocks, tmp_path):
+    at = lambda n: n and dt.datetime(2024, 1, n)
+    want = {k: (state, at(due)) for k, (_, _, state, due) in enumerate(TIES)}
+    for n, pick in enumerate(permutations((0, 1))):
+        rows = [(k, at(1), 0, "scheduled", at(2)) for k in want]
+        rows += [(k, at(6), 7, tie[i][0], at(tie[i][1])) for k, tie in enumerate(TIES) for i in pick]
+        events = rocks.createDataFrame(rows, SCHEMA).coalesce(1)
+        assert {r.slot_id: (r.state, r.due) for r in slots.life(events, F.lit(at(10)).cast("timestamp")).collect()} == want
+        write(rocks, events, f"{tmp_path}/{n}", [])
+        out = run(rocks, f"{tmp_path}/{n}", f"slot_ties_{n}").groupBy("slot_id").agg(F.max_by(F.struct("state", "due"), "step").alias("e"))
+        assert {r.slot_id: (r.e.state, r.e.due) for r in out.collect()} == want
+
+
+def test_slot_life_is_its_sql_where_ties_are_ordered(spark):
+    """The registered SQL leaves events of one slot, instant and seq open; here their order is added to a copy of it."""
+    sf = "/root/testdata/sf0.1"
+    con = duckdb.connect()
+    for t in ("orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    turn = f"list_position({list(slots.TURNS)}, kind)"
+    sql = ORACLES["slot_life"].replace("ORDER BY moment, seq", f"ORDER BY moment, seq, {turn}, due").replace("ORDER BY moment DESC, seq DESC", f"ORDER BY moment DESC, seq DESC, {turn} DESC, due DESC")
+    assert sql.count(turn) == 4
+    want = set(con.execute(sql).fetchall())
+    assert len(want) == 140698 and {tuple(r) for r in QUERIES["slot_life"](spark, sf).select("slot_id", "state", "due").collect()} == want

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from vintora.operators.slots import DATED, ENDED, GRACE, LEAD
+from vintora.operators.slots import DATED, ENDED, GRACE, LEAD, turn
 
 DAY = 86_400_000
 COLUMNS = ["slot_id", "at_ms", "step", "state", "due_ms", "poll_seconds"]
@@ -81,7 +81,7 @@ class SlotLife(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         slot, out = self._load(), []
-        events = pd.concat(list(rows)).sort_values(["at_ms", "seq"])  # one slot's events of one batch
+        events = pd.concat(list(rows)).sort_values(["at_ms", "seq", "turn", "due_ms"])  # one slot's events of one batch
         for at, kind, due in zip(events["at_ms"], events["kind"], events["due_ms"]):
             out += self._advance(slot, int(at))
             out += self._apply(slot, int(at), kind, None if pd.isna(due) else int(due))
@@ -101,6 +101,6 @@ def slot_life(events: DataFrame, late: str = "1 day", lead: int = LEAD, grace: i
     """
     key = dict(events.dtypes)["slot_id"]
     rows = events.where("slot_id IS NOT NULL AND at IS NOT NULL").withWatermark("at", late)
-    rows = rows.select("slot_id", "at", F.unix_millis("at").alias("at_ms"), F.col("seq").cast("long").alias("seq"), "kind", F.unix_millis(F.col("due").cast("timestamp")).alias("due_ms"))
+    rows = rows.select("slot_id", "at", F.unix_millis("at").alias("at_ms"), F.col("seq").cast("long").alias("seq"), "kind", turn(F.col("kind")).alias("turn"), F.unix_millis(F.col("due").cast("timestamp")).alias("due_ms"))
     out = rows.groupBy("slot_id").transformWithStateInPandas(SlotLife(lead, grace), f"slot_id {key}, at_ms long, step long, state string, due_ms long, poll_seconds long", "Append", "EventTime")
     return out.select("slot_id", F.timestamp_millis("at_ms").alias("at"), "step", "state", F.timestamp_millis("due_ms").alias("due"), F.col("poll_seconds").cast("int").alias("poll_seconds"))
