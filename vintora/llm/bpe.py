@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ from vintora.llm._io import KEPT, small_batches, trim
 
 #: Fragments and pretokens remembered by a worker before its memory is cleared.
 MEMO = 150_000
+#: Pieces that the library encodes at a time.
+SLICE = 1000
 #: Bytes of text taken at a time.
 BATCH_BYTES = 1 << 20
 #: Texts longer than this are split for counting, where a cut is safe.
@@ -41,13 +44,29 @@ def byte_alphabet() -> list[str]:
     return [chars[b] for b in range(256)]
 
 
+def ids_of(model, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the pieces, one after the other, and the number for each piece.
+
+    The library's results are far larger than their ids, and lists keep the garbage collector busy: a slice's stand at a time.
+    """
+    flat, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for a in range(0, len(pieces), SLICE):
+        ids = [e.ids for e in model.encode_batch_fast(pieces[a : a + SLICE], add_special_tokens=False)]
+        sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(sizes[-1].sum())))
+    return np.concatenate(flat), np.concatenate(sizes)
+
+
 class ByteBpe:
     """Encoder and decoder for one byte-level BPE vocabulary file of the tokenizers library."""
 
     def __init__(self, path: str):
+        import os
+
         from tokenizers import Tokenizer, pre_tokenizers
         from tokenizers.models import BPE
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each thread would keep memory of its own
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
@@ -77,7 +96,7 @@ class ByteBpe:
 
     def forget(self) -> None:
         self.last: tuple[pa.Array, pa.Array] | None = None
-        self.fragments: dict[bytes, tuple[int, ...]] = {}
+        self.fragments: dict[bytes, bytes] = {}  # their ids, four bytes each
         self.index: dict[str, int] = {}
         self.flat = np.zeros(0, np.int32)
         self.first = np.zeros(0, np.int64)
@@ -119,22 +138,23 @@ class ByteBpe:
 
     def learn(self, pieces: list[str]) -> None:
         """Encode pieces that aren't remembered yet."""
-        ids: list[tuple[int, ...] | None] = [(self.special[p],) if p in self.special else None for p in pieces]
+        ids = [np.int32(self.special[p]).tobytes() if p in self.special else None for p in pieces]
         plain = [p for p, i in zip(pieces, ids) if i is None]
         split = iter(self.cut([p.encode() for p in plain])) if plain else iter(())
         parts = [None if i is not None else next(split) for i in ids]
         new = list({f for fs in parts if fs for f in fs if f not in self.fragments})
         shown = [f.decode("latin-1").translate(self.to_chars) for f in new]
-        for f, e in zip(new, self.bare.encode_batch_fast(shown, add_special_tokens=False)):
-            self.fragments[f] = tuple(e.ids)
+        flat, sizes = ids_of(self.bare, shown)
+        raw, ends = flat.tobytes(), (4 * np.cumsum(sizes)).tolist()
+        self.fragments.update((f, raw[a:b]) for f, a, b in zip(new, [0, *ends], ends))
         known = self.fragments
-        found = [i if fs is None else (known[fs[0]] if len(fs) == 1 else tuple(x for f in fs for x in known[f])) for i, fs in zip(ids, parts)]
+        found = [i if fs is None else (known[fs[0]] if len(fs) == 1 else b"".join(known[f] for f in fs)) for i, fs in zip(ids, parts)]
         n = len(self.index)
         self.index.update((p, n + k) for k, p in enumerate(pieces))
-        length = np.array([len(i) for i in found], np.int64)
+        length = np.array([len(i) // 4 for i in found], np.int64)
         self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, np.array([x for i in found for x in i], np.int32)])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), np.int32)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and the offsets of each text in them."""

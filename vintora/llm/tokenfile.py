@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vintora.llm import _io
-from vintora.llm.bpe import by_bytes, byte_alphabet
+from vintora.llm.bpe import by_bytes, byte_alphabet, ids_of
 
 MAGIC = 0x52504332
 #: Tokens after which a shard is closed.
@@ -264,18 +264,18 @@ class WordEncoder:
                 words += found
                 counts.append(len(found))
         shown = [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.to_chars) for w in words]
-        ids = [e.ids for e in self.bare.encode_batch_fast(shown, add_special_tokens=False)]
-        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
+        ids, sizes = ids_of(self.bare, shown)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
         length = np.diff(ends[np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])])
         if hard:
-            more = [e.ids for e in self.model.encode_batch_fast(hard, add_special_tokens=False)]
-            ids += more
-            length = np.concatenate([length, np.array([len(i) for i in more], np.int64)])
+            more, sizes = ids_of(self.model, hard)
+            ids = np.concatenate([ids, more])
+            length = np.concatenate([length, sizes])
         n = len(self.index)
         self.index.update(zip(chain(pieces, hard), range(n, n + len(length))))
         self.first = np.concatenate([self.first, (len(self.flat) + np.cumsum(length) - length).astype(np.int32)])
         self.length = np.concatenate([self.length, length.astype(np.int32)])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))])
+        self.flat = np.concatenate([self.flat, ids.astype(np.uint32)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts one after the other, each followed by the end id, and the number for each text."""
@@ -283,7 +283,7 @@ class WordEncoder:
             self.forget()
         split = pc.split_pattern(pa.array([self.apart(t) for t in texts], pa.string()), " ")
         pieces = split.flatten().dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()  # far quicker than to_pylist
         known = list(map(self.index.get, distinct))
         if missing := [k for k, n in enumerate(known) if n is None]:
             new = [distinct[k] for k in missing]
