@@ -17,8 +17,6 @@ from vintora.llm.queries import vocabulary
 
 #: Rows are dropped by a broadcast of up to this many; beyond, dropping them shuffles.
 BROADCAST_ROWS = 1_000_000
-#: A text with at least one word of the Jaccard join.
-HAS_WORDS = r"[^\x20\x09-\x0D]"
 
 
 def _matching(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
@@ -54,13 +52,13 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     groups = stored(jaccard.groups(docs), "groups").where("component IS NOT NULL")
     row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
-    best = groups.groupBy("component").agg(F.min(row).alias("row")).select("row.*")
-    worded = F.coalesce(F.col("text"), F.lit("")).rlike(HAS_WORDS)
-    kept = _matching(docs.where(worded), best, "left_semi")
+    best = groups.groupBy("component").agg(F.min(row).alias("best"), F.max(row).alias("last")).where("NOT best <=> last").drop("last")
+    others = jaccard.spread_join(groups.withColumn("row", row), best, "component", F.col("doc_id")).where("NOT row <=> best")
+    kept = _matching(docs, others, "left_anti")  # those that go are far fewer than those that stay
     repeated = groups.groupBy("doc_id", "text_hash").count().where("count > 1")
     if repeated.limit(1).count():  # only the rows that repeat are shuffled
         kept = _matching(kept, repeated, "left_anti").unionByName(_matching(kept, repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
-    return kept.unionByName(docs.where(~worded))
+    return kept
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

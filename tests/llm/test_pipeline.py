@@ -1,7 +1,13 @@
 """The pipeline's stages against decisions worked out apart from them."""
 
+import tracemalloc
+
+import numpy as np
+
 import corpus_pipeline
 from tests.llm.test_queries import PATTERNS, jaccard_truth, overlap_truth, toxic_bins
+from vintora.llm import toxicity
+from vintora.llm._io import trim_driver
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -85,3 +91,49 @@ def test_repeated_rows_stay_once(spark, small):
 
 def test_run_without_documents(spark, void):
     assert corpus_pipeline.run(spark, void).count() == 0
+
+
+def test_rows_that_go_are_sent_not_those_that_stay(spark, tmp_path, monkeypatch):
+    words = [" ".join(f"w{k}x{j}" for j in range(12)) for k in range(300)]
+    rows = [(k, t) for k, t in enumerate(words)] + [(1000 + k, words[k].upper()) for k in range(7)] + [(None, words[9]), (2000, None), (2001, " \t"), (2001, " \t")]
+    sent, stored = [], corpus_pipeline.stored
+
+    def seen(df, name, **options):
+        out = stored(df, name, **options)
+        sent.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(corpus_pipeline, "stored", seen)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.keep_one_of_each(spark, docs, str(tmp_path)).collect()]
+    assert sorted(kept, key=str) == sorted([*enumerate(words), (2000, None), (2001, " \t"), (2001, " \t")], key=str)
+    assert [n for name, n in sent if name == "rows"] == [8]
+
+
+def test_fit_holds_little_beside_its_sample():
+    rng = np.random.default_rng(3)
+    size = 1 << toxicity.BITS
+    rows = [(k % 2, 0, np.arange(k % 64, size, 64, dtype="<i4")) for k in range(2000)] + [(1, 0, np.zeros(0, "<i4"))]
+    tracemalloc.start()
+    try:
+        model = toxicity.Linear(rows, rng.normal(0, 1, size), 0.0, 1.0, 2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.isfinite(model.bias) and np.count_nonzero(model.weights) > size // 2
+    assert peak < 3 * sum(r[2].nbytes for r in rows)
+
+
+def test_runs_of_a_fit_change_nothing(monkeypatch):
+    rng = np.random.default_rng(4)
+    ratio = rng.normal(0, 1, 1 << toxicity.BITS)
+    rows = [(k % 2, 0, np.unique(rng.integers(0, 1000, rng.integers(0, 60))).astype("<i4")) for k in range(200)]
+    whole = toxicity.Linear(rows, ratio, 0.3, 1.0, 50)
+    monkeypatch.setattr(toxicity, "RUN", 70)
+    parts = toxicity.Linear(rows, ratio, 0.3, 1.0, 50)
+    assert np.allclose(whole.weights, parts.weights, atol=1e-9) and abs(whole.bias - parts.bias) < 1e-9
+    assert not toxicity.Linear([], ratio, 0.3, 1.0, 2).weights.any()
+
+
+def test_driver_gives_native_memory_back(spark):
+    assert trim_driver(spark)

@@ -260,9 +260,9 @@ def _filter_bits(nodes: DataFrame) -> np.ndarray:
     """A bit for each node's hash, eight to a byte, the lowest first; the size follows the number of nodes up to 2**FILTER_BITS."""
     bits = min(FILTER_BITS, max(12, (16 * nodes.count()).bit_length()))
     place = F.pmod(F.col("node"), F.lit(1 << bits))
-    words = nodes.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(node, {1 << bits}) & 63 as int))")).alias("held")).toPandas()  # 2**(FILTER_BITS - 6) rows at most
+    words = nodes.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(node, {1 << bits}) & 63 as int))")).alias("held")).toArrow()  # 2**(FILTER_BITS - 6) rows at most
     out = np.zeros(1 << (bits - 6), np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["held"].to_numpy(np.int64)
+    out[words["word"].to_numpy()] = words["held"].to_numpy()
     return out.view(np.uint8)
 
 

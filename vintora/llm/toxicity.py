@@ -34,6 +34,8 @@ SAMPLE, SAMPLE_FEATURES = 2500, 2_000_000
 SETTINGS = ((0.4, 1.0), (0.8, 1.0), (1.2, 1.0), (0.8, 10.0))
 #: Steps of a fit, and of one that only tries settings.
 STEPS, TRIAL_STEPS = 300, 80
+#: Features that a step of a fit holds at a time.
+RUN = 1 << 18
 #: Labels are broadcast up to this many rows; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
 BATCH_CHARS = 1 << 20
@@ -95,10 +97,10 @@ def _class_counts(rows: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(c[at]) for c in n)], names=names)
         trim()
 
-    got = rows.mapInArrow(count, "bin int, n0 long, n1 long, n2 long, n3 long").groupBy("bin").agg(*(F.sum(c).alias(c) for c in names[1:])).toPandas()  # at most 2**BITS + 1 rows
+    got = rows.mapInArrow(count, "bin int, n0 long, n1 long, n2 long, n3 long").groupBy("bin").agg(*(F.sum(c).alias(c) for c in names[1:])).toArrow()  # at most 2**BITS + 1 rows
     n = np.zeros((4, size + 1))
     for k, c in enumerate(names[1:]):
-        n[k, got["bin"]] = got[c]
+        n[k, got["bin"].to_numpy()] = got[c].to_numpy()
     return n.reshape(2, 2, size + 1)
 
 
@@ -127,33 +129,46 @@ def _sample(rows: DataFrame, useful: np.ndarray) -> list[tuple[int, int, np.ndar
     found = stored(chosen.select("doc_id", "toxic", "fold", "text").mapInArrow(features, f"doc_id {kind}, toxic int, fold int, bins binary"), "features")
     before = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)  # SAMPLE rows of each class
     sized = found.select("doc_id", "toxic", F.coalesce(F.sum(F.octet_length("bins") / 4).over(before), F.lit(0)).alias("before"))
-    got = found.join(F.broadcast(sized.where(F.col("before") < SAMPLE_FEATURES).select("doc_id")), "doc_id").select("doc_id", "toxic", "fold", "bins").orderBy("doc_id").toPandas()
-    out = [(int(y), int(f), np.frombuffer(b, "<i4")) for y, f, b in zip(got["toxic"], got["fold"], got["bins"])]
+    got = found.join(F.broadcast(sized.where(F.col("before") < SAMPLE_FEATURES).select("doc_id")), "doc_id").orderBy("doc_id").select("toxic", "fold", "bins").toArrow()
+    out = [(y.as_py(), f.as_py(), np.frombuffer(b.as_buffer(), "<i4")) for y, f, b in zip(got["toxic"], got["fold"], got["bins"])]
     discard(found)
     return out
 
 
 class Linear:
-    """Logistic loss over features scaled by their ratios; fitted by Adam over all rows at once."""
+    """Logistic loss over features scaled by their ratios; fitted by Adam over all rows at once.
+
+    A step goes through the rows in runs of about RUN features, so that what numpy makes of them by the way stays small.
+    """
 
     def __init__(self, rows: list[tuple[int, int, np.ndarray]], ratio: np.ndarray, least: float, l2: float, steps: int):
         keep = np.abs(ratio) >= least
         y = np.array([r[0] for r in rows], np.float32)
-        bins = [r[2][keep[r[2]]] for r in rows]
-        owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(b) for b in bins])
-        bins = np.concatenate(bins or [np.zeros(0, np.int32)])
+        sizes = np.array([np.count_nonzero(keep[r[2]]) for r in rows], np.int64)
         seen = np.zeros(1 << BITS, bool)
-        seen[bins] = True
+        for r in rows:
+            seen[r[2]] = True
+        seen &= keep
         used = np.flatnonzero(seen)
-        bins = (np.cumsum(seen, dtype=np.int32) - 1)[bins]
-        x = ratio[used].astype(np.float32)[bins]
+        place, ends = np.cumsum(seen, dtype=np.int32) - 1, np.cumsum(sizes)
+        bins = np.empty(sizes.sum(), np.int32)
+        for r, n, end in zip(rows, sizes, ends):
+            bins[end - n : end] = place[r[2][keep[r[2]]]]
+        x = ratio[used].astype(np.float32)
+        cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(RUN, bins.size, RUN)), [len(rows)]]))
+        runs = [(a, b, ends[a] - sizes[a], ends[b - 1]) for a, b in zip(cuts, cuts[1:])]
         share = y.mean() if len(y) else 0.5
         w, bias = np.zeros(len(used)), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
         m = v = np.zeros(len(used) + 1)
         for t in range(1, steps + 1):
-            z = np.bincount(owner, x * w.astype(np.float32)[bins], len(y)) + bias
-            error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y) / max(1, len(y))
-            grad = np.append(np.bincount(bins, x * error.astype(np.float32)[owner], len(used)) + l2 * w / max(1, len(y)), error.sum())
+            scaled, total, slope = x * w.astype(np.float32), 0.0, np.zeros(len(used))
+            for a, b, start, end in runs:
+                held, owner = bins[start:end], np.repeat(np.arange(b - a), sizes[a:b])
+                z = np.bincount(owner, scaled[held], b - a) + bias
+                error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[a:b]) / max(1, len(y))
+                slope += np.bincount(held, x[held] * np.repeat(error.astype(np.float32), sizes[a:b]), len(used))
+                total += error.sum()
+            grad = np.append(slope + l2 * w / max(1, len(y)), total)
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
             move = 0.01 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
             w, bias = w - move[:-1], bias - move[-1]
